@@ -1,0 +1,52 @@
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from conftest import SF001, flow_rows
+from roadlens.session import scratch_path
+from roadlens.sources.events import read_passes
+from roadlens.streaming.live_flow import (
+    events_stream, run_events_flow, start_to_files, stream_monitor_speed,
+)
+from roadlens.sources.events import passes_from_events
+
+
+def test_append_output_is_the_closed_part_of_the_batch_result(spark):
+    out = run_events_flow(spark, SF001, scratch_path(spark, "lf"), scratch_path(spark, "lf-ck"))
+    batch = stream_monitor_speed(read_passes(spark, SF001))
+    got = {tuple(r) for r in out.collect()}
+    want = {tuple(r) for r in batch.collect()}
+    assert got <= want
+    # only windows ending after (max time - watermark) are still open
+    max_t = read_passes(spark, SF001).agg(F.max(F.to_timestamp("action_time"))).first()[0]
+    open_rows = {r for r in want - got}
+    assert all((max_t - r[1]).total_seconds() < 600 for r in open_rows)
+
+
+def test_late_rows_are_dropped(spark):
+    base = tempfile.mkdtemp(prefix="roadlens-stream-")
+    src, out, ck = (os.path.join(base, d) for d in ("in", "out", "ck"))
+    schema = spark.read.parquet(f"{SF001}/events.parquet").schema
+
+    def put(rows, name):
+        df = spark.createDataFrame(rows, schema)
+        df.coalesce(1).write.mode("overwrite").parquet(os.path.join(base, "stage", name))
+        for f in os.listdir(os.path.join(base, "stage", name)):
+            if f.endswith(".parquet"):
+                os.makedirs(src, exist_ok=True)
+                os.rename(os.path.join(base, "stage", name, f), os.path.join(src, f"events-{name}.parquet"))
+
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    put([(1, t0, 1, "a", 50.0, '{"k": 1}'), (2, t0 + dt.timedelta(minutes=30), 1, "a", 70.0, '{"k": 1}')], "b1")
+    q = start_to_files(stream_monitor_speed(passes_from_events(events_stream(spark, src))), out, ck)
+    q.awaitTermination()
+    # a row 25 minutes behind the max event time is later than the 10-minute watermark
+    put([(3, t0 + dt.timedelta(minutes=5), 1, "a", 90.0, '{"k": 1}'),
+         (4, t0 + dt.timedelta(minutes=45), 1, "a", 60.0, '{"k": 1}')], "b2")
+    q = start_to_files(stream_monitor_speed(passes_from_events(events_stream(spark, src))), out, ck)
+    q.awaitTermination()
+    rows = {(r["window_start"].strftime("%H:%M"), r["passes"]) for r in spark.read.parquet(out).collect()}
+    assert ("10:00", 1) in rows and ("10:30", 1) in rows
+    assert ("10:05", 1) not in rows
