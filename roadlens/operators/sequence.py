@@ -41,7 +41,10 @@ def sequence_number(df: DataFrame, key: str = "car", time_col: str = "action_tim
         if TIEBREAK_COLUMN in df.columns:
             tiebreak.append(TIEBREAK_COLUMN)
     t = F.coalesce(lenient_seconds(time_col), F.lit(_NO_TIME).cast(T.LongType()))
-    base = df.withColumn("_t", t).withColumn("_h", F.floor(F.col("_t") / 3600))
+    # non-nullable keys: no inferred not-null filter differs between the two
+    # uses of the per-second counts, so their shuffle is computed once
+    hour = F.coalesce(F.floor(F.col("_t") / 3600), F.lit(0).cast(T.LongType()))
+    base = df.withColumn("_t", t).withColumn("_h", hour)
 
     before = Window.unboundedPreceding
     per_second = (base.groupBy(key, "_h", "_t").agg(F.count(F.lit(1)).alias("_n"))
