@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from roadlens.functions.text import is_empty
-from roadlens.session import shared_dir
+from roadlens.session import materialize
 
 # Largest side we broadcast after checking its row count.
 BROADCAST_MAX_ROWS = 1_000_000
@@ -14,15 +14,14 @@ BROADCAST_MAX_ROWS = 1_000_000
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
 
-    The side is computed once and written to the shared checkpoint folder
+    The side is computed once and written to the shared folder
     (``spark.checkpoint.dir``), so the size check and the join read the
     written rows instead of recomputing them, and a lost executor does not
     send the join back to the source scan. Beyond the bound the caller's
     join stays a shuffle join (with AQE skew handling).
     """
-    shared_dir(df.sparkSession)
-    small = df.checkpoint(eager=True)
-    n = small.limit(max_rows + 1).count()
+    small = materialize(df, "join-side")
+    n = small.count()
     return F.broadcast(small) if n <= max_rows else small
 
 

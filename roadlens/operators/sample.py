@@ -45,8 +45,9 @@ def hourly_car_count(flow: DataFrame) -> DataFrame:
 
 def _quota_from_counts(counts: DataFrame, extract_num: int) -> DataFrame:
     # counts has one row per (date, date_hour): a table bounded by the hours
-    # of the date range, so windows over it are small.
-    n_days = counts.select(F.count_distinct("date")).scalar()
+    # of the date range (24 per day plus overflow hours), so even the
+    # whole-table window that counts its days is small.
+    n_days = F.size(F.collect_set("date").over(Window.partitionBy()))
     per_day = F.when(n_days > 0, int_div(F.lit(extract_num).cast(T.LongType()), n_days.cast(T.LongType())))
     day_cars = F.sum("cars").over(Window.partitionBy("date"))
     share = F.col("cars").cast(T.DoubleType()) / day_cars.cast(T.DoubleType()) * per_day.cast(T.DoubleType())

@@ -29,7 +29,7 @@ from roadlens.operators.monitor import (
 from roadlens.operators.sample import sample_cars, sample_detail, sample_track
 from roadlens.operators.track import path_conversion, path_step_counts
 from roadlens.schema import DETAIL_COLUMNS
-from roadlens.session import shared_dir
+from roadlens.session import materialize
 from roadlens.sources.sink import write_result
 from roadlens.sources.tasks import task_params
 
@@ -51,10 +51,9 @@ def monitor_flow_results(flow: DataFrame, registry: DataFrame, p, areas: DataFra
 def sample_results(flow: DataFrame, p, seed: int = DEFAULT_SEED) -> dict[str, DataFrame]:
     passes = flow_by_date(flow, p["start_date"], p["end_date"])
     extract_num = p["extract_num"] or 0
-    shared_dir(flow.sparkSession)
     # the sample is small (at most extract_num rows) and feeds two results:
     # compute it once and cut its lineage
-    picked = sample_cars(passes, extract_num, seed).checkpoint(eager=True)
+    picked = materialize(sample_cars(passes, extract_num, seed), "sampled-cars")
     return {
         "random_extract_car": picked.select(F.col("car").alias("car_info"), F.col("date").alias("date_d"), "date_hour"),
         "random_extract_car_detail_info": sample_detail(passes, picked, extract_num).select(*DETAIL_COLUMNS),

@@ -71,3 +71,10 @@ def test_kv_records(spark):
     assert one(spark, kv_set_field(F.lit("name=a|age=12"), "name", "b")) == "name=b|age=12"
     assert one(spark, kv_set_field(F.lit("name=a|age=12|"), "zzz", "b")) == "name=a|age=12"
     assert one(spark, kv_map(rec)) == {"name": "zhang", "age": "20"}
+
+
+def test_range_label_malformed(spark):
+    assert one(spark, range_label(F.lit(None).cast("string"))) is None
+    assert one(spark, range_label(F.lit("2018-07-01 xx:55:00"))) is None
+    assert one(spark, range_label(F.lit("2018-07-01 xx:10:00"))) == "2018-07-01 xx:10~2018-07-01 xx:15"
+    assert one(spark, range_label(F.lit("2018-07-01 10:zz:00"))) is None
