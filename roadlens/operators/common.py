@@ -25,11 +25,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(small) if n <= max_rows else small
 
 
-def broadcast_if(df: DataFrame, bound_rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast when a bound known in advance (a parameter) is small enough."""
-    return F.broadcast(df) if bound_rows <= max_rows else df
-
-
 def legal_cars(flow: DataFrame) -> DataFrame:
     """Drop passes without a plate (null or blank); they would form one huge group."""
     return flow.filter(~is_empty(F.trim(F.col("car"))))

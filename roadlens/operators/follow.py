@@ -17,8 +17,16 @@ def follow_car(flow: DataFrame, targets: list[str]) -> DataFrame:
     combine, and only then grouped: no pair of passes is ever formed.
     """
     passes = legal_cars(flow).select("monitor_id", range_label("action_time").alias("range_time"), "car")
-    cells = passes.filter(F.col("car").isin(list(targets))).select("monitor_id", "range_time").distinct()
-    seen = passes.join(bounded_broadcast(cells), ["monitor_id", "range_time"], "left_semi").distinct()
+    cells = bounded_broadcast(
+        passes.filter(F.col("car").isin(list(targets)))
+        .filter(F.col("monitor_id").isNotNull() & F.col("range_time").isNotNull())
+        .select("monitor_id", "range_time").distinct())
+    # The cells hold no nulls, so a null-safe match equals a plain equi-join;
+    # it also keeps the optimizer from re-evaluating the label expression in
+    # an inferred not-null filter below the projection.
+    on = [passes["monitor_id"].eqNullSafe(cells["monitor_id"]),
+          passes["range_time"].eqNullSafe(cells["range_time"])]
+    seen = passes.join(cells, on, "left_semi").distinct()
     return seen.groupBy("monitor_id", "range_time").agg(
         F.array_join(F.array_sort(F.collect_list("car")), ",").alias("cars"),
         F.count(F.lit(1)).alias("car_count"))

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from roadlens.functions.dates import date_hour, date_of
 from roadlens.functions.numbers import int_div
-from roadlens.operators.common import broadcast_if, legal_cars
+from roadlens.operators.common import BROADCAST_MAX_ROWS, legal_cars
+from roadlens.session import materialize
 from roadlens.operators.track import car_track
 
 # Hex digits of the hash used as the histogram bucket.
@@ -91,11 +92,15 @@ def sample_cars(flow: DataFrame, extract_num: int, seed: int = 42) -> DataFrame:
 def sample_detail(flow: DataFrame, sampled: DataFrame, max_cars: int) -> DataFrame:
     """All passes (whole date range) of the sampled cars.
 
-    ``max_cars`` bounds the number of sampled cars (the extraction count);
-    the car set is broadcast when that bound is small, else shuffled.
+    ``max_cars`` bounds the number of sampled cars (the extraction count).
+    When that bound is small the car set is written once to the shared
+    folder (the sample is computed once, whatever plan reads it) and
+    broadcast; otherwise it stays a shuffle semi join.
     """
     wanted = sampled.select("car").distinct()
-    return legal_cars(flow).join(broadcast_if(wanted, max_cars), "car", "left_semi")
+    if max_cars <= BROADCAST_MAX_ROWS:
+        wanted = F.broadcast(materialize(wanted, "sampled-car-set"))
+    return legal_cars(flow).join(wanted, "car", "left_semi")
 
 
 def sample_track(flow: DataFrame, sampled: DataFrame, max_cars: int) -> DataFrame:
