@@ -60,3 +60,8 @@ def read_flow_table(spark: SparkSession, table_path: str) -> DataFrame:
     inference would turn it into DATE); a ``between`` on it prunes partitions.
     """
     return spark.read.schema(FLOW_SCHEMA).parquet(table_path).select(*FLOW_COLUMNS)
+
+
+def read_flow_catalog(spark: SparkSession, table: str = "monitor_flow_action") -> DataFrame:
+    """Passes from a catalog table or view (e.g. ``traffic.monitor_flow_action``)."""
+    return spark.table(table).select(*FLOW_COLUMNS)

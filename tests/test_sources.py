@@ -74,3 +74,10 @@ def test_task_params(spark):
 def test_area_dimension(spark):
     areas = area_from_region(spark.read.parquet(f"{SF001}/region.parquet"))
     assert sorted(map(tuple, areas.collect()))[0] == ("00", "AFRICA")
+
+
+def test_catalog_view(spark):
+    from roadlens.sources.files import read_flow_catalog
+    read_passes(spark, SF001).createOrReplaceTempView("monitor_flow_action")
+    assert read_flow_catalog(spark).columns == FLOW_COLUMNS
+    assert read_flow_catalog(spark).count() == 1000
