@@ -20,23 +20,36 @@ def _sequence_columns(flow: DataFrame, extra: list[str]) -> DataFrame:
     return legal_cars(flow).select(*dict.fromkeys(cols))
 
 
+def car_track_blocks(flow: DataFrame, block: int = TRACK_BLOCK) -> DataFrame:
+    """Tracks in blocks of ``block`` consecutive passes of a car.
+
+    ``car``, ``block`` (0, 1, ...), ``first_seq``/``last_seq`` (positions of
+    the block's first and last pass in the car's sequence), ``last_date``
+    (date of the block's last pass) and ``track_part`` (monitor ids in time
+    order, ``,``-joined, null monitors skipped). Every row is bounded by
+    ``block`` passes whatever the car, so this form also holds for plates
+    with more passes than fit in one text value.
+    """
+    ranked = sequence_number(_sequence_columns(flow, ["date"]))
+    return (ranked.withColumn("block", F.floor((F.col("seq") - 1) / block))
+            .groupBy("car", "block")
+            .agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"),
+                 F.max_by("date", "seq").alias("last_date"),
+                 F.expr("listagg(monitor_id, ',') WITHIN GROUP (ORDER BY seq)").alias("track_part")))
+
+
 def car_track(flow: DataFrame, block: int = TRACK_BLOCK) -> DataFrame:
     """One row per car: ``date`` of its last pass, ``car``, ``car_track``.
 
     ``car_track`` is the monitor ids of the car's passes in time order joined
-    by ``,`` (null monitors are skipped). The text is assembled in two levels,
-    blocks of ``block`` consecutive passes and then the blocks of a car, so
-    no single aggregation buffer ever holds all passes of a heavy car.
+    by ``,`` (null monitors are skipped). The text is assembled from
+    :func:`car_track_blocks`, so the last step only joins one part per block
+    of ``block`` passes; the result row itself holds the whole track.
     """
-    ranked = sequence_number(_sequence_columns(flow, ["date"]))
-    parts = (ranked.withColumn("_blk", F.floor((F.col("seq") - 1) / block))
-             .groupBy("car", "_blk")
-             .agg(F.expr("listagg(monitor_id, ',') WITHIN GROUP (ORDER BY seq)").alias("_part"),
-                  F.max_by("date", "seq").alias("_date"),
-                  F.max("seq").alias("_last")))
+    parts = car_track_blocks(flow, block)
     return (parts.groupBy("car")
-            .agg(F.max_by("_date", "_last").alias("date"),
-                 F.expr("listagg(_part, ',') WITHIN GROUP (ORDER BY _blk)").alias("car_track"))
+            .agg(F.max_by("last_date", "last_seq").alias("date"),
+                 F.expr("listagg(track_part, ',') WITHIN GROUP (ORDER BY block)").alias("car_track"))
             .select("date", "car", "car_track"))
 
 

@@ -25,7 +25,7 @@ from roadlens.operators.monitor import (
 from roadlens.operators.sample import (
     hourly_car_count, hourly_quota, sample_cars, sample_detail, sample_track,
 )
-from roadlens.operators.track import car_track, path_conversion, path_step_counts
+from roadlens.operators.track import car_track, car_track_blocks, path_conversion, path_step_counts
 from roadlens.plans import params as P
 from roadlens.schema import DETAIL_COLUMNS, FLOW_COLUMNS
 from roadlens.session import scratch_path
@@ -71,6 +71,10 @@ def q_car_track(spark, sf_dir):
     return car_track(_flow(spark, sf_dir))
 
 
+def q_car_track_blocks(spark, sf_dir):
+    return car_track_blocks(_flow(spark, sf_dir))
+
+
 def q_hourly_car_count(spark, sf_dir):
     return hourly_car_count(_flow(spark, sf_dir))
 
@@ -170,6 +174,7 @@ QUERIES: dict[str, Query] = {
     "path_step_counts": q_path_step_counts,
     "path_conversion": q_path_conversion,
     "car_track": q_car_track,
+    "car_track_blocks": q_car_track_blocks,
     "hourly_car_count": q_hourly_car_count,
     "hourly_quota": q_hourly_quota,
     "sample_cars": q_sample_cars,

@@ -138,6 +138,11 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT step, path, cnt, prev_cnt, CAST((200 * cnt + prev_cnt) // (2 * prev_cnt) AS DOUBLE) / 100 AS rate "
         "FROM steps WHERE step >= 2 AND cnt > 0"),
     "car_track": _with() + _track_select("flow"),
+    "car_track_blocks": _with(
+        f"seq AS (SELECT car, date, monitor_id, row_number() OVER (PARTITION BY car ORDER BY {_ORDER}) AS seq FROM flow)",
+    ) + ("SELECT car, (seq - 1) // 1024 AS block, min(seq) AS first_seq, max(seq) AS last_seq, "
+         "arg_max(date, seq) AS last_date, string_agg(monitor_id, ',' ORDER BY seq) AS track_part "
+         "FROM seq GROUP BY car, (seq - 1) // 1024"),
     "hourly_car_count": _with(_hour_cars_cte()) + "SELECT date, date_hour, cars FROM counts",
     "hourly_quota": _with(_quota_cte(P.EXTRACT_NUM)) + "SELECT date, date_hour, cars, quota FROM quota",
     "sample_cars": _with(_sample_cte(P.EXTRACT_NUM, P.SEED)) + "SELECT date, date_hour, car FROM sampled",

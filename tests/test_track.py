@@ -102,3 +102,15 @@ def test_partition_independence(spark):
         results.append((counts(path_step_counts(flow, path)), Counter(r["car_track"] for r in car_track(flow).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
+
+
+def test_track_blocks_are_bounded_and_concatenate(spark):
+    from roadlens.operators.track import car_track_blocks
+    flow = flow_by_date(read_passes(spark, SF001))
+    blocks = car_track_blocks(flow, block=5).collect()
+    assert all(r["last_seq"] - r["first_seq"] + 1 <= 5 for r in blocks)
+    assert all(len(r["track_part"].split(",")) == r["last_seq"] - r["first_seq"] + 1 for r in blocks)
+    joined = {}
+    for r in sorted(blocks, key=lambda r: (r["car"], r["block"])):
+        joined[r["car"]] = joined[r["car"]] + "," + r["track_part"] if r["car"] in joined else r["track_part"]
+    assert joined == {r["car"]: r["car_track"] for r in car_track(flow).collect()}
