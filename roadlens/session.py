@@ -50,9 +50,12 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         configured = tempfile.mkdtemp(prefix="roadlens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, configured)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(os.path.join(configured, "rdd"))
+    try:  # classic sessions: also let DataFrame.checkpoint() use the folder
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(os.path.join(configured, "rdd"))
+    except Exception:  # remote sessions have no SparkContext
+        pass
     return configured
 
 
