@@ -25,30 +25,37 @@ AREA_WIDTH = 2
 CAR_PREFIX = "U"
 
 
-def _day(text: str) -> _dt.datetime:
-    return _dt.datetime.strptime(text, "%Y-%m-%d")
+def _next_day(text: str) -> str:
+    return (_dt.date.fromisoformat(text) + _dt.timedelta(days=1)).isoformat()
+
+
+def _wall_clock(text: str):
+    # a string cast to TIMESTAMP_NTZ is the same instant in every session time zone
+    return F.lit(text).cast(T.TimestampNTZType())
 
 
 def passes_from_events(events: DataFrame, start_date: str | None = None,
                        end_date: str | None = None) -> DataFrame:
     """Pass rows (the eight flow columns plus ``event_id``) from events.
 
-    ``start_date``/``end_date`` are inclusive ``yyyy-MM-dd`` bounds.
+    ``start_date``/``end_date`` are inclusive ``yyyy-MM-dd`` bounds. Times are
+    wall-clock text of the ``TIMESTAMP_NTZ`` value, independent of the
+    session time zone.
     """
     ev = events
+    ts = F.col("ts").cast(T.TimestampNTZType())
     if start_date is not None:
-        ev = ev.filter(F.col("ts") >= F.lit(_day(start_date)).cast(T.TimestampNTZType()))
+        ev = ev.filter(ts >= _wall_clock(start_date))
     if end_date is not None:
-        upper = _day(end_date) + _dt.timedelta(days=1)
-        ev = ev.filter(F.col("ts") < F.lit(upper).cast(T.TimestampNTZType()))
+        ev = ev.filter(ts < _wall_clock(_next_day(end_date)))
     k = F.get_json_object("props", "$.k").try_cast(T.IntegerType())
-    ts_ntz = F.col("ts").cast(T.TimestampNTZType())
+    clock = F.substring(ts.cast("string"), 1, 19)  # yyyy-MM-dd HH:mm:ss
     return ev.select(
-        F.date_format(ts_ntz, "yyyy-MM-dd").alias("date"),
+        F.substring(clock, 1, 10).alias("date"),
         pad_id((k % N_MONITORS).cast("string"), MONITOR_WIDTH).alias("monitor_id"),
         pad_id(k.cast("string"), CAMERA_WIDTH).alias("camera_id"),
         F.concat(F.lit(CAR_PREFIX), pad_id(F.col("user_id").cast("string"), CAR_WIDTH)).alias("car"),
-        F.date_format(ts_ntz, "yyyy-MM-dd HH:mm:ss").alias("action_time"),
+        clock.alias("action_time"),
         F.floor("value").cast(T.IntegerType()).cast("string").alias("speed"),
         F.col("event_type").alias("road_id"),
         pad_id((F.col("user_id") % N_AREAS).cast("string"), AREA_WIDTH).alias("area_id"),

@@ -81,3 +81,13 @@ def test_catalog_view(spark):
     read_passes(spark, SF001).createOrReplaceTempView("monitor_flow_action")
     assert read_flow_catalog(spark).columns == FLOW_COLUMNS
     assert read_flow_catalog(spark).count() == 1000
+
+
+def test_adapter_is_time_zone_independent(spark):
+    base = {tuple(r) for r in read_passes(spark, SF001, "2024-01-05", "2024-01-06").collect()}
+    try:
+        for tz in ("America/Los_Angeles", "Asia/Kathmandu"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert {tuple(r) for r in read_passes(spark, SF001, "2024-01-05", "2024-01-06").collect()} == base
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
