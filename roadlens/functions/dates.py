@@ -68,7 +68,7 @@ def lenient_seconds(time_text: str | Column) -> Column:
     text does not have the ``date HH:mm:ss`` shape. Time-zone free.
     """
     p = _fields(as_col(time_text))
-    day = F.try_to_date(F.get(p, 0), DATE_PATTERN)
+    day = F.get(p, 0).try_cast(T.DateType())
     h, m, sec = (F.get(p, i).try_cast(T.LongType()) for i in (1, 2, 3))
     return F.unix_date(day).cast(T.LongType()) * 86400 + h * 3600 + m * 60 + sec
 

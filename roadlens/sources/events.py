@@ -48,7 +48,7 @@ def passes_from_events(events: DataFrame, start_date: str | None = None,
         ev = ev.filter(ts >= _wall_clock(start_date))
     if end_date is not None:
         ev = ev.filter(ts < _wall_clock(_next_day(end_date)))
-    k = F.get_json_object("props", "$.k").try_cast(T.IntegerType())
+    k = F.from_json("props", "k INT").getField("k")
     clock = F.substring(ts.cast("string"), 1, 19)  # yyyy-MM-dd HH:mm:ss
     return ev.select(
         F.substring(clock, 1, 10).alias("date"),
