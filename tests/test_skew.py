@@ -1,0 +1,49 @@
+"""A plate holding a third of all passes (derived from the given events)."""
+
+from pyspark.sql import Window, functions as F
+
+from conftest import SF01
+from roadlens.operators.flow import flow_by_date
+from roadlens.operators.sequence import sequence_number
+from roadlens.operators.track import car_track_blocks, path_step_counts
+from roadlens.sources.events import read_passes
+
+HOT = "U99999"
+
+
+def _hot_flow(spark):
+    flow = flow_by_date(read_passes(spark, SF01))
+    return flow.withColumn("car", F.when(F.col("event_id") % 3 == 0, F.lit(HOT)).otherwise(F.col("car")))
+
+
+def test_hot_plate_is_spread_and_exact(spark):
+    flow = _hot_flow(spark)
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep the 8 hash partitions visible
+        ranked = sequence_number(flow.select("car", "action_time", "monitor_id", "camera_id", "event_id"))
+        spread = (ranked.filter(F.col("car") == HOT).groupBy(F.spark_partition_id().alias("p"))
+                  .count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    counts = sorted(r["count"] for r in spread)
+    total = sum(counts)
+    assert total == flow.filter(F.col("car") == HOT).count() > 3000
+    assert len(counts) >= 6 and counts[-1] < total / 3
+    w = Window.partitionBy("car").orderBy("action_time", "monitor_id", "camera_id", "event_id")
+    want = flow.select("event_id", F.row_number().over(w).cast("long").alias("seq"))
+    assert sorted(map(tuple, ranked.select("event_id", "seq").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_hot_plate_tracks_and_paths(spark):
+    flow = _hot_flow(spark)
+    blocks = car_track_blocks(flow, block=256).filter(F.col("car") == HOT).orderBy("block").collect()
+    assert len(blocks) > 10 and all(r["last_seq"] - r["first_seq"] < 256 for r in blocks)
+    hot_track = ",".join(r["track_part"] for r in blocks).split(",")
+    ordered = [r["monitor_id"] for r in flow.filter(F.col("car") == HOT)
+               .orderBy("action_time", "monitor_id", "camera_id", "event_id").collect()]
+    assert hot_track == ordered
+    path = ["0001", "0002"]
+    n = sum(1 for a, b in zip(ordered, ordered[1:]) if [a, b] == path)
+    others = flow.filter(F.col("car") != HOT)
+    base = path_step_counts(others, path).orderBy("step").collect()[1]["cnt"]
+    assert path_step_counts(flow, path).orderBy("step").collect()[1]["cnt"] == base + n
