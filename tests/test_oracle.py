@@ -35,3 +35,21 @@ def test_query_matches_oracle(spark, duck, name):
 def test_entry(spark):
     rows = E.entry(spark).collect()
     assert [(r["path"], r["rate"]) for r in rows] == [("0001,0002", 0.13)]
+
+
+# queries whose output needs only some of the six events columns
+PRUNED = {"camera_registry", "path_step_counts", "path_conversion", "car_track", "car_track_blocks",
+          "hourly_car_count", "hourly_quota", "sample_cars", "topn_monitor", "topn_monitor_area",
+          "speed_rank_monitor", "area_road_topn", "monitor_state", "monitor_camera_state", "follow_car"}
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"stream_monitor_speed", "load_tsv", "write_result"}))
+def test_plan_has_no_python_and_prunes_the_scan(spark, name):
+    plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan
+    if name not in PRUNED:
+        return
+    for line in plan.split("\n"):
+        if "FileScan parquet" in line and "events.parquet" in line and "ReadSchema" in line:
+            read = line.split("ReadSchema: struct<")[1]
+            assert read.count(":") < 6, read
