@@ -15,6 +15,7 @@ def area_road_topn(flow: DataFrame, areas: DataFrame, n: int = 3) -> DataFrame:
     counts = flow.groupBy("area_id", "road_id").agg(F.count(F.lit(1)).alias("car_count"))
     w = Window.partitionBy("area_id").orderBy(F.desc("car_count"), F.asc("road_id"))
     top = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
-    names = areas.select("area_id", "area_name").dropDuplicates(["area_id"])
+    # one name per id, chosen deterministically if the dimension repeats an id
+    names = areas.groupBy("area_id").agg(F.min("area_name").alias("area_name"))
     return (top.join(names, "area_id", "left")
             .select("area_id", "area_name", "road_id", "car_count", "rank"))

@@ -111,3 +111,13 @@ def test_no_python_udf_in_plans(spark):
     for df in (topn_monitor(flow, 5), follow_car(flow, ["U00001"]), speed_top10_detail(flow, 5)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_follow_car_without_targets(spark):
+    assert follow_car(_flow(spark, SF001), []).count() == 0
+
+
+def test_area_names_deterministic(spark):
+    flow = flow_rows(spark, [("A", "2018-07-01 10:00:00", "M1", "C1", "50", "r1", "01")])
+    areas = spark.createDataFrame([("01", "north"), ("01", "east")], "area_id string, area_name string")
+    assert [tuple(r) for r in area_road_topn(flow, areas, 3).collect()] == [("01", "east", "r1", 1, 1)]
