@@ -3,7 +3,7 @@
 from roadlens.functions.dates import (
     after, before, date_hour, date_of, format_date, format_date_key, format_time,
     format_time_minute, lenient_seconds, minus_seconds, parse_date_key, parse_time,
-    range_label, today, yesterday,
+    range_label, seconds_text, today, yesterday,
 )
 from roadlens.functions.numbers import half_up_ratio, to_int
 from roadlens.functions.text import (
@@ -13,7 +13,7 @@ from roadlens.functions.text import (
 __all__ = [
     "after", "before", "date_hour", "date_of", "format_date", "format_date_key",
     "format_time", "format_time_minute", "lenient_seconds", "minus_seconds",
-    "parse_date_key", "parse_time", "range_label", "today", "yesterday",
+    "parse_date_key", "parse_time", "range_label", "seconds_text", "today", "yesterday",
     "half_up_ratio", "to_int",
     "is_empty", "is_not_empty", "kv_field", "kv_map", "kv_set_field", "pad2", "pad_id",
     "trim_comma",

@@ -73,6 +73,16 @@ def lenient_seconds(time_text: str | Column) -> Column:
     return F.unix_date(day).cast(T.LongType()) * 86400 + h * 3600 + m * 60 + sec
 
 
+def seconds_text(seconds: str | Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of seconds since 1970-01-01 (inverse of
+    :func:`lenient_seconds` for well-formed text). Time-zone free."""
+    sec = as_col(seconds).cast(T.LongType())
+    day = F.date_from_unix_date(F.floor(sec / 86400).cast(T.IntegerType()))
+    tod = F.pmod(sec, F.lit(86400))
+    return F.format_string("%s %02d:%02d:%02d", day.cast("string"),
+                           F.floor(tod / 3600), F.floor(F.pmod(tod, F.lit(3600)) / 60), F.pmod(tod, F.lit(60)))
+
+
 def after(a: str | Column, b: str | Column) -> Column:
     """True when time ``a`` is strictly after ``b``; false if either does not parse."""
     return F.coalesce(lenient_seconds(a) > lenient_seconds(b), F.lit(False))

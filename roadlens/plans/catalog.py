@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadlens.functions import (
     date_hour, format_date_key, format_time_minute, lenient_seconds, parse_time, range_label,
+    seconds_text,
 )
 from roadlens.operators.area import area_road_topn
 from roadlens.operators.flow import flow_by_date
@@ -139,9 +140,8 @@ def q_follow_car(spark, sf_dir):
 def q_stream_monitor_speed(spark, sf_dir):
     out = run_events_flow(spark, sf_dir, scratch_path(spark, "live-flow"),
                           scratch_path(spark, "live-flow-checkpoint"), P.WATERMARK, P.WINDOW)
-    fmt = "yyyy-MM-dd HH:mm:ss"
-    return out.select(F.date_format("window_start", fmt).alias("window_start"),
-                      F.date_format("window_end", fmt).alias("window_end"),
+    return out.select(seconds_text(F.unix_seconds("window_start")).alias("window_start"),
+                      seconds_text(F.unix_seconds("window_end")).alias("window_end"),
                       "monitor_id", "passes", "speed_sum", "avg_speed")
 
 

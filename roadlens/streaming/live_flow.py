@@ -11,22 +11,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from roadlens.functions.dates import lenient_seconds
 from roadlens.schema import speed_kmh
 from roadlens.sources.events import passes_from_events
 
-TIME_TEXT = "yyyy-MM-dd HH:mm:ss"
-
-
 def stream_monitor_speed(passes: DataFrame, watermark: str = "10 minutes",
                          window: str = "5 minutes") -> DataFrame:
     """Windowed flow: ``window_start``, ``window_end`` (timestamps), ``monitor_id``,
     ``passes``, ``speed_sum``, ``avg_speed``.
 
     ``passes`` may be a streaming or a batch DataFrame of pass rows. Event
-    time is the pass time text; rows whose time does not parse (hour >= 24)
-    carry no event time and are dropped.
+    time is the pass time text read leniently as a UTC wall clock (hour 25
+    is 01:00 of the next day), so windows do not depend on the session time
+    zone; rows whose time does not parse are dropped.
     """
-    timed = (passes.withColumn("event_ts", F.try_to_timestamp(F.col("action_time"), F.lit(TIME_TEXT)))
+    timed = (passes.withColumn("event_ts", F.timestamp_seconds(lenient_seconds("action_time")))
              .filter(F.col("event_ts").isNotNull())
              .withColumn("_speed", speed_kmh("speed")))
     agg = (timed.withWatermark("event_ts", watermark)

@@ -78,3 +78,10 @@ def test_range_label_malformed(spark):
     assert one(spark, range_label(F.lit("2018-07-01 xx:55:00"))) is None
     assert one(spark, range_label(F.lit("2018-07-01 xx:10:00"))) == "2018-07-01 xx:10~2018-07-01 xx:15"
     assert one(spark, range_label(F.lit("2018-07-01 10:zz:00"))) is None
+
+
+def test_seconds_text_inverts_lenient_seconds(spark):
+    from roadlens.functions import seconds_text
+    assert one(spark, seconds_text(lenient_seconds(F.lit("2018-07-01 25:10:05")))) == "2018-07-02 01:10:05"
+    assert one(spark, seconds_text(F.lit(0))) == "1970-01-01 00:00:00"
+    assert one(spark, seconds_text(F.lit(-1))) == "1969-12-31 23:59:59"
