@@ -46,3 +46,22 @@ def test_run_all_tasks(spark):
     run_task(spark, tasks, 1, flow, registry, areas, out)
     assert spark.read.parquet(os.path.join(out, "topn_monitor_car_count")).count() == 5
     assert run_task(spark, tasks, 99, flow, registry, areas, out) == []
+
+
+def test_command_line_jobs(spark):
+    import json
+
+    from roadlens.plans.jobs import main
+    from roadlens.sources.files import write_tsv
+
+    base = tempfile.mkdtemp(prefix="roadlens-jobs-")
+    write_tsv(read_passes(spark, SF001), os.path.join(base, "files"))
+    assert main(["load", "--files", os.path.join(base, "files"), "--table", os.path.join(base, "flow")], spark)
+    with open(os.path.join(base, "tasks.jsonl"), "w") as fh:
+        fh.write(json.dumps({"task_id": 5, "task_param": json.dumps(
+            {"startDate": ["2024-01-01"], "endDate": ["2024-01-30"], "roadFlow": ["0001,0002,0003,0004,0005"]})}) + "\n")
+    written = main(["run-task", "--task-id", "5", "--table", os.path.join(base, "flow"),
+                    "--tasks", os.path.join(base, "tasks.jsonl"), "--out", os.path.join(base, "out")], spark)
+    assert written == ["path_conversion_rate", "path_step_count"]
+    rates = spark.read.parquet(os.path.join(base, "out", "path_conversion_rate")).collect()
+    assert [(r["path"], r["rate"]) for r in rates] == [("0001,0002", 0.13)]
