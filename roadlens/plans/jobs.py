@@ -14,8 +14,12 @@ camera registry defaults to the cameras seen in the whole pass table.
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
+if __package__ in (None, ""):  # run as a file by spark-submit: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadlens.operators.monitor import camera_registry
