@@ -91,3 +91,17 @@ def test_adapter_is_time_zone_independent(spark):
             assert {tuple(r) for r in read_passes(spark, SF001, "2024-01-05", "2024-01-06").collect()} == base
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_load_registry_files(spark):
+    from roadlens.schema import REGISTRY_SCHEMA
+    base = tempfile.mkdtemp(prefix="roadlens-reg-")
+    flow_src = spark.createDataFrame([("2018-07-01", "0001", "00001", "A1", "2018-07-01 10:00:00", "80", "3", "01")],
+                                     ", ".join(f"{c} string" for c in FLOW_COLUMNS))
+    write_tsv(flow_src, os.path.join(base, "flow"))
+    reg = spark.createDataFrame([("0001", "00001"), ("0001", "00002")], REGISTRY_SCHEMA)
+    write_tsv(reg, os.path.join(base, "reg"), ["monitor_id", "camera_id"])
+    load_tsv(spark, os.path.join(base, "flow"), os.path.join(base, "flow_t"),
+             os.path.join(base, "reg"), os.path.join(base, "reg_t"))
+    back = spark.read.schema(REGISTRY_SCHEMA).parquet(os.path.join(base, "reg_t"))
+    assert sorted(map(tuple, back.collect())) == [("0001", "00001"), ("0001", "00002")]
