@@ -9,9 +9,10 @@ Selection: inside each hour the cars with the smallest
 repeatable, independent per hour, and the same for any partitioning.
 
 The pick never ranks a whole hour in one task. A histogram of the hash's
-first three hex digits (4,096 buckets per hour, an aggregation with map-side
+first two hex digits (256 buckets per hour, an aggregation with map-side
 combine) locates the one bucket where the quota is crossed; buckets before
-it are taken whole, and only the cars of that bucket are ranked.
+it are taken whole, and only the cars of that bucket (about 1/256 of the
+hour) are ranked.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from roadlens.operators.track import car_track
 from roadlens.session import materialize
 
 # Hex digits of the hash used as the histogram bucket.
-BUCKET_DIGITS = 3
+BUCKET_DIGITS = 2
 
 
 def hour_cars(flow: DataFrame) -> DataFrame:
@@ -44,20 +45,27 @@ def hourly_car_count(flow: DataFrame) -> DataFrame:
     return hour_cars(flow).groupBy("date", "date_hour").agg(F.count(F.lit(1)).alias("cars"))
 
 
-def _quota_from_counts(counts: DataFrame, extract_num: int) -> DataFrame:
-    # counts has one row per (date, date_hour): a table bounded by the hours
-    # of the date range (24 per day plus overflow hours), so even the
-    # whole-table window that counts its days is small.
-    n_days = F.size(F.collect_set("date").over(Window.partitionBy()))
+def _quota(cars: str, day_cars: str, n_days, extract_num: int):
+    """``least(cars, floor(cars / day_cars * (extract_num div n_days)))`` in doubles."""
     per_day = F.when(n_days > 0, int_div(F.lit(extract_num).cast(T.LongType()), n_days.cast(T.LongType())))
-    day_cars = F.sum("cars").over(Window.partitionBy("date"))
-    share = F.col("cars").cast(T.DoubleType()) / day_cars.cast(T.DoubleType()) * per_day.cast(T.DoubleType())
-    return counts.withColumn("quota", F.least(F.col("cars"), F.floor(share).cast(T.LongType())))
+    share = F.col(cars).cast(T.DoubleType()) / F.col(day_cars).cast(T.DoubleType()) * per_day.cast(T.DoubleType())
+    return F.least(F.col(cars), F.floor(share).cast(T.LongType()))
+
+
+def _day_count(cars: DataFrame):
+    # a scalar subquery over the distinct (date, hour, car) rows, whose
+    # shuffle the main plan computes anyway
+    return cars.select(F.count_distinct("date")).scalar()
 
 
 def hourly_quota(flow: DataFrame, extract_num: int) -> DataFrame:
     """``date``, ``date_hour``, ``cars``, ``quota`` (cars to draw in that hour)."""
-    return _quota_from_counts(hourly_car_count(flow), extract_num)
+    cars = hour_cars(flow)
+    counts = cars.groupBy("date", "date_hour").agg(F.count(F.lit(1)).alias("cars"))
+    # one row per hour label: the per-day window is small
+    return (counts.withColumn("_day_cars", F.sum("cars").over(Window.partitionBy("date")))
+            .withColumn("quota", _quota("cars", "_day_cars", _day_count(cars), extract_num))
+            .drop("_day_cars"))
 
 
 def _hash(seed: int):
@@ -66,27 +74,29 @@ def _hash(seed: int):
 
 def sample_cars(flow: DataFrame, extract_num: int, seed: int = 42) -> DataFrame:
     """The sampled cars: ``date``, ``date_hour``, ``car`` (one row per pick)."""
-    cars = hour_cars(flow).withColumn("_h", _hash(seed)).withColumn(
-        "_b", F.substring("_h", 1, BUCKET_DIGITS))
-    hist = cars.groupBy("date", "date_hour", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    counts = hist.groupBy("date", "date_hour").agg(F.sum("_n").alias("cars"))
-    quota = _quota_from_counts(counts, extract_num).select("date_hour", "quota")
-
-    # at most 4,096 rows per hour; the bucket where the running count passes the quota
-    before = F.coalesce(F.sum("_n").over(
-        Window.partitionBy("date_hour").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cut = (hist.join(quota, "date_hour")
-           .withColumn("_before", before)
-           .filter((F.col("_before") <= F.col("quota")) & (F.col("_before") + F.col("_n") > F.col("quota")))
+    cars = hour_cars(flow)
+    bucket = ["date", "date_hour", "_b"]
+    # rank inside (hour, bucket): about 1/256 of an hour per group; the same
+    # shuffle also feeds the histogram below
+    ranked = (cars.withColumn("_h", _hash(seed)).withColumn("_b", F.substring("_h", 1, BUCKET_DIGITS))
+              .withColumn("_rn", F.row_number().over(Window.partitionBy(*bucket).orderBy("_h", "car"))))
+    hist = ranked.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n"))
+    # One shuffle by date serves the three histogram windows; a day holds at
+    # most 24 (+ overflow) hours x 256 buckets.
+    hour = Window.partitionBy("date", "date_hour")
+    running = (hist.withColumn("_day_cars", F.sum("_n").over(Window.partitionBy("date")))
+               .withColumn("_cars", F.sum("_n").over(hour))
+               .withColumn("_before", F.coalesce(F.sum("_n").over(
+                   hour.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+               .withColumn("quota", _quota("_cars", "_day_cars", _day_count(cars), extract_num)))
+    # the bucket where the running count passes the quota: one row per hour label
+    cut = (running.filter((F.col("_before") <= F.col("quota")) & (F.col("_before") + F.col("_n") > F.col("quota")))
            .select("date_hour", F.col("_b").alias("_cut"), (F.col("quota") - F.col("_before")).alias("_need")))
-    # one row per hour label: bounded by the hours of the date range
-    marked = cars.join(F.broadcast(cut), "date_hour", "left")
-    whole = marked.filter(F.col("_cut").isNull() | (F.col("_b") < F.col("_cut")))
-    edge = (marked.filter(F.col("_b") == F.col("_cut"))
-            .withColumn("_rn", F.row_number().over(Window.partitionBy("date_hour", "_b").orderBy("_h", "car")))
-            .filter(F.col("_rn") <= F.col("_need")))
-    cols = ["date", "date_hour", "car"]
-    return whole.select(*cols).unionByName(edge.select(*cols))
+    # hours without a cut row keep all their cars; the filter keeps the join an
+    # outer join, so both uses of the ranked rows share one shuffle
+    keep = (F.col("_cut").isNull() | (F.col("_b") < F.col("_cut"))
+            | ((F.col("_b") == F.col("_cut")) & (F.col("_rn") <= F.col("_need"))))
+    return ranked.join(F.broadcast(cut), "date_hour", "left").filter(keep).select("date", "date_hour", "car")
 
 
 def sample_detail(flow: DataFrame, sampled: DataFrame, max_cars: int) -> DataFrame:
