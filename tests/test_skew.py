@@ -47,3 +47,17 @@ def test_hot_plate_tracks_and_paths(spark):
     others = flow.filter(F.col("car") != HOT)
     base = path_step_counts(others, path).orderBy("step").collect()[1]["cnt"]
     assert path_step_counts(flow, path).orderBy("step").collect()[1]["cnt"] == base + n
+
+
+def test_hot_hour_sampling_is_exact(spark):
+    from test_sample import _brute_force
+    from roadlens.operators.sample import sample_cars
+    flow = flow_by_date(read_passes(spark, SF01))
+    # a third of all passes happen in the same hour
+    hot = flow.withColumn("action_time", F.when(
+        F.col("event_id") % 3 == 0,
+        F.concat(F.lit("2024-01-05 10:"), F.substring("action_time", 15, 5))).otherwise(F.col("action_time")))
+    rows = hot.select("car", "action_time").collect()
+    for extract_num in (300, 3000):
+        got = {tuple(r) for r in sample_cars(hot, extract_num, 11).collect()}
+        assert got == _brute_force(rows, extract_num, 11)
