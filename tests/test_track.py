@@ -114,3 +114,12 @@ def test_track_blocks_are_bounded_and_concatenate(spark):
     for r in sorted(blocks, key=lambda r: (r["car"], r["block"])):
         joined[r["car"]] = joined[r["car"]] + "," + r["track_part"] if r["car"] in joined else r["track_part"]
     assert joined == {r["car"]: r["car_track"] for r in car_track(flow).collect()}
+
+
+def test_worked_example_counts(spark):
+    # one car's track and the expected prefix counts, as stated for the path analysis
+    track = ["0001", "0002", "0003", "0004", "0001", "0002", "0003", "0001", "0004"]
+    df = _track(spark, track)
+    assert counts(path_step_counts(df, ["0001", "0002", "0003", "0004", "0005"])) == [3, 2, 2, 1, 0]
+    rates = {r["path"]: r["rate"] for r in path_conversion(df, ["0001", "0002", "0003", "0004", "0005"]).collect()}
+    assert rates == {"0001,0002": 0.67, "0001,0002,0003": 1.0, "0001,0002,0003,0004": 0.5}
