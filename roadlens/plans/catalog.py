@@ -138,7 +138,7 @@ def q_follow_car(spark, sf_dir):
 
 
 def q_stream_monitor_speed(spark, sf_dir):
-    out = run_events_flow(spark, sf_dir, scratch_path(spark, "live-flow"),
+    out = run_events_flow(spark, f"{sf_dir}/events.parquet", scratch_path(spark, "live-flow"),
                           scratch_path(spark, "live-flow-checkpoint"), P.WATERMARK, P.WINDOW)
     return out.select(seconds_text(F.unix_seconds("window_start")).alias("window_start"),
                       seconds_text(F.unix_seconds("window_end")).alias("window_end"),

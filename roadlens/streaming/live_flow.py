@@ -8,6 +8,8 @@ their end; rows later than the watermark are dropped. State is bounded by
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -39,15 +41,23 @@ def stream_monitor_speed(passes: DataFrame, watermark: str = "10 minutes",
         (F.col("speed_sum").cast(T.DoubleType()) / F.col("_speed_n").cast(T.DoubleType())).alias("avg_speed"))
 
 
-def events_stream(spark: SparkSession, directory: str, file_glob: str = "events*.parquet",
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """File stream over the events parquet files of ``directory``.
+def events_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """File stream over events parquet.
 
-    New files matching ``file_glob`` are picked up as they arrive; the
-    schema is read from the files present at start.
+    ``path`` is a folder whose parquet files are picked up as they arrive,
+    or one file (its folder is watched for files of that name). The schema
+    is read from the files present at start.
     """
-    schema = spark.read.option("pathGlobFilter", file_glob).parquet(directory).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    reader_opts = {}
+    directory = path
+    if os.path.isfile(path):
+        directory, reader_opts["pathGlobFilter"] = os.path.split(path)
+    batch = spark.read
+    for key, value in reader_opts.items():
+        batch = batch.option(key, value)
+    reader = spark.readStream.schema(batch.parquet(directory).schema)
+    for key, value in reader_opts.items():
+        reader = reader.option(key, value)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.parquet(directory)
@@ -69,10 +79,10 @@ def start_to_files(result: DataFrame, out_path: str, checkpoint_path: str,
     return writer.start()
 
 
-def run_events_flow(spark: SparkSession, directory: str, out_path: str, checkpoint_path: str,
+def run_events_flow(spark: SparkSession, events_path: str, out_path: str, checkpoint_path: str,
                     watermark: str = "10 minutes", window: str = "5 minutes") -> DataFrame:
     """Run the live flow once over the events files and read back its output."""
-    stream = passes_from_events(events_stream(spark, directory))
+    stream = passes_from_events(events_stream(spark, events_path))
     query = start_to_files(stream_monitor_speed(stream, watermark, window), out_path, checkpoint_path)
     query.awaitTermination()
     return spark.read.parquet(out_path)

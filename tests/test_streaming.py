@@ -13,7 +13,7 @@ from roadlens.sources.events import passes_from_events
 
 
 def test_append_output_is_the_closed_part_of_the_batch_result(spark):
-    out = run_events_flow(spark, SF001, scratch_path(spark, "lf"), scratch_path(spark, "lf-ck"))
+    out = run_events_flow(spark, f"{SF001}/events.parquet", scratch_path(spark, "lf"), scratch_path(spark, "lf-ck"))
     batch = stream_monitor_speed(read_passes(spark, SF001))
     got = {tuple(r) for r in out.collect()}
     want = {tuple(r) for r in batch.collect()}
@@ -71,3 +71,11 @@ def test_text_feed_through_live_flow(spark):
     # hour 25 is 01:30 of the next day: it moves the watermark past 10:35, so
     # the 10:30 window is closed too; its own window is still open
     assert sorted(rows) == [("0001", "10:00", 2, 180, 90.0), ("0002", "10:30", 1, 50, 50.0)]
+
+
+def test_events_folder_of_part_files(spark):
+    base = tempfile.mkdtemp(prefix="roadlens-parts-")
+    spark.read.parquet(f"{SF001}/events.parquet").repartition(3).write.parquet(os.path.join(base, "events.parquet"))
+    out = run_events_flow(spark, os.path.join(base, "events.parquet"), os.path.join(base, "out"), os.path.join(base, "ck"))
+    single = run_events_flow(spark, f"{SF001}/events.parquet", scratch_path(spark, "lf1"), scratch_path(spark, "lf1-ck"))
+    assert out.count() == single.count() > 0
