@@ -5,11 +5,10 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from roadlens.session import scratch_path
-from roadlens.sources.events import read_passes
+from roadlens.sources.events import passes_from_events, read_passes
 from roadlens.streaming.live_flow import (
     events_stream, run_events_flow, start_to_files, stream_monitor_speed,
 )
-from roadlens.sources.events import passes_from_events
 
 
 def test_append_output_is_the_closed_part_of_the_batch_result(spark):
