@@ -1,0 +1,40 @@
+"""roadlens: traffic-checkpoint analytics on Spark DataFrames.
+
+Every operator takes DataFrames of passes (``date, monitor_id, camera_id,
+car, action_time, speed, road_id, area_id``) and returns a DataFrame built
+from built-in Spark SQL expressions.
+"""
+
+from roadlens.operators.area import area_road_topn
+from roadlens.operators.flow import flow_by_date
+from roadlens.operators.follow import follow_car
+from roadlens.operators.monitor import (
+    camera_registry, monitor_camera_state, monitor_flow, monitor_state, speed_bands,
+    speed_rank_monitor, speed_top10_detail, topn_monitor, topn_monitor_detail,
+)
+from roadlens.operators.sample import (
+    hour_cars, hourly_car_count, hourly_quota, sample_cars, sample_detail, sample_track,
+)
+from roadlens.operators.sequence import sequence_number
+from roadlens.operators.track import car_track, car_track_blocks, path_conversion, path_step_counts
+from roadlens.plans.tasks import run_task, task_results
+from roadlens.sources import (
+    area_from_region, load_tsv, parse_task_params, passes_from_events, read_flow_catalog,
+    read_flow_table, read_passes, read_result, read_tsv, task_params, write_jdbc, write_result, write_tsv,
+)
+from roadlens.streaming.live_flow import events_stream, start_to_files, stream_monitor_speed
+from roadlens.streaming.sources import kafka_pass_stream, parse_pass_lines, text_pass_stream
+
+__all__ = [
+    "area_road_topn", "flow_by_date", "follow_car",
+    "camera_registry", "monitor_camera_state", "monitor_flow", "monitor_state", "speed_bands",
+    "speed_rank_monitor", "speed_top10_detail", "topn_monitor", "topn_monitor_detail",
+    "hour_cars", "hourly_car_count", "hourly_quota", "sample_cars", "sample_detail", "sample_track",
+    "sequence_number", "car_track", "car_track_blocks", "path_conversion", "path_step_counts",
+    "run_task", "task_results",
+    "area_from_region", "load_tsv", "parse_task_params", "passes_from_events", "read_flow_catalog",
+    "read_flow_table", "read_passes", "read_result", "read_tsv", "task_params", "write_jdbc",
+    "write_result", "write_tsv",
+    "events_stream", "start_to_files", "stream_monitor_speed",
+    "kafka_pass_stream", "parse_pass_lines", "text_pass_stream",
+]
