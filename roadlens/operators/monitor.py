@@ -50,12 +50,14 @@ def speed_rank_monitor(flow: DataFrame, n: int) -> DataFrame:
 def speed_top10_detail(flow: DataFrame, n: int, per_monitor: int = 10) -> DataFrame:
     """The ``per_monitor`` fastest passes at each of the ``n`` fastest monitors.
 
-    Ties by time, car, camera (and the unique tie-break column when present).
+    Ties by time, car, camera, road, date (and the unique tie-break column
+    when present), so the kept rows do not depend on the partitioning.
     The row-number filter is planned as a per-partition group limit before the
     shuffle, so a busy monitor contributes at most ``per_monitor`` rows per task.
     """
     top = speed_rank_monitor(flow, n).select("monitor_id")
-    order = [F.desc_nulls_last("_speed"), F.asc("action_time"), F.asc("car"), F.asc("camera_id")]
+    order = [F.desc_nulls_last("_speed"), F.asc("action_time"), F.asc("car"), F.asc("camera_id"),
+             F.asc("road_id"), F.asc("date")]
     if TIEBREAK_COLUMN in flow.columns:
         order.append(F.asc(TIEBREAK_COLUMN))
     w = Window.partitionBy("monitor_id").orderBy(*order)

@@ -160,7 +160,7 @@ ORACLE_SQL: dict[str, str] = {
     "speed_rank_monitor": _with() + _speed_rank(P.TOP_N),
     "speed_top10_detail": _with(f"top AS ({_speed_rank(P.TOP_N)})",
                                 "ranked AS (SELECT *, row_number() OVER (PARTITION BY monitor_id ORDER BY "
-                                "TRY_CAST(speed AS INTEGER) DESC NULLS LAST, action_time, car, camera_id, event_id) AS rn "
+                                "TRY_CAST(speed AS INTEGER) DESC NULLS LAST, action_time, car, camera_id, road_id, date, event_id) AS rn "
                                 "FROM flow WHERE monitor_id IN (SELECT monitor_id FROM top))") + (
         f"SELECT {_DETAIL} FROM ranked WHERE rn <= {P.TOP_DETAIL_PER_MONITOR}"),
     "area_road_topn": _with(
