@@ -20,8 +20,8 @@ from roadlens.operators.area import area_road_topn
 from roadlens.operators.flow import flow_by_date
 from roadlens.operators.follow import follow_car
 from roadlens.operators.monitor import (
-    camera_registry, monitor_camera_state, monitor_state, speed_rank_monitor,
-    speed_top10_detail, topn_monitor, topn_monitor_detail,
+    camera_registry, monitor_camera_state, monitor_flow, monitor_state, speed_bands,
+    speed_rank_monitor, speed_top10_detail, topn_monitor, topn_monitor_detail,
 )
 from roadlens.operators.sample import (
     hourly_car_count, hourly_quota, sample_cars, sample_detail, sample_track,
@@ -98,6 +98,14 @@ def q_sample_track(spark, sf_dir):
     return sample_track(flow, sample_cars(flow, P.EXTRACT_NUM, P.SEED), P.EXTRACT_NUM)
 
 
+def q_monitor_flow(spark, sf_dir):
+    return monitor_flow(_flow(spark, sf_dir))
+
+
+def q_speed_bands(spark, sf_dir):
+    return speed_bands(_flow(spark, sf_dir))
+
+
 def q_topn_monitor(spark, sf_dir):
     return topn_monitor(_flow(spark, sf_dir), P.TOP_N)
 
@@ -180,9 +188,11 @@ QUERIES: dict[str, Query] = {
     "sample_cars": q_sample_cars,
     "sample_detail": q_sample_detail,
     "sample_track": q_sample_track,
+    "monitor_flow": q_monitor_flow,
     "topn_monitor": q_topn_monitor,
     "topn_monitor_area": q_topn_monitor_area,
     "topn_monitor_detail": q_topn_monitor_detail,
+    "speed_bands": q_speed_bands,
     "speed_rank_monitor": q_speed_rank_monitor,
     "speed_top10_detail": q_speed_top10_detail,
     "area_road_topn": q_area_road_topn,

@@ -150,6 +150,7 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT {_DETAIL} FROM flow WHERE car IN (SELECT car FROM sampled)"),
     "sample_track": _with(_sample_cte(P.EXTRACT_NUM, P.SEED),
                           "picked AS (SELECT * FROM flow WHERE car IN (SELECT car FROM sampled))") + _track_select("picked"),
+    "monitor_flow": _with() + "SELECT monitor_id, count(*) AS car_count FROM flow GROUP BY monitor_id",
     "topn_monitor": _with() + _top_monitors(P.TOP_N),
     "topn_monitor_area": _with(
         "areas AS (SELECT lpad(CAST(r_regionkey AS VARCHAR), 2, '0') AS area_id, r_name AS area_name FROM region)",
@@ -157,6 +158,7 @@ ORACLE_SQL: dict[str, str] = {
     ) + _top_monitors(P.TOP_N, "in_area"),
     "topn_monitor_detail": _with(f"top AS ({_top_monitors(P.TOP_N)})") + (
         f"SELECT {_DETAIL} FROM flow WHERE monitor_id IN (SELECT monitor_id FROM top)"),
+    "speed_bands": _with() + _bands(),
     "speed_rank_monitor": _with() + _speed_rank(P.TOP_N),
     "speed_top10_detail": _with(f"top AS ({_speed_rank(P.TOP_N)})",
                                 "ranked AS (SELECT *, row_number() OVER (PARTITION BY monitor_id ORDER BY "
