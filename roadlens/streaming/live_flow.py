@@ -17,6 +17,7 @@ from roadlens.functions.dates import lenient_seconds
 from roadlens.schema import speed_kmh
 from roadlens.sources.events import passes_from_events
 
+
 def stream_monitor_speed(passes: DataFrame, watermark: str = "10 minutes",
                          window: str = "5 minutes") -> DataFrame:
     """Windowed flow: ``window_start``, ``window_end`` (timestamps), ``monitor_id``,
@@ -38,7 +39,8 @@ def stream_monitor_speed(passes: DataFrame, watermark: str = "10 minutes",
     return agg.select(
         F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "monitor_id",
         "passes", "speed_sum",
-        (F.col("speed_sum").cast(T.DoubleType()) / F.col("_speed_n").cast(T.DoubleType())).alias("avg_speed"))
+        # null, not an error, when no pass of the window has a numeric speed
+        F.try_divide(F.col("speed_sum").cast(T.DoubleType()), F.col("_speed_n").cast(T.DoubleType())).alias("avg_speed"))
 
 
 def events_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

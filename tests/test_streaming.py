@@ -78,3 +78,10 @@ def test_events_folder_of_part_files(spark):
     out = run_events_flow(spark, os.path.join(base, "events.parquet"), os.path.join(base, "out"), os.path.join(base, "ck"))
     single = run_events_flow(spark, f"{SF001}/events.parquet", scratch_path(spark, "lf1"), scratch_path(spark, "lf1-ck"))
     assert out.count() == single.count() > 0
+
+
+def test_window_without_numeric_speed(spark):
+    from conftest import flow_rows
+    rows = [("A1", "2018-07-01 10:01:00", "0001", "00001", "fast"), ("B2", "2018-07-01 10:02:00", "0001", "00002", "")]
+    out = stream_monitor_speed(flow_rows(spark, rows)).collect()
+    assert [(r["passes"], r["speed_sum"], r["avg_speed"]) for r in out] == [(2, None, None)]
