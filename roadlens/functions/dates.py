@@ -53,12 +53,13 @@ def range_label(time_text: str | Column) -> Column:
     day, hour = F.get(p, 0), F.get(p, 1)
     minute = F.get(p, 2).try_cast(T.IntegerType())
     start_min = minute - minute % 5
-    next_hour = hour.try_cast(T.IntegerType()) + 1
+    next_hour = F.try_add(hour.try_cast(T.IntegerType()), F.lit(1))
+    end_min = F.try_add(start_min, F.lit(5))
     return (F.when(start_min == 55, F.when(
                 next_hour.isNotNull(),
                 F.format_string("%s %s:%02d~%s %02d:00", day, hour, start_min, day, next_hour)))
-            .when(start_min.isNotNull() & day.isNotNull() & hour.isNotNull(),
-                  F.format_string("%s %s:%02d~%s %s:%02d", day, hour, start_min, day, hour, start_min + 5)))
+            .when(end_min.isNotNull() & day.isNotNull() & hour.isNotNull(),
+                  F.format_string("%s %s:%02d~%s %s:%02d", day, hour, start_min, day, hour, end_min)))
 
 
 def lenient_seconds(time_text: str | Column) -> Column:
@@ -70,7 +71,9 @@ def lenient_seconds(time_text: str | Column) -> Column:
     p = _fields(as_col(time_text))
     day = F.get(p, 0).try_cast(T.DateType())
     h, m, sec = (F.get(p, i).try_cast(T.LongType()) for i in (1, 2, 3))
-    return F.unix_date(day).cast(T.LongType()) * 86400 + h * 3600 + m * 60 + sec
+    # try_ arithmetic: an absurd field gives null instead of an overflow error
+    clock = F.try_add(F.try_add(F.try_multiply(h, F.lit(3600)), F.try_multiply(m, F.lit(60))), sec)
+    return F.try_add(F.unix_date(day).cast(T.LongType()) * 86400, clock)
 
 
 def seconds_text(seconds: str | Column) -> Column:

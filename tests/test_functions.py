@@ -85,3 +85,12 @@ def test_seconds_text_inverts_lenient_seconds(spark):
     assert one(spark, seconds_text(lenient_seconds(F.lit("2018-07-01 25:10:05")))) == "2018-07-02 01:10:05"
     assert one(spark, seconds_text(F.lit(0))) == "1970-01-01 00:00:00"
     assert one(spark, seconds_text(F.lit(-1))) == "1969-12-31 23:59:59"
+
+
+def test_lenient_seconds_overflow_is_null(spark):
+    assert one(spark, lenient_seconds(F.lit("2018-07-01 9999999999999999:00:00"))) is None
+
+
+def test_range_label_overflow_is_null(spark):
+    assert one(spark, range_label(F.lit("2018-07-01 2147483647:55:00"))) is None
+    assert one(spark, range_label(F.lit("2018-07-01 10:2147483647:00"))) is None
