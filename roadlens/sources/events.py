@@ -56,7 +56,7 @@ def passes_from_events(events: DataFrame, start_date: str | None = None,
         pad_id(k.cast("string"), CAMERA_WIDTH).alias("camera_id"),
         F.concat(F.lit(CAR_PREFIX), pad_id(F.col("user_id").cast("string"), CAR_WIDTH)).alias("car"),
         clock.alias("action_time"),
-        F.floor("value").cast(T.IntegerType()).cast("string").alias("speed"),
+        F.floor("value").try_cast(T.IntegerType()).cast("string").alias("speed"),
         F.col("event_type").alias("road_id"),
         pad_id((F.col("user_id") % N_AREAS).cast("string"), AREA_WIDTH).alias("area_id"),
         F.col("event_id"),
