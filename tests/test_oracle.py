@@ -53,3 +53,19 @@ def test_plan_has_no_python_and_prunes_the_scan(spark, name):
         if "FileScan parquet" in line and "events.parquet" in line and "ReadSchema" in line:
             read = line.split("ReadSchema: struct<")[1]
             assert read.count(":") < 6, read
+
+
+@pytest.mark.parametrize("partitions", [1, 37])
+def test_results_do_not_depend_on_partitioning(spark, duck, partitions):
+    names = sorted(set(E.queries()) - {"stream_monitor_speed", "load_tsv", "write_result"})
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        for name in names:
+            df = E.queries()[name](spark, SF001)
+            res = duck.execute(E.oracle_sql()[name])
+            got = canon(df.columns, [tuple(r) for r in df.collect()])
+            assert got == canon([d[0] for d in res.description], res.fetchall()), name
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
