@@ -14,6 +14,11 @@ The largest window holds at most one car's hours (its partition is the
 count table, one row per hour) or the seconds of one hour (3,600 rows), and
 the per-pass window only sees passes with the same car and second. Every
 step is an aggregation with map-side combine or a join of equal keys.
+
+That split plan costs more shuffles than one window, so it is used only when
+needed: one aggregation first finds the heaviest key, and when it has at
+most ``max_group_rows`` rows a plain window numbers every key in one task
+(the same order, so the same numbers).
 """
 
 from __future__ import annotations
@@ -26,21 +31,36 @@ from roadlens.schema import TIEBREAK_COLUMN
 # Passes whose time does not parse sort first, before every valid time.
 _NO_TIME = -(2 ** 62)
 
+# Largest key numbered by a single window task (rows); heavier keys switch
+# the whole operator to the split plan.
+SINGLE_TASK_ROWS = 5_000_000
+
+
+def heaviest_key_rows(df: DataFrame, key: str) -> int:
+    """Row count of the most frequent ``key`` (0 for no rows): a small aggregation."""
+    row = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
+    return int(row[0] or 0)
+
 
 def sequence_number(df: DataFrame, key: str = "car", time_col: str = "action_time",
-                    tiebreak: list[str] | None = None, out: str = "seq") -> DataFrame:
+                    tiebreak: list[str] | None = None, out: str = "seq",
+                    max_group_rows: int | None = SINGLE_TASK_ROWS) -> DataFrame:
     """Add ``out`` = 1..n, the rank of each row inside ``key`` by time.
 
     Time is the lenient value of ``time_col`` (hour 25 rolls into the next
     day), then the raw text, then ``tiebreak`` columns (default: monitor,
     camera and the unique ``event_id`` when present). The order must be total
-    for a repeatable result.
+    for a repeatable result. ``max_group_rows=None`` always uses the split
+    plan; ``0`` forces it too.
     """
     if tiebreak is None:
         tiebreak = ["monitor_id", "camera_id"]
         if TIEBREAK_COLUMN in df.columns:
             tiebreak.append(TIEBREAK_COLUMN)
     t = F.coalesce(lenient_seconds(time_col), F.lit(_NO_TIME).cast(T.LongType()))
+    if max_group_rows and heaviest_key_rows(df, key) <= max_group_rows:
+        whole_key = Window.partitionBy(key).orderBy(t, time_col, *tiebreak)
+        return df.withColumn(out, F.row_number().over(whole_key).cast(T.LongType()))
     # non-nullable keys: no inferred not-null filter differs between the two
     # uses of the per-second counts, so their shuffle is computed once
     hour = F.coalesce(F.floor(F.col("_t") / 3600), F.lit(0).cast(T.LongType()))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from roadlens.functions.numbers import half_up_ratio
 from roadlens.operators.common import legal_cars
-from roadlens.operators.sequence import sequence_number
+from roadlens.operators.sequence import SINGLE_TASK_ROWS, sequence_number
 from roadlens.schema import TIEBREAK_COLUMN
 
 # Passes per partial track string when building long tracks in two levels.
@@ -20,7 +20,8 @@ def _sequence_columns(flow: DataFrame, extra: list[str]) -> DataFrame:
     return legal_cars(flow).select(*dict.fromkeys(cols))
 
 
-def car_track_blocks(flow: DataFrame, block: int = TRACK_BLOCK) -> DataFrame:
+def car_track_blocks(flow: DataFrame, block: int = TRACK_BLOCK,
+                     max_group_rows: int | None = SINGLE_TASK_ROWS) -> DataFrame:
     """Tracks in blocks of ``block`` consecutive passes of a car.
 
     ``car``, ``block`` (0, 1, ...), ``first_seq``/``last_seq`` (positions of
@@ -30,7 +31,7 @@ def car_track_blocks(flow: DataFrame, block: int = TRACK_BLOCK) -> DataFrame:
     ``block`` passes whatever the car, so this form also holds for plates
     with more passes than fit in one text value.
     """
-    ranked = sequence_number(_sequence_columns(flow, ["date"]))
+    ranked = sequence_number(_sequence_columns(flow, ["date"]), max_group_rows=max_group_rows)
     return (ranked.withColumn("block", F.floor((F.col("seq") - 1) / block))
             .groupBy("car", "block")
             .agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"),
@@ -38,7 +39,8 @@ def car_track_blocks(flow: DataFrame, block: int = TRACK_BLOCK) -> DataFrame:
                  F.expr("listagg(monitor_id, ',') WITHIN GROUP (ORDER BY seq)").alias("track_part")))
 
 
-def car_track(flow: DataFrame, block: int = TRACK_BLOCK) -> DataFrame:
+def car_track(flow: DataFrame, block: int = TRACK_BLOCK,
+              max_group_rows: int | None = SINGLE_TASK_ROWS) -> DataFrame:
     """One row per car: ``date`` of its last pass, ``car``, ``car_track``.
 
     ``car_track`` is the monitor ids of the car's passes in time order joined
@@ -46,7 +48,7 @@ def car_track(flow: DataFrame, block: int = TRACK_BLOCK) -> DataFrame:
     :func:`car_track_blocks`, so the last step only joins one part per block
     of ``block`` passes; the result row itself holds the whole track.
     """
-    parts = car_track_blocks(flow, block)
+    parts = car_track_blocks(flow, block, max_group_rows)
     return (parts.groupBy("car")
             .agg(F.max_by("last_date", "last_seq").alias("date"),
                  F.expr("listagg(track_part, ',') WITHIN GROUP (ORDER BY block)").alias("car_track"))
@@ -57,7 +59,8 @@ def _prefix_texts(path: list[str]) -> list[str]:
     return [",".join(path[: i + 1]) for i in range(len(path))]
 
 
-def path_step_counts(flow: DataFrame, path: list[str]) -> DataFrame:
+def path_step_counts(flow: DataFrame, path: list[str],
+                     max_group_rows: int | None = SINGLE_TASK_ROWS) -> DataFrame:
     """For each prefix p1..pi of ``path``: occurrences as a contiguous run.
 
     Returns ``step`` (i), ``path`` (the prefix text), ``cnt`` (occurrences in
@@ -73,7 +76,7 @@ def path_step_counts(flow: DataFrame, path: list[str]) -> DataFrame:
     k = len(path)
     if k == 0 or k > 62:
         raise ValueError("path needs between 1 and 62 monitors")
-    ranked = sequence_number(_sequence_columns(flow, []))
+    ranked = sequence_number(_sequence_columns(flow, []), max_group_rows=max_group_rows)
     path_arr = F.array(*[F.lit(p) for p in path])
     offsets = F.filter(F.array(*[F.lit(j) for j in range(k)]),
                        lambda j: F.element_at(path_arr, j + 1) == F.col("monitor_id"))
@@ -95,7 +98,8 @@ def path_step_counts(flow: DataFrame, path: list[str]) -> DataFrame:
     return totals.select(F.inline(steps))
 
 
-def path_conversion(flow: DataFrame, path: list[str]) -> DataFrame:
+def path_conversion(flow: DataFrame, path: list[str],
+                    max_group_rows: int | None = SINGLE_TASK_ROWS) -> DataFrame:
     """Step conversion rates along ``path``.
 
     One row per step i >= 2 with a non-zero count: ``step``, ``path`` (the
@@ -103,6 +107,6 @@ def path_conversion(flow: DataFrame, path: list[str]) -> DataFrame:
     rounded half-up to two decimals. Counts never grow with i, so the
     previous non-zero step is simply step i-1.
     """
-    counts = path_step_counts(flow, path)
+    counts = path_step_counts(flow, path, max_group_rows)
     return (counts.filter((F.col("step") >= 2) & (F.col("cnt") > 0))
             .withColumn("rate", half_up_ratio("cnt", "prev_cnt", 2)))

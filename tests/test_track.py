@@ -62,16 +62,17 @@ def test_sequence_number_equals_plain_row_number(spark):
     for c in range(20):
         rows.append((f"C{c}", f"2018-07-0{1 + c % 3} 10:00:0{c % 10}", f"{c % 9:04d}"))
     df = flow_rows(spark, rows)
-    got = sequence_number(df).select("event_id", "seq")
     w = Window.partitionBy("car").orderBy(F.expr("cast(action_time as string)"), "monitor_id", "camera_id", "event_id")
-    want = df.select("event_id", F.row_number().over(w).cast("long").alias("seq"))
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    want = sorted(map(tuple, df.select("event_id", F.row_number().over(w).cast("long").alias("seq")).collect()))
+    for limit in (0, 100, None, 10 ** 9):  # split plan forced, chosen (HOT > 100), always split, single window
+        got = sequence_number(df, max_group_rows=limit).select("event_id", "seq")
+        assert sorted(map(tuple, got.collect())) == want, limit
 
 
 def test_two_level_track_assembly(spark):
     flow = flow_by_date(read_passes(spark, SF001))
     one_level = {r["car"]: (r["date"], r["car_track"]) for r in car_track(flow, block=1 << 30).collect()}
-    small = {r["car"]: (r["date"], r["car_track"]) for r in car_track(flow, block=3).collect()}
+    small = {r["car"]: (r["date"], r["car_track"]) for r in car_track(flow, block=3, max_group_rows=0).collect()}
     assert one_level == small
 
 
@@ -87,8 +88,10 @@ def test_path_counts_match_a_substring_counter(spark):
     flow = flow_by_date(read_passes(spark, SF001))
     path = ["0001", "0002", "0003", "0004", "0005"]
     tracks = [r["car_track"] for r in car_track(flow).collect()]
+    assert sorted(tracks) == sorted(r["car_track"] for r in car_track(flow, max_group_rows=0).collect())
     want = [sum(_substring_count(t, ",".join(path[:i])) for t in tracks) for i in range(1, 6)]
     assert counts(path_step_counts(flow, path)) == want == [112, 14, 0, 0, 0]
+    assert counts(path_step_counts(flow, path, max_group_rows=0)) == want
     rates = path_conversion(flow, path).collect()
     assert [(r["path"], r["rate"]) for r in rates] == [("0001,0002", 0.13)]
 
@@ -99,7 +102,8 @@ def test_partition_independence(spark):
     results = []
     for n in (1, 4, 64):
         spark.conf.set("spark.sql.shuffle.partitions", str(n))
-        results.append((counts(path_step_counts(flow, path)), Counter(r["car_track"] for r in car_track(flow).collect())))
+        results.append((counts(path_step_counts(flow, path, max_group_rows=0)),
+                        Counter(r["car_track"] for r in car_track(flow, max_group_rows=0).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
 
