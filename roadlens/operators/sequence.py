@@ -17,7 +17,7 @@ step is an aggregation with map-side combine or a join of equal keys.
 
 That split plan costs more shuffles than one window, so it is used only when
 needed: one aggregation first finds the heaviest key, and when it has at
-most ``max_group_rows`` rows a plain window numbers every key in one task
+most ``max_group_rows`` rows a plain window numbers each key inside one task
 (the same order, so the same numbers).
 """
 
