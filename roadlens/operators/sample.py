@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from roadlens.functions.dates import date_hour, date_of
 from roadlens.functions.numbers import int_div
-from roadlens.operators.common import BROADCAST_MAX_ROWS, legal_cars
+from roadlens.operators.common import broadcast_limit, legal_cars
 from roadlens.operators.track import car_track
 from roadlens.session import materialize
 
@@ -108,7 +108,7 @@ def sample_detail(flow: DataFrame, sampled: DataFrame, max_cars: int) -> DataFra
     broadcast; otherwise it stays a shuffle semi join.
     """
     wanted = sampled.select("car").distinct()
-    if max_cars <= BROADCAST_MAX_ROWS:
+    if max_cars <= broadcast_limit(flow.sparkSession):
         wanted = F.broadcast(materialize(wanted, "sampled-car-set"))
     return legal_cars(flow).join(wanted, "car", "left_semi")
 

@@ -27,13 +27,17 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from roadlens.functions.dates import lenient_seconds
 from roadlens.schema import TIEBREAK_COLUMN
+from roadlens.session import setting
 
 # Passes whose time does not parse sort first, before every valid time.
 _NO_TIME = -(2 ** 62)
 
 # Largest key numbered by a single window task (rows); heavier keys switch
-# the whole operator to the split plan.
+# the whole operator to the split plan. Session setting SINGLE_TASK_CONF
+# overrides the default.
 SINGLE_TASK_ROWS = 5_000_000
+SINGLE_TASK_CONF = "roadlens.sequence.singleTaskRows"
+_FROM_SESSION = -1
 
 
 def heaviest_key_rows(df: DataFrame, key: str) -> int:
@@ -44,15 +48,18 @@ def heaviest_key_rows(df: DataFrame, key: str) -> int:
 
 def sequence_number(df: DataFrame, key: str = "car", time_col: str = "action_time",
                     tiebreak: list[str] | None = None, out: str = "seq",
-                    max_group_rows: int | None = SINGLE_TASK_ROWS) -> DataFrame:
+                    max_group_rows: int | None = _FROM_SESSION) -> DataFrame:
     """Add ``out`` = 1..n, the rank of each row inside ``key`` by time.
 
     Time is the lenient value of ``time_col`` (hour 25 rolls into the next
     day), then the raw text, then ``tiebreak`` columns (default: monitor,
     camera and the unique ``event_id`` when present). The order must be total
-    for a repeatable result. ``max_group_rows=None`` always uses the split
-    plan; ``0`` forces it too.
+    for a repeatable result. ``max_group_rows`` defaults to the session
+    setting ``roadlens.sequence.singleTaskRows`` (5,000,000); ``None`` or
+    ``0`` always use the split plan.
     """
+    if max_group_rows == _FROM_SESSION:
+        max_group_rows = setting(df.sparkSession, SINGLE_TASK_CONF, SINGLE_TASK_ROWS)
     if tiebreak is None:
         tiebreak = ["monitor_id", "camera_id"]
         if TIEBREAK_COLUMN in df.columns:

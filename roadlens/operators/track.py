@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from roadlens.functions.numbers import half_up_ratio
 from roadlens.operators.common import legal_cars
-from roadlens.operators.sequence import SINGLE_TASK_ROWS, sequence_number
+from roadlens.operators.sequence import _FROM_SESSION, sequence_number
 from roadlens.schema import TIEBREAK_COLUMN
 
 # Passes per partial track string when building long tracks in two levels.
@@ -21,7 +21,7 @@ def _sequence_columns(flow: DataFrame, extra: list[str]) -> DataFrame:
 
 
 def car_track_blocks(flow: DataFrame, block: int = TRACK_BLOCK,
-                     max_group_rows: int | None = SINGLE_TASK_ROWS) -> DataFrame:
+                     max_group_rows: int | None = _FROM_SESSION) -> DataFrame:
     """Tracks in blocks of ``block`` consecutive passes of a car.
 
     ``car``, ``block`` (0, 1, ...), ``first_seq``/``last_seq`` (positions of
@@ -40,7 +40,7 @@ def car_track_blocks(flow: DataFrame, block: int = TRACK_BLOCK,
 
 
 def car_track(flow: DataFrame, block: int = TRACK_BLOCK,
-              max_group_rows: int | None = SINGLE_TASK_ROWS) -> DataFrame:
+              max_group_rows: int | None = _FROM_SESSION) -> DataFrame:
     """One row per car: ``date`` of its last pass, ``car``, ``car_track``.
 
     ``car_track`` is the monitor ids of the car's passes in time order joined
@@ -60,7 +60,7 @@ def _prefix_texts(path: list[str]) -> list[str]:
 
 
 def path_step_counts(flow: DataFrame, path: list[str],
-                     max_group_rows: int | None = SINGLE_TASK_ROWS) -> DataFrame:
+                     max_group_rows: int | None = _FROM_SESSION) -> DataFrame:
     """For each prefix p1..pi of ``path``: occurrences as a contiguous run.
 
     Returns ``step`` (i), ``path`` (the prefix text), ``cnt`` (occurrences in
@@ -99,7 +99,7 @@ def path_step_counts(flow: DataFrame, path: list[str],
 
 
 def path_conversion(flow: DataFrame, path: list[str],
-                    max_group_rows: int | None = SINGLE_TASK_ROWS) -> DataFrame:
+                    max_group_rows: int | None = _FROM_SESSION) -> DataFrame:
     """Step conversion rates along ``path``.
 
     One row per step i >= 2 with a non-zero count: ``step``, ``path`` (the

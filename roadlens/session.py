@@ -74,3 +74,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def setting(spark: SparkSession, key: str, default: int) -> int:
+    """An integer library setting from the session conf (``roadlens.*`` keys)."""
+    value = spark.conf.get(key, None)
+    return default if value in (None, "") else int(value)

@@ -63,3 +63,23 @@ def test_hot_hour_sampling_is_exact(spark):
     for extract_num in (300, 3000):
         got = {tuple(r) for r in sample_cars(hot, extract_num, 11).collect()}
         assert got == _brute_force(rows, extract_num, 11)
+
+
+def test_thresholds_from_session_settings(spark):
+    from roadlens.operators.follow import follow_car
+    flow = _hot_flow(spark)
+    cols = ["car", "action_time", "monitor_id", "camera_id", "event_id"]
+    try:
+        spark.conf.set("roadlens.sequence.singleTaskRows", "100")
+        spark.conf.set("roadlens.broadcast.maxRows", "0")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        ranked = sequence_number(flow.select(*cols))
+        parts = ranked.filter(F.col("car") == HOT).groupBy(F.spark_partition_id()).count().count()
+        # no hint: the join is left to Spark's own size-based choice
+        shuffled = sorted(map(tuple, follow_car(flow, ["U00001"]).collect()))
+    finally:
+        spark.conf.unset("roadlens.sequence.singleTaskRows")
+        spark.conf.unset("roadlens.broadcast.maxRows")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert parts >= 6  # split plan: the hot plate is spread by second
+    assert shuffled == sorted(map(tuple, follow_car(flow, ["U00001"]).collect()))
