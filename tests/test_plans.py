@@ -65,3 +65,38 @@ def test_command_line_jobs(spark):
     assert written == ["path_conversion_rate", "path_step_count"]
     rates = spark.read.parquet(os.path.join(base, "out", "path_conversion_rate")).collect()
     assert [(r["path"], r["rate"]) for r in rates] == [("0001,0002", 0.13)]
+
+
+def test_task_results_equal_the_operators(spark):
+    from roadlens.operators.area import area_road_topn
+    from roadlens.operators.flow import flow_by_date
+    from roadlens.operators.follow import follow_car
+    from roadlens.operators.monitor import monitor_state, topn_monitor
+    from roadlens.operators.track import path_conversion
+
+    out = tempfile.mkdtemp(prefix="roadlens-tasks-eq-")
+    flow = read_passes(spark, SF001)
+    registry = camera_registry(flow)
+    areas = area_from_region(spark.read.parquet(f"{SF001}/region.parquet"))
+    tasks = _tasks(spark)
+    for tid in (1, 3, 4, 5):
+        run_task(spark, tasks, tid, flow, registry, areas, out)
+    day = flow_by_date(flow, DAY, DAY)
+
+    def table(name, cols):
+        return sorted(map(tuple, spark.read.parquet(os.path.join(out, name)).select(*cols).collect()))
+
+    def rows(df, cols):
+        return sorted(map(tuple, df.select(*cols).collect()))
+
+    cols = ["step", "path", "cnt", "prev_cnt", "rate"]
+    assert table("path_conversion_rate", cols) == rows(path_conversion(day, ["0001", "0002", "0003", "0004", "0005"]), cols)
+    cols = ["monitor_id", "range_time", "cars"]
+    assert table("monitor_range_time_car", cols) == rows(follow_car(day, ["U00001", "U00002", "U00003"]), cols)
+    cols = ["area_id", "area_name", "road_id", "car_count", "rank"]
+    assert table("area_road_topn", cols) == rows(area_road_topn(day, areas, 3), cols)
+    in_asia = flow_by_date(flow, DAY, DAY, "ASIA", areas)
+    assert table("topn_monitor_car_count", ["monitor_id", "carCount"]) == rows(topn_monitor(in_asia, 5), ["monitor_id", "car_count"])
+    cols = ["normal_monitor_count", "normal_camera_count", "abnormal_monitor_count", "abnormal_camera_count",
+            "abnormal_monitor_camera_infos"]
+    assert table("monitor_state", cols) == rows(monitor_state(in_asia, registry), cols)
