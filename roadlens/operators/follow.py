@@ -8,18 +8,29 @@ from roadlens.functions.dates import range_label
 from roadlens.operators.common import bounded_broadcast, legal_cars
 
 
-def follow_car(flow: DataFrame, targets: list[str]) -> DataFrame:
+# Target lists up to this size are inlined as literals; longer ones are joined.
+INLINE_TARGETS = 1000
+
+
+def follow_car(flow: DataFrame, targets: list[str] | DataFrame) -> DataFrame:
     """One row per (monitor, five-minute range) where a target car passed.
 
+    ``targets`` is a list of plates or a DataFrame with a ``car`` column.
     ``monitor_id``, ``range_time``, ``cars`` (sorted distinct plates seen there,
     targets included, comma separated) and ``car_count``. The target cells are
     semi-joined to the passes, deduplicated per (cell, car) with map-side
     combine, and only then grouped: no pair of passes is ever formed.
     """
     passes = legal_cars(flow).select("monitor_id", range_label("action_time").alias("range_time"), "car")
+    if isinstance(targets, DataFrame):
+        of_targets = passes.join(bounded_broadcast(targets.select("car").distinct()), "car", "left_semi")
+    elif len(targets) > INLINE_TARGETS:
+        listed = flow.sparkSession.createDataFrame([(c,) for c in dict.fromkeys(targets)], "car string")
+        of_targets = passes.join(F.broadcast(listed), "car", "left_semi")  # bounded by the list
+    else:
+        of_targets = passes.filter(F.col("car").isin(list(targets)))
     cells = bounded_broadcast(
-        passes.filter(F.col("car").isin(list(targets)))
-        .filter(F.col("monitor_id").isNotNull() & F.col("range_time").isNotNull())
+        of_targets.filter(F.col("monitor_id").isNotNull() & F.col("range_time").isNotNull())
         .select("monitor_id", "range_time").distinct())
     # The cells hold no nulls, so a null-safe match equals a plain equi-join;
     # it also keeps the optimizer from re-evaluating the label expression in

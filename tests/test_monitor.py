@@ -121,3 +121,17 @@ def test_area_names_deterministic(spark):
     flow = flow_rows(spark, [("A", "2018-07-01 10:00:00", "M1", "C1", "50", "r1", "01")])
     areas = spark.createDataFrame([("01", "north"), ("01", "east")], "area_id string, area_name string")
     assert [tuple(r) for r in area_road_topn(flow, areas, 3).collect()] == [("01", "east", "r1", 1, 1)]
+
+
+def test_follow_car_target_forms_agree(spark):
+    import roadlens.operators.follow as follow
+    flow = _flow(spark, SF001)
+    targets = ["U00001", "U00004"]
+    want = sorted(map(tuple, follow_car(flow, targets).collect()))
+    frame = spark.createDataFrame([(c,) for c in targets], "car string")
+    assert sorted(map(tuple, follow_car(flow, frame).collect())) == want
+    old, follow.INLINE_TARGETS = follow.INLINE_TARGETS, 1
+    try:
+        assert sorted(map(tuple, follow_car(flow, targets).collect())) == want
+    finally:
+        follow.INLINE_TARGETS = old
