@@ -40,8 +40,10 @@ DEFAULT_SEED = 42
 def monitor_flow_results(flow: DataFrame, registry: DataFrame, p, areas: DataFrame | None = None) -> dict[str, DataFrame]:
     passes = flow_by_date(flow, p["start_date"], p["end_date"], p["area_name"], areas if p["area_name"] else None)
     n = p["top_num"] or 5
+    state = monitor_state(passes, registry)
     return {
-        "monitor_state": monitor_state(passes, registry),
+        # column names as in the existing result table, misspelling included
+        "monitor_state": state.withColumnRenamed("normal_monitor_count", "noraml_monitor_count"),
         "topn_monitor_car_count": topn_monitor(passes, n).select("monitor_id", F.col("car_count").alias("carCount")),
         "topn_monitor_detail_info": topn_monitor_detail(passes, n),
         "top10_speed_detail": speed_top10_detail(passes, n, 10),
