@@ -105,3 +105,19 @@ def test_load_registry_files(spark):
              os.path.join(base, "reg"), os.path.join(base, "reg_t"))
     back = spark.read.schema(REGISTRY_SCHEMA).parquet(os.path.join(base, "reg_t"))
     assert sorted(map(tuple, back.collect())) == [("0001", "00001"), ("0001", "00002")]
+
+
+def test_load_tolerates_malformed_lines(spark):
+    base = tempfile.mkdtemp(prefix="roadlens-bad-")
+    os.makedirs(os.path.join(base, "in"))
+    lines = ["2018-07-01\t0001\t00001\tA1\t2018-07-01 10:00:00\t80\t1\t01",
+             "2018-07-01\t0002\t00002\tB2",                                      # too few fields
+             "2018-07-02\t0003\t00003\tC3\t2018-07-02 10:00:00\t90\t2\t02\textra",  # too many
+             '2018-07-02\t0004\t"00004\tD"4\t2018-07-02 11:00:00\t70\t3\t03']      # stray quotes
+    with open(os.path.join(base, "in", "part-0.tsv"), "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    table = load_tsv(spark, os.path.join(base, "in"), os.path.join(base, "out"))
+    rows = {r["car"]: r for r in table.collect()}
+    assert set(rows) == {"A1", "B2", "C3", 'D"4'}
+    assert rows["B2"]["action_time"] is None and rows["C3"]["area_id"] == "02"
+    assert rows['D"4']["camera_id"] == '"00004'
