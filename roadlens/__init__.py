@@ -22,7 +22,7 @@ from roadlens.sources import (
     area_from_region, load_tsv, parse_task_params, passes_from_events, read_flow_catalog,
     read_flow_table, read_passes, read_result, read_tsv, task_params, write_jdbc, write_result, write_tsv,
 )
-from roadlens.streaming.live_flow import events_stream, start_to_files, stream_monitor_speed
+from roadlens.streaming.live_flow import events_stream, late_rows_dropped, start_to_files, stream_monitor_speed
 from roadlens.streaming.sources import kafka_pass_stream, parse_pass_lines, text_pass_stream
 
 __all__ = [
@@ -35,6 +35,6 @@ __all__ = [
     "area_from_region", "load_tsv", "parse_task_params", "passes_from_events", "read_flow_catalog",
     "read_flow_table", "read_passes", "read_result", "read_tsv", "task_params", "write_jdbc",
     "write_result", "write_tsv",
-    "events_stream", "start_to_files", "stream_monitor_speed",
+    "events_stream", "late_rows_dropped", "start_to_files", "stream_monitor_speed",
     "kafka_pass_stream", "parse_pass_lines", "text_pass_stream",
 ]

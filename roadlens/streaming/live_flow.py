@@ -81,6 +81,12 @@ def start_to_files(result: DataFrame, out_path: str, checkpoint_path: str,
     return writer.start()
 
 
+def late_rows_dropped(query: StreamingQuery) -> int:
+    """Rows the watermark dropped as too late, over the query's recent progress."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for progress in query.recentProgress for op in progress.get("stateOperators", []))
+
+
 def run_events_flow(spark: SparkSession, events_path: str, out_path: str, checkpoint_path: str,
                     watermark: str = "10 minutes", window: str = "5 minutes") -> DataFrame:
     """Run the live flow once over the events files and read back its output."""

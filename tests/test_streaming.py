@@ -7,7 +7,7 @@ from conftest import SF001
 from roadlens.session import scratch_path
 from roadlens.sources.events import passes_from_events, read_passes
 from roadlens.streaming.live_flow import (
-    events_stream, run_events_flow, start_to_files, stream_monitor_speed,
+    events_stream, late_rows_dropped, run_events_flow, start_to_files, stream_monitor_speed,
 )
 
 
@@ -46,6 +46,7 @@ def test_late_rows_are_dropped(spark):
          (4, t0 + dt.timedelta(minutes=45), 1, "a", 60.0, '{"k": 1}')], "b2")
     q = start_to_files(stream_monitor_speed(passes_from_events(events_stream(spark, src))), out, ck)
     q.awaitTermination()
+    assert late_rows_dropped(q) == 1
     rows = {(r["window_start"].strftime("%H:%M"), r["passes"]) for r in spark.read.parquet(out).collect()}
     assert ("10:00", 1) in rows and ("10:30", 1) in rows
     assert ("10:05", 1) not in rows
