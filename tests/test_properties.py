@@ -37,3 +37,25 @@ def test_path_counts_equal_run_counting(spark, tracks, path):
         assert got == want
         got_tracks = {r["car"]: r["car_track"] for r in car_track(df, block=2, max_group_rows=limit).collect()}
         assert got_tracks == {car: ",".join(t) for car, t in ordered.items()}
+
+
+passes = st.lists(st.tuples(st.integers(0, 40), st.integers(1, 3), st.integers(0, 30)), min_size=0, max_size=60)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=passes, extract_num=st.integers(0, 80), seed=st.integers(0, 5))
+def test_sampling_equals_brute_force(spark, rows, extract_num, seed):
+    from test_sample import _brute_force
+    from roadlens.operators.sample import hourly_quota, sample_cars
+    data = [(f"C{car:02d}", f"2018-07-0{day} {hour:02d}:00:00", "0001") for car, day, hour in rows]
+    if not data:
+        return
+    df = flow_rows(spark, data)
+    got = {tuple(r) for r in sample_cars(df, extract_num, seed).collect()}
+    plain = [{"car": c, "action_time": t} for c, t, _ in data]
+    assert got == _brute_force(plain, extract_num, seed)
+    quota = {r["date_hour"]: r["quota"] for r in hourly_quota(df, extract_num).collect()}
+    per_hour = {}
+    for _, dh, _ in got:
+        per_hour[dh] = per_hour.get(dh, 0) + 1
+    assert all(per_hour.get(h, 0) == q for h, q in quota.items())
