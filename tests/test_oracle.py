@@ -69,3 +69,21 @@ def test_results_do_not_depend_on_partitioning(spark, duck, partitions):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+@pytest.fixture(scope="module")
+def duck_gate():
+    from conftest import SF01
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF01}/{t}.parquet')")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_matches_oracle_at_gate_scale(spark, duck_gate, name):
+    from conftest import SF01
+    df = E.queries()[name](spark, SF01)
+    res = duck_gate.execute(E.oracle_sql()[name])
+    got = canon(df.columns, [tuple(r) for r in df.collect()])
+    assert got == canon([d[0] for d in res.description], res.fetchall())
