@@ -71,5 +71,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
     return run_task(spark, _tasks(spark, args), args.task_id, flow, registry, areas, args.out)
 
 
-if __name__ == "__main__":
+def cli() -> int:
+    """Console entry point: run, print the written tables, exit 0."""
     print(main(sys.argv[1:]))
+    return 0
+
+
+if __name__ == "__main__":
+    sys.exit(cli())
