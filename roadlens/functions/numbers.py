@@ -31,3 +31,13 @@ def half_up_ratio(num: str | Column, den: str | Column, scale: int = 2) -> Colum
     unit = 10 ** scale
     scaled = F.when(d != 0, int_div(n * (2 * unit) + d, d * 2))
     return scaled.cast(T.DoubleType()) / F.lit(float(unit))
+
+
+def format_double(value: str | Column, scale: int = 2) -> Column:
+    """Round a double half-up to ``scale`` decimals.
+
+    Ties are decided on the shortest decimal form of the double (0.285 ->
+    0.29). Rounding the exact binary value instead would give 0.28 there;
+    for ratios of counts use :func:`half_up_ratio`, which is exact.
+    """
+    return F.round(as_col(value).cast(T.DoubleType()), scale)

@@ -94,3 +94,10 @@ def test_lenient_seconds_overflow_is_null(spark):
 def test_range_label_overflow_is_null(spark):
     assert one(spark, range_label(F.lit("2018-07-01 2147483647:55:00"))) is None
     assert one(spark, range_label(F.lit("2018-07-01 10:2147483647:00"))) is None
+
+
+def test_format_double(spark):
+    from roadlens.functions import format_double
+    assert one(spark, format_double(F.lit(0.285), 2)) == 0.29
+    assert one(spark, format_double(F.lit(0.125), 2)) == 0.13
+    assert one(spark, format_double(F.lit(2.0 / 3.0), 2)) == 0.67
