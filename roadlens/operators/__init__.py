@@ -1,0 +1 @@
+"""DataFrame operators: selection, sequencing, tracks and paths, sampling, monitors, areas, follow-car."""

@@ -1,0 +1 @@
+"""Structured Streaming: live flow per monitor and pass feeds."""
