@@ -40,6 +40,10 @@ DEFAULT_SEED = 42
 def monitor_flow_results(flow: DataFrame, registry: DataFrame, p, areas: DataFrame | None = None) -> dict[str, DataFrame]:
     passes = flow_by_date(flow, p["start_date"], p["end_date"], p["area_name"], areas if p["area_name"] else None)
     n = p["top_num"] or 5
+    if p["area_name"]:
+        # health inside an area: only monitors that ever report in that area count
+        in_area = flow_by_date(flow, area_name=p["area_name"], areas=areas).select("monitor_id")
+        registry = registry.join(in_area, "monitor_id", "left_semi")
     state = monitor_state(passes, registry)
     return {
         # column names as in the existing result table, misspelling included
