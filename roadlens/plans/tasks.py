@@ -42,7 +42,7 @@ def monitor_flow_results(flow: DataFrame, registry: DataFrame, p, areas: DataFra
     n = p["top_num"] or 5
     if p["area_name"]:
         # health inside an area: only monitors that ever report in that area count
-        in_area = flow_by_date(flow, area_name=p["area_name"], areas=areas).select("monitor_id")
+        in_area = flow_by_date(flow, area_name=p["area_name"], areas=areas).select("monitor_id").distinct()
         registry = registry.join(in_area, "monitor_id", "left_semi")
     state = monitor_state(passes, registry)
     return {
