@@ -46,106 +46,106 @@ def _areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return area_from_region(spark.read.parquet(f"{sf_dir}/region.parquet"))
 
 
-def q_flow_by_date(spark, sf_dir):
+def q_flow_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flow(spark, sf_dir, P.RANGE_START, P.RANGE_END).select(*FLOW_COLUMNS)
 
 
-def q_load_tsv(spark, sf_dir):
+def q_load_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     text_dir = scratch_path(spark, "flow-tsv")
     write_tsv(read_passes(spark, sf_dir), text_dir)
     return load_tsv(spark, text_dir, scratch_path(spark, "flow-table"))
 
 
-def q_camera_registry(spark, sf_dir):
+def q_camera_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return camera_registry(_flow(spark, sf_dir))
 
 
-def q_path_step_counts(spark, sf_dir):
+def q_path_step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return path_step_counts(_flow(spark, sf_dir), P.PATH)
 
 
-def q_path_conversion(spark, sf_dir):
+def q_path_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return path_conversion(_flow(spark, sf_dir), P.PATH)
 
 
-def q_car_track(spark, sf_dir):
+def q_car_track(spark: SparkSession, sf_dir: str) -> DataFrame:
     return car_track(_flow(spark, sf_dir))
 
 
-def q_car_track_blocks(spark, sf_dir):
+def q_car_track_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return car_track_blocks(_flow(spark, sf_dir))
 
 
-def q_hourly_car_count(spark, sf_dir):
+def q_hourly_car_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly_car_count(_flow(spark, sf_dir))
 
 
-def q_hourly_quota(spark, sf_dir):
+def q_hourly_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly_quota(_flow(spark, sf_dir), P.EXTRACT_NUM)
 
 
-def q_sample_cars(spark, sf_dir):
+def q_sample_cars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_cars(_flow(spark, sf_dir), P.EXTRACT_NUM, P.SEED)
 
 
-def q_sample_detail(spark, sf_dir):
+def q_sample_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     flow = _flow(spark, sf_dir)
     return sample_detail(flow, sample_cars(flow, P.EXTRACT_NUM, P.SEED), P.EXTRACT_NUM).select(*DETAIL_COLUMNS)
 
 
-def q_sample_track(spark, sf_dir):
+def q_sample_track(spark: SparkSession, sf_dir: str) -> DataFrame:
     flow = _flow(spark, sf_dir)
     return sample_track(flow, sample_cars(flow, P.EXTRACT_NUM, P.SEED), P.EXTRACT_NUM)
 
 
-def q_monitor_flow(spark, sf_dir):
+def q_monitor_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor_flow(_flow(spark, sf_dir))
 
 
-def q_speed_bands(spark, sf_dir):
+def q_speed_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speed_bands(_flow(spark, sf_dir))
 
 
-def q_topn_monitor(spark, sf_dir):
+def q_topn_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topn_monitor(_flow(spark, sf_dir), P.TOP_N)
 
 
-def q_topn_monitor_area(spark, sf_dir):
+def q_topn_monitor_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     flow = flow_by_date(read_passes(spark, sf_dir), area_name=P.AREA_NAME, areas=_areas(spark, sf_dir))
     return topn_monitor(flow, P.TOP_N)
 
 
-def q_topn_monitor_detail(spark, sf_dir):
+def q_topn_monitor_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topn_monitor_detail(_flow(spark, sf_dir), P.TOP_N)
 
 
-def q_speed_rank_monitor(spark, sf_dir):
+def q_speed_rank_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speed_rank_monitor(_flow(spark, sf_dir), P.TOP_N)
 
 
-def q_speed_top10_detail(spark, sf_dir):
+def q_speed_top10_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speed_top10_detail(_flow(spark, sf_dir), P.TOP_N, P.TOP_DETAIL_PER_MONITOR)
 
 
-def q_area_road_topn(spark, sf_dir):
+def q_area_road_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return area_road_topn(_flow(spark, sf_dir), _areas(spark, sf_dir), P.AREA_TOP_N)
 
 
-def q_monitor_state(spark, sf_dir):
+def q_monitor_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = camera_registry(_flow(spark, sf_dir))
     return monitor_state(_flow(spark, sf_dir, P.STATE_DATE, P.STATE_DATE), registry)
 
 
-def q_monitor_camera_state(spark, sf_dir):
+def q_monitor_camera_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = camera_registry(_flow(spark, sf_dir))
     return monitor_camera_state(_flow(spark, sf_dir, P.STATE_DATE, P.STATE_DATE), registry)
 
 
-def q_follow_car(spark, sf_dir):
+def q_follow_car(spark: SparkSession, sf_dir: str) -> DataFrame:
     return follow_car(_flow(spark, sf_dir), P.TARGET_CARS)
 
 
-def q_stream_monitor_speed(spark, sf_dir):
+def q_stream_monitor_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = run_events_flow(spark, f"{sf_dir}/events.parquet", scratch_path(spark, "live-flow"),
                           scratch_path(spark, "live-flow-checkpoint"), P.WATERMARK, P.WINDOW)
     return out.select(seconds_text(F.unix_seconds("window_start")).alias("window_start"),
@@ -153,7 +153,7 @@ def q_stream_monitor_speed(spark, sf_dir):
                       "monitor_id", "passes", "speed_sum", "avg_speed")
 
 
-def q_write_result(spark, sf_dir):
+def q_write_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = topn_monitor(_flow(spark, sf_dir), P.TOP_N)
     path = scratch_path(spark, "topn-monitor-car-count")
     write_result(top, path, 1)
@@ -161,7 +161,7 @@ def q_write_result(spark, sf_dir):
     return read_result(spark, path, top.schema)
 
 
-def q_time_labels(spark, sf_dir):
+def q_time_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     flow = _flow(spark, sf_dir)
     t = F.col("action_time")
     return flow.select(
