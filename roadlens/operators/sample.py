@@ -78,9 +78,12 @@ def sample_cars(flow: DataFrame, extract_num: int, seed: int = 42) -> DataFrame:
     bucket = ["date", "date_hour", "_b"]
     # rank inside (hour, bucket): about 1/256 of an hour per group; the same
     # shuffle also feeds the histogram below
+    in_bucket = Window.partitionBy(*bucket)
     ranked = (cars.withColumn("_h", _hash(seed)).withColumn("_b", F.substring("_h", 1, BUCKET_DIGITS))
-              .withColumn("_rn", F.row_number().over(Window.partitionBy(*bucket).orderBy("_h", "car"))))
-    hist = ranked.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_rn", F.row_number().over(in_bucket.orderBy("_h", "car")))
+              .withColumn("_n", F.count(F.lit(1)).over(in_bucket)))
+    # one row per bucket, taken from the same window stage (no second shuffle)
+    hist = ranked.filter(F.col("_rn") == 1).select(*bucket, "_n")
     # One shuffle by date serves the three histogram windows; a day holds at
     # most 24 (+ overflow) hours x 256 buckets.
     hour = Window.partitionBy("date", "date_hour")
@@ -96,7 +99,8 @@ def sample_cars(flow: DataFrame, extract_num: int, seed: int = 42) -> DataFrame:
     # outer join, so both uses of the ranked rows share one shuffle
     keep = (F.col("_cut").isNull() | (F.col("_b") < F.col("_cut"))
             | ((F.col("_b") == F.col("_cut")) & (F.col("_rn") <= F.col("_need"))))
-    return ranked.join(F.broadcast(cut), "date_hour", "left").filter(keep).select("date", "date_hour", "car")
+    return (ranked.drop("_n").join(F.broadcast(cut), "date_hour", "left").filter(keep)
+            .select("date", "date_hour", "car"))
 
 
 def sample_detail(flow: DataFrame, sampled: DataFrame, max_cars: int) -> DataFrame:
