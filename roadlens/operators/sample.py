@@ -8,11 +8,11 @@ Selection: inside each hour the cars with the smallest
 ``md5(car|date_hour|seed)`` (ties by car) are taken, so the sample is
 repeatable, independent per hour, and the same for any partitioning.
 
-The pick never ranks a whole hour in one task. A histogram of the hash's
-first two hex digits (256 buckets per hour, an aggregation with map-side
-combine) locates the one bucket where the quota is crossed; buckets before
-it are taken whole, and only the cars of that bucket (about 1/256 of the
-hour) are ranked.
+The pick never ranks a whole hour in one task. Cars are ranked inside
+(hour, bucket) groups, the bucket being the hash's first two hex digits
+(256 per hour); the same window stage counts each bucket, and that small
+histogram locates the one bucket where the quota is crossed. Buckets before
+it are taken whole, and that bucket up to the remaining quota.
 """
 
 from __future__ import annotations
