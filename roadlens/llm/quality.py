@@ -129,7 +129,7 @@ def document_features(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
-def fit(rows: DataFrame, labels: DataFrame, learn_from, toward_pooled: float = 0.2,
+def fit(rows: DataFrame, labels: DataFrame, learn_from, toward_pooled: float = 0.5,
         toward_diagonal: float = 0.05) -> Discriminant:
     """Fit on every row of ``rows`` (:func:`document_features`) that has one label and ``learn_from``."""
     known = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
