@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from roadlens.llm.common import read
 from roadlens.llm.exact_dedup import exact_dedup
+from roadlens.llm.language_id import languages
 from roadlens.llm.quality import quality_scores
+from roadlens.llm.token_count import token_counts
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,7 +21,27 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_quality_classifier, op3_exact_dedup)}
+def vocabulary_path(name: str) -> str:
+    """Where a public vocabulary file is; ``ROADLENS_VOCABULARIES`` names another folder."""
+    folder = os.environ.get("ROADLENS_VOCABULARIES")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(vocabulary_path("word_bpe_49k.json"), encoding="utf-8") as file:
+        return token_counts(read(spark, sf_dir, "documents"), file.read())
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (op1_quality_classifier, op3_exact_dedup, op7_token_counts,
+                                   op10_language_id)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": r"""
