@@ -100,4 +100,4 @@ def without_copies(docs: DataFrame) -> DataFrame:
     # an id and text that repeat are one key: kept if one of its rows is
     verdict = (decide(digests(docs)).groupBy("doc_id", "text_key")
                .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("copies")))
-    return keep_rows(docs, verdict)
+    return keep_rows(docs, materialize(verdict, "exact-dedup-verdict"))

@@ -10,6 +10,7 @@ from roadlens.llm.common import read
 from roadlens.llm.exact_dedup import exact_dedup
 from roadlens.llm.language_id import languages
 from roadlens.llm.quality import quality_scores
+from roadlens.llm.simhash import near_dedup
 from roadlens.llm.token_count import token_counts
 
 
@@ -36,11 +37,16 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return token_counts(read(spark, sf_dir, "documents"), file.read())
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(read(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {q.__name__: q for q in (op1_quality_classifier, op3_exact_dedup, op7_token_counts,
+                                   op8_simhash_near_dedup,
                                    op10_language_id)}
 
 ORACLE_SQL = {
