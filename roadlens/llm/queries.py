@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from roadlens.llm.common import read
 from roadlens.llm.exact_dedup import exact_dedup
 from roadlens.llm.language_id import languages
+from roadlens.llm.ngram_lm import lm_scores
 from roadlens.llm.quality import quality_scores
 from roadlens.llm.simhash import near_dedup
 from roadlens.llm.token_count import token_counts
@@ -41,12 +42,16 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(read(spark, sf_dir, "documents"))
 
 
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(read(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {q.__name__: q for q in (op1_quality_classifier, op3_exact_dedup, op7_token_counts,
-                                   op8_simhash_near_dedup,
+                                   op8_simhash_near_dedup, op9_lm_scores,
                                    op10_language_id)}
 
 ORACLE_SQL = {
