@@ -13,6 +13,7 @@ from roadlens.llm.ngram_lm import lm_scores
 from roadlens.llm.quality import quality_scores
 from roadlens.llm.simhash import near_dedup
 from roadlens.llm.token_count import token_counts
+from roadlens.llm.topk_search import top_k
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +39,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return token_counts(read(spark, sf_dir, "documents"), file.read())
 
 
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(read(spark, sf_dir, "documents"))
 
@@ -50,7 +55,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_quality_classifier, op3_exact_dedup, op7_token_counts,
+QUERIES = {q.__name__: q for q in (op1_quality_classifier, op3_exact_dedup, op5_topk_search,
+                                   op7_token_counts,
                                    op8_simhash_near_dedup, op9_lm_scores,
                                    op10_language_id)}
 
@@ -66,4 +72,17 @@ ORACLE_SQL = {
                                              ORDER BY chars DESC, doc_id ASC NULLS LAST) AS keep_id
             FROM n)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g""",
+    "op5_topk_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 50 = 0),
+        r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
 }
