@@ -11,6 +11,7 @@ from roadlens.llm.exact_dedup import exact_dedup
 from roadlens.llm.language_id import languages
 from roadlens.llm.ngram_lm import lm_scores
 from roadlens.llm.quality import quality_scores
+from roadlens.llm.sentence_piece import encode_column
 from roadlens.llm.simhash import near_dedup
 from roadlens.llm.token_count import token_counts
 from roadlens.llm.topk_search import top_k
@@ -20,6 +21,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_sentence_piece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(vocabulary_path("piece_bpe_32k.model"), "rb") as file:
+        return encode_column(read(spark, sf_dir, "documents"), file.read(), ["doc_id"])
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -55,7 +61,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_quality_classifier, op3_exact_dedup, op5_topk_search,
+QUERIES = {q.__name__: q for q in (op1_quality_classifier, op2_sentence_piece, op3_exact_dedup, op5_topk_search,
                                    op7_token_counts,
                                    op8_simhash_near_dedup, op9_lm_scores,
                                    op10_language_id)}
