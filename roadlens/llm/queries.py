@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from roadlens.llm.common import read
 from roadlens.llm.exact_dedup import exact_dedup
 from roadlens.llm.language_id import languages
+from roadlens.llm.licenses import document_files, licence_scan
+from roadlens.llm.mixing import mixed
 from roadlens.llm.ngram_lm import lm_scores
 from roadlens.llm.quality import quality_scores
 from roadlens.llm.sentence_piece import encode_column
@@ -29,6 +31,10 @@ def op2_sentence_piece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
+#: Target weights of the mix: sources 0 to 19, every fourth at four times the first one's weight.
+SOURCE_WEIGHTS = {f"src{i}": 1.0 + i % 4 for i in range(20)}
+REST_WEIGHT = 1.0
+
 
 def vocabulary_path(name: str) -> str:
     """Where a public vocabulary file is; ``ROADLENS_VOCABULARIES`` names another folder."""
@@ -40,11 +46,20 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixed(docs, SOURCE_WEIGHTS, REST_WEIGHT)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(vocabulary_path("word_bpe_49k.json"), encoding="utf-8") as file:
         return token_counts(read(spark, sf_dir, "documents"), file.read())
 
 
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(document_files(read(spark, sf_dir, "documents")))
+
+
 def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read(spark, sf_dir, "embeddings"))
 
@@ -61,7 +76,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_quality_classifier, op2_sentence_piece, op3_exact_dedup, op5_topk_search,
+QUERIES = {q.__name__: q for q in (op1_quality_classifier, op2_sentence_piece, op3_exact_dedup, op4_licence_scan,
+                                   op5_topk_search, op6_mixing,
                                    op7_token_counts,
                                    op8_simhash_near_dedup, op9_lm_scores,
                                    op10_language_id)}
