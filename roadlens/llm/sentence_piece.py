@@ -32,7 +32,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from roadlens.llm.common import slices, texts
 
@@ -335,5 +335,6 @@ def encode_column(docs: DataFrame, model: bytes, keep: list[str]) -> DataFrame:
                      pa.array(back)], names=[*keep, "token_ids", "n_tokens", "round_trip"])
 
     rows = docs.select(*keep, F.col("text").alias("__text"))
-    schema = rows.select(*keep).schema.add("token_ids", "array<int>").add("n_tokens", "long").add("round_trip", "boolean")
+    schema = T.StructType([*rows.select(*keep).schema, T.StructField("token_ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())])
     return rows.mapInArrow(run, schema)
