@@ -48,7 +48,6 @@ from roadlens.session import scratch_path
 ORDER = 2
 FLUSH = 3_000_000  # tokens that a counting task aggregates before it sends them on
 SLICE_BYTES = 4 << 20
-EMIT_ROWS = 200_000
 
 U64 = np.uint64
 _END, _BEGIN = U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F)
@@ -127,13 +126,26 @@ def _summed(key: np.ndarray, firsts: list[np.ndarray], sums: list[np.ndarray]):
             [np.add.reduceat(x[order], at) if len(at) else x[:0] for x in sums])
 
 
-def _i64(x: np.ndarray) -> pa.Array:
-    return pa.array(np.ascontiguousarray(x).view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64))
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Counts in the fewest bytes that hold them."""
+    for kind in (np.uint8, np.uint16, np.uint32):
+        if not len(x) or x.max() <= np.iinfo(kind).max:
+            return x.astype(kind)
+    return x.astype(np.uint64)
 
 
-def _batches(names: list[str], columns: list[np.ndarray]):
-    for at in range(0, len(columns[0]), EMIT_ROWS):
-        yield pa.RecordBatch.from_arrays([_i64(c[at:at + EMIT_ROWS]) for c in columns], names=names)
+def _packed(columns: dict[str, np.ndarray]) -> bytes:
+    """Columns as one compressed Arrow message."""
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> dict[str, np.ndarray]:
+    batch = next(pa.ipc.open_stream(data))
+    return {n: batch.column(n).to_numpy(zero_copy_only=False) for n in batch.schema.names}
 
 
 # ---- counting -------------------------------------------------------------
@@ -141,12 +153,33 @@ def _batches(names: list[str], columns: list[np.ndarray]):
 #: Sums that a lower order's record holds, beside its key and its words.
 STATS = ["count", "raw", "total", "once", "twice", "more"]
 RECORD = np.dtype([(s, np.uint64) for s in STATS])
+#: An order's totals: its n-grams, those counted 1 to 4 times, the counts' sum, and that of raw counts.
+TOTALS = ["grams", "n1", "n2", "n3", "n4", "total", "raw"]
+
+#: Rows between the tasks: many n-grams of one order and hash range, packed; or, at level 0, an order's totals.
+_SCHEMA = "part int, level int, data binary, " + ", ".join(f"{t} long" for t in TOTALS)
+
+
+def _row(part: int, level: int, data: bytes | None, totals: list[int] | None = None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part], pa.int32()), pa.array([level], pa.int32()), pa.array([data], pa.binary()),
+         *[pa.array([t], pa.int64()) for t in totals or [0] * len(TOTALS)]],
+        names=["part", "level", "data", *TOTALS])
 
 
-def _schema(order: int) -> str:
-    """Rows on their way to the task that writes them. ``chain`` columns rebuild shorter n-grams."""
-    return ", ".join(["part int", "level int", "key long", "word long"]
-                     + [f"c{k} long" for k in range(2, order + 1)] + [f"{s} long" for s in STATS])
+def _dealt(level: int, parts: int, key: np.ndarray, columns: dict[str, np.ndarray], by: str | None):
+    """A packed row per hash range; ``key`` is sorted, and a row's n-grams are put in the order of column ``by``."""
+    owner = part_of(key, parts)
+    edges = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1], [True]]))
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        # neighbours that share a context pack well
+        order = np.argsort(columns[by][lo:hi], kind="stable") if by else slice(None)
+        yield _row(int(owner[lo]), level, _packed({n: c[lo:hi][order] for n, c in columns.items()}))
+
+
+def _chain(order: int) -> list[str]:
+    """Names of the context hashes of an n-gram, from which it and its shorter ends are rebuilt."""
+    return [f"c{k}" for k in range(2, order + 1)]
 
 
 def _counted(batches, order: int, parts: int):
@@ -156,10 +189,10 @@ def _counted(batches, order: int, parts: int):
     def flush():
         columns = [np.concatenate(c) for c in zip(*held)]
         held.clear()
-        word, chain = columns[0], columns[1:]
-        key, firsts, (count,) = _summed(joined(chain[-1], word), [word, *chain], [np.ones(len(word), np.int64)])
-        yield from _rows(order, order, parts, key, firsts[0], firsts[1:],
-                         {"count": count, "raw": count if order == 1 else np.zeros_like(count)}, send_key=False)
+        key, firsts, (count,) = _summed(joined(columns[-1], columns[0]), columns, [np.ones(len(columns[0]), np.int64)])
+        columns.clear()
+        yield from _dealt(order, parts, key, dict(zip(["word", *_chain(order)], firsts)) | {"count": _narrow(count)},
+                          f"c{order}")
 
     size = 0
     for batch in batches:
@@ -174,73 +207,57 @@ def _counted(batches, order: int, parts: int):
         yield from flush()
 
 
-def _rows(order, level, parts, key, word, chain, sums, send_key=True):
-    n = len(key)
-    none = np.zeros(n, np.int64)
-    columns = [part_of(key.view(np.uint64), parts), np.full(n, level), key if send_key else none, word]
-    columns += [chain[i] if i < len(chain) else none for i in range(order - 1)]
-    columns += [sums.get(s, none) for s in STATS]
-    names = ["part", "level", "key", "word", *[f"c{k}" for k in range(2, order + 1)], *STATS]
-    for b in _batches(names, columns):
-        yield b.set_column(0, "part", b.column(0).cast(pa.int32())).set_column(1, "level", b.column(1).cast(pa.int32()))
-
-
 def _written(batches, folder: str, order: int, level: int, parts: int):
     """Sum up one hash range of one order, write its arrays, and send on what the order below needs.
 
-    Rows of level 0 carry an order's totals and pass through.
+    Rows of level 0 pass through.
     """
-    columns: list[list[np.ndarray]] = []
+    held: list[dict[str, np.ndarray]] = []
+    part = 0
     for batch in batches:
-        levels = batch.column("level").to_numpy(zero_copy_only=False)
-        mine = levels == level
-        if not mine.all():
-            yield batch.filter(pa.array(~mine))
-        if mine.any():
-            own = batch.filter(pa.array(mine))
-            columns.append([own.column(i).to_numpy(zero_copy_only=False) for i in range(len(own.schema))])
-    if not columns:
+        for i, kind in enumerate(batch.column("level").to_pylist()):
+            if kind == level:
+                part = batch.column("part")[i].as_py()
+                held.append(_unpacked(batch.column("data")[i].as_py()))
+            else:
+                yield batch.slice(i, 1)
+    if not held:
         return
-    whole = [np.concatenate(c) for c in zip(*columns)]
-    columns.clear()
-    part = int(whole[0][0])
-    word = whole[3].view(np.uint64)
-    chain = [c.view(np.uint64) for c in whole[4:4 + level - 1]]
-    sums = dict(zip(STATS, whole[4 + order - 1:]))
+    own = {n: np.concatenate([h[n] for h in held]) for n in held[0]}
+    held.clear()
     if level == order:
-        key = joined(chain[-1], word)
-        key, firsts, (count,) = _summed(key, [word, *chain], [sums["count"]])
+        names = ["word", *_chain(level)]
+        key, firsts, (count,) = _summed(joined(own[f"c{level}"], own["word"]), [own[n] for n in names],
+                                        [own["count"].astype(np.int64)])
         _save(folder, level, part, key, count.astype(np.uint32 if count.max() < 2 ** 32 else np.uint64))
-        seen = np.ones(len(key), bool)
         raw = count
     else:
-        key = whole[2].view(np.uint64)
-        # rows that only know a key as a context have no words; the others go first
-        first = np.argsort(whole[3] == 0, kind="stable")
-        key, firsts, totals = _summed(key[first], [word[first], *[c[first] for c in chain]],
-                                      [sums[s][first] for s in STATS])
+        names = ["word", *_chain(level)] if level > 1 else ["key"]
+        # rows that know an n-gram only as a context lack its words, and go last
+        first = np.argsort(own["count"] == 0, kind="stable")
+        key, firsts, sums = _summed(own["key"][first], [own[n][first] for n in names],
+                                    [own[s][first].astype(np.int64) for s in STATS])
         record = np.zeros(len(key), RECORD)
-        for s, x in zip(STATS, totals):
+        for s, x in zip(STATS, sums):
             record[s] = x
         _save(folder, level, part, key, record)
-        count, raw, seen = totals[0], totals[1], totals[0] > 0
-    word, chain = firsts[0][seen], [c[seen] for c in firsts[1:]]
-    count, raw = count[seen], raw[seen]
-    none = np.zeros(1, np.int64)
-    total = {s: none + int(x) for s, x in zip(STATS, (
-        (count == 1).sum(), (count == 2).sum(), (count == 3).sum(), (count == 4).sum(), count.sum(), raw.sum()))}
-    # level 0: key is the order, word its number of n-grams
-    yield from _rows(order, 0, 1, none + level, none + len(count), [], total)
+        seen = sums[0] > 0
+        firsts, count, raw = [x[seen] for x in firsts], sums[0][seen], sums[1][seen]
+    # in the place of the part: the order whose totals these are
+    yield _row(level, 0, None, [len(count), *[int((count == c).sum()) for c in (1, 2, 3, 4)], int(count.sum()),
+                                int(raw.sum())])
     if level == 1:
         return
-    below, context = (word if level == 2 else joined(chain[-2], word)), chain[-1]
-    ones = np.ones(len(count), np.int64)
-    zero = np.zeros(len(count), np.int64)
-    both = [np.concatenate(x) for x in (
-        (below, context), (word, np.zeros_like(word)), *[(c, np.zeros_like(c)) for c in chain[:-1]],
-        (ones, zero), (raw, zero), (zero, count), (zero, count == 1), (zero, count == 2), (zero, count >= 3))]
-    key, firsts, totals = _summed(both[0], both[1:level], [x.astype(np.int64) for x in both[level:]])
-    yield from _rows(order, level - 1, parts, key, firsts[0], firsts[1:], dict(zip(STATS, totals)))
+    word, chain = firsts[0], firsts[1:]
+    below = word if level == 2 else joined(chain[-2], word)  # the n-gram without its first word
+    ones, zeros = np.ones(len(count), np.int64), np.zeros(len(count), np.int64)
+    words = [word, *chain[:-1]] if level > 2 else []
+    key, firsts, sums = _summed(
+        np.concatenate([below, chain[-1]]), [np.concatenate([w, np.zeros_like(w)]) for w in words],
+        [np.concatenate(x) for x in ((ones, zeros), (raw, zeros), (zeros, count), (zeros, count == 1),
+                                     (zeros, count == 2), (zeros, count >= 3))])
+    columns = {"key": key} | dict(zip(["word", *_chain(level - 1)], firsts))
+    yield from _dealt(level - 1, parts, key, columns | {s: _narrow(x) for s, x in zip(STATS, sums)}, None)
 
 
 def _save(folder: str, level: int, part: int, key: np.ndarray, values: np.ndarray) -> None:
@@ -296,13 +313,13 @@ def train(docs: DataFrame, order: int = ORDER) -> Model:
     folder = scratch_path(spark, "ngram-model")
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{os.path.abspath(folder)}"
     folder = folder.replace("file:///", "file:/").replace("file:/", "file:///")
-    schema = _schema(order)
-    rows = docs.select("text").mapInArrow(lambda batches: _counted(batches, order, parts), schema)
+    rows = docs.select("text").mapInArrow(lambda batches: _counted(batches, order, parts), _SCHEMA)
     for level in range(order, 0, -1):
         rows = rows.repartitionById(parts, "part").mapInArrow(
-            lambda batches, level=level: _written(batches, folder, order, level, parts), schema)
-    sums = rows.groupBy("key").agg(F.sum("word"), *[F.sum(s) for s in STATS]).collect()  # a row per order
-    levels = {int(r[0]): level_of(int(r[1]), [int(x) for x in r[2:6]], int(r[6]), int(r[7])) for r in sums}
+            lambda batches, level=level: _written(batches, folder, order, level, parts), _SCHEMA)
+    # the rows left are the orders' totals, their order in the place of the part
+    sums = rows.groupBy("part").agg(*[F.sum(t) for t in TOTALS]).collect()
+    levels = {r[0]: level_of(int(r[1]), [int(x) for x in r[2:6]], int(r[6]), int(r[7])) for r in sums}
     for level in range(1, order + 1):
         levels.setdefault(level, Level(0, 0, 0, (0.5, 1.0, 1.5), 0.0))
     return Model(folder, order, parts, levels)
@@ -393,7 +410,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
             for piece in slices(batch, SLICE_BYTES):
                 size, known, base, score = scorer.score(*text_bytes(texts(piece)))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), _i64(size), _i64(known), pa.array(base), pa.array(score)],
+                    [piece.column("doc_id"), pa.array(size.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)],
                     names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
