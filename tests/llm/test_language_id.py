@@ -1,0 +1,42 @@
+import numpy as np
+
+from roadlens.llm import language_id
+from tests.conftest import SF01
+from tests.llm.conftest import ODD_ROWS
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    rows = language_id.languages(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(rows) == docs.count()
+    held = [r for r in rows if r.held_out]
+    assert np.mean([r.lang_pred == r.lang for r in held]) > 0.97
+    assert all(0 <= r.score <= 1 for r in rows)
+    sure = [r for r in held if not r.rejected]
+    assert len(sure) > 0.9 * len(held) and np.mean([r.lang_pred == r.lang for r in sure]) > 0.98
+
+
+def test_odd_rows(make_docs):
+    rows = ODD_ROWS + [(1000 + i, f"the cat and the dog number {i} went home", "en") for i in range(30)] \
+        + [(2000 + i, f"der hund und die katze {i} gehen nach haus", "de") for i in range(30)] \
+        + [(3000, "12 34 !!", "en"), (3001, "die katze und der hund", None), (3002, "THE DOG AND THE CAT", None)]
+    found = language_id.languages(make_docs(rows, extra="lang_pred score")).collect()
+    assert len(found) == len(rows)
+    by_id = {r.doc_id: r for r in found}
+    for i in (2, 3, 8, 3000):
+        assert (by_id[i].lang_pred, by_id[i].score) == ("und", 0.0)
+    assert by_id[3001].lang_pred == "de" and by_id[3002].lang_pred == "en"
+
+
+def test_nothing_learned_and_empty_table(make_docs):
+    rows = language_id.languages(make_docs([(1, "some text", None), (None, "more", "en")])).collect()
+    assert {(r.lang_pred, r.score) for r in rows} == {("und", 0.0)}
+    assert language_id.languages(make_docs(ODD_ROWS).limit(0)).count() == 0
+
+
+def test_held_out_languages_do_not_change_a_prediction(make_docs):
+    import zlib
+    rows = [(i, f"words of text number {i} here", "en" if i % 2 else "de") for i in range(60)]
+    other = [(i, t, "fr" if zlib.crc32(str(i).encode()) % 5 == 0 else lang) for i, t, lang in rows]
+    a, b = (sorted(map(tuple, language_id.languages(make_docs(x)).collect())) for x in (rows, other))
+    assert a == b
