@@ -1,6 +1,8 @@
 """Operator 7: token counts, with overlap resynchronisation for huge documents.
 
-Texts of at most ``chunk`` characters are encoded whole where they are read.
+Texts of at most ``chunk`` characters are counted whole where they are read: the
+stable boundaries described below part them into words, and a task encodes
+each distinct word once and adds up.
 A longer text is cut into chunks that overlap by ``overlap`` characters; the
 chunks are rows of their own, dealt over all tasks, so no task encodes a huge
 document alone. Two neighbours are spliced at a common boundary inside their
@@ -32,6 +34,7 @@ from roadlens.session import materialize
 
 CHUNK, OVERLAP, WIDEN = 16_384, 512, 4
 TOKEN_LIMIT = 2048
+KEPT_WORDS = 500_000  # distinct words a task remembers
 SLICE_BYTES = 2 << 20
 SPACE = " \t\n\r"
 
@@ -68,12 +71,20 @@ def cut(text: str, chunk: int, overlap: int) -> list[tuple[int, str]]:
 
 def _counts_of_whole_texts(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches):
-        tokenizer = load(vocabulary)
+        tokenizer, known = load(vocabulary), {}
         for batch in batches:
             for part in slices(batch, SLICE_BYTES):
-                found = tokenizer.encode_batch_fast(texts(part).to_pylist(), add_special_tokens=False)
+                if len(known) > KEPT_WORDS:
+                    known.clear()
+                split = [t.split() for t in texts(part).cast(pa.binary()).to_pylist()]  # at ASCII white space
+                new = {w for words in split for w in words}.difference(known)
+                new = list(new)
+                found = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+                known.update(zip(new, map(len, found)))
+                count = known.__getitem__
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("n_bytes"), pa.array([len(x) for x in found], pa.int64())],
+                    [part.column("doc_id"), part.column("n_bytes"),
+                     pa.array([sum(map(count, words)) for words in split], pa.int64())],
                     names=["doc_id", "n_bytes", "n_tokens"])
 
     return docs.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
