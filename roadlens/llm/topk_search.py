@@ -46,9 +46,11 @@ class CoverTree:
 
     def __init__(self, points: np.ndarray):
         self.points = points
-        self.norms = np.sqrt((points * points).sum(axis=1))
-        squares = self.norms ** 2
-        self.gaps = np.sqrt(np.maximum(squares[:, None] + squares[None, :] - 2 * (points @ points.T), 0.0))
+        squares = (points * points).sum(axis=1)
+        self.norms = np.sqrt(squares)
+        # whole numbers, so that copies are at distance 0; and a point always is from itself
+        self.gaps = np.sqrt(np.maximum(np.rint(squares[:, None] + squares[None, :] - 2 * (points @ points.T)), 0.0))
+        np.fill_diagonal(self.gaps, 0.0)
         self.centre, self.radius, self.kids, self.size = [], [], [], []
         todo = [(self._node(0, len(points)), np.arange(len(points)))]
         while todo:
@@ -145,7 +147,7 @@ def dual_tree_top_k(query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarr
             nonlocal best, floor
             scores = np.rint(q @ points[new].T)
             scores[query_ids[own][:, None] == ids[new][None, :]] = -np.inf
-            r, c = np.nonzero(scores >= floor[:, None])
+            r, c = np.nonzero((scores >= floor[:, None]) & (scores > -np.inf))
             rows.append(r), cols.append(new[c]), values.append(scores[r, c])
             best = -np.sort(-np.concatenate([best, scores], axis=1), axis=1)[:, :k]
             floor = np.maximum(floor, best[:, k - 1])
