@@ -53,6 +53,14 @@ def slices(batch: pa.RecordBatch, max_bytes: int, column: str = "text"):
         start = stop
 
 
+def spare(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep_rows(docs: DataFrame, verdict: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``verdict`` keeps, with the columns of ``docs``.
 
@@ -72,9 +80,10 @@ def keep_rows(docs: DataFrame, verdict: DataFrame) -> DataFrame:
     repeated = verdict.filter(F.col("kept") & (F.col("copies") > 1)).select(*key)
     order = [F.hash(F.to_json(F.struct(*docs.columns))), *docs.columns] if docs.columns else []
     first = Window.partitionBy("doc_id", text_key()).orderBy(*order)
-    one = matched("left_semi", repeated).withColumn("__rank", F.row_number().over(first))
+    rank = spare(docs.columns, "rank_of_copy")
+    one = matched("left_semi", repeated).withColumn(rank, F.row_number().over(first))
     return (matched("left_anti", gone)
-            .unionByName(one.filter("__rank = 1").drop("__rank"))
+            .unionByName(one.filter(F.col(rank) == 1).drop(rank))
             .select(*docs.columns))
 
 

@@ -19,7 +19,7 @@ tables that are broadcast have at most ``resolution`` and
 
 Defined results: documents with a null id are placed like any other; repeated
 rows have a place each; an empty table gives an empty result; further columns
-pass through.
+pass through, but for those named like the results, which are replaced.
 """
 
 from __future__ import annotations
@@ -76,12 +76,16 @@ def mixed(docs: DataFrame, weights: dict[str, float], rest: float = 0.05, block:
     spark = docs.sparkSession
     parts = whole_parts(weights, rest, resolution)
     size, last = sum(parts), len(parts) - 1
-    named = [F.when(F.col("source") == s, F.lit(i)) for i, s in enumerate(weights)]
+    columns = [c for c in docs.columns if c not in ("mix_slot", "mix_position")]
+    inner = {c: f"__in_{i}" for i, c in enumerate(columns)}  # so that no column clashes with those below
+    doc_id, source = F.col(inner["doc_id"]), F.col(inner["source"])
+    named = [F.when(source == s, F.lit(i)) for i, s in enumerate(weights)]
     # rows without an id are spread by their other narrow columns
-    narrow = [f.name for f in docs.schema if f.name != "text" and f.dataType.typeName() in
+    narrow = [inner[f.name] for f in docs.select(*columns).schema if f.name != "text" and f.dataType.typeName() in
               ("string", "long", "integer", "double", "float", "boolean", "date", "timestamp")]
-    order = F.xxhash64(F.lit(seed), F.when(F.col("doc_id").isNull(), F.xxhash64(*narrow)).otherwise(F.col("doc_id")))
-    rows = (docs.withColumn("__stream", F.coalesce(*named, F.lit(last)))
+    order = F.xxhash64(F.lit(seed), F.when(doc_id.isNull(), F.xxhash64(*narrow)).otherwise(doc_id))
+    rows = (docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
+            .withColumn("__stream", F.coalesce(*named, F.lit(last)))
             .withColumn("__order", order).withColumn("__bucket", F.pmod("__order", F.lit(BUCKETS))))
 
     key = ["__stream", "__bucket"]
@@ -91,7 +95,7 @@ def mixed(docs: DataFrame, weights: dict[str, float], rest: float = 0.05, block:
     stream_sizes = (sizes.groupBy("__stream").agg(F.sum("__n").alias("n"))
                     .agg(F.map_from_entries(F.collect_list(F.struct("__stream", "n")))).scalar())
 
-    in_bucket = Window.partitionBy(*key).orderBy("__order", "doc_id")
+    in_bucket = Window.partitionBy(*key).orderBy("__order", inner["doc_id"])
     part = F.get(F.array(*[F.lit(p).cast("long") for p in parts]), F.col("__stream"))
     ranked = (rows.withColumn("__rank", F.row_number().over(in_bucket))
               .join(F.broadcast(offsets), key)
@@ -106,14 +110,14 @@ def mixed(docs: DataFrame, weights: dict[str, float], rest: float = 0.05, block:
             .withColumn("__sizes", stream_sizes)
             .withColumn("mix_slot", F.col("__period") * size + F.col("__slot"))
             .withColumn("mix_position", sum(gone[1:], gone[0]) + F.col("__seq") - F.col("__k") * block)
-            .select(*docs.columns, "mix_slot", "mix_position"))
+            .select(*[F.col(n).alias(c) for c, n in inner.items()], "mix_slot", "mix_position"))
 
 
 def in_mixed_order(docs: DataFrame, weights: dict[str, float], **options) -> DataFrame:
     """The rows of ``docs`` in the order of the mix, also over the files they are written to."""
-    rows = mixed(docs.withColumnsRenamed({c: f"__in_{c}" for c in docs.columns if c in ("mix_slot", "mix_position")}),
-                 weights, **options)
+    kept = {c: f"__kept_{c}" for c in docs.columns if c in ("mix_slot", "mix_position")}
+    rows = mixed(docs.withColumnsRenamed(kept), weights, **options)
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (rows.repartitionByRange(tasks, "mix_position").sortWithinPartitions("mix_position")
             .drop("mix_slot", "mix_position")
-            .withColumnsRenamed({f"__in_{c}": c for c in docs.columns}).select(*docs.columns))
+            .withColumnsRenamed({n: c for c, n in kept.items()}).select(*docs.columns))

@@ -1,0 +1,98 @@
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from roadlens.llm import ngram_lm
+from tests.llm.conftest import ODD_ROWS
+
+
+def tokens(text):
+    return [w.lower() for w in re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())] + ["end"]
+
+
+def learned(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 != 2
+
+
+class Brute:
+    def __init__(self, rows, order):
+        self.order, self.raw, top = order, Counter(), Counter()
+        for i, text, *_ in rows:
+            if learned(i):
+                own = tokens(text)
+                padded = ["begin"] * (order - 1) + own
+                self.raw.update(own)
+                top.update(tuple(padded[j:j + order]) for j in range(len(own)))
+        self.counts = {order: top}
+        for k in range(order - 1, 0, -1):
+            self.counts[k] = Counter(g[1:] for g in self.counts[k + 1])
+        self.discounts, self.contexts = {}, {}
+        for k, c in self.counts.items():
+            n = [sum(v == j for v in c.values()) for j in (1, 2, 3, 4)]
+            d = self.discounts[k] = ngram_lm.level_of(len(c), n, 0, 0).discounts
+            self.contexts[k] = defaultdict(lambda: [0, 0.0])
+            for g, v in c.items():
+                at = self.contexts[k][g[:-1]]
+                at[0] += v
+                at[1] += d[min(v, 3) - 1]
+
+    def p(self, gram):
+        p = 1 / (len(self.raw) + 1)
+        for k in range(1, self.order + 1):
+            g = gram[len(gram) - k:]
+            total, freed = self.contexts[k].get(g[:-1], (0, 0))
+            if total:
+                c = self.counts[k].get(g, 0)
+                kept = max(c - self.discounts[k][min(c, 3) - 1], 0) if c else 0
+                p = (kept + freed * p) / total
+        return p
+
+    def row(self, doc_id, text):
+        own = tokens(text)
+        padded = ["begin"] * (self.order - 1) + own
+        n, v = sum(self.raw.values()), len(self.raw)
+        return (len(own), sum(self.raw[w] > 0 for w in own), n, sum(math.log10((self.raw[w] + 1) / (n + v + 1)) for w in own),
+                sum(math.log10(self.p(tuple(padded[j:j + self.order]))) for j in range(len(own))))
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_scores_equal_brute_force(make_docs, monkeypatch, order):
+    monkeypatch.setattr(ngram_lm, "FLUSH", 200)
+    words = "the cat sat on a mat and The dog ran é́ over 你 it".split()
+    rng = np.random.default_rng(order)
+    rows = ODD_ROWS + [(100 + i, " ".join(words[int(j)] for j in rng.integers(0, len(words), int(rng.integers(1, 30)))))
+                       for i in range(120)]
+    found = ngram_lm.lm_scores(make_docs(rows, extra="score perplexity"), order).collect()
+    model = Brute(rows, order)
+    key = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    got = sorted([(str(r.doc_id), *[r[k] for k in key]) for r in found])
+    expected = sorted([(str(i), *model.row(i, t)) for i, t, *_ in rows])
+    assert len(got) == len(expected)
+    for a, b in zip(got, expected):
+        assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], rel=1e-9)
+
+
+def test_probabilities_of_a_context_sum_to_one(make_docs):
+    rows = [(i, t) for i, t in enumerate(["a b c a b", "a b d", "c c c", "b a", "a c a b b"] * 2)]
+    model = Brute(rows, 2)
+    vocabulary = [*model.raw, "unknown"]
+    for context in ["begin", "a", "b", "c", "never"]:
+        assert sum(model.p((context, w)) for w in vocabulary) == pytest.approx(1.0)
+
+
+def test_nothing_learned_and_empty_table(make_docs):
+    rows = ngram_lm.lm_scores(make_docs([(None, "a b"), (None, "")])).collect()
+    assert {(r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in rows} == {(3, 0, 0, 0, 0), (1, 0, 0, 0, 0)}
+    assert ngram_lm.lm_scores(make_docs(ODD_ROWS).limit(0)).count() == 0
+
+
+def test_token_hashes_follow_the_words():
+    a = np.frombuffer(b"One two  ONE\ttwo\x0bone", np.uint8)
+    word, begins = ngram_lm.tokens(a, np.array([0, 7, 7, len(a)]))
+    assert begins.tolist() == [0, 3, 4]
+    assert word[0] == word[4] == word[6] and word[1] == word[5] and word[2] == word[3] == word[7]
+    assert len(set(word.tolist())) == 3
