@@ -9,7 +9,7 @@ terms (its other terms together are too short, by Cauchy and Schwarz), so a
 scan for those terms sets aside the lines that cannot match, and nothing else.
 
 A licence file is one named like LICENSE or COPYING, or one whose matching
-lines hold at least ``FILE_SHARE`` of its terms. It gives its licence (of
+lines hold at least ``FILE_SHARE`` of its characters. It gives its licence (of
 several in one directory the most similar, then the smallest path) to its
 directory; a file without a licence of its own takes that of the nearest
 directory above it. This is settled once per directory, by equal-key joins on
@@ -19,7 +19,8 @@ Defined results: a null or empty text has no licence of its own and may
 inherit one; a file with a null path is in no tree and is not scanned (licence
 null, origin ``none``); files that share a path are scanned as one; ties go to
 the licence named first in the alphabet; an empty table gives an empty result;
-further columns pass through. Only the templates are broadcast.
+further columns pass through, but for those named like the results, which are
+replaced. Only the templates are broadcast.
 """
 
 from __future__ import annotations
@@ -96,19 +97,21 @@ def _terms(text: Column) -> Column:
 
 
 def own_licences(files: DataFrame, notices: Notices, threshold: float = THRESHOLD) -> DataFrame:
-    """``path, licence, similarity, share`` (of the file's terms on matching lines) of files with a notice."""
+    """``path, licence, similarity, share`` (of the file's characters on matching lines) of files with a notice."""
     idf, terms = notices.tables(files.sparkSession)
     anchored = notices.anchor_pattern()
     lines = (files.filter(F.col("path").isNotNull() & F.lower("text").rlike(anchored))
-             .select("path", F.size(_terms(F.col("text"))).alias("size"),
-                     F.posexplode(F.split("text", "\n")).alias("line", "words"))
+             .select("path", F.char_length("text").alias("size"), F.posexplode(F.split("text", "\n")).alias("line", "words"))
              .filter(F.lower("words").rlike(anchored)))
-    counted = (lines.select("path", "size", "line", F.explode(_terms(F.col("words"))).alias("term"))
-               .groupBy("path", "line", "term").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size")))
+    counted = (lines.select("path", "line", F.char_length("words").alias("chars"), "size",
+                            F.explode(_terms(F.col("words"))).alias("term"))
+               .groupBy("path", "line", "term")
+               .agg(F.count(F.lit(1)).alias("n"), F.max("chars").alias("chars"), F.max("size").alias("size")))
     weighed = (counted.join(F.broadcast(idf), "term", "left")
                .withColumn("weight", F.col("n") * F.coalesce("idf", F.lit(notices.unknown))))
     norms = weighed.groupBy("path", "line").agg(
-        F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"), F.sum("n").alias("n"), F.max("size").alias("size"))
+        F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"), F.max("chars").alias("chars"),
+        F.max("size").alias("size"))
     dots = (weighed.select("path", "line", "term", F.col("weight").alias("w"))
             .join(F.broadcast(terms), "term").groupBy("path", "line", "template", "licence")
             .agg(F.sum(F.col("w") * F.col("weight")).alias("dot")))
@@ -116,11 +119,11 @@ def own_licences(files: DataFrame, notices: Notices, threshold: float = THRESHOL
                .withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6))
                .filter(F.col("similarity") >= threshold))
     best = F.struct((-F.col("similarity")).alias("s"), F.col("licence").alias("l"))
-    per_line = matched.groupBy("path", "line").agg(F.min(best).alias("best"), F.max("n").alias("n"),
+    per_line = matched.groupBy("path", "line").agg(F.min(best).alias("best"), F.max("chars").alias("chars"),
                                                    F.max("size").alias("size"))
-    return (per_line.groupBy("path").agg(F.min("best").alias("best"), F.sum("n").alias("n"), F.max("size").alias("size"))
+    return (per_line.groupBy("path").agg(F.min("best").alias("best"), F.sum("chars").alias("chars"), F.max("size").alias("size"))
             .select("path", F.col("best.l").alias("licence"), (-F.col("best.s")).alias("similarity"),
-                    (F.col("n") / F.col("size")).alias("share")))
+                    (F.col("chars") / F.col("size")).alias("share")))
 
 
 def directory(path: Column) -> Column:
@@ -147,20 +150,21 @@ def licence_scan(files: DataFrame, templates: list[tuple[str, str]] | None = Non
     giving = own.filter(name.rlike(FILE_NAME) | (F.col("share") >= FILE_SHARE))
     best = F.struct((-F.col("similarity")).alias("s"), F.col("path").alias("p"), F.col("licence").alias("l"))
     of_folder = giving.groupBy(directory(F.col("path")).alias("above")).agg(F.min(best).alias("best"))
-    rows = files.drop("text").withColumn("__folder", directory(F.col("path")))
+    columns = [c for c in files.columns if c not in ("text", "licence", "similarity", "origin", "licence_from")]
+    inner = {c: f"__in_{i}" for i, c in enumerate(columns)}  # so that no column clashes with those below
+    rows = files.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()], directory(F.col("path")).alias("__folder"))
     folders = rows.select("__folder").filter(F.col("__folder").isNotNull()).distinct()
     nearest = (folders.select("__folder", F.inline(ancestors(F.col("__folder"))))
-               .join(of_folder, "above").groupBy("__folder")
-               .agg(F.min_by("best", "up").alias("__above")))
-    mine = own.select(F.col("path").alias("__path"), F.struct("licence", "similarity").alias("__own"))
-    joined = (rows.join(mine, F.col("path") == F.col("__path"), "left").join(nearest, "__folder", "left"))
-    has, up = F.col("__own").isNotNull(), F.col("__above").isNotNull()
+               .join(of_folder, "above").groupBy("__folder").agg(F.min_by("best", "up").alias("__above")))
+    mine = own.select(F.col("path").alias(inner["path"]), F.struct("licence", "similarity").alias("__own"))
+    joined = rows.join(mine, inner["path"], "left").join(nearest, "__folder", "left")
+    path, has, above = F.col(inner["path"]), F.col("__own").isNotNull(), F.col("__above")
     return joined.select(
-        *rows.columns[:-1],
-        F.when(has, F.col("__own.licence")).otherwise(F.col("__above.l")).alias("licence"),
-        F.when(has, F.col("__own.similarity")).when(up, -F.col("__above.s")).alias("similarity"),
-        F.when(has, "own").when(up, "inherited").otherwise("none").alias("origin"),
-        F.when(has, F.col("path")).otherwise(F.col("__above.p")).alias("licence_from"))
+        *[F.col(n).alias(c) for c, n in inner.items()],
+        F.when(has, F.col("__own.licence")).otherwise(above["l"]).alias("licence"),
+        F.when(has, F.col("__own.similarity")).otherwise(-above["s"]).alias("similarity"),
+        F.when(has, "own").when(above.isNotNull(), "inherited").otherwise("none").alias("origin"),
+        F.when(has, path).otherwise(above["p"]).alias("licence_from"))
 
 
 def document_files(docs: DataFrame) -> DataFrame:
