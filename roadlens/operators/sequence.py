@@ -12,13 +12,10 @@ offset tables instead:
 
 The largest window holds at most one car's hours (its partition is the
 count table, one row per hour) or the seconds of one hour (3,600 rows), and
-the per-pass window only sees passes with the same car and second. Every
-step is an aggregation with map-side combine or a join of equal keys.
-
-That split plan costs more shuffles than one window, so it is used only when
-needed: one aggregation first finds the heaviest key, and when it has at
-most ``max_group_rows`` rows a plain window numbers each key inside one task
-(the same order, so the same numbers).
+the per-pass window only sees passes with the same car and second. The pass
+that is first in its second carries that second's count, so both offset
+tables come from the shuffle of the per-pass window and the input is read
+once.
 """
 
 from __future__ import annotations
@@ -27,63 +24,46 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from roadlens.functions.dates import lenient_seconds
 from roadlens.schema import TIEBREAK_COLUMN
-from roadlens.session import setting
 
 # Passes whose time does not parse sort first, before every valid time.
 _NO_TIME = -(2 ** 62)
 
-# Largest key numbered by a single window task (rows); heavier keys switch
-# the whole operator to the split plan. Session setting SINGLE_TASK_CONF
-# overrides the default.
-SINGLE_TASK_ROWS = 5_000_000
-SINGLE_TASK_CONF = "roadlens.sequence.singleTaskRows"
-_FROM_SESSION = -1
-
-
-def heaviest_key_rows(df: DataFrame, key: str) -> int:
-    """Row count of the most frequent ``key`` (0 for no rows): a small aggregation."""
-    row = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
-    return int(row[0] or 0)
-
-
 def sequence_number(df: DataFrame, key: str = "car", time_col: str = "action_time",
-                    tiebreak: list[str] | None = None, out: str = "seq",
-                    max_group_rows: int | None = _FROM_SESSION) -> DataFrame:
+                    tiebreak: list[str] | None = None, out: str = "seq") -> DataFrame:
     """Add ``out`` = 1..n, the rank of each row inside ``key`` by time.
 
     Time is the lenient value of ``time_col`` (hour 25 rolls into the next
     day), then the raw text, then ``tiebreak`` columns (default: monitor,
     camera and the unique ``event_id`` when present). The order must be total
-    for a repeatable result. ``max_group_rows`` defaults to the session
-    setting ``roadlens.sequence.singleTaskRows`` (5,000,000); ``None`` or
-    ``0`` always use the split plan.
+    for a repeatable result. Rows with a null key are numbered as one key.
     """
-    if max_group_rows == _FROM_SESSION:
-        max_group_rows = setting(df.sparkSession, SINGLE_TASK_CONF, SINGLE_TASK_ROWS)
     if tiebreak is None:
         tiebreak = ["monitor_id", "camera_id"]
         if TIEBREAK_COLUMN in df.columns:
             tiebreak.append(TIEBREAK_COLUMN)
     t = F.coalesce(lenient_seconds(time_col), F.lit(_NO_TIME).cast(T.LongType()))
-    if max_group_rows and heaviest_key_rows(df, key) <= max_group_rows:
-        whole_key = Window.partitionBy(key).orderBy(t, time_col, *tiebreak)
-        return df.withColumn(out, F.row_number().over(whole_key).cast(T.LongType()))
-    # non-nullable keys: no inferred not-null filter differs between the two
-    # uses of the per-second counts, so their shuffle is computed once
     hour = F.coalesce(F.floor(F.col("_t") / 3600), F.lit(0).cast(T.LongType()))
-    base = df.withColumn("_t", t).withColumn("_h", hour)
+    # null-free keys: joins keep the partitioning of the windows, and both uses
+    # of the numbered rows share one shuffle (the order names every column, so
+    # that neither use drops one)
+    same = ["_k", "_z"]
+    rest = [c for c in df.columns if c not in (key, time_col, *tiebreak)]
+    second = Window.partitionBy(*same, "_t")
+    numbered = (df.withColumn("_t", t).withColumn("_h", hour)
+                .withColumn("_k", F.coalesce(F.col(key).cast("string"), F.lit("")))
+                .withColumn("_z", F.col(key).isNull())
+                .withColumn("_rn", F.row_number().over(second.orderBy(time_col, *tiebreak, *rest, key)))
+                .withColumn("_n", F.count(F.lit(1)).over(second)))
 
     before = Window.unboundedPreceding
-    per_second = (base.groupBy(key, "_h", "_t").agg(F.count(F.lit(1)).alias("_n"))
+    per_second = (numbered.filter(F.col("_rn") == 1).select(*same, "_h", "_t", "_n")
                   .withColumn("_off_s", F.coalesce(F.sum("_n").over(
-                      Window.partitionBy(key, "_h").orderBy("_t").rowsBetween(before, -1)), F.lit(0))))
-    per_hour = (per_second.groupBy(key, "_h").agg(F.sum("_n").alias("_nh"))
+                      Window.partitionBy(*same, "_h").orderBy("_t").rowsBetween(before, -1)), F.lit(0))))
+    per_hour = (per_second.groupBy(*same, "_h").agg(F.sum("_n").alias("_nh"))
                 .withColumn("_off_h", F.coalesce(F.sum("_nh").over(
-                    Window.partitionBy(key).orderBy("_h").rowsBetween(before, -1)), F.lit(0))))
-    offsets = (per_second.join(per_hour, [key, "_h"])
-               .select(key, "_t", (F.col("_off_h") + F.col("_off_s")).alias("_off")))
-
-    within = Window.partitionBy(key, "_t").orderBy(time_col, *tiebreak)
-    return (base.join(offsets, [key, "_t"])
-                .withColumn(out, (F.col("_off") + F.row_number().over(within)).cast(T.LongType()))
-                .drop("_t", "_h", "_off"))
+                    Window.partitionBy(*same).orderBy("_h").rowsBetween(before, -1)), F.lit(0))))
+    offsets = (per_second.join(per_hour, [*same, "_h"])
+               .select(*same, "_t", (F.col("_off_h") + F.col("_off_s")).alias("_off")))
+    return (numbered.join(offsets, [*same, "_t"])
+            .withColumn(out, (F.col("_off") + F.col("_rn")).cast(T.LongType()))
+            .select(*[c for c in df.columns if c != out], out))

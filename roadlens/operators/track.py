@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from roadlens.functions.numbers import half_up_ratio
 from roadlens.operators.common import legal_cars
-from roadlens.operators.sequence import _FROM_SESSION, sequence_number
+from roadlens.operators.sequence import sequence_number
 from roadlens.schema import TIEBREAK_COLUMN
 
 # Passes per partial track string when building long tracks in two levels.
 TRACK_BLOCK = 1024
 
+# Steps of a path that one bit mask holds.
+MASK_BITS = 62
+
 
 def _sequence_columns(flow: DataFrame, extra: list[str]) -> DataFrame:
     cols = ["car", "action_time", "monitor_id", "camera_id"] + extra
@@ -20,8 +23,7 @@ def _sequence_columns(flow: DataFrame, extra: list[str]) -> DataFrame:
     return legal_cars(flow).select(*dict.fromkeys(cols))
 
 
-def car_track_blocks(flow: DataFrame, block: int = TRACK_BLOCK,
-                     max_group_rows: int | None = _FROM_SESSION) -> DataFrame:
+def car_track_blocks(flow: DataFrame, block: int = TRACK_BLOCK) -> DataFrame:
     """Tracks in blocks of ``block`` consecutive passes of a car.
 
     ``car``, ``block`` (0, 1, ...), ``first_seq``/``last_seq`` (positions of
@@ -31,7 +33,7 @@ def car_track_blocks(flow: DataFrame, block: int = TRACK_BLOCK,
     ``block`` passes whatever the car, so this form also holds for plates
     with more passes than fit in one text value.
     """
-    ranked = sequence_number(_sequence_columns(flow, ["date"]), max_group_rows=max_group_rows)
+    ranked = sequence_number(_sequence_columns(flow, ["date"]))
     return (ranked.withColumn("block", F.floor((F.col("seq") - 1) / block))
             .groupBy("car", "block")
             .agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"),
@@ -39,8 +41,7 @@ def car_track_blocks(flow: DataFrame, block: int = TRACK_BLOCK,
                  F.expr("listagg(monitor_id, ',') WITHIN GROUP (ORDER BY seq)").alias("track_part")))
 
 
-def car_track(flow: DataFrame, block: int = TRACK_BLOCK,
-              max_group_rows: int | None = _FROM_SESSION) -> DataFrame:
+def car_track(flow: DataFrame, block: int = TRACK_BLOCK) -> DataFrame:
     """One row per car: ``date`` of its last pass, ``car``, ``car_track``.
 
     ``car_track`` is the monitor ids of the car's passes in time order joined
@@ -48,7 +49,7 @@ def car_track(flow: DataFrame, block: int = TRACK_BLOCK,
     :func:`car_track_blocks`, so the last step only joins one part per block
     of ``block`` passes; the result row itself holds the whole track.
     """
-    parts = car_track_blocks(flow, block, max_group_rows)
+    parts = car_track_blocks(flow, block)
     return (parts.groupBy("car")
             .agg(F.max_by("last_date", "last_seq").alias("date"),
                  F.expr("listagg(track_part, ',') WITHIN GROUP (ORDER BY block)").alias("car_track"))
@@ -59,8 +60,7 @@ def _prefix_texts(path: list[str]) -> list[str]:
     return [",".join(path[: i + 1]) for i in range(len(path))]
 
 
-def path_step_counts(flow: DataFrame, path: list[str],
-                     max_group_rows: int | None = _FROM_SESSION) -> DataFrame:
+def path_step_counts(flow: DataFrame, path: list[str]) -> DataFrame:
     """For each prefix p1..pi of ``path``: occurrences as a contiguous run.
 
     Returns ``step`` (i), ``path`` (the prefix text), ``cnt`` (occurrences in
@@ -74,19 +74,30 @@ def path_step_counts(flow: DataFrame, path: list[str],
     car.
     """
     k = len(path)
-    if k == 0 or k > 62:
-        raise ValueError("path needs between 1 and 62 monitors")
-    ranked = sequence_number(_sequence_columns(flow, []), max_group_rows=max_group_rows)
+    if k == 0:
+        raise ValueError("path needs at least one monitor")
+    ranked = sequence_number(_sequence_columns(flow, []))
     path_arr = F.array(*[F.lit(p) for p in path])
     offsets = F.filter(F.array(*[F.lit(j) for j in range(k)]),
                        lambda j: F.element_at(path_arr, j + 1) == F.col("monitor_id"))
     votes = (ranked.filter(F.col("monitor_id").isin(sorted(set(path))))
              .select("car", "seq", F.explode(offsets).alias("_j"))
              .select("car", (F.col("seq") - F.col("_j")).alias("_start"), "_j"))
-    runs = (votes.groupBy("car", "_start")
-            .agg(F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), _j)")).alias("_mask")))
-    # length of the matched prefix = number of trailing one bits of the mask
-    run_len = F.bit_count(F.shiftright(F.col("_mask").bitwiseXOR(F.col("_mask") + 1), 1))
+    # one mask per MASK_BITS steps; a full mask lets the run go on in the next
+    starts = range(0, k, MASK_BITS)
+    runs = votes.groupBy("car", "_start").agg(*[
+        F.bit_or(F.when(F.col("_j").between(at, at + MASK_BITS - 1),
+                        F.expr(f"shiftleft(CAST(1 AS BIGINT), _j - {at})")).otherwise(F.lit(0).cast(T.LongType())))
+        .alias(f"_mask{at}") for at in starts])
+    run_len, going = F.lit(0), F.lit(True)
+    for at in starts:
+        mask, width = F.col(f"_mask{at}"), min(MASK_BITS, k - at)
+        # length of the matched part = number of trailing one bits of the mask
+        part = F.bit_count(F.shiftright(mask.bitwiseXOR(mask + 1), 1))
+        run_len = run_len + F.when(going, part).otherwise(0)
+        going = going & (part == width)
+    runs = runs.select(run_len.alias("_len"))
+    run_len = F.col("_len")
     totals = runs.agg(*[F.coalesce(F.sum(F.when(run_len >= i, 1).otherwise(0)), F.lit(0))
                         .cast(T.LongType()).alias(f"_c{i}") for i in range(1, k + 1)])
     texts = _prefix_texts(path)
@@ -98,8 +109,7 @@ def path_step_counts(flow: DataFrame, path: list[str],
     return totals.select(F.inline(steps))
 
 
-def path_conversion(flow: DataFrame, path: list[str],
-                    max_group_rows: int | None = _FROM_SESSION) -> DataFrame:
+def path_conversion(flow: DataFrame, path: list[str]) -> DataFrame:
     """Step conversion rates along ``path``.
 
     One row per step i >= 2 with a non-zero count: ``step``, ``path`` (the
@@ -107,6 +117,10 @@ def path_conversion(flow: DataFrame, path: list[str],
     rounded half-up to two decimals. Counts never grow with i, so the
     previous non-zero step is simply step i-1.
     """
-    counts = path_step_counts(flow, path, max_group_rows)
+    return conversion_rates(path_step_counts(flow, path))
+
+
+def conversion_rates(counts: DataFrame) -> DataFrame:
+    """Rates of the steps of :func:`path_step_counts`."""
     return (counts.filter((F.col("step") >= 2) & (F.col("cnt") > 0))
             .withColumn("rate", half_up_ratio("cnt", "prev_cnt", 2)))

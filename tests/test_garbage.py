@@ -44,9 +44,9 @@ def test_operators_do_not_raise(spark, garbage):
         "fastest": speed_top10_detail(flow, 3), "area": area_road_topn(flow, areas, 2),
         "follow": follow_car(flow, ["A1", "B2"]),
         "hours": hourly_car_count(flow), "quota": hourly_quota(flow, 10), "sample": picked,
-        "detail": sample_detail(flow, picked, 10), "sample_track": sample_track(flow, picked, 10),
-        "track": car_track(flow), "blocks": car_track_blocks(flow, 2, max_group_rows=0),
-        "steps": path_step_counts(flow, ["0001", "0002"]), "steps_split": path_step_counts(flow, ["0001", "0002"], 0),
+        "detail": sample_detail(flow, picked), "sample_track": sample_track(flow, picked),
+        "track": car_track(flow), "blocks": car_track_blocks(flow, 2),
+        "steps": path_step_counts(flow, ["0001", "0002"]),
         "rates": path_conversion(flow, ["0001", "0002"]), "live": stream_monitor_speed(flow),
     }
     for name, df in frames.items():

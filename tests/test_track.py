@@ -64,15 +64,37 @@ def test_sequence_number_equals_plain_row_number(spark):
     df = flow_rows(spark, rows)
     w = Window.partitionBy("car").orderBy(F.expr("cast(action_time as string)"), "monitor_id", "camera_id", "event_id")
     want = sorted(map(tuple, df.select("event_id", F.row_number().over(w).cast("long").alias("seq")).collect()))
-    for limit in (0, 100, None, 10 ** 9):  # split plan forced, chosen (HOT > 100), always split, single window
-        got = sequence_number(df, max_group_rows=limit).select("event_id", "seq")
-        assert sorted(map(tuple, got.collect())) == want, limit
+    got = sequence_number(df)
+    assert got.columns == [*df.columns, "seq"]
+    assert sorted(map(tuple, got.select("event_id", "seq").collect())) == want
+
+
+def test_rows_with_a_null_key_are_numbered(spark):
+    df = flow_rows(spark, [(None, "2018-07-01 10:00:00", "0001"), (None, "2018-07-01 09:00:00", "0002"),
+                           ("", "2018-07-01 09:00:00", "0003"), ("A", None, "0004"), ("A", "2018-07-01 09:00:00", "0005")])
+    got = {(r["car"], r["monitor_id"]): r["seq"] for r in sequence_number(df).collect()}
+    assert got == {(None, "0001"): 2, (None, "0002"): 1, ("", "0003"): 1, ("A", "0004"): 1, ("A", "0005"): 2}
+
+
+def test_paths_longer_than_a_mask(spark):
+    track = [f"{i:04d}" for i in range(70)]
+    df = _track(spark, track + track[:65])
+    assert counts(path_step_counts(df, track)) == [2] * 65 + [1] * 5
+    assert path_conversion(df, track).filter("step = 66").first()["rate"] == 0.5
+
+
+def test_no_window_holds_a_whole_car(spark):
+    import re
+    flow = flow_by_date(read_passes(spark, SF001))
+    plan = path_step_counts(flow, ["0001", "0002"])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(_k#\d+, _z#\d+, _t#\d+L", plan)
+    assert not re.search(r"hashpartitioning\(car#\d+, \d+\)", plan)
 
 
 def test_two_level_track_assembly(spark):
     flow = flow_by_date(read_passes(spark, SF001))
     one_level = {r["car"]: (r["date"], r["car_track"]) for r in car_track(flow, block=1 << 30).collect()}
-    small = {r["car"]: (r["date"], r["car_track"]) for r in car_track(flow, block=3, max_group_rows=0).collect()}
+    small = {r["car"]: (r["date"], r["car_track"]) for r in car_track(flow, block=3).collect()}
     assert one_level == small
 
 
@@ -88,10 +110,8 @@ def test_path_counts_match_a_substring_counter(spark):
     flow = flow_by_date(read_passes(spark, SF001))
     path = ["0001", "0002", "0003", "0004", "0005"]
     tracks = [r["car_track"] for r in car_track(flow).collect()]
-    assert sorted(tracks) == sorted(r["car_track"] for r in car_track(flow, max_group_rows=0).collect())
     want = [sum(_substring_count(t, ",".join(path[:i])) for t in tracks) for i in range(1, 6)]
     assert counts(path_step_counts(flow, path)) == want == [112, 14, 0, 0, 0]
-    assert counts(path_step_counts(flow, path, max_group_rows=0)) == want
     rates = path_conversion(flow, path).collect()
     assert [(r["path"], r["rate"]) for r in rates] == [("0001,0002", 0.13)]
 
@@ -102,8 +122,8 @@ def test_partition_independence(spark):
     results = []
     for n in (1, 4, 64):
         spark.conf.set("spark.sql.shuffle.partitions", str(n))
-        results.append((counts(path_step_counts(flow, path, max_group_rows=0)),
-                        Counter(r["car_track"] for r in car_track(flow, max_group_rows=0).collect())))
+        results.append((counts(path_step_counts(flow, path)),
+                        Counter(r["car_track"] for r in car_track(flow).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
 
