@@ -5,32 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from roadlens.functions.text import is_empty
-from roadlens.session import materialize, setting
-
-# Largest side we broadcast after checking its row count; the session
-# setting BROADCAST_CONF overrides it.
-BROADCAST_MAX_ROWS = 1_000_000
-BROADCAST_CONF = "roadlens.broadcast.maxRows"
-
-
-def broadcast_limit(spark) -> int:
-    return setting(spark, BROADCAST_CONF, BROADCAST_MAX_ROWS)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The side is computed once and written to the shared folder
-    (``spark.checkpoint.dir``), so the size check and the join read the
-    written rows instead of recomputing them, and a lost executor does not
-    send the join back to the source scan. Beyond the bound the caller's
-    join stays a shuffle join (with AQE skew handling).
-    """
-    if max_rows is None:
-        max_rows = broadcast_limit(df.sparkSession)
-    small = materialize(df, "join-side")
-    n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
 
 
 def legal_cars(flow: DataFrame) -> DataFrame:

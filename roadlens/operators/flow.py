@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from roadlens.operators.common import bounded_broadcast, legal_cars
+from roadlens.operators.common import legal_cars
 
 
 def flow_by_date(flow: DataFrame, start_date: str | None = None, end_date: str | None = None,
@@ -25,5 +25,5 @@ def flow_by_date(flow: DataFrame, start_date: str | None = None, end_date: str |
         if areas is None:
             raise ValueError("area_name needs the area dimension")
         wanted = areas.filter(F.col("area_name") == F.lit(area_name)).select("area_id")
-        out = out.join(bounded_broadcast(wanted), "area_id", "left_semi")
+        out = out.join(wanted, "area_id", "left_semi")
     return out

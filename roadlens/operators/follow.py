@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from roadlens.functions.dates import range_label
-from roadlens.operators.common import bounded_broadcast, legal_cars
+from roadlens.operators.common import legal_cars
 
 
-# Target lists up to this size are inlined as literals; longer ones are joined.
-INLINE_TARGETS = 1000
-
 
 def follow_car(flow: DataFrame, targets: list[str] | DataFrame) -> DataFrame:
     """One row per (monitor, five-minute range) where a target car passed.
@@ -22,21 +19,15 @@ def follow_car(flow: DataFrame, targets: list[str] | DataFrame) -> DataFrame:
     combine, and only then grouped: no pair of passes is ever formed.
     """
     passes = legal_cars(flow).select("monitor_id", range_label("action_time").alias("range_time"), "car")
-    if isinstance(targets, DataFrame):
-        of_targets = passes.join(bounded_broadcast(targets.select("car").distinct()), "car", "left_semi")
-    elif len(targets) > INLINE_TARGETS:
-        listed = flow.sparkSession.createDataFrame([(c,) for c in dict.fromkeys(targets)], "car string")
-        of_targets = passes.join(F.broadcast(listed), "car", "left_semi")  # bounded by the list
-    else:
-        of_targets = passes.filter(F.col("car").isin(list(targets)))
-    cells = bounded_broadcast(
-        of_targets.filter(F.col("monitor_id").isNotNull() & F.col("range_time").isNotNull())
-        .select("monitor_id", "range_time").distinct())
+    if not isinstance(targets, DataFrame):
+        targets = flow.sparkSession.createDataFrame([(c,) for c in dict.fromkeys(targets)], "car string")
+    of_targets = passes.join(targets.select("car").distinct(), "car", "left_semi")
+    cells = (of_targets.filter(F.col("monitor_id").isNotNull() & F.col("range_time").isNotNull())
+             .select(F.col("monitor_id").alias("_m"), F.col("range_time").alias("_r")).distinct())
     # The cells hold no nulls, so a null-safe match equals a plain equi-join;
     # it also keeps the optimizer from re-evaluating the label expression in
     # an inferred not-null filter below the projection.
-    on = [passes["monitor_id"].eqNullSafe(cells["monitor_id"]),
-          passes["range_time"].eqNullSafe(cells["range_time"])]
+    on = [F.col("monitor_id").eqNullSafe(F.col("_m")), F.col("range_time").eqNullSafe(F.col("_r"))]
     seen = passes.join(cells, on, "left_semi").distinct()
     return seen.groupBy("monitor_id", "range_time").agg(
         F.array_join(F.array_sort(F.collect_list("car")), ",").alias("cars"),

@@ -13,8 +13,8 @@ SPEED_NORMAL = 60
 
 
 def monitor_flow(flow: DataFrame) -> DataFrame:
-    """Passes per monitor: ``monitor_id``, ``car_count``."""
-    return flow.groupBy("monitor_id").agg(F.count(F.lit(1)).alias("car_count"))
+    """Passes per monitor: ``monitor_id``, ``car_count`` (passes without a monitor belong to none)."""
+    return flow.filter(F.col("monitor_id").isNotNull()).groupBy("monitor_id").agg(F.count(F.lit(1)).alias("car_count"))
 
 
 def topn_monitor(flow: DataFrame, n: int) -> DataFrame:
@@ -30,9 +30,9 @@ def topn_monitor_detail(flow: DataFrame, n: int) -> DataFrame:
 
 
 def speed_bands(flow: DataFrame) -> DataFrame:
-    """Passes per monitor in each speed band; null speeds are in no band."""
+    """Passes per monitor in each speed band; null speeds are in no band, null monitors are left out."""
     s = speed_kmh("speed")
-    return flow.groupBy("monitor_id").agg(
+    return flow.filter(F.col("monitor_id").isNotNull()).groupBy("monitor_id").agg(
         F.count_if(s >= SPEED_HIGH).alias("high_count"),
         F.count_if((s >= SPEED_MEDIUM) & (s < SPEED_HIGH)).alias("medium_count"),
         F.count_if((s >= SPEED_NORMAL) & (s < SPEED_MEDIUM)).alias("normal_count"),

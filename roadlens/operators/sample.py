@@ -19,11 +19,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from roadlens.functions.dates import date_hour, date_of
+from roadlens.functions.dates import date_hour, date_of, lenient_seconds
 from roadlens.functions.numbers import int_div
-from roadlens.operators.common import broadcast_limit, legal_cars
+from roadlens.operators.common import legal_cars
 from roadlens.operators.track import car_track
-from roadlens.session import materialize
 
 # Hex digits of the hash used as the histogram bucket.
 BUCKET_DIGITS = 2
@@ -33,9 +32,10 @@ def hour_cars(flow: DataFrame) -> DataFrame:
     """Distinct (``date``, ``date_hour``, ``car``) of the passes.
 
     ``date`` and ``date_hour`` come from the text of ``action_time`` (an hour
-    label may be 24 or more).
+    label may be 24 or more). Passes whose time does not parse belong to no
+    hour and no day.
     """
-    return (legal_cars(flow)
+    return (legal_cars(flow).filter(lenient_seconds("action_time").isNotNull())
             .select(date_of("action_time").alias("date"), date_hour("action_time").alias("date_hour"), "car")
             .distinct())
 
@@ -52,10 +52,9 @@ def _quota(cars: str, day_cars: str, n_days, extract_num: int):
     return F.least(F.col(cars), F.floor(share).cast(T.LongType()))
 
 
-def _day_count(cars: DataFrame):
-    # a scalar subquery over the distinct (date, hour, car) rows, whose
-    # shuffle the main plan computes anyway
-    return cars.select(F.count_distinct("date")).scalar()
+def _day_count(rows: DataFrame):
+    # over one row per hour or bucket, from the shuffle that the main plan reads too
+    return rows.select(F.count_distinct("date")).scalar()
 
 
 def hourly_quota(flow: DataFrame, extract_num: int) -> DataFrame:
@@ -64,7 +63,7 @@ def hourly_quota(flow: DataFrame, extract_num: int) -> DataFrame:
     counts = cars.groupBy("date", "date_hour").agg(F.count(F.lit(1)).alias("cars"))
     # one row per hour label: the per-day window is small
     return (counts.withColumn("_day_cars", F.sum("cars").over(Window.partitionBy("date")))
-            .withColumn("quota", _quota("cars", "_day_cars", _day_count(cars), extract_num))
+            .withColumn("quota", _quota("cars", "_day_cars", _day_count(counts), extract_num))
             .drop("_day_cars"))
 
 
@@ -91,32 +90,27 @@ def sample_cars(flow: DataFrame, extract_num: int, seed: int = 42) -> DataFrame:
                .withColumn("_cars", F.sum("_n").over(hour))
                .withColumn("_before", F.coalesce(F.sum("_n").over(
                    hour.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .withColumn("quota", _quota("_cars", "_day_cars", _day_count(cars), extract_num)))
-    # the bucket where the running count passes the quota: one row per hour label
+               .withColumn("quota", _quota("_cars", "_day_cars", _day_count(hist), extract_num)))
+    # the bucket where the running count passes the quota: one row per hour
     cut = (running.filter((F.col("_before") <= F.col("quota")) & (F.col("_before") + F.col("_n") > F.col("quota")))
            .select("date_hour", F.col("_b").alias("_cut"), (F.col("quota") - F.col("_before")).alias("_need")))
     # hours without a cut row keep all their cars; the filter keeps the join an
     # outer join, so both uses of the ranked rows share one shuffle
     keep = (F.col("_cut").isNull() | (F.col("_b") < F.col("_cut"))
             | ((F.col("_b") == F.col("_cut")) & (F.col("_rn") <= F.col("_need"))))
-    return (ranked.drop("_n").join(F.broadcast(cut), "date_hour", "left").filter(keep)
+    return (ranked.drop("_n").join(cut, "date_hour", "left").filter(keep)
             .select("date", "date_hour", "car"))
 
 
-def sample_detail(flow: DataFrame, sampled: DataFrame, max_cars: int) -> DataFrame:
+def sample_detail(flow: DataFrame, sampled: DataFrame) -> DataFrame:
     """All passes (whole date range) of the sampled cars.
 
-    ``max_cars`` bounds the number of sampled cars (the extraction count).
-    When that bound is small the car set is written once to the shared
-    folder (the sample is computed once, whatever plan reads it) and
-    broadcast; otherwise it stays a shuffle semi join.
+    A semi join on the cars; Spark broadcasts them when their measured size
+    allows it and shuffles otherwise.
     """
-    wanted = sampled.select("car").distinct()
-    if max_cars <= broadcast_limit(flow.sparkSession):
-        wanted = F.broadcast(materialize(wanted, "sampled-car-set"))
-    return legal_cars(flow).join(wanted, "car", "left_semi")
+    return legal_cars(flow).join(sampled.select("car").distinct(), "car", "left_semi")
 
 
-def sample_track(flow: DataFrame, sampled: DataFrame, max_cars: int) -> DataFrame:
+def sample_track(flow: DataFrame, sampled: DataFrame) -> DataFrame:
     """Tracks of the sampled cars (``date``, ``car``, ``car_track``)."""
-    return car_track(sample_detail(flow, sampled, max_cars))
+    return car_track(sample_detail(flow, sampled))

@@ -26,8 +26,8 @@ from roadlens.operators.follow import follow_car
 from roadlens.operators.monitor import (
     monitor_state, speed_top10_detail, topn_monitor, topn_monitor_detail,
 )
-from roadlens.operators.sample import sample_cars, sample_detail, sample_track
-from roadlens.operators.track import path_conversion, path_step_counts
+from roadlens.operators.sample import sample_cars, sample_detail
+from roadlens.operators.track import car_track, conversion_rates, path_step_counts
 from roadlens.schema import DETAIL_COLUMNS
 from roadlens.session import materialize
 from roadlens.sources.sink import write_result
@@ -60,10 +60,11 @@ def sample_results(flow: DataFrame, p, seed: int = DEFAULT_SEED) -> dict[str, Da
     # the sample is small (at most extract_num rows) and feeds two results:
     # compute it once and cut its lineage
     picked = materialize(sample_cars(passes, extract_num, seed), "sampled-cars")
+    detail = materialize(sample_detail(passes, picked), "sampled-passes")  # read for two results
     return {
         "random_extract_car": picked.select(F.col("car").alias("car_info"), F.col("date").alias("date_d"), "date_hour"),
-        "random_extract_car_detail_info": sample_detail(passes, picked, extract_num).select(*DETAIL_COLUMNS),
-        "car_track": sample_track(passes, picked, extract_num),
+        "random_extract_car_detail_info": detail.select(*DETAIL_COLUMNS),
+        "car_track": car_track(detail),
     }
 
 
@@ -81,8 +82,8 @@ def area_results(flow: DataFrame, areas: DataFrame, p, n: int = DEFAULT_AREA_TOP
 def path_results(flow: DataFrame, p) -> dict[str, DataFrame]:
     passes = flow_by_date(flow, p["start_date"], p["end_date"])
     path = [m.strip() for m in p["road_flow"]]
-    return {"path_step_count": path_step_counts(passes, path),
-            "path_conversion_rate": path_conversion(passes, path)}
+    counts = materialize(path_step_counts(passes, path), "path-counts")  # one row a step, for two results
+    return {"path_step_count": counts, "path_conversion_rate": conversion_rates(counts)}
 
 
 def task_results(spark: SparkSession, tasks: DataFrame, task_id: int, flow: DataFrame,

@@ -7,7 +7,7 @@ them (hours >= 24 are legal in ``action_time`` and do not parse as a time).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, functions as F, types as T
 
 # One row per vehicle pass, all nullable strings, in file column order.
 FLOW_COLUMNS = ["date", "monitor_id", "camera_id", "car", "action_time",
@@ -41,28 +41,12 @@ TASK_SCHEMA = T.StructType([
 # Detail rows written by the detail result tables (no area_id).
 DETAIL_COLUMNS = ["date", "monitor_id", "camera_id", "car", "action_time", "speed", "road_id"]
 
-# Default total order of one car's passes: time text first, then the
-# tie-break columns. A source may add an extra unique column (the events
-# adapter adds ``event_id``), which is appended when present.
-PASS_ORDER = ["action_time", "monitor_id", "camera_id"]
+# An extra unique column that a source may add (the events adapter does); it
+# ends the order of one car's passes.
 TIEBREAK_COLUMN = "event_id"
 
 
-def pass_order(df: DataFrame) -> list[str]:
-    """Order columns for passes of one car, with the optional unique tie-break."""
-    cols = list(PASS_ORDER)
-    if TIEBREAK_COLUMN in df.columns:
-        cols.append(TIEBREAK_COLUMN)
-    return cols
-
-
 def speed_kmh(col: str | Column = "speed") -> Column:
     """Speed text as INT; null when it is not an integer."""
     c = F.col(col) if isinstance(col, str) else col
     return c.try_cast(T.IntegerType())
-
-
-def typed_flow(flow: DataFrame) -> DataFrame:
-    """Flow rows plus ``speed_kmh INT`` and ``event_ts TIMESTAMP`` (null for hour >= 24)."""
-    return flow.withColumn("speed_kmh", speed_kmh("speed")).withColumn(
-        "event_ts", F.try_to_timestamp(F.col("action_time"), F.lit("yyyy-MM-dd HH:mm:ss")))

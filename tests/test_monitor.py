@@ -3,7 +3,7 @@ from roadlens.operators.area import area_road_topn
 from roadlens.operators.flow import flow_by_date
 from roadlens.operators.follow import follow_car
 from roadlens.operators.monitor import (
-    camera_registry, monitor_camera_state, monitor_state, speed_rank_monitor,
+    camera_registry, monitor_camera_state, monitor_state, speed_bands, speed_rank_monitor,
     speed_top10_detail, topn_monitor, topn_monitor_detail,
 )
 from roadlens.sources.events import area_from_region, read_passes
@@ -124,14 +124,18 @@ def test_area_names_deterministic(spark):
 
 
 def test_follow_car_target_forms_agree(spark):
-    import roadlens.operators.follow as follow
     flow = _flow(spark, SF001)
     targets = ["U00001", "U00004"]
     want = sorted(map(tuple, follow_car(flow, targets).collect()))
     frame = spark.createDataFrame([(c,) for c in targets], "car string")
     assert sorted(map(tuple, follow_car(flow, frame).collect())) == want
-    old, follow.INLINE_TARGETS = follow.INLINE_TARGETS, 1
-    try:
-        assert sorted(map(tuple, follow_car(flow, targets).collect())) == want
-    finally:
-        follow.INLINE_TARGETS = old
+
+
+def test_details_hold_every_pass_of_the_counts(spark):
+    flow = flow_rows(spark, [("A", "2018-07-01 10:00:00", None), ("B", "2018-07-01 10:00:00", None),
+                             ("A", "2018-07-01 10:00:01", "M1"), ("C", None, "M2"), ("C", "2018-07-01 11:00:00", "M2")])
+    top = {r["monitor_id"]: r["car_count"] for r in topn_monitor(flow, 5).collect()}
+    assert top == {"M1": 1, "M2": 2}
+    assert topn_monitor_detail(flow, 5).count() == 3 and topn_monitor_detail(flow, 1).count() == 2
+    assert None not in [r["monitor_id"] for r in speed_bands(flow).collect()]
+    assert speed_top10_detail(flow, 5).count() == 3

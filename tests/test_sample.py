@@ -79,10 +79,10 @@ def test_detail_and_track_cover_whole_range(spark):
     flow = flow_by_date(read_passes(spark, SF001))
     picked = sample_cars(flow, 3000, 42)
     cars = {r["car"] for r in picked.collect()}
-    detail = sample_detail(flow, picked, 3000)
+    detail = sample_detail(flow, picked)
     assert {r["car"] for r in detail.select("car").distinct().collect()} == cars
     assert detail.count() == flow.filter(flow.car.isin(list(cars))).count()
-    assert sample_track(flow, picked, 3000).count() == len(cars)
+    assert sample_track(flow, picked).count() == len(cars)
     plan = detail._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in plan
 
@@ -91,3 +91,13 @@ def test_hourly_counts(spark):
     flow = flow_by_date(read_passes(spark, SF01))
     rows = hourly_car_count(flow).collect()
     assert len(rows) == 720 and sum(r["cars"] for r in rows) > 0
+
+
+def test_bad_times_belong_to_no_hour_and_no_day(spark):
+    good = [(f"C{i:03d}", "2018-07-01 10:00:00") for i in range(100)]
+    bad = [(f"N{i:03d}", t) for i, t in enumerate([None, "", "garbage", "2018-07-02", "2018-07-01 1x:00:00"] * 100)]
+    flow = flow_rows(spark, [(c, t, "0001") for c, t in good + bad])
+    picked = sample_cars(flow, 10, 42).collect()
+    assert len(picked) == 10 and {r["date_hour"] for r in picked} == {"2018-07-01_10"}
+    assert [(r["cars"], r["quota"]) for r in hourly_quota(flow, 10).collect()] == [(100, 10)]
+    assert {tuple(r) for r in picked} == _brute_force([{"car": c, "action_time": t} for c, t in good], 10, 42)
