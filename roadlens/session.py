@@ -1,8 +1,7 @@
 """Session and shared-folder helpers.
 
-Everything in the library is lazy DataFrame code; this module only builds a
-session for tests / benchmarks and locates the shared folder used to cut
-lineage (``spark.checkpoint.dir``).
+This module builds a session for tests and benchmarks and locates the shared
+folder used to cut lineage (``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
@@ -43,11 +42,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the deployment (a distributed file
-    system path). Only when it is unset (local tests) do we create a private
-    folder and register it, so ``DataFrame.checkpoint()`` works as well.
+    system path); unset, it is an error there. Only in local mode is a private
+    folder made and registered, so ``DataFrame.checkpoint()`` works as well.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if not configured:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="roadlens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, configured)
     try:  # classic sessions: also let DataFrame.checkpoint() use the folder
@@ -74,9 +76,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def setting(spark: SparkSession, key: str, default: int) -> int:
-    """An integer library setting from the session conf (``roadlens.*`` keys)."""
-    value = spark.conf.get(key, None)
-    return default if value in (None, "") else int(value)

@@ -3,7 +3,8 @@
 The load step reads the text files with the fixed schema (no inference),
 keeps quotes as ordinary characters as a delimited text table would, and
 writes parquet partitioned by ``date`` so that date ranges prune whole
-partitions. Re-running a load replaces the partitions it writes.
+partitions. A load replaces the whole table. As in a delimited text table,
+``\\N`` is null and an empty field is an empty text.
 """
 
 from __future__ import annotations
@@ -13,15 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from roadlens.schema import FLOW_COLUMNS, FLOW_SCHEMA, REGISTRY_SCHEMA
 
 _TEXT_OPTIONS = {"sep": "\t", "quote": "", "escape": "", "header": "false",
-                 "mode": "PERMISSIVE", "emptyValue": "", "nullValue": None}
+                 "mode": "PERMISSIVE", "emptyValue": "", "nullValue": "\\N"}
 
 
 def _reader(spark: SparkSession, schema):
-    reader = spark.read.schema(schema)
-    for key, value in _TEXT_OPTIONS.items():
-        if value is not None:
-            reader = reader.option(key, value)
-    return reader
+    return spark.read.schema(schema).options(**_TEXT_OPTIONS)
 
 
 def read_tsv(spark: SparkSession, path: str, schema=FLOW_SCHEMA) -> DataFrame:
@@ -34,7 +31,7 @@ def write_tsv(df: DataFrame, path: str, columns: list[str] | None = None) -> Non
     cols = columns or FLOW_COLUMNS
     (df.select(*cols).write.mode("overwrite")
        .option("sep", "\t").option("quote", "").option("escape", "")
-       .option("header", "false").csv(path))
+       .option("header", "false").option("nullValue", "\\N").option("emptyValue", "").csv(path))
 
 
 def load_tsv(spark: SparkSession, flow_path: str, table_path: str,
@@ -45,8 +42,10 @@ def load_tsv(spark: SparkSession, flow_path: str, table_path: str,
     a string). The optional registry files are loaded to their own table.
     """
     flow = read_tsv(spark, flow_path, FLOW_SCHEMA)
-    (flow.write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
+    # rows of a date meet in few tasks (AQE splits a large date), so files follow
+    # the dates and not tasks x dates
+    (flow.hint("rebalance", "date").write.mode("overwrite")
+         .option("partitionOverwriteMode", "static")
          .partitionBy("date").parquet(table_path))
     if registry_path is not None and registry_table_path is not None:
         read_tsv(spark, registry_path, REGISTRY_SCHEMA).write.mode("overwrite").parquet(registry_table_path)

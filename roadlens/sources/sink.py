@@ -22,10 +22,13 @@ def write_result(df: DataFrame, path: str, task_id: int | str, fmt: str = "parqu
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, task_id: int | str,
-               properties: dict | None = None, num_partitions: int = 8) -> None:
-    """Append the rows of ``task_id`` to a JDBC table (bounded connections)."""
-    (df.withColumn("task_id", F.lit(str(task_id)))
-       .coalesce(num_partitions)
+               properties: dict | None = None, num_partitions: int = 8, task_column: str = "task_id") -> None:
+    """Append the rows of ``task_id`` to a JDBC table (bounded connections).
+
+    The database keeps what it has: delete the task's rows before a rerun.
+    """
+    (df.withColumn(task_column, F.lit(str(task_id)))
+       .repartition(num_partitions)  # unlike coalesce, leaves the stage before it its tasks
        .write.jdbc(url, table, mode="append", properties=properties or {}))
 
 
