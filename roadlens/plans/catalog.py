@@ -13,8 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadlens.functions import (
-    date_hour, format_date_key, format_time_minute, lenient_seconds, parse_time, range_label,
-    seconds_text,
+    after, before, date_hour, format_date_key, format_time_minute, is_empty, kv_field, kv_map, kv_set_field,
+    lenient_seconds, minus_seconds, pad2, parse_time, range_label, seconds_text, trim_comma,
 )
 from roadlens.operators.area import area_road_topn
 from roadlens.operators.flow import flow_by_date
@@ -33,6 +33,7 @@ from roadlens.session import scratch_path
 from roadlens.sources.events import area_from_region, read_passes
 from roadlens.sources.files import load_tsv, write_tsv
 from roadlens.sources.sink import read_result, write_result
+from roadlens.sources.tasks import parse_task_params
 from roadlens.streaming.live_flow import run_events_flow
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,7 +74,7 @@ def q_car_track(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_car_track_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return car_track_blocks(_flow(spark, sf_dir))
+    return car_track_blocks(_flow(spark, sf_dir), P.TRACK_BLOCK)
 
 
 def q_hourly_car_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,12 +91,12 @@ def q_sample_cars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_sample_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     flow = _flow(spark, sf_dir)
-    return sample_detail(flow, sample_cars(flow, P.EXTRACT_NUM, P.SEED), P.EXTRACT_NUM).select(*DETAIL_COLUMNS)
+    return sample_detail(flow, sample_cars(flow, P.EXTRACT_NUM, P.SEED)).select(*DETAIL_COLUMNS)
 
 
 def q_sample_track(spark: SparkSession, sf_dir: str) -> DataFrame:
     flow = _flow(spark, sf_dir)
-    return sample_track(flow, sample_cars(flow, P.EXTRACT_NUM, P.SEED), P.EXTRACT_NUM)
+    return sample_track(flow, sample_cars(flow, P.EXTRACT_NUM, P.SEED))
 
 
 def q_monitor_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,6 +175,56 @@ def q_time_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passes with blank plates, null monitors and bad times mixed in."""
+    n = F.col("event_id")
+    passes = read_passes(spark, sf_dir)
+    return flow_by_date(passes.withColumns({
+        "car": F.when(n % 11 == 0, "").when(n % 11 == 1, None).otherwise(F.col("car")),
+        "monitor_id": F.when(n % 13 == 0, None).otherwise(F.col("monitor_id")),
+        "action_time": F.when(n % 17 == 0, None).when(n % 17 == 1, "garbage")
+        .when(n % 17 == 2, F.substring("action_time", 1, 10)).otherwise(F.col("action_time"))}))
+
+
+def q_dirty_sample_cars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_cars(_dirty(spark, sf_dir), P.EXTRACT_NUM, P.SEED)
+
+
+def q_dirty_topn_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topn_monitor_detail(_dirty(spark, sf_dir), P.TOP_N)
+
+
+def q_time_arithmetic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shift = (F.col("camera_id").cast("int") - 50) * 60
+    flow = _dirty(spark, sf_dir).withColumn("other", seconds_text(lenient_seconds("action_time") + shift))
+    return flow.select("event_id", after("action_time", "other").alias("is_after"),
+                       before("action_time", "other").alias("is_before"),
+                       minus_seconds("action_time", "other").alias("gap"))
+
+
+def q_text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("camera_id").cast("int")
+    flow = read_passes(spark, sf_dir).withColumns({
+        "record": F.concat_ws("|", F.concat(F.lit("type="), "road_id"), F.lit("bad"), F.concat(F.lit("k="), k),
+                              F.concat(F.lit("k="), k + 1)),
+        "maybe": F.when(k % 3 == 0, "").when(k % 3 == 1, None).otherwise(F.col("car"))})
+    return flow.select(
+        "event_id", trim_comma(F.concat(F.lit(","), "road_id", F.lit(",,"))).alias("trimmed"),
+        is_empty("maybe").alias("empty"), pad2((k % 20).cast("string")).alias("padded"),
+        kv_field("record", "k").alias("first_k"), kv_field("record", "none").alias("no_field"),
+        kv_set_field("record", "k", "new").alias("changed"), F.try_element_at(kv_map("record"), F.lit("k")).alias("last_k"))
+
+
+def q_task_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tasks = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.col("c_custkey").alias("task_id"),
+        F.format_string('{"startDate":["2024-01-05"],"topNum":["%d"],"areaName":["%s"],"cars":["A,%s"]}',
+                        F.col("c_custkey") % 9, "c_name", "c_name").alias("task_param"))
+    p = tasks.select("task_id", parse_task_params("task_param").alias("p")).select("task_id", "p.*")
+    return p.select("task_id", "start_date", "end_date", "top_num", "area_name", "extract_num",
+                    F.array_join("cars", "+").alias("cars"), F.size("cars").alias("n_cars"))
+
+
 QUERIES: dict[str, Query] = {
     "flow_by_date": q_flow_by_date,
     "load_tsv": q_load_tsv,
@@ -201,4 +252,9 @@ QUERIES: dict[str, Query] = {
     "follow_car": q_follow_car,
     "stream_monitor_speed": q_stream_monitor_speed,
     "write_result": q_write_result,
+    "dirty_sample_cars": q_dirty_sample_cars,
+    "dirty_topn_detail": q_dirty_topn_detail,
+    "time_arithmetic": q_time_arithmetic,
+    "text_functions": q_text_functions,
+    "task_parameters": q_task_parameters,
 }

@@ -35,6 +35,23 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join((_PASSES,) + ctes) + "\n"
 
 
+# The same with blank plates, null monitors and bad times mixed in.
+_DIRTY = _PASSES.split("flow AS")[0].replace("passes AS", "clean AS") + """
+passes AS (
+  SELECT date, CASE WHEN event_id % 13 = 0 THEN NULL ELSE monitor_id END AS monitor_id, camera_id,
+         CASE WHEN event_id % 11 = 0 THEN '' WHEN event_id % 11 = 1 THEN NULL ELSE car END AS car,
+         CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 17 = 1 THEN 'garbage'
+              WHEN event_id % 17 = 2 THEN left(action_time, 10) ELSE action_time END AS action_time,
+         speed, road_id, area_id, event_id FROM clean
+),
+legal AS (SELECT * FROM passes WHERE car IS NOT NULL AND trim(car) <> '')"""
+_GOOD_TIME = "regexp_full_match(action_time, '[0-9-]{10} [0-9:]{8}')"
+
+
+def _with_dirty(*ctes: str) -> str:
+    return "WITH " + ",\n".join((_DIRTY,) + ctes) + "\n"
+
+
 def _lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -140,9 +157,9 @@ ORACLE_SQL: dict[str, str] = {
     "car_track": _with() + _track_select("flow"),
     "car_track_blocks": _with(
         f"seq AS (SELECT car, date, monitor_id, row_number() OVER (PARTITION BY car ORDER BY {_ORDER}) AS seq FROM flow)",
-    ) + ("SELECT car, (seq - 1) // 1024 AS block, min(seq) AS first_seq, max(seq) AS last_seq, "
+    ) + (f"SELECT car, (seq - 1) // {P.TRACK_BLOCK} AS block, min(seq) AS first_seq, max(seq) AS last_seq, "
          "arg_max(date, seq) AS last_date, string_agg(monitor_id, ',' ORDER BY seq) AS track_part "
-         "FROM seq GROUP BY car, (seq - 1) // 1024"),
+         f"FROM seq GROUP BY car, (seq - 1) // {P.TRACK_BLOCK}"),
     "hourly_car_count": _with(_hour_cars_cte()) + "SELECT date, date_hour, cars FROM counts",
     "hourly_quota": _with(_quota_cte(P.EXTRACT_NUM)) + "SELECT date, date_hour, cars, quota FROM quota",
     "sample_cars": _with(_sample_cte(P.EXTRACT_NUM, P.SEED)) + "SELECT date, date_hour, car FROM sampled",
@@ -196,6 +213,24 @@ ORACLE_SQL: dict[str, str] = {
          "strftime(ws + INTERVAL 5 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end, monitor_id, "
          "count(*) AS passes, CAST(sum(s) AS BIGINT) AS speed_sum, "
          "CAST(sum(s) AS DOUBLE) / CAST(count(s) AS DOUBLE) AS avg_speed FROM closed GROUP BY ws, monitor_id"),
+    "dirty_sample_cars": _with_dirty(f"flow AS (SELECT * FROM legal WHERE {_GOOD_TIME})",
+                                     _sample_cte(P.EXTRACT_NUM, P.SEED)) + "SELECT date, date_hour, car FROM sampled",
+    "dirty_topn_detail": _with_dirty(
+        "known AS (SELECT * FROM legal WHERE monitor_id IS NOT NULL)",
+        f"top AS ({_top_monitors(P.TOP_N, 'known')})") + (
+        f"SELECT {_DETAIL} FROM known WHERE monitor_id IN (SELECT monitor_id FROM top)"),
+    "time_arithmetic": _with_dirty(
+        f"shifted AS (SELECT event_id, CASE WHEN {_GOOD_TIME} THEN (CAST(camera_id AS INTEGER) - 50) * 60 ELSE 0 END AS s "
+        "FROM legal)") + (
+        "SELECT event_id, s < 0 AS is_after, s > 0 AS is_before, CAST(-s AS BIGINT) AS gap FROM shifted"),
+    "text_functions": _with("ks AS (SELECT *, CAST(camera_id AS INTEGER) AS k FROM passes)") + (
+        "SELECT event_id, road_id || ',' AS trimmed, (k % 3 = 0 OR k % 3 = 1) AS empty, "
+        "lpad(CAST(k % 20 AS VARCHAR), 2, '0') AS padded, CAST(k AS VARCHAR) AS first_k, CAST(NULL AS VARCHAR) AS no_field, "
+        "'type=' || road_id || '|bad|k=new|k=' || (k + 1) AS changed, CAST(k + 1 AS VARCHAR) AS last_k FROM ks"),
+    "task_parameters": (
+        "SELECT c_custkey AS task_id, '2024-01-05' AS start_date, CAST(NULL AS VARCHAR) AS end_date, "
+        "CAST(c_custkey % 9 AS INTEGER) AS top_num, c_name AS area_name, CAST(NULL AS INTEGER) AS extract_num, "
+        "'A+' || c_name AS cars, 2 AS n_cars FROM customer"),
     "write_result": _with() + ("SELECT monitor_id, car_count, '1' AS task_id FROM ("
                                + _top_monitors(P.TOP_N) + ")"),
 }

@@ -7,7 +7,8 @@ PATH = ["0001", "0002", "0003", "0004", "0005"]
 TOP_N = 5
 TOP_DETAIL_PER_MONITOR = 10
 AREA_TOP_N = 3
-EXTRACT_NUM = 3000
+EXTRACT_NUM = 600
+TRACK_BLOCK = 16
 SEED = 42
 TARGET_CARS = ["U00001", "U00002", "U00003"]
 STATE_DATE = "2024-01-05"
