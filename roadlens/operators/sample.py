@@ -63,7 +63,7 @@ def hourly_quota(flow: DataFrame, extract_num: int) -> DataFrame:
     counts = cars.groupBy("date", "date_hour").agg(F.count(F.lit(1)).alias("cars"))
     # one row per hour label: the per-day window is small
     return (counts.withColumn("_day_cars", F.sum("cars").over(Window.partitionBy("date")))
-            .withColumn("quota", _quota("cars", "_day_cars", _day_count(counts), extract_num))
+            .withColumn("quota", _quota("cars", "_day_cars", _day_count(counts.filter(F.col("cars") > 0)), extract_num))
             .drop("_day_cars"))
 
 

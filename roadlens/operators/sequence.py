@@ -49,14 +49,14 @@ def sequence_number(df: DataFrame, key: str = "car", time_col: str = "action_tim
     same = ["_k", "_z"]
     rest = [c for c in df.columns if c not in (key, time_col, *tiebreak)]
     second = Window.partitionBy(*same, "_t")
-    numbered = (df.withColumn("_t", t).withColumn("_h", hour)
+    numbered = (df.withColumn("_t", t)
                 .withColumn("_k", F.coalesce(F.col(key).cast("string"), F.lit("")))
                 .withColumn("_z", F.col(key).isNull())
                 .withColumn("_rn", F.row_number().over(second.orderBy(time_col, *tiebreak, *rest, key)))
                 .withColumn("_n", F.count(F.lit(1)).over(second)))
 
     before = Window.unboundedPreceding
-    per_second = (numbered.filter(F.col("_rn") == 1).select(*same, "_h", "_t", "_n")
+    per_second = (numbered.filter(F.col("_rn") == 1).select(*same, hour.alias("_h"), "_t", "_n")
                   .withColumn("_off_s", F.coalesce(F.sum("_n").over(
                       Window.partitionBy(*same, "_h").orderBy("_t").rowsBetween(before, -1)), F.lit(0))))
     per_hour = (per_second.groupBy(*same, "_h").agg(F.sum("_n").alias("_nh"))

@@ -27,14 +27,14 @@ def summarize(plan: str) -> dict[str, int]:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from roadlens.plans.catalog import QUERIES
     from roadlens.session import build_session
     spark = build_session("local[8]", 8)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     cols = ["scans", "shuffles", "reused", "broadcasts", "windows", "group_limits", "semi_joins"]
     print("| query | " + " | ".join(cols) + " |")
     print("| --- |" + " --- |" * len(cols))
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name in ("stream_monitor_speed", "load_tsv", "write_result"):
             continue
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
