@@ -29,7 +29,9 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from roadlens.session import materialize
 
 THRESHOLD = 0.75
 FILE_SHARE = 0.3
@@ -86,6 +88,19 @@ class Notices:
     def anchor_pattern(self) -> str:
         return "(?<![a-z0-9])(?:" + "|".join(sorted(self.anchors)) + ")(?![a-z0-9])"
 
+    def may_match(self, terms: str, threshold: float) -> Column:
+        """False only for lines that cannot reach the threshold.
+
+        With M terms of the templates (repeats counted) and U different other
+        terms, a line's squared cosine with any template is at most
+        K / (K + U * unknown ** 2) for a K of at most (M * highest idf) ** 2.
+        """
+        known = F.array(*[F.lit(t) for t in sorted(self.idf)])
+        m = F.size(F.filter(terms, lambda t: F.array_contains(known, t)))
+        u = F.size(F.array_except(F.col(terms), known))
+        most = max(self.idf.values()) * (1 + 1e-9)
+        return (m * F.lit(most)) ** 2 * (1 - threshold ** 2) >= u * F.lit((self.unknown * threshold) ** 2)
+
     def tables(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
         """(term, idf) and (licence, template, term, weight)."""
         return (spark.createDataFrame(sorted(self.idf.items()), "term string, idf double"),
@@ -102,9 +117,11 @@ def own_licences(files: DataFrame, notices: Notices, threshold: float = THRESHOL
     anchored = notices.anchor_pattern()
     lines = (files.filter(F.col("path").isNotNull() & F.lower("text").rlike(anchored))
              .select("path", F.char_length("text").alias("size"), F.posexplode(F.split("text", "\n")).alias("line", "words"))
-             .filter(F.lower("words").rlike(anchored)))
-    counted = (lines.select("path", "line", F.char_length("words").alias("chars"), "size",
-                            F.explode(_terms(F.col("words"))).alias("term"))
+             .filter(F.lower("words").rlike(anchored))
+             .select("path", "size", "line", F.char_length("words").alias("chars"), _terms(F.col("words")).alias("terms"))
+             .filter(notices.may_match("terms", threshold)))
+    lines = materialize(lines, "licence-lines")  # few, and read more than once
+    counted = (lines.select("path", "line", "chars", "size", F.explode("terms").alias("term"))
                .groupBy("path", "line", "term")
                .agg(F.count(F.lit(1)).alias("n"), F.max("chars").alias("chars"), F.max("size").alias("size")))
     weighed = (counted.join(F.broadcast(idf), "term", "left")
@@ -145,7 +162,7 @@ def licence_scan(files: DataFrame, templates: list[tuple[str, str]] | None = Non
     ``origin`` is ``own``, ``inherited`` or ``none``; ``licence_from`` is the
     file whose notice counts.
     """
-    own = own_licences(files, Notices(templates or TEMPLATES, threshold), threshold)
+    own = materialize(own_licences(files, Notices(templates or TEMPLATES, threshold), threshold), "own-licences")
     name = F.regexp_extract("path", "([^/]*)$", 1)
     giving = own.filter(name.rlike(FILE_NAME) | (F.col("share") >= FILE_SHARE))
     best = F.struct((-F.col("similarity")).alias("s"), F.col("path").alias("p"), F.col("licence").alias("l"))
