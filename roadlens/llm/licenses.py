@@ -190,3 +190,38 @@ def document_files(docs: DataFrame) -> DataFrame:
     folder = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.expr("doc_id div 1000").cast("string"),
                          F.expr("doc_id div 100").cast("string"))
     return docs.select("doc_id", F.concat(folder, F.lit("/"), number, F.lit(".txt")).alias("path"), "text")
+
+
+def document_licence_sql() -> str:
+    """DuckDB SQL for the scan of :func:`document_files`."""
+    notices = Notices(TEMPLATES, THRESHOLD)
+    idf = ", ".join(f"('{t}', {w!r}::DOUBLE)" for t, w in sorted(notices.idf.items()))
+    terms = ", ".join(f"('{name}', {n}, '{t}', {w!r}::DOUBLE)" for name, n, t, w in notices.terms)
+    return rf"""
+        WITH idf(term, idf) AS (VALUES {idf}), weights(licence, template, term, weight) AS (VALUES {terms}),
+        f AS (SELECT doc_id, coalesce(source, 'unknown') || '/' || (doc_id // 1000) || '/' || (doc_id // 100) AS folder,
+                     folder || '/' || doc_id || '.txt' AS path, text FROM documents),
+        l AS (SELECT path, length(text) AS size, unnest(string_split(text, chr(10))) AS words,
+                     generate_subscripts(string_split(text, chr(10)), 1) AS line FROM f),
+        t AS (SELECT path, line, unnest(regexp_extract_all(lower(words), '{TERM}')) AS term FROM l),
+        c AS (SELECT path, line, term, count(*) AS n FROM t GROUP BY ALL),
+        w AS (SELECT path, line, term, n * coalesce(idf, {notices.unknown!r}::DOUBLE) AS w FROM c LEFT JOIN idf USING (term)),
+        norms AS (SELECT path, line, sqrt(sum(w * w)) AS norm FROM w GROUP BY ALL),
+        dots AS (SELECT path, line, template, licence, sum(w * weight) AS dot FROM w JOIN weights USING (term) GROUP BY ALL),
+        m AS (SELECT path, line, licence, round(dot / norm, 6) AS s FROM dots JOIN norms USING (path, line)
+              WHERE round(dot / norm, 6) >= {THRESHOLD}),
+        shares AS (SELECT path, sum(length(words)) / any_value(size) AS share
+                   FROM l JOIN (SELECT DISTINCT path, line FROM m) USING (path, line) GROUP BY path),
+        own AS (SELECT path, first(licence ORDER BY s DESC, licence) AS licence, max(s) AS similarity FROM m GROUP BY path),
+        giving AS (SELECT folder AS above, first(o.licence ORDER BY similarity DESC, path) AS licence,
+                          first(similarity ORDER BY similarity DESC, path) AS similarity,
+                          first(path ORDER BY similarity DESC, path) AS path
+                   FROM own o JOIN shares USING (path) JOIN f USING (path) WHERE share >= {FILE_SHARE} GROUP BY folder),
+        up AS (SELECT folder, unnest(range(0, 4)) AS up FROM (SELECT DISTINCT folder FROM f)),
+        above AS (SELECT folder, up, array_to_string(string_split(folder, '/')[1:3 - up], '/') AS above FROM up),
+        near AS (SELECT folder, arg_min(g, up) AS g FROM above JOIN giving g USING (above) GROUP BY folder)
+        SELECT f.doc_id, f.path, coalesce(o.licence, near.g.licence) AS licence,
+               coalesce(o.similarity, near.g.similarity) AS similarity,
+               CASE WHEN o.licence IS NOT NULL THEN 'own' WHEN near.g IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+               CASE WHEN o.licence IS NOT NULL THEN f.path ELSE near.g.path END AS licence_from
+        FROM f LEFT JOIN own o USING (path) LEFT JOIN near USING (folder)"""

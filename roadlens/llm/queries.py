@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from roadlens.llm.common import read
 from roadlens.llm.exact_dedup import exact_dedup
 from roadlens.llm.language_id import languages
-from roadlens.llm.licenses import document_files, licence_scan
+from roadlens.llm.licenses import document_files, document_licence_sql, licence_scan
 from roadlens.llm.mixing import mixed
 from roadlens.llm.ngram_lm import lm_scores
 from roadlens.llm.quality import quality_scores
@@ -94,6 +94,7 @@ ORACLE_SQL = {
                                              ORDER BY chars DESC, doc_id ASC NULLS LAST) AS keep_id
             FROM n)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g""",
+    "op4_licence_scan": document_licence_sql(),
     "op5_topk_search": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
