@@ -4,7 +4,7 @@
 
     spark-submit roadlens/plans/jobs.py load --files IN_DIR --table FLOW_TABLE
     spark-submit roadlens/plans/jobs.py run-task --task-id 5 --table FLOW_TABLE \\
-        --tasks tasks.jsonl --out RESULT_DIR [--registry REGISTRY_TABLE] [--areas AREAS_TABLE]
+        --tasks tasks.jsonl --out RESULT_DIR [--out-jdbc URL] [--registry REGISTRY_TABLE] [--areas AREAS_TABLE]
 
 The task table comes from JSON lines (``task_id``, ``task_param``, ...) or,
 with ``--tasks-jdbc-url`` and ``--tasks-jdbc-table``, from a database. The
@@ -46,7 +46,8 @@ def _parser() -> argparse.ArgumentParser:
     run = sub.add_parser("run-task", help="run one stored task and write its result tables")
     run.add_argument("--task-id", type=int, required=True)
     run.add_argument("--table", required=True, help="pass table written by 'load'")
-    run.add_argument("--out", required=True, help="folder of the result tables")
+    run.add_argument("--out", help="folder of the result tables")
+    run.add_argument("--out-jdbc", help="URL of a database that has the result tables")
     run.add_argument("--tasks", help="task rows as JSON lines")
     run.add_argument("--tasks-jdbc-url")
     run.add_argument("--tasks-jdbc-table", default="task")
@@ -63,12 +64,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
         return [args.table]
     if not args.tasks and not args.tasks_jdbc_url:
         raise SystemExit("run-task needs --tasks or --tasks-jdbc-url")
+    if not args.out and not args.out_jdbc:
+        raise SystemExit("run-task needs --out or --out-jdbc")
     flow = read_flow_table(spark, args.table)
     registry = (spark.read.schema(REGISTRY_SCHEMA).parquet(args.registry) if args.registry
                 else camera_registry(flow))
     areas = (spark.read.schema(AREA_SCHEMA).parquet(args.areas) if args.areas
              else spark.createDataFrame([], AREA_SCHEMA))
-    return run_task(spark, _tasks(spark, args), args.task_id, flow, registry, areas, args.out)
+    return run_task(spark, _tasks(spark, args), args.task_id, flow, registry, areas, args.out, args.out_jdbc)
 
 
 def cli() -> int:

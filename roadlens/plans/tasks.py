@@ -30,9 +30,12 @@ from roadlens.operators.sample import sample_cars, sample_detail
 from roadlens.operators.track import car_track, conversion_rates, path_step_counts
 from roadlens.schema import DETAIL_COLUMNS
 from roadlens.session import materialize
-from roadlens.sources.sink import write_result
+from roadlens.sources.sink import write_jdbc, write_result
 from roadlens.sources.tasks import task_params
 
+# Fixed names: result tables whose task column is not task_id.
+TASK_COLUMNS = {"monitor_state": "taskId"}
+
 DEFAULT_AREA_TOP_N = 3
 DEFAULT_SEED = 42
 
@@ -105,9 +108,16 @@ def task_results(spark: SparkSession, tasks: DataFrame, task_id: int, flow: Data
 
 
 def run_task(spark: SparkSession, tasks: DataFrame, task_id: int, flow: DataFrame,
-             registry: DataFrame, areas: DataFrame, out_dir: str) -> list[str]:
-    """Run one task and write its result tables under ``out_dir``; returns their names."""
+             registry: DataFrame, areas: DataFrame, out_dir: str | None, out_jdbc: str | None = None) -> list[str]:
+    """Run one task and write its result tables; returns their names.
+
+    They go below ``out_dir`` and, with ``out_jdbc``, to the database's tables of the same names.
+    """
     results = task_results(spark, tasks, task_id, flow, registry, areas)
     for name, df in results.items():
-        write_result(df, os.path.join(out_dir, name), task_id)
+        column = TASK_COLUMNS.get(name, "task_id")
+        if out_dir:
+            write_result(df, os.path.join(out_dir, name), task_id, task_column=column)
+        if out_jdbc:
+            write_jdbc(df, out_jdbc, name, task_id, task_column=column)
     return sorted(results)

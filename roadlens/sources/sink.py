@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
-def write_result(df: DataFrame, path: str, task_id: int | str, fmt: str = "parquet") -> None:
+def write_result(df: DataFrame, path: str, task_id: int | str, fmt: str = "parquet",
+                 task_column: str = "task_id") -> None:
     """Write ``df`` as the rows of ``task_id`` under ``path``."""
-    out = df.withColumn("task_id", F.lit(str(task_id)))
+    out = df.withColumn(task_column, F.lit(str(task_id)))
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("task_id")
+        .partitionBy(task_column)
         .format(fmt)
         .save(path))
 

@@ -42,6 +42,7 @@ def test_run_all_tasks(spark):
     assert picked.filter(f"date_d != '{DAY}'").count() == 0
     top = spark.read.parquet(os.path.join(out, "topn_monitor_car_count")).collect()
     assert len(top) == 5 and all(r["task_id"] == 1 for r in top)
+    assert "taskId" in spark.read.parquet(os.path.join(out, "monitor_state")).columns
     # rerun replaces, never duplicates
     run_task(spark, tasks, 1, flow, registry, areas, out)
     assert spark.read.parquet(os.path.join(out, "topn_monitor_car_count")).count() == 5
