@@ -37,8 +37,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from roadlens.llm.common import slices, texts
 
 SPACE = "▁"
-SLICE_BYTES = 1 << 20
-KEPT_WORDS = 400_000  # distinct words a worker keeps between batches
+SLICE_BYTES = 4 << 20
+KEPT_WORDS = 600_000  # distinct words a worker keeps between batches
 ROWS = 1 << 15  # words that advance together at most
 MEMO_BITS = 19  # of the table of pairs already compared
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -188,12 +188,14 @@ class Pieces:
             self.memo_key[own], self.memo_value[own] = key[at][which], value[which]
         return out
 
-    def viterbi(self, words: list[str], length: int) -> list[list[int]]:
-        """The pieces of words of one length; -1 - c stands for an unknown character c."""
+    def viterbi(self, words: list[str], length: int) -> list[bytes]:
+        """The ids (int32, packed) of words of one length."""
         codes = _codes(words, length)
         n, hashes, none = len(words), _hash(codes), len(self.pieces)
         value = np.zeros((n, length + 1))
         last, back = np.full((n, length + 1), -1), np.zeros((n, length + 1), np.int64)
+        rows = np.arange(n)
+        floor = (float(self.scores[self.usable].min()) if self.usable.any() else 0.0) - 10.0
         for end in range(1, length + 1):
             sizes = range(1, min(end, self.longest) + 1)
             found = np.full((n, len(sizes)), -np.inf)
@@ -213,32 +215,36 @@ class Pieces:
                     before = last[hit, start]
                     found[hit[(before == none) | self.apart_memo(before, ids[hit])], k] = 0.0
             best = found.argmax(axis=1)
-            rows = np.arange(n)
             value[:, end], last[:, end], back[:, end] = found[rows, best], piece[rows, best], best + 1
             lost = np.flatnonzero(np.isneginf(value[:, end]))  # unknown character
-            floor = (float(self.scores[self.usable].min()) if self.usable.any() else 0.0) - 10.0
             value[lost, end] = 0.0 if self.bpe else value[lost, end - 1] + floor
             last[lost, end], back[lost, end] = none, 1
-        out = []
-        for row, (pointers, pieces, text) in enumerate(zip(back.tolist(), last.tolist(), codes.tolist())):
-            at, path = length, []
-            while at:
-                path.append(pieces[at] if pieces[at] != none else -1 - int(text[at - 1]))
-                at -= pointers[at]
-            out.append(path[::-1])
+        # all words are walked back together; ids fill each row from the right
+        path, at, size = np.zeros((n, length), np.int32), np.full(n, length), np.zeros(n, np.int64)
+        while (open_ := np.flatnonzero(at)).size:
+            size[open_] += 1
+            path[open_, length - size[open_]] = last[open_, at[open_]]
+            at[open_] -= back[open_, at[open_]]
+        whole, width = path.tobytes(), 4 * length
+        out = [whole[end - 4 * k:end] for end, k in zip(range(width, (n + 1) * width, width), size.tolist())]
+        for row in np.flatnonzero((last[:, 1:] == none).any(axis=1)).tolist():
+            out[row] = self.spelled(words[row], np.frombuffer(out[row], np.int32).tolist())
         return out
 
-    def spelled(self, path: list[int]) -> list[int]:
-        """Ids of a path: unknown characters as byte pieces, or unknown pieces (a run is one)."""
-        out: list[int] = []
+    def spelled(self, word: str, path: list[int]) -> bytes:
+        """Ids of a path with unknown characters: their byte pieces, or unknown pieces (a run is one)."""
+        out, at = [], 0
         for p in path:
-            if p >= 0:
+            if p != len(self.pieces):
                 out.append(p)
-            elif self.byte_ids:
-                out += [self.byte_ids[b] for b in chr(-1 - p).encode("utf-8", "surrogatepass")]
+                at += len(self.pieces[p])
+                continue
+            if self.byte_ids:
+                out += [self.byte_ids[b] for b in word[at].encode("utf-8", "surrogatepass")]
             elif not out or out[-1] != self.unknown:
                 out.append(self.unknown)
-        return out
+            at += 1
+        return np.array(out, np.int32).tobytes()
 
 
 class Encoder:
@@ -255,8 +261,7 @@ class Encoder:
             step = max(1, min(ROWS, (ROWS * 32) // length))
             for at in range(0, len(own), step):
                 part = own[at:at + step]
-                for word, path in zip(part, self.pieces.viterbi(part, length)):
-                    self.known[word] = np.array(self.pieces.spelled(path), np.int32)
+                self.known.update(zip(part, self.pieces.viterbi(part, length)))
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
         p = self.pieces
@@ -267,7 +272,7 @@ class Encoder:
         new.difference_update(self.known)
         self._learn(new)
         find = self.known.__getitem__
-        return [np.concatenate(list(map(find, own))) if own else np.zeros(0, np.int32) for own in words]
+        return [np.frombuffer(b"".join(map(find, own)), np.int32) for own in words]
 
     def decode(self, ids) -> str:
         """The text of a list of ids; bytes that are no UTF-8 become U+FFFD."""
