@@ -165,7 +165,8 @@ def dual_tree_top_k(query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarr
             new = child[np.array([x[1] for x in kids])]
             if len(new):
                 meet(base.centre[new])
-            frontier = child[base.radius[child] > 0]
+            # by their kids, not their radius: a node of copies has radius 0
+            frontier = child[np.array([bool(base.kids[c]) for c in child])]
         r, c, v = np.concatenate(rows), np.concatenate(cols), np.concatenate(values)
         keep = v >= floor[r]
         r, c, v = r[keep], c[keep], v[keep]

@@ -48,6 +48,26 @@ def test_equals_brute_force(spark, monkeypatch, pivots, block, query_block):
     assert sorted(map(tuple, found)) == brute(rows)
 
 
+def test_copies_in_a_mixed_block():
+    rng = np.random.default_rng(7)
+    points = rng.integers(-300, 300, size=(90, 6)).astype(float)
+    points = np.concatenate([points, np.repeat(points[:5], 12, axis=0), np.repeat([[400.0] * 6], 30, axis=0)])
+    ids = rng.permutation(len(points))
+    asked = np.array([0, 1, 2, 7, 50, 95, 110, len(points) - 1, len(points) - 9])  # some of them copies
+    k, scores = 5, points @ points.T
+    r, c, v = topk_search.dual_tree_top_k(ids[asked], points[asked], np.full(len(asked), -np.inf), ids, points, k)
+    found = sorted((int(ids[asked[i]]), int(-s), int(ids[j])) for i, j, s in zip(r, c, v))
+    expected = [(int(ids[q]), *best) for q in asked
+                for best in sorted((-int(scores[q, j]), int(ids[j])) for j in range(len(points)) if j != q)[:k]]
+    assert found == sorted(expected)
+
+
+def test_copies_of_the_query_are_found(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "PIVOTS", 1)  # one block
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0]), (4, [0.0, -1.0])]
+    assert sorted(map(tuple, topk_search.top_k(table(spark, rows)).collect())) == brute(rows)
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = clustered(60, 4, 2, step=10) + [(50, None), (100, []), (None, [1, 2, 3, 4]), (700, [nan, 0, 0, 0]),
