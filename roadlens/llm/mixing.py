@@ -3,13 +3,19 @@
 A source's documents, in a hashed order, form blocks of ``block`` documents.
 Its k-th block is released at ``floor(k / w)`` and due at ``ceil((k + 1) / w)``
 for its weight ``w``; in each slot the released block that is due first goes
-out (ties: the source named first). Weights are whole parts of ``resolution``,
-so the schedule repeats after that many slots: one period is worked out once,
-by an ``aggregate`` over its slots, and a block's slot follows by arithmetic.
-At any slot, a source that still has blocks is less than one block away from
-its weight's share of the slots; slots of a source that has run out are
-skipped, which leaves the others in proportion to their weights. Every
-document has exactly one place; none is dropped or repeated.
+out (ties: the source named first). Weights are taken as they are written, as
+fractions with a common denominator, so the schedule repeats after a period of
+whole parts: one period is worked out once, by an ``aggregate`` over its slots,
+and a block's slot follows by arithmetic. At any slot, a source that still has
+blocks is less than one block away from its weight's share of the slots,
+however many periods have passed; slots of a source that has run out are
+skipped, which leaves the others in proportion to their weights. Every document
+has exactly one place; none is dropped or repeated.
+
+Weights whose period is longer than ``resolution`` slots are split in a Huffman
+tree: of n slots of a node its first child has ``n * share`` to the nearest
+whole, its second the others, so slots and counts follow by arithmetic alone,
+and a source is less than two blocks away from its share at any slot.
 
 Sources without a weight (nulls too) form one more stream with ``rest``.
 The documents of a source are ranked in ``BUCKETS`` hash buckets, with a
@@ -24,9 +30,14 @@ pass through, but for those named like the results, which are replaced.
 
 from __future__ import annotations
 
+import heapq
+import math
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 BLOCK, RESOLUTION, BUCKETS, SEED = 16, 1000, 1024, 42
+FINEST = 10 ** 15  # parts of the whole that a float can tell apart
 
 
 def whole_parts(weights: dict[str, float], rest: float, resolution: int) -> list[int]:
@@ -42,6 +53,64 @@ def whole_parts(weights: dict[str, float], rest: float, resolution: int) -> list
     return parts
 
 
+def exact_parts(weights: dict[str, float], rest: float) -> list[int]:
+    """The weights, ``rest`` last, in whole parts without rounding (to 1 / ``FINEST`` if the parts are smaller still)."""
+    shares = [Fraction(str(w)) for w in (*weights.values(), rest)]
+    if any(w <= 0 for w in shares):
+        raise ValueError("weights are positive")
+    whole = math.lcm(*[w.denominator for w in shares])
+    parts = [int(w * whole) for w in shares]
+    parts = [p // math.gcd(*parts) for p in parts]
+    if sum(parts) > FINEST:
+        parts = [max(1, round(Fraction(p * FINEST, sum(parts)))) for p in parts]
+    return parts
+
+
+class Splits:
+    """Slots dealt down a Huffman tree of whole parts, for any period."""
+
+    def __init__(self, parts: list[int]):
+        heap = [(p, i, i) for i, p in enumerate(parts)]  # parts, tie-break, stream or (child, child)
+        heapq.heapify(heap)
+        while len(heap) > 1:
+            one, other = heapq.heappop(heap), heapq.heappop(heap)
+            heapq.heappush(heap, (one[0] + other[0], len(parts) + max(one[1], other[1]), (one, other)))
+        self.root = heap[0]
+
+    @staticmethod
+    def _quotient(n: Column, times: int, plus: int, by: int) -> Column:
+        """``(n * times + plus) div by``, wide enough for parts of ``FINEST``."""
+        n, times = n.cast("decimal(20,0)"), F.lit(str(times)).cast("decimal(17,0)")
+        return F.call_function("div", n * times + F.lit(str(plus)).cast("decimal(17,0)"),
+                               F.lit(str(by)).cast("decimal(17,0)"))
+
+    def counts(self, slot: Column) -> dict[int, Column]:
+        """Blocks of each stream before ``slot``."""
+        out, todo = {}, [(self.root, slot)]
+        while todo:
+            (whole, _, below), n = todo.pop()
+            if isinstance(below, int):
+                out[below] = n
+            else:
+                first = self._quotient(n, 2 * below[0][0], whole, 2 * whole)
+                todo += [(below[0], first), (below[1], n - first)]
+        return out
+
+    def slots(self, nth: Column) -> dict[int, Column]:
+        """The slot of each stream's ``nth`` block."""
+        out, todo = {}, [(self.root, lambda n: n)]
+        while todo:
+            (whole, _, below), up = todo.pop()
+            if isinstance(below, int):
+                out[below] = up(nth)
+            else:
+                (one, *_), (other, *_) = below
+                # n slots give the first child more than k when n * 2 * one >= (2 k + 1) * whole, the second when >
+                todo += [(below[0], lambda k, w=whole, p=one, up=up: up(self._quotient(2 * k + 1, w, -1, 2 * p))),
+                         (below[1], lambda k, w=whole, p=other, up=up: up(self._quotient(2 * k + 1, w, 0, 2 * p)))]
+        return out
+
+
 def period(spark: SparkSession, parts: list[int]) -> DataFrame:
     """One period: ``stream, nth`` (its nth block of the period), ``slot``, ``before`` (blocks by stream so far)."""
     size, streams = sum(parts), len(parts)
@@ -74,7 +143,7 @@ def mixed(docs: DataFrame, weights: dict[str, float], rest: float = 0.05, block:
           resolution: int = RESOLUTION, seed: int = SEED) -> DataFrame:
     """``docs`` with ``mix_slot`` (of its block) and ``mix_position`` (0, 1, ... over all documents)."""
     spark = docs.sparkSession
-    parts = whole_parts(weights, rest, resolution)
+    parts = exact_parts(weights, rest)
     size, last = sum(parts), len(parts) - 1
     columns = [c for c in docs.columns if c not in ("mix_slot", "mix_position")]
     inner = {c: f"__in_{i}" for i, c in enumerate(columns)}  # so that no column clashes with those below
@@ -96,19 +165,29 @@ def mixed(docs: DataFrame, weights: dict[str, float], rest: float = 0.05, block:
                     .agg(F.map_from_entries(F.collect_list(F.struct("__stream", "n")))).scalar())
 
     in_bucket = Window.partitionBy(*key).orderBy("__order", inner["doc_id"])
-    part = F.get(F.array(*[F.lit(p).cast("long") for p in parts]), F.col("__stream"))
     ranked = (rows.withColumn("__rank", F.row_number().over(in_bucket))
               .join(F.broadcast(offsets), key)
               .withColumn("__seq", F.col("__offset") + F.col("__rank") - 1)
-              .withColumn("__k", F.expr(f"__seq div {block}"))
-              .withColumn("__part", part).withColumn("__period", F.expr("__k div __part"))
-              .withColumn("__nth", F.pmod("__k", "__part")))
-    # documents that go out in earlier slots: each stream's blocks so far, as far as it has documents
-    gone = [F.least((F.col("__period") * p + F.get("__before", F.lit(i))) * block,
-                    F.coalesce(F.try_element_at("__sizes", F.lit(i)), F.lit(0))) for i, p in enumerate(parts)]
-    return (ranked.join(F.broadcast(period(spark, parts)), ["__stream", "__nth"])
-            .withColumn("__sizes", stream_sizes)
-            .withColumn("mix_slot", F.col("__period") * size + F.col("__slot"))
+              .withColumn("__k", F.expr(f"__seq div {block}")))
+    # the slot of a block, and each stream's blocks in earlier slots
+    if size <= resolution:
+        part = F.get(F.array(*[F.lit(p).cast("long") for p in parts]), F.col("__stream"))
+        slotted = (ranked.withColumn("__part", part).withColumn("__period", F.expr("__k div __part"))
+                   .withColumn("__nth", F.pmod("__k", "__part"))
+                   .join(F.broadcast(period(spark, parts)), ["__stream", "__nth"])
+                   .withColumn("mix_slot", F.col("__period") * size + F.col("__slot")))
+        earlier_blocks = [F.col("__period") * p + F.get("__before", F.lit(i)) for i, p in enumerate(parts)]
+    else:
+        splits = Splits(parts)
+        slots = splits.slots(F.col("__k"))
+        slotted = ranked.withColumn("mix_slot", F.coalesce(*[F.when(F.col("__stream") == i, slots[i])
+                                                             for i in range(last + 1)]))
+        counts = splits.counts(F.col("mix_slot"))
+        earlier_blocks = [counts[i] for i in range(last + 1)]
+    # documents that go out in earlier slots: those blocks, as far as the stream has documents
+    gone = [F.least(n * block, F.coalesce(F.try_element_at("__sizes", F.lit(i)), F.lit(0)))
+            for i, n in enumerate(earlier_blocks)]
+    return (slotted.withColumn("__sizes", stream_sizes)
             .withColumn("mix_position", sum(gone[1:], gone[0]) + F.col("__seq") - F.col("__k") * block)
             .select(*[F.col(n).alias(c) for c, n in inner.items()], "mix_slot", "mix_position"))
 

@@ -61,6 +61,23 @@ def test_places_are_whole_and_follow_the_weights(make_docs):
                     assert abs(done[i] / block - share[i] * (r.mix_slot + 1)) < 1
 
 
+@pytest.mark.parametrize("weights,rest,most", [
+    ({f"src{i}": 1.0 + i % 4 for i in range(20)}, 1.0, 1),  # those of the query: a period of 51
+    ({"a": 0.123457, "b": 0.7, "c": 0.1000001, "d": 1e-9}, 0.05, 2)])  # no short period
+def test_weights_hold_over_thousands_of_slots(make_docs, weights, rest, most):
+    shares = [Fraction(str(w)) for w in (*weights.values(), rest)]
+    shares = [w / sum(shares) for w in shares]
+    rows = [(i * 10_000 + n, "t", "en", s) for i, (s, w) in enumerate(zip([*weights, None], shares))
+            for n in range(int(w * 8000) + 1)]
+    found = sorted(mixing.mixed(make_docs(rows), weights, rest, block=1).collect(), key=lambda r: r.mix_position)
+    assert [r.mix_position for r in found] == list(range(len(rows)))
+    assert len({r.mix_slot for r in found}) == len(rows)
+    index, done = {s: i for i, s in enumerate(weights)}, [0] * len(shares)
+    for r in found[:7900]:  # before a source runs out
+        done[index.get(r.source, len(weights))] += 1
+        assert all(abs(n - w * (r.mix_slot + 1)) < most for n, w in zip(done, shares))
+
+
 def test_odd_rows_and_file_order(spark, make_docs, tmp_path):
     docs = make_docs(ODD_ROWS + [(50 + i, f"t{i}", "en", f"src{i % 3}") for i in range(40)], extra="mix_slot")
     ordered = mixing.in_mixed_order(docs, {"src0": 1.0, "src1": 3.0}, block=2)
