@@ -8,8 +8,17 @@ function word df T). A file's own licence is the best template of its lines that
 terms (its other terms together are too short, by Cauchy and Schwarz), so a
 scan for those terms sets aside the lines that cannot match, and nothing else.
 
+A notice may be wrapped over lines or stand inside a longer one, and a licence
+may be given by its title, header or whole text. So the sentences of a text
+(line ends within a paragraph are no end of one) are compared with the notices
+too, and its sentences and runs of at most ``WINDOW`` paragraphs with
+``TEXTS``, as vectors with an idf of their own. A paragraph ends where a line
+has no letter or digit; a run of paragraphs of more than twice the
+longest template's characters is no candidate. The most similar of all matches counts.
+
 A licence file is one named like LICENSE or COPYING, or one whose matching
-lines hold at least ``FILE_SHARE`` of its characters. It gives its licence (of
+lines (or without any its longest other match, or its longest match with one
+of ``TEXTS``) hold at least ``FILE_SHARE`` of its characters. It gives its licence (of
 several in one directory the most similar, then the smallest path) to its
 directory; a file without a licence of its own takes that of the nearest
 directory above it. This is settled once per directory, by equal-key joins on
@@ -31,11 +40,15 @@ from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from roadlens.llm.licence_texts import TEXTS
 from roadlens.session import materialize
 
 THRESHOLD = 0.75
 FILE_SHARE = 0.3
 TERM = "[a-z0-9]+"
+WINDOW = 8
+PARAGRAPH_END = r"\n(?:[^A-Za-z0-9\n]*(?:\n|$))+"
+SENTENCE_END = r"(?<=[.!?:])(?:[^A-Za-z0-9\n]{0,8}\n|\s+(?=[^A-Za-z0-9]{0,4}[A-Z]))"  # bounded, so linear in any script
 FILE_NAME = r"(?i)^(un)?licen[sc]e|^copying|^notice"
 
 # English function words, which say nothing about a licence.
@@ -72,6 +85,7 @@ class Notices:
         df.update({t: n - df[t] for t in FUNCTION_WORDS})
         self.idf = {t: math.log((1 + n) / (1 + d)) + 1 for t, d in df.items()}
         self.unknown = math.log(1 + n) + 1
+        self.most_chars = 2 * max(len(text) for _, text in templates)
         self.terms, self.anchors = [], set()  # (licence, template, term, weight)
         for number, ((licence, _), count) in enumerate(zip(templates, counts)):
             weights = {t: c * self.idf[t] for t, c in count.items()}
@@ -111,16 +125,13 @@ def _terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({TERM})"), F.lit(1))
 
 
-def own_licences(files: DataFrame, notices: Notices, threshold: float = THRESHOLD) -> DataFrame:
-    """``path, licence, similarity, share`` (of the file's characters on matching lines) of files with a notice."""
-    idf, terms = notices.tables(files.sparkSession)
-    anchored = notices.anchor_pattern()
-    lines = (files.filter(F.col("path").isNotNull() & F.lower("text").rlike(anchored))
-             .select("path", F.char_length("text").alias("size"), F.posexplode(F.split("text", "\n")).alias("line", "words"))
-             .filter(F.lower("words").rlike(anchored))
+def _matches(units: DataFrame, notices: Notices, threshold: float, name: str) -> DataFrame:
+    """``path, best, chars, size`` of the ``units`` (``path, size, line, words``) that reach the threshold."""
+    idf, terms = notices.tables(units.sparkSession)
+    lines = (units.filter(F.lower("words").rlike(notices.anchor_pattern()))
              .select("path", "size", "line", F.char_length("words").alias("chars"), _terms(F.col("words")).alias("terms"))
              .filter(notices.may_match("terms", threshold)))
-    lines = materialize(lines, "licence-lines")  # few, and read more than once
+    lines = materialize(lines, name)  # few, and read more than once
     counted = (lines.select("path", "line", "chars", "size", F.explode("terms").alias("term"))
                .groupBy("path", "line", "term")
                .agg(F.count(F.lit(1)).alias("n"), F.max("chars").alias("chars"), F.max("size").alias("size")))
@@ -136,9 +147,51 @@ def own_licences(files: DataFrame, notices: Notices, threshold: float = THRESHOL
                .withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6))
                .filter(F.col("similarity") >= threshold))
     best = F.struct((-F.col("similarity")).alias("s"), F.col("licence").alias("l"))
-    per_line = matched.groupBy("path", "line").agg(F.min(best).alias("best"), F.max("chars").alias("chars"),
-                                                   F.max("size").alias("size"))
-    return (per_line.groupBy("path").agg(F.min("best").alias("best"), F.sum("chars").alias("chars"), F.max("size").alias("size"))
+    return matched.groupBy("path", "line").agg(F.min(best).alias("best"), F.max("chars").alias("chars"),
+                                               F.max("size").alias("size"))
+
+
+def _units(files: DataFrame, notices: Notices, split: Column) -> DataFrame:
+    """``path, size, line, words`` of the parts of the texts that have an anchor."""
+    return (files.filter(F.col("path").isNotNull() & F.lower("text").rlike(notices.anchor_pattern()))
+            .select("path", F.char_length("text").alias("size"), F.posexplode(split).alias("line", "words")))
+
+
+def sentences(text: str) -> Column:
+    return F.flatten(F.transform(F.split(text, PARAGRAPH_END), lambda p: F.split(p, SENTENCE_END)))
+
+
+def runs(text: str, most: int) -> Column:
+    """Sentences, and runs of up to ``WINDOW`` paragraphs of at most ``most`` characters."""
+    def windows(parts: Column) -> Column:
+        return F.flatten(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(WINDOW), F.size(parts) - i + 1)),
+            lambda n: F.array_join(F.slice(parts, i, n), "\n"))))
+
+    # of an array of one, so that a text is split once and not for every run
+    found = F.flatten(F.transform(F.array(F.split(text, PARAGRAPH_END)), windows))
+    return F.array_distinct(F.concat(sentences(text), F.filter(found, lambda w: F.char_length(w) <= most)))
+
+
+def own_licences(files: DataFrame, notices: Notices, threshold: float = THRESHOLD,
+                 texts: Notices | None = None) -> DataFrame:
+    """``path, licence, similarity, share`` (of the file's characters that match) of files with a notice."""
+    found = [_matches(_units(files, notices, F.split("text", "\n")), notices, threshold, "licence-lines")
+             .withColumn("kind", F.lit(0)),
+             _matches(_units(files, notices, sentences("text")), notices, threshold, "licence-sentences")
+             .withColumn("kind", F.lit(1))]
+    if texts:
+        found.append(_matches(_units(files, texts, runs("text", texts.most_chars)), texts, threshold, "licence-texts")
+                     .withColumn("kind", F.lit(2)))
+    matched = found[0]
+    for more in found[1:]:
+        matched = matched.unionByName(more)
+
+    def chars(kind: int, total=F.max) -> Column:
+        return total(F.when(F.col("kind") == kind, F.col("chars")))
+
+    return (matched.groupBy("path").agg(F.min("best").alias("best"), F.max("size").alias("size"), F.greatest(
+        F.coalesce(chars(0, F.sum), chars(1)), chars(2)).alias("chars"))
             .select("path", F.col("best.l").alias("licence"), (-F.col("best.s")).alias("similarity"),
                     (F.col("chars") / F.col("size")).alias("share")))
 
@@ -156,13 +209,15 @@ def ancestors(folder: Column) -> Column:
 
 
 def licence_scan(files: DataFrame, templates: list[tuple[str, str]] | None = None,
-                 threshold: float = THRESHOLD) -> DataFrame:
+                 threshold: float = THRESHOLD, texts: list[tuple[str, str]] | None = None) -> DataFrame:
     """``files`` (``path``, ``text``, ...) with ``licence, similarity, origin, licence_from``.
 
     ``origin`` is ``own``, ``inherited`` or ``none``; ``licence_from`` is the
-    file whose notice counts.
+    file whose notice counts. ``texts`` are ``TEXTS``, unless other templates are given.
     """
-    own = materialize(own_licences(files, Notices(templates or TEMPLATES, threshold), threshold), "own-licences")
+    texts = texts if texts is not None else [] if templates else TEXTS
+    own = materialize(own_licences(files, Notices(templates or TEMPLATES, threshold), threshold,
+                                   Notices(texts, threshold) if texts else None), "own-licences")
     name = F.regexp_extract("path", "([^/]*)$", 1)
     giving = own.filter(name.rlike(FILE_NAME) | (F.col("share") >= FILE_SHARE))
     best = F.struct((-F.col("similarity")).alias("s"), F.col("path").alias("p"), F.col("licence").alias("l"))

@@ -82,6 +82,47 @@ def test_scan_equals_brute_force(spark):
     assert by_path["c/long.txt"][3] == "own" and by_path["top.py"][3] == "inherited"
 
 
+MIT_FILE = """MIT License
+
+Copyright (c) 2020 Foo Bar
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD = [text for name, text in licenses.TEXTS if name.startswith("BSD")]
+GPL_HEADER = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+import os
+"""
+
+
+def test_licence_files_headers_and_wrapped_notices(spark):
+    wrapped = [text.replace(". ", ".\n\n").replace(", ", ",\n") for text in BSD]
+    files = [("mit/LICENSE", MIT_FILE), ("mit/x.py", "x = 1"), ("titleless/TERMS", MIT_FILE.partition("\n\n")[2]),
+             ("titleless/x.py", "x = 1"), ("bsd2/LICENSE", wrapped[0]), ("bsd3/LICENSE", wrapped[1]),
+             ("gpl/COPYING", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n"
+              " Copyright (C) 2007 Free Software Foundation, Inc.\n Everyone is permitted to copy"),
+             ("header/x.py", GPL_HEADER + "print(os.name)\n" * 200),
+             ("two/x.py", "# Licensed under the Apache\n# License, Version 2.0.\n" + "code = 1\n" * 90),
+             ("inside/x.py", "Copyright 2020 Foo Bar. Released under the MIT License. See below."),
+             ("none/x.py", "The licence of this software is a matter of copyright, and permission to copy is not given.")]
+    found = {r.path: (r.licence, r.origin) for r in licenses.licence_scan(table(spark, files)).collect()}
+    assert found == {"mit/LICENSE": ("MIT", "own"), "mit/x.py": ("MIT", "inherited"), "titleless/TERMS": ("MIT", "own"),
+                     "titleless/x.py": ("MIT", "inherited"), "bsd2/LICENSE": ("BSD-2-Clause", "own"),
+                     "bsd3/LICENSE": ("BSD-3-Clause", "own"), "gpl/COPYING": ("GPL-3.0", "own"),
+                     "header/x.py": ("GPL-3.0", "own"), "two/x.py": ("Apache-2.0", "own"), "inside/x.py": ("MIT", "own"),
+                     "none/x.py": (None, "none")}
+
+
 def test_lines_without_an_anchor_cannot_match():
     for threshold in (0.5, 0.75, 0.9):
         notices = licenses.Notices(licenses.TEMPLATES, threshold)
