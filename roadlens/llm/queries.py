@@ -6,8 +6,11 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roadlens.llm.collocations import COLLOCATIONS_SQL, collocations
 from roadlens.llm.common import read
+from roadlens.llm.contamination import CONTAMINATION_SQL, contamination
 from roadlens.llm.exact_dedup import exact_dedup
+from roadlens.llm.filter_audit import FILTER_AUDIT_SQL, filter_audit
 from roadlens.llm.language_id import languages
 from roadlens.llm.licenses import document_files, document_licence_sql, licence_scan
 from roadlens.llm.mixing import mixed
@@ -76,13 +79,28 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(read(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {q.__name__: q for q in (op1_quality_classifier, op2_sentence_piece, op3_exact_dedup, op4_licence_scan,
                                    op5_topk_search, op6_mixing,
                                    op7_token_counts,
                                    op8_simhash_near_dedup, op9_lm_scores,
-                                   op10_language_id)}
+                                   op10_language_id, op11_decontamination, op12_filter_audit, op13_collocations)}
 
 ORACLE_SQL = {
+    "op11_decontamination": CONTAMINATION_SQL,
+    "op12_filter_audit": FILTER_AUDIT_SQL,
+    "op13_collocations": COLLOCATIONS_SQL,
     "op3_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,

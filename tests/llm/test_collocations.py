@@ -1,0 +1,91 @@
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from roadlens.llm import collocations as op
+from tests.llm.conftest import ODD_ROWS
+
+LOWER = str.maketrans({c: chr(ord(c) + 32) for c in map(chr, range(65, 91))})
+
+
+def pieces(text):
+    for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+        yield re.findall(r"[^\x20\x09]+", piece)
+
+
+def brute(rows, most=3, least=10, covered=50, top=2000):
+    counts = defaultdict(Counter)
+    for r in rows:
+        lang = (r[2] if len(r) > 2 else "en")
+        for w in pieces(r[1]):
+            for n in range(1, most + 1):
+                counts["und" if lang is None else lang].update(tuple(w[i:i + n]) for i in range(len(w) - n + 1))
+    out = []
+    for lang, f in counts.items():
+        total = sum(c for p, c in f.items() if len(p) == 1)
+        candidates = {p: a for p, a in f.items() if len(p) >= 2 and a >= least}
+        inner = Counter()
+        for p, a in candidates.items():
+            for n in range(2, len(p)):
+                for i in range(len(p) - n + 1):
+                    inner[p[i:i + n]] = max(inner[p[i:i + n]], a)
+        kept = []
+        for p, a in candidates.items():
+            if 100 * inner[p] < covered * a:
+                score, k = min((10 ** 6 * a * a // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+                kept.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (s, a, p, left, right) in enumerate(sorted(kept)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, total, -s))
+    return sorted(out)
+
+
+RNG = np.random.default_rng(7)
+SAID = ["New York City", "new  York\tstate", "one. two", "a a a a", "Ünder über", "x,y z!", "q\x0bq q"]
+ROWS = ODD_ROWS + [(100 + i, " ".join(SAID[j] for j in RNG.integers(0, len(SAID), 40)), ["en", "de", None, "und"][i % 4])
+                   for i in range(24)] + [(200, "rare pair " * 9, "it"), (201, "b c " * 12, "")]
+
+
+def found(df):
+    return sorted(map(tuple, df.collect()))
+
+
+@pytest.mark.parametrize("most,least,covered,top,print_bits", [
+    (3, 10, 50, 2000, 64), (4, 3, 80, 7, 64), (2, 10, 50, 2000, 64), (3, 10, 50, 2000, 4)])  # 4 bits: most collide
+def test_equals_brute_force(make_docs, most, least, covered, top, print_bits):
+    docs = make_docs(ROWS, extra="doc print n phrase")
+    got = op.collocations(docs, most, least, covered, top, 10, print_bits)
+    assert found(got) == brute(ROWS, most, least, covered, top)
+
+
+def test_counts_beyond_64_bits(spark):
+    big = [("en", "", 8 * 10 ** 12), ("en", "u", 4 * 10 ** 12), ("en", "v", 3 * 10 ** 12 + 1), ("en", "u v", 2 * 10 ** 12 + 7)]
+    counts = spark.createDataFrame(big, "lang string, phrase string, n long")
+    candidates = counts.filter("phrase = 'u v'").selectExpr("lang", "phrase", "n AS a", "split(phrase, ' ') AS words")
+    row = op._scored(candidates, counts).first()
+    a, left, right = big[3][2], big[1][2], big[2][2]
+    assert (row.l, row.r, row.score) == (left, right, 10 ** 6 * a * a // (left * right))
+
+
+def test_words_with_equal_hashes_are_told_apart():
+    data = b"ab cd ab ef. cd"
+    words = op.Words(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    assert [data[s:s + n].decode() for s, n in zip(words.starts, words.lengths)] == ["ab", "cd", "ab", "ef", "cd"]
+    words.hashes = np.zeros(5, np.uint64)
+    ids = words.ids()
+    assert ids[0] == ids[2] and ids[1] == ids[4] and len(set(ids)) == 3
+    assert list(words.grams(2)) == [0, 1, 2]
+
+
+def test_words_by_parts_have_the_hashes_of_the_whole(monkeypatch):
+    text = ("lorem ipsum dolor, sit amet " * 50).encode()
+    whole = op.Words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    monkeypatch.setattr(op, "PART_BYTES", 7)
+    parts = op.Words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert np.array_equal(whole.hashes, parts.hashes) and np.array_equal(whole.ids(), parts.ids())
+
+
+def test_empty_table(make_docs):
+    assert op.collocations(make_docs(ROWS).limit(0)).count() == 0
+    assert op.collocations(make_docs([(1, None), (2, ". ,"), (3, "x")])).count() == 0
