@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from roadlens.functions.numbers import half_up_ratio
 from roadlens.operators.common import legal_cars
+from roadlens.operators.paths import many_path_counts
 from roadlens.operators.sequence import sequence_number
+from roadlens.operators.slices import SLICE_KEY, SLICE_ORDER, SLICE_SECONDS, track_slices
 from roadlens.schema import TIEBREAK_COLUMN
 
 # Passes per partial track string when building long tracks in two levels.
 TRACK_BLOCK = 1024
 
-# Steps of a path that one bit mask holds.
-MASK_BITS = 62
-
 
 def _sequence_columns(flow: DataFrame, extra: list[str]) -> DataFrame:
     cols = ["car", "action_time", "monitor_id", "camera_id"] + extra
@@ -41,72 +40,34 @@ def car_track_blocks(flow: DataFrame, block: int = TRACK_BLOCK) -> DataFrame:
                  F.expr("listagg(monitor_id, ',') WITHIN GROUP (ORDER BY seq)").alias("track_part")))
 
 
-def car_track(flow: DataFrame, block: int = TRACK_BLOCK) -> DataFrame:
+def car_track(flow: DataFrame, block: int = SLICE_SECONDS) -> DataFrame:
     """One row per car: ``date`` of its last pass, ``car``, ``car_track``.
 
     ``car_track`` is the monitor ids of the car's passes in time order joined
-    by ``,`` (null monitors are skipped). The text is assembled from
-    :func:`car_track_blocks`, so the last step only joins one part per block
-    of ``block`` passes; the result row itself holds the whole track.
+    by ``,`` (null monitors are skipped). The text is put together per slice
+    of ``block`` seconds of the car's time, so the last step only joins one
+    part per slice; the result row itself holds the whole track.
     """
-    parts = car_track_blocks(flow, block)
+    known = F.filter("runs", lambda r: r["label"].isNotNull())
+    ids = F.flatten(F.transform(known, lambda r: F.array_repeat(r["label"], r["n"].cast("int"))))
+    parts = track_slices(flow, last_date=True, seconds=block).select(
+        *SLICE_KEY, F.element_at("runs", -1)["last"]["date"].alias("last_date"),
+        F.when(F.size(known) > 0, F.array_join(ids, ",")).alias("track_part"))
     return (parts.groupBy("car")
-            .agg(F.max_by("last_date", "last_seq").alias("date"),
-                 F.expr("listagg(track_part, ',') WITHIN GROUP (ORDER BY block)").alias("car_track"))
+            .agg(F.max_by("last_date", F.struct(*SLICE_ORDER)).alias("date"),
+                 F.expr(f"listagg(track_part, ',') WITHIN GROUP (ORDER BY {', '.join(SLICE_ORDER)})").alias("car_track"))
             .select("date", "car", "car_track"))
 
 
-def _prefix_texts(path: list[str]) -> list[str]:
-    return [",".join(path[: i + 1]) for i in range(len(path))]
-
-
 def path_step_counts(flow: DataFrame, path: list[str]) -> DataFrame:
     """For each prefix p1..pi of ``path``: occurrences as a contiguous run.
 
     Returns ``step`` (i), ``path`` (the prefix text), ``cnt`` (occurrences in
     all cars' tracks, overlapping runs counted separately) and ``prev_cnt``
-    (the count of step i-1; null for step 1).
-
-    Matching is by whole monitor id. Only passes at a monitor of the path
-    take part after sequencing: a pass at rank r with monitor ``path[j]``
-    votes for a run starting at rank r - j; a run of length i exists where
-    votes 0..i-1 are all present. Runs are grouped by (car, start), never by
-    car.
+    (the count of step i-1; null for step 1). Matching is by whole monitor id;
+    see :func:`roadlens.operators.paths.many_path_counts`.
     """
-    k = len(path)
-    if k == 0:
-        raise ValueError("path needs at least one monitor")
-    ranked = sequence_number(_sequence_columns(flow, []))
-    path_arr = F.array(*[F.lit(p) for p in path])
-    offsets = F.filter(F.array(*[F.lit(j) for j in range(k)]),
-                       lambda j: F.element_at(path_arr, j + 1) == F.col("monitor_id"))
-    votes = (ranked.filter(F.col("monitor_id").isin(sorted(set(path))))
-             .select("car", "seq", F.explode(offsets).alias("_j"))
-             .select("car", (F.col("seq") - F.col("_j")).alias("_start"), "_j"))
-    # one mask per MASK_BITS steps; a full mask lets the run go on in the next
-    starts = range(0, k, MASK_BITS)
-    runs = votes.groupBy("car", "_start").agg(*[
-        F.bit_or(F.when(F.col("_j").between(at, at + MASK_BITS - 1),
-                        F.expr(f"shiftleft(CAST(1 AS BIGINT), _j - {at})")).otherwise(F.lit(0).cast(T.LongType())))
-        .alias(f"_mask{at}") for at in starts])
-    run_len, going = F.lit(0), F.lit(True)
-    for at in starts:
-        mask, width = F.col(f"_mask{at}"), min(MASK_BITS, k - at)
-        # length of the matched part = number of trailing one bits of the mask
-        part = F.bit_count(F.shiftright(mask.bitwiseXOR(mask + 1), 1))
-        run_len = run_len + F.when(going, part).otherwise(0)
-        going = going & (part == width)
-    runs = runs.select(run_len.alias("_len"))
-    run_len = F.col("_len")
-    totals = runs.agg(*[F.coalesce(F.sum(F.when(run_len >= i, 1).otherwise(0)), F.lit(0))
-                        .cast(T.LongType()).alias(f"_c{i}") for i in range(1, k + 1)])
-    texts = _prefix_texts(path)
-    steps = F.array(*[
-        F.struct(F.lit(i).alias("step"), F.lit(texts[i - 1]).alias("path"),
-                 F.col(f"_c{i}").alias("cnt"),
-                 (F.col(f"_c{i - 1}") if i > 1 else F.lit(None).cast(T.LongType())).alias("prev_cnt"))
-        for i in range(1, k + 1)])
-    return totals.select(F.inline(steps))
+    return many_path_counts(flow, {"": path}).drop("path_id")
 
 
 def path_conversion(flow: DataFrame, path: list[str]) -> DataFrame:

@@ -3,9 +3,10 @@ from collections import Counter
 from pyspark.sql import Window, functions as F
 
 from conftest import SF001, flow_rows
+from plan_nodes import exchanges
 from roadlens.operators.flow import flow_by_date
 from roadlens.operators.sequence import sequence_number
-from roadlens.operators.track import car_track, path_conversion, path_step_counts
+from roadlens.operators.track import car_track, car_track_blocks, path_conversion, path_step_counts
 from roadlens.sources.events import read_passes
 
 
@@ -86,9 +87,14 @@ def test_paths_longer_than_a_mask(spark):
 def test_no_window_holds_a_whole_car(spark):
     import re
     flow = flow_by_date(read_passes(spark, SF001))
-    plan = path_step_counts(flow, ["0001", "0002"])._jdf.queryExecution().executedPlan().toString()
+    plan = car_track_blocks(flow)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\(_k#\d+, _z#\d+, _t#\d+L", plan)
     assert not re.search(r"hashpartitioning\(car#\d+, \d+\)", plan)
+    shuffled = exchanges(path_step_counts(flow, ["0001", "0002"]))
+    by_slice = [c for p, c in shuffled if re.match(r"hashpartitioning\(car#\d+, slice#", p)]
+    by_car = [c for p, c in shuffled if re.match(r"hashpartitioning\(car#\d+, \d+\)", p)]
+    assert by_slice and [set(c) for c in by_car] == [{"car", "slice", "slice_text", "head", "tail"}]  # no passes
+    assert len(shuffled) <= 5
 
 
 def test_two_level_track_assembly(spark):
@@ -129,7 +135,6 @@ def test_partition_independence(spark):
 
 
 def test_track_blocks_are_bounded_and_concatenate(spark):
-    from roadlens.operators.track import car_track_blocks
     flow = flow_by_date(read_passes(spark, SF001))
     blocks = car_track_blocks(flow, block=5).collect()
     assert all(r["last_seq"] - r["first_seq"] + 1 <= 5 for r in blocks)
