@@ -13,7 +13,8 @@ n-gram costs a few numpy operations whatever its length.
 2. Occurrences: what is left is counted by fingerprint within a batch, where
    each fingerprint keeps the first occurrence as a pointer (document, place,
    length); the others' words are compared with its bytes, and those that
-   differ go out by themselves. The shuffle adds up the fingerprints' counts.
+   differ go out by themselves. A batch's counts go out packed by range of the
+   fingerprint; after the shuffle, each range's fingerprints are added up.
 3. Verification: the pointers of the fingerprints that reach ``least`` go to
    their documents, one pointer a batch, and only there the phrase is cut out
    of the text, and its fingerprint worked out anew. Counts are added up by the
@@ -27,8 +28,9 @@ Defined results: a null text is empty; a null language is ``und`` and counted
 with texts of that language; rows that repeat an id or a text count each; null
 ids play no part; an empty table gives an empty result; further columns are
 ignored. Words longer than a batch, and texts of any length, are taken whole.
-Pointers name a text by a 64-bit hash and its length; two texts that share both
-fail the job (some phrase then lacks its fingerprint), they never change counts.
+Pointers name a text by a 64-bit hash of it and its language; should two texts
+share one, some phrase lacks its fingerprint and the job fails: counts are
+never wrong.
 """
 
 from __future__ import annotations
@@ -42,7 +44,8 @@ from roadlens.session import materialize
 
 MOST_WORDS, LEAST, COVERED, TOP = 3, 10, 50, 2000
 SIEVE_BITS = 26
-BATCH_BYTES, PART_BYTES = 16 << 20, 1 << 20
+BATCH_BYTES, PART_BYTES = 8 << 20, 1 << 20
+LEAST_RANGES = 1024  # of fingerprints
 
 _RANDOM = np.random.default_rng(20_240_613)
 #: A value for each byte, and the odd bases of the two polynomials.
@@ -189,28 +192,64 @@ def _bucket(prints: np.ndarray, bits: int) -> np.ndarray:
     return (prints >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def _by_range(ranges: np.ndarray, columns: dict[str, np.ndarray]):
+    """A row per range of a batch's entries, which come in order of their ranges: numbers packed as bytes."""
+    names, first = np.unique(ranges, return_index=True)
+    ends = np.append(first[1:], len(ranges))
+    packed = [pa.array([column[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()) for column in columns.values()]
+    return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), *packed], names=["range", *columns])
+
+
+def _ranges(batches, types: dict[str, type]):
+    """The unpacked columns of one range after the other; rows come in order of their ranges."""
+    at, kept = None, None
+    for batch in batches:
+        numbers = batch.column("range").to_numpy()
+        cells = {name: batch.column(name) for name in types}
+        for i, number in enumerate(numbers):
+            if number != at:
+                if kept:
+                    yield at, {n: np.concatenate(x) for n, x in kept.items()}
+                at, kept = number, {name: [] for name in types}
+            for name, kind in types.items():
+                kept[name].append(np.frombuffer(cells[name][i].as_buffer(), kind))
+    if kept:
+        yield at, {n: np.concatenate(x) for n, x in kept.items()}
+
+
+SIEVE_RANGES = 1 << 10
+
+
 def sieve(docs: DataFrame, least: int, bits: int, print_bits: int = 64) -> np.ndarray:
-    """Bits of the places that hold ``least`` bigrams or more."""
+    """Which places hold ``least`` bigrams or more, a bit each."""
+    inner = (1 << bits) // SIEVE_RANGES  # places of a range
+
     def count(batches):
         for lang, (data, offsets), _ in _batches(batches):
             words = Words(data, offsets)
             prints = words.prints(words.grams(2), 2, seed_of(lang), words.prefix(), print_bits)
             bucket, n = np.unique(_bucket(prints, bits), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(n.astype(np.int32))],
-                                             names=["bucket", "n"])
-
-    full = (docs.select("lang", "text").mapInArrow(count, "bucket int, n int").groupBy("bucket")
-            .agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
-    # a bit map of fixed size: 2 ** bits / 64 numbers at most
-    rows = (full.groupBy(F.expr("bucket div 64").alias("at"))
-            .agg(F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), CAST(bucket % 64 AS INT))")).alias("bits"))).toArrow()
-    out = np.zeros((1 << bits) // 64 or 1, np.uint64)
-    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+            yield _by_range(bucket // inner, {"place": (bucket % inner).astype(np.uint32),
+                                              "n": np.minimum(n, least).astype(np.uint32)})
+
+    def add(batches):
+        for number, own in _ranges(batches, {"place": np.uint32, "n": np.uint32}):
+            full = np.bincount(own["place"], own["n"], inner) >= least
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([np.packbits(
+                full, bitorder="little").tobytes()], pa.binary())], names=["range", "bits"])
+
+    rows = (docs.select("lang", "text").mapInArrow(count, "range int, place binary, n binary")
+            .repartition("range").sortWithinPartitions("range").mapInArrow(add, "range int, bits binary")).toArrow()
+    out = np.zeros((SIEVE_RANGES, max(inner // 8, 1)), np.uint8)  # 2 ** bits / 8 bytes, whatever the input
+    for number, cell in zip(rows.column("range").to_pylist(), rows.column("bits").to_pylist()):
+        out[number] = np.frombuffer(cell, np.uint8)
     return out
 
 
-def _in_sieve(bits_set: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-    return (bits_set[bucket >> 6] >> (bucket & 63).astype(np.uint64)) & np.uint64(1) == 1
+def _in_sieve(bits_set: np.ndarray, bucket: np.ndarray, bits: int) -> np.ndarray:
+    inner = (1 << bits) // SIEVE_RANGES
+    place = bucket % inner
+    return (bits_set[bucket // inner, place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
 def batch_counts(words: Words, lang: str, most: int, bits_set: np.ndarray, bits: int, print_bits: int = 64):
@@ -226,7 +265,7 @@ def batch_counts(words: Words, lang: str, most: int, bits_set: np.ndarray, bits:
             at = at[np.logical_and.reduce([passes[at + i] for i in range(n - 1)])]
         prints = words.prints(at, n, seed, prefix, print_bits)
         if n == 2:
-            keep = _in_sieve(bits_set, _bucket(prints, bits))
+            keep = _in_sieve(bits_set, _bucket(prints, bits), bits)
             at, prints = at[keep], prints[keep]
             passes[at] = True
         values, first, group = np.unique(prints, return_index=True, return_inverse=True)
@@ -238,32 +277,60 @@ def batch_counts(words: Words, lang: str, most: int, bits_set: np.ndarray, bits:
                np.concatenate([pointer, at[odd]]), n)
 
 
-POINTER = "lang string, print long, n long, doc long, size int, at int, length int"
+COUNT = {"prints": np.uint64, "n": np.int32, "doc": np.int64, "place": np.int64}
+
 
+def occurrences(docs: DataFrame, most: int, bits_set: np.ndarray, bits: int, print_bits: int, ranges: int) -> DataFrame:
+    """Fingerprints' counts and pointers, a batch's packed by range of the fingerprint.
 
-def occurrences(docs: DataFrame, most: int, bits_set: np.ndarray, bits: int, print_bits: int = 64) -> DataFrame:
-    """A row per batch and fingerprint: its count and a pointer to one occurrence (bytes within the text)."""
+    A pointer is the document's key, and the phrase's place: its first byte in the text and its length.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(bits_set)
+    step = np.uint64(-(-2 ** 64 // ranges))
 
     def count(batches):
         for lang, (data, offsets), rows in _batches(batches):
             words = Words(data, offsets)
             if not len(words.starts):
                 continue
-            keys, sizes = rows.column("doc").to_numpy(), np.diff(offsets).astype(np.int32)
-            found = [*batch_counts(words, lang, most, shared.value, bits, print_bits),
-                     (seed_of(lang).reshape(1), np.array([len(words.starts)]), np.array([0]), 0)]
-            for prints, n, first, size in found:
-                text, start = words.text[first], words.starts[first]
-                last = first + max(size, 1) - 1
-                length = words.starts[last] + words.lengths[last] - start if size else np.array([0])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang]).take(pa.array(np.zeros(len(n), np.int32))), pa.array(prints.view(np.int64)),
-                     pa.array(n.astype(np.int64)), pa.array(keys[text]), pa.array(sizes[text]),
-                     pa.array((start - offsets[text]).astype(np.int32)), pa.array(length.astype(np.int32))],
-                    names=["lang", "print", "n", "doc", "size", "at", "length"])
-
-    return docs.select("lang", "text", "doc").mapInArrow(count, POINTER)
+            # the empty phrase, which occurs once a word
+            none = (seed_of(lang).reshape(1), np.array([len(words.starts)]), np.array([0]), np.array([0]))
+            found = [none]
+            for prints, n, first, size in batch_counts(words, lang, most, shared.value, bits, print_bits):
+                last = first + size - 1
+                found.append((prints, n, first, words.starts[last] + words.lengths[last] - words.starts[first]))
+            prints, n, first, length = (np.concatenate(x) for x in zip(*found))
+            order = np.argsort(prints)
+            prints, n, first, length = prints[order], n[order], first[order], length[order]
+            text = words.text[first]
+            keys = rows.column("doc").to_numpy()
+            yield _by_range(prints // step, {
+                "prints": prints, "n": n.astype(np.int32), "doc": keys[text],
+                "place": (words.starts[first] - offsets[text] << 32) + length})
+
+    return docs.select("lang", "text", "doc").mapInArrow(count, "range int, prints binary, n binary, doc binary, place binary")
+
+
+def frequent(found: DataFrame, least: int) -> DataFrame:
+    """``doc, place, print, n``: the pointers of the fingerprints that occur ``least`` times or more."""
+    def add(batches):
+        for _, own in _ranges(batches, COUNT):
+            prints, group = np.unique(own["prints"], return_inverse=True)
+            keep = (np.bincount(group, own["n"], len(prints)) >= least)[group]
+            if not keep.any():
+                continue
+            # batches that point at copies of one text share a row
+            prints, docs, place, n = (own[c][keep] for c in ("prints", "doc", "place", "n"))
+            order = np.lexsort((place, docs, prints))
+            prints, docs, place, n = prints[order], docs[order], place[order], n[order]
+            new = (prints[1:] != prints[:-1]) | (docs[1:] != docs[:-1]) | (place[1:] != place[:-1])
+            first = np.flatnonzero(np.append(True, new))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(docs[first]), pa.array(place[first]), pa.array(prints[first].view(np.int64)),
+                 pa.array(np.add.reduceat(n.astype(np.int64), first))], names=["doc", "place", "print", "n"])
+
+    return (found.repartition("range").sortWithinPartitions("range")
+            .mapInArrow(add, "doc long, place long, print long, n long"))
 
 
 def _phrases(print_bits: int):
@@ -275,14 +342,13 @@ def _phrases(print_bits: int):
                 lists = part.column("pointers")
                 row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
                 flat = lists.flatten()
-                at, length, prints = (flat.field(c).to_numpy() for c in ("at", "length", "print"))
-                low = offsets[row] + at
-                out = [_phrase(data[s:s + n]) for s, n in zip(low, length)]
-                phrases = pa.array(out, pa.string())
-                if not np.array_equal(_prints_of(phrases, flat.field("lang"), print_bits), prints.view(np.uint64)):
+                place, prints = (flat.field(c).to_numpy() for c in ("place", "print"))
+                low = offsets[row] + (place >> 32)
+                out = [_phrase(data[s:s + n]) for s, n in zip(low, place & 0xFFFFFFFF)]
+                phrases, langs = pa.array(out, pa.string()), part.column("lang").take(pa.array(row))
+                if not np.array_equal(_prints_of(phrases, langs, print_bits), prints.view(np.uint64)):
                     raise ValueError("two texts share a key")
-                yield pa.RecordBatch.from_arrays([flat.field("lang"), phrases, flat.field("n")],
-                                                 names=["lang", "phrase", "n"])
+                yield pa.RecordBatch.from_arrays([langs, phrases, flat.field("n")], names=["lang", "phrase", "n"])
 
     return cut
 
@@ -310,18 +376,12 @@ def phrase_counts(documents: DataFrame, most: int = MOST_WORDS, least: int = LEA
                   print_bits: int = 64) -> DataFrame:
     """``lang, phrase, n`` of all phrases of up to ``most`` words with ``least`` occurrences; the phrase '' counts words."""
     docs = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.filter(F.col("text") != "").withColumn("doc", F.xxhash64("text"))
-    found = occurrences(docs, most, sieve(docs, least, bits, print_bits), bits, print_bits)
-    # batches that point at copies of one text meet in the same shuffle
-    key = ["print", "lang", "doc", "size", "at", "length"]
-    frequent = (found.withColumn("all", F.sum("n").over(Window.partitionBy("print", "lang")))
-                .filter(F.col("all") >= least).groupBy(*key).agg(F.sum("n").alias("n")))
-    text_key = ["doc", "size"]
-    pointers = frequent.groupBy(*text_key).agg(
-        F.collect_list(F.struct("lang", "print", "n", "at", "length")).alias("pointers"))
-    whole = (docs.select("doc", F.octet_length("text").alias("size"), "text")
-             .groupBy(*text_key).agg(F.first("text").alias("text")))  # equal texts once
-    return (whole.join(pointers, text_key).select("text", "pointers")
+    docs = docs.filter(F.col("text") != "").withColumn("doc", F.xxhash64("lang", "text"))
+    ranges = max(LEAST_RANGES, 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = occurrences(docs, most, sieve(docs, least, bits, print_bits), bits, print_bits, ranges)
+    pointers = frequent(found, least).groupBy("doc").agg(F.collect_list(F.struct("place", "print", "n")).alias("pointers"))
+    whole = docs.groupBy("doc").agg(F.first("lang").alias("lang"), F.first("text").alias("text"))  # equal texts once
+    return (whole.join(pointers, "doc").select("lang", "text", "pointers")
             .mapInArrow(_phrases(print_bits), "lang string, phrase string, n long")
             .groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
 
