@@ -26,10 +26,14 @@ from roadlens.operators.monitor import (
 from roadlens.operators.sample import (
     hourly_car_count, hourly_quota, sample_cars, sample_detail, sample_track,
 )
+from roadlens.operators.paths import many_path_conversion, many_path_counts
 from roadlens.operators.track import car_track, car_track_blocks, path_conversion, path_step_counts
 from roadlens.plans import params as P
+from roadlens.plans.tasks import run_task
 from roadlens.schema import DETAIL_COLUMNS, FLOW_COLUMNS
 from roadlens.session import scratch_path
+from roadlens.sources.catalog import save_flow_catalog
+from roadlens.sources.commit import read_committed
 from roadlens.sources.events import area_from_region, read_passes
 from roadlens.sources.files import load_tsv, write_tsv
 from roadlens.sources.sink import read_result, write_result
@@ -225,6 +229,41 @@ def q_task_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.array_join("cars", "+").alias("cars"), F.size("cars").alias("n_cars"))
 
 
+def q_many_path_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return many_path_counts(_flow(spark, sf_dir), P.MANY_PATHS)
+
+
+def q_many_path_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return many_path_conversion(_flow(spark, sf_dir), P.MANY_PATHS)
+
+
+def _catalog_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All passes, from a catalog table laid out by plate and slice."""
+    path = scratch_path(spark, "catalog-flow")
+    table = "flow_" + path.rsplit("-", 1)[1]
+    return flow_by_date(save_flow_catalog(read_passes(spark, sf_dir), table, P.CATALOG_BUCKETS, path))
+
+
+def q_catalog_path_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return path_step_counts(_catalog_flow(spark, sf_dir), P.PATH)
+
+
+def q_catalog_car_track(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return car_track(_catalog_flow(spark, sf_dir))
+
+
+def _task_table(task_id: int, table: str) -> Query:
+    """A result table of a stored task, as its commit shows it."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tasks = spark.createDataFrame(list(P.TASKS.items()), "task_id int, task_param string")
+        out, passes = scratch_path(spark, "task-results"), read_passes(spark, sf_dir)
+        run_task(spark, tasks, task_id, passes, camera_registry(passes), _areas(spark, sf_dir), out, published=False)
+        return read_committed(spark, out, table)
+
+    query.__name__ = f"q_task_{table}"
+    return query
+
+
 QUERIES: dict[str, Query] = {
     "flow_by_date": q_flow_by_date,
     "load_tsv": q_load_tsv,
@@ -257,4 +296,12 @@ QUERIES: dict[str, Query] = {
     "time_arithmetic": q_time_arithmetic,
     "text_functions": q_text_functions,
     "task_parameters": q_task_parameters,
+    "many_path_counts": q_many_path_counts,
+    "many_path_conversion": q_many_path_conversion,
+    "catalog_path_counts": q_catalog_path_counts,
+    "catalog_car_track": q_catalog_car_track,
+    **{f"task_{table}": _task_table(task_id, table) for task_id, table in (
+        (1, "monitor_state"), (1, "topn_monitor_car_count"), (1, "topn_monitor_detail_info"), (1, "top10_speed_detail"),
+        (2, "random_extract_car"), (2, "random_extract_car_detail_info"), (2, "car_track"),
+        (3, "monitor_range_time_car"))},
 }

@@ -2,11 +2,12 @@
 
 ::
 
-    spark-submit roadlens/plans/jobs.py load --files IN_DIR --table FLOW_TABLE
+    spark-submit roadlens/plans/jobs.py load --files IN_DIR --table FLOW_TABLE [--catalog [--buckets 64]]
     spark-submit roadlens/plans/jobs.py run-task --task-id 5 --table FLOW_TABLE \\
         --tasks tasks.jsonl --out RESULT_DIR [--out-jdbc URL] [--registry REGISTRY_TABLE] [--areas AREAS_TABLE]
 
-The task table comes from JSON lines (``task_id``, ``task_param``, ...) or,
+Tables are folders or, with ``--catalog``, names of catalog tables (``load``
+lays them out by plate and time slice). The task table comes from JSON lines (``task_id``, ``task_param``, ...) or,
 with ``--tasks-jdbc-url`` and ``--tasks-jdbc-table``, from a database. The
 camera registry defaults to the cameras seen in the whole pass table.
 """
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from roadlens.operators.monitor import camera_registry
 from roadlens.plans.tasks import run_task
 from roadlens.schema import AREA_SCHEMA, REGISTRY_SCHEMA, TASK_SCHEMA
+from roadlens.sources.catalog import BUCKETS, load_catalog, read_flow_catalog
 from roadlens.sources.files import load_tsv, read_flow_table
 
 
@@ -43,6 +45,7 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--table", required=True)
     load.add_argument("--registry-files")
     load.add_argument("--registry-table")
+    load.add_argument("--buckets", type=int, default=BUCKETS, help="buckets of a catalog table")
     run = sub.add_parser("run-task", help="run one stored task and write its result tables")
     run.add_argument("--task-id", type=int, required=True)
     run.add_argument("--table", required=True, help="pass table written by 'load'")
@@ -53,12 +56,17 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--tasks-jdbc-table", default="task")
     run.add_argument("--registry", help="parquet registry table (monitor_id, camera_id)")
     run.add_argument("--areas", help="parquet area table (area_id, area_name)")
+    for command in (load, run):
+        command.add_argument("--catalog", action="store_true", help="tables are names of catalog tables")
     return p
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> list[str]:
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("roadlens").getOrCreate()
+    if args.command == "load" and args.catalog:
+        load_catalog(spark, args.files, args.table, args.buckets, args.registry_files, args.registry_table)
+        return [args.table]
     if args.command == "load":
         load_tsv(spark, args.files, args.table, args.registry_files, args.registry_table)
         return [args.table]
@@ -66,11 +74,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
         raise SystemExit("run-task needs --tasks or --tasks-jdbc-url")
     if not args.out and not args.out_jdbc:
         raise SystemExit("run-task needs --out or --out-jdbc")
-    flow = read_flow_table(spark, args.table)
-    registry = (spark.read.schema(REGISTRY_SCHEMA).parquet(args.registry) if args.registry
-                else camera_registry(flow))
-    areas = (spark.read.schema(AREA_SCHEMA).parquet(args.areas) if args.areas
-             else spark.createDataFrame([], AREA_SCHEMA))
+
+    def table(name: str, schema) -> DataFrame:
+        return spark.table(name).select(*schema.names) if args.catalog else spark.read.schema(schema).parquet(name)
+
+    flow = read_flow_catalog(spark, args.table) if args.catalog else read_flow_table(spark, args.table)
+    registry = table(args.registry, REGISTRY_SCHEMA) if args.registry else camera_registry(flow)
+    areas = table(args.areas, AREA_SCHEMA) if args.areas else spark.createDataFrame([], AREA_SCHEMA)
     return run_task(spark, _tasks(spark, args), args.task_id, flow, registry, areas, args.out, args.out_jdbc)
 
 

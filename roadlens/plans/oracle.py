@@ -86,6 +86,30 @@ def _path_counts_cte(path: list[str]) -> str:
             f"steps AS ({' UNION ALL '.join(steps)})")
 
 
+def _many_paths(paths: dict[str, list[str]]) -> str:
+    longest = max(map(len, paths.values()))
+    leads = ", ".join(f"lead(monitor_id, {j}) OVER w AS m{j}" for j in range(longest))
+    texts = ", ".join(_lit(",".join(path)) for path in paths.values())
+    runs = " UNION ALL ".join(
+        f"SELECT {' || chr(44) || '.join(f'm{j}' for j in range(i))} AS path FROM seqs" for i in range(1, longest + 1))
+    return (f"paths AS (SELECT unnest([{', '.join(map(_lit, paths))}]) AS path_id, "
+            f"unnest([{texts}]) AS whole),\n"
+            "prefixes AS (SELECT path_id, CAST(step AS INTEGER) AS step, "
+            "array_to_string(string_split(whole, ',')[:step], ',') AS path "
+            "FROM (SELECT *, unnest(generate_series(1, len(string_split(whole, ',')))) AS step FROM paths)),\n"
+            f"seqs AS (SELECT {leads} FROM flow WINDOW w AS (PARTITION BY car ORDER BY {_ORDER})),\n"
+            f"runs AS (SELECT path, count(*) AS n FROM ({runs}) GROUP BY path),\n"
+            "counts AS (SELECT path_id, step, path, coalesce(n, 0) AS cnt FROM prefixes LEFT JOIN runs USING (path)),\n"
+            "steps AS (SELECT *, lag(cnt) OVER (PARTITION BY path_id ORDER BY step) AS prev_cnt FROM counts)")
+
+
+def _with_range(*ctes: str) -> str:
+    """``flow`` are the legal passes of the stored tasks' dates."""
+    legal = _PASSES.replace("flow AS", "legal AS")
+    span = f"flow AS (SELECT * FROM legal WHERE date BETWEEN {_lit(P.RANGE_START)} AND {_lit(P.RANGE_END)})"
+    return "WITH " + ",\n".join((legal, span) + ctes) + "\n"
+
+
 def _hour_cars_cte() -> str:
     return (f"hour_cars AS (SELECT DISTINCT {_DAY} AS date, {_DATE_HOUR} AS date_hour, car FROM flow),\n"
             "counts AS (SELECT date, date_hour, count(*) AS cars FROM hour_cars GROUP BY date, date_hour)")
@@ -231,6 +255,47 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT c_custkey AS task_id, '2024-01-05' AS start_date, CAST(NULL AS VARCHAR) AS end_date, "
         "CAST(c_custkey % 9 AS INTEGER) AS top_num, c_name AS area_name, CAST(NULL AS INTEGER) AS extract_num, "
         "'A+' || c_name AS cars, 2 AS n_cars FROM customer"),
+    "many_path_counts": _with(_many_paths(P.MANY_PATHS)) + "SELECT path_id, step, path, cnt, prev_cnt FROM steps",
+    "many_path_conversion": _with(_many_paths(P.MANY_PATHS)) + (
+        "SELECT path_id, step, path, cnt, prev_cnt, CAST((200 * cnt + prev_cnt) // (2 * prev_cnt) AS DOUBLE) / 100 AS rate "
+        "FROM steps WHERE step >= 2 AND cnt > 0"),
+    "catalog_path_counts": _with(_path_counts_cte(P.PATH)) + "SELECT step, path, cnt, prev_cnt FROM steps",
+    "catalog_car_track": _with() + _track_select("flow"),
+    "task_monitor_state": _with_range(
+        "reg AS (SELECT DISTINCT monitor_id, camera_id FROM passes WHERE monitor_id IS NOT NULL AND camera_id IS NOT NULL)",
+        "seen AS (SELECT DISTINCT monitor_id, camera_id FROM flow)",
+        "per AS (SELECT reg.monitor_id, count(*) FILTER (WHERE seen.camera_id IS NOT NULL) AS good, "
+        "count(*) FILTER (WHERE seen.camera_id IS NULL) AS bad, "
+        "string_agg(CASE WHEN seen.camera_id IS NULL THEN reg.camera_id END, ',' ORDER BY reg.camera_id) AS ids "
+        "FROM reg LEFT JOIN seen ON reg.monitor_id = seen.monitor_id AND reg.camera_id = seen.camera_id "
+        "GROUP BY reg.monitor_id)") + (
+        "SELECT count(*) FILTER (WHERE bad = 0) AS noraml_monitor_count, CAST(coalesce(sum(good), 0) AS BIGINT) AS normal_camera_count, "
+        "count(*) FILTER (WHERE bad > 0) AS abnormal_monitor_count, CAST(coalesce(sum(bad), 0) AS BIGINT) AS abnormal_camera_count, "
+        "coalesce(string_agg(CASE WHEN bad > 0 THEN monitor_id || ':' || ids END, '~' ORDER BY monitor_id), '') "
+        "AS abnormal_monitor_camera_infos, '1' AS \"taskId\" FROM per"),
+    "task_topn_monitor_car_count": _with_range() + (
+        "SELECT monitor_id, car_count AS \"carCount\", '1' AS task_id FROM (" + _top_monitors(P.TOP_N) + ")"),
+    "task_topn_monitor_detail_info": _with_range(f"top AS ({_top_monitors(P.TOP_N)})") + (
+        f"SELECT {_DETAIL}, '1' AS task_id FROM flow WHERE monitor_id IN (SELECT monitor_id FROM top)"),
+    "task_top10_speed_detail": _with_range(
+        f"top AS ({_speed_rank(P.TOP_N)})",
+        "ranked AS (SELECT *, row_number() OVER (PARTITION BY monitor_id ORDER BY TRY_CAST(speed AS INTEGER) DESC NULLS LAST, "
+        "action_time, car, camera_id, road_id, date, event_id) AS rn FROM flow WHERE monitor_id IN (SELECT monitor_id FROM top))") + (
+        f"SELECT {_DETAIL}, '1' AS task_id FROM ranked WHERE rn <= {P.TOP_DETAIL_PER_MONITOR}"),
+    "task_random_extract_car": _with_range(_sample_cte(P.EXTRACT_NUM, P.SEED)) + (
+        "SELECT car AS car_info, date AS date_d, date_hour, '2' AS task_id FROM sampled"),
+    "task_random_extract_car_detail_info": _with_range(_sample_cte(P.EXTRACT_NUM, P.SEED)) + (
+        f"SELECT {_DETAIL}, '2' AS task_id FROM flow WHERE car IN (SELECT car FROM sampled)"),
+    "task_car_track": _with_range(
+        _sample_cte(P.EXTRACT_NUM, P.SEED), "picked AS (SELECT * FROM flow WHERE car IN (SELECT car FROM sampled))",
+        f"tracks AS ({_track_select('picked')})") + "SELECT date, car, car_track, '2' AS task_id FROM tracks",
+    "task_monitor_range_time_car": _with_range(
+        f"cells_in AS (SELECT monitor_id, {_RANGE} AS range_time, car FROM flow)",
+        f"targets AS (SELECT DISTINCT monitor_id, range_time FROM cells_in WHERE car IN {_in(P.TARGET_CARS)})",
+        "together AS (SELECT DISTINCT c.monitor_id, c.range_time, c.car FROM cells_in c "
+        "WHERE EXISTS (SELECT 1 FROM targets t WHERE t.monitor_id = c.monitor_id AND t.range_time = c.range_time))",
+    ) + ("SELECT monitor_id, range_time, string_agg(car, ',' ORDER BY car) AS cars, '3' AS task_id "
+         "FROM together GROUP BY monitor_id, range_time"),
     "write_result": _with() + ("SELECT monitor_id, car_count, '1' AS task_id FROM ("
                                + _top_monitors(P.TOP_N) + ")"),
 }

@@ -17,3 +17,15 @@ RANGE_END = "2024-01-21"
 WATERMARK = "10 minutes"
 WINDOW = "5 minutes"
 AREA_NAME = "ASIA"
+
+# A hundred five-monitor paths over the nine monitors; many share their beginnings.
+MANY_PATHS = {f"path{i}": [f"{(i + j * (1 + i // 18) + j * j * (i % 3)) % 9:04d}" for j in range(5)] for i in range(100)}
+
+# Stored tasks, as the task table has them.
+_SPAN = f'"startDate":["{RANGE_START}"],"endDate":["{RANGE_END}"]'
+TASKS = {
+    1: '{' + _SPAN + f',"topNum":["{TOP_N}"]' + '}',
+    2: '{' + _SPAN + f',"extractNum":["{EXTRACT_NUM}"]' + '}',
+    3: '{' + _SPAN + f',"cars":["{",".join(TARGET_CARS)}"]' + '}',
+}
+CATALOG_BUCKETS = 8

@@ -1,9 +1,10 @@
 """The stored analysis tasks as end-to-end jobs.
 
 A task row names its parameters (JSON); ``run_task`` reads that one row,
-builds the result DataFrames with the operators, and writes every result
-table once, partitioned by ``task_id`` (a rerun replaces the task's rows).
-Nothing is written from inside a transformation.
+builds the result DataFrames with the operators, and commits all result tables
+at once (see ``sources.commit``): a task that fails leaves the tables of its
+last run, a rerun replaces them. Nothing is written from inside a
+transformation.
 
 | task kind        | parameters                               | result tables |
 | ---------------- | ---------------------------------------- | ------------- |
@@ -16,8 +17,6 @@ Nothing is written from inside a transformation.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadlens.operators.area import area_road_topn
@@ -30,7 +29,8 @@ from roadlens.operators.sample import sample_cars, sample_detail
 from roadlens.operators.track import car_track, conversion_rates, path_step_counts
 from roadlens.schema import DETAIL_COLUMNS
 from roadlens.session import materialize
-from roadlens.sources.sink import write_jdbc, write_result
+from roadlens.sources.commit import commit_results, recover
+from roadlens.sources.sink import write_jdbc
 from roadlens.sources.tasks import task_params
 
 # Fixed names: result tables whose task column is not task_id.
@@ -108,16 +108,21 @@ def task_results(spark: SparkSession, tasks: DataFrame, task_id: int, flow: Data
 
 
 def run_task(spark: SparkSession, tasks: DataFrame, task_id: int, flow: DataFrame,
-             registry: DataFrame, areas: DataFrame, out_dir: str | None, out_jdbc: str | None = None) -> list[str]:
+             registry: DataFrame, areas: DataFrame, out_dir: str | None, out_jdbc: str | None = None,
+             published: bool = True) -> list[str]:
     """Run one task and write its result tables; returns their names.
 
-    They go below ``out_dir`` and, with ``out_jdbc``, to the database's tables of the same names.
+    They are committed together below ``out_dir`` and, unless ``published`` is
+    false, copied to the plain tables there (with those of earlier runs whose
+    copy broke off); with ``out_jdbc``, they also go to the database's tables
+    of the same names.
     """
     results = task_results(spark, tasks, task_id, flow, registry, areas)
-    for name, df in results.items():
-        column = TASK_COLUMNS.get(name, "task_id")
-        if out_dir:
-            write_result(df, os.path.join(out_dir, name), task_id, task_column=column)
-        if out_jdbc:
-            write_jdbc(df, out_jdbc, name, task_id, task_column=column)
+    if results and out_dir:
+        commit_results(spark, results, out_dir, task_id, TASK_COLUMNS)
+        if published:
+            recover(spark, out_dir)
+    if out_jdbc:
+        for name, df in results.items():
+            write_jdbc(df, out_jdbc, name, task_id, task_column=TASK_COLUMNS.get(name, "task_id"))
     return sorted(results)

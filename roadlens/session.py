@@ -61,9 +61,29 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in whatever file system it is; false if it was not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove the tables that this application wrote in the shared folder; returns how many there were.
+
+    Call it when no DataFrame that reads them is needed any more.
+    """
+    paths, _SCRATCH[:] = list(_SCRATCH), []
+    return sum(remove_path(spark, path) for path in paths)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

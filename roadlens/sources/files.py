@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlens.schema import FLOW_COLUMNS, FLOW_SCHEMA, REGISTRY_SCHEMA
+from roadlens.operators.slices import STORED_SLICE
+from roadlens.schema import FLOW_COLUMNS, FLOW_SCHEMA, REGISTRY_SCHEMA, TIEBREAK_COLUMN
 
 _TEXT_OPTIONS = {"sep": "\t", "quote": "", "escape": "", "header": "false",
                  "mode": "PERMISSIVE", "emptyValue": "", "nullValue": "\\N"}
@@ -62,5 +63,7 @@ def read_flow_table(spark: SparkSession, table_path: str) -> DataFrame:
 
 
 def read_flow_catalog(spark: SparkSession, table: str = "monitor_flow_action") -> DataFrame:
-    """Passes from a catalog table or view (e.g. ``traffic.monitor_flow_action``)."""
-    return spark.table(table).select(*FLOW_COLUMNS)
+    """Passes from a catalog table or view (e.g. ``traffic.monitor_flow_action``), with its layout if it has one."""
+    passes = spark.table(table)
+    more = [c for c in (TIEBREAK_COLUMN, STORED_SLICE) if c in passes.columns]
+    return passes.select(*FLOW_COLUMNS, *more)
