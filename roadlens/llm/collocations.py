@@ -6,19 +6,18 @@ n-gram's fingerprint from prefix polynomials over the word hashes (differences
 of two prefixes, times an inverse power; arithmetic modulo 2**64), so every
 n-gram costs a few numpy operations whatever its length.
 
-1. Sieve: the fingerprints of all bigrams are counted by their first
-   ``SIEVE_BITS`` bits. An n-gram one of whose bigrams falls into a place with
+1. Sieve: the fingerprints of all words and bigrams are counted by their first
+   ``SIEVE_BITS`` bits. An n-gram that has a word or bigram in a place with
    fewer than ``least`` occurrences cannot be frequent. The sieve is a bit map
    of that fixed size; more data fill it more and sieve less, and lose nothing.
 2. Occurrences: what is left is counted by fingerprint within a batch, where
    each fingerprint keeps the first occurrence as a pointer (document, place,
    length); the others' words are compared with its bytes, and those that
-   differ go out by themselves. A batch's counts go out packed by range of the
-   fingerprint; after the shuffle, each range's fingerprints are added up.
-3. Verification: the pointers of the fingerprints that reach ``least`` go to
-   their documents, one pointer a batch, and only there the phrase is cut out
-   of the text, and its fingerprint worked out anew. Counts are added up by the
-   phrase itself, so fingerprints that collide are parted by their texts.
+   differ are counted by themselves. Between batches, a fingerprint goes with a
+   check, a polynomial over the same bytes modulo a prime: counts are added up
+   only where both are equal, and one pointer is kept.
+3. The pointers of what reaches ``least`` go to their documents, and only there
+   the phrase is cut out of the text and its fingerprint worked out anew.
 
 The empty phrase is counted with the others; its occurrences are the words of
 the language. Scores, cuts and ranks are column expressions on the frequent
@@ -28,9 +27,9 @@ Defined results: a null text is empty; a null language is ``und`` and counted
 with texts of that language; rows that repeat an id or a text count each; null
 ids play no part; an empty table gives an empty result; further columns are
 ignored. Words longer than a batch, and texts of any length, are taken whole.
-Pointers name a text by a 64-bit hash of it and its language; should two texts
-share one, some phrase lacks its fingerprint and the job fails: counts are
-never wrong.
+Phrases of different batches count as one if 64 bits of fingerprint and 31 of
+check agree. Pointers name a text by a 64-bit hash of it and its language;
+should two texts share one, some phrase lacks its fingerprint and the job fails.
 """
 
 from __future__ import annotations
@@ -44,13 +43,18 @@ from roadlens.session import materialize
 
 MOST_WORDS, LEAST, COVERED, TOP = 3, 10, 50, 2000
 SIEVE_BITS = 26
-BATCH_BYTES, PART_BYTES = 8 << 20, 1 << 20
+BATCH_BYTES, PART_BYTES = 4 << 20, 1 << 20
+KEPT_COUNTS = 1_500_000  # that a task holds before it sends them on
 LEAST_RANGES = 1024  # of fingerprints
 
 _RANDOM = np.random.default_rng(20_240_613)
 #: A value for each byte, and the odd bases of the two polynomials.
 BYTE_VALUES = _RANDOM.integers(1, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+#: The same for the check, modulo a prime.
+PRIME = 2 ** 31 - 1
+CHECK_VALUES = _RANDOM.integers(1, PRIME, 256, dtype=np.int64)
+CHECK_BYTE_BASE, CHECK_WORD_BASE = 1_103_515_245, 1_664_525
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 WORD, SPACE, BREAK = 0, 1, 2
@@ -60,23 +64,29 @@ KINDS[[*b".,;:!?\n\x0b\x0c\r"]] = BREAK
 
 
 class Powers:
-    """Powers of an odd base and of its inverse modulo 2**64, as many as were asked for so far."""
-
-    def __init__(self, base: int):
-        self.base, self.inverse, self.up, self.down = base, pow(base, -1, 2 ** 64), None, None
+    """Powers of a base and of its inverse modulo 2**64 or a prime, as many as were asked for so far."""
+
+    def __init__(self, base: int, modulus: int = 2 ** 64):
+        self.bases, self.modulus, self.tables = (base, pow(base, -1, modulus)), modulus, None
+
+    def _powers(self, base: int, n: int) -> np.ndarray:
+        if self.modulus == 2 ** 64:
+            steps = np.full(n, base, np.uint64)
+            steps[0] = 1
+            return np.cumprod(steps)
+        out = np.ones(1, np.int64)
+        while len(out) < n:
+            out = np.concatenate([out, out * pow(base, len(out), self.modulus) % self.modulus])
+        return out
 
     def first(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if self.up is None or len(self.up) < n:
-            def powers(x: int) -> np.ndarray:
-                steps = np.full(max(n, 1), x, np.uint64)
-                steps[0] = 1
-                return np.cumprod(steps)
-
-            self.up, self.down = powers(self.base), powers(self.inverse)
-        return self.up[:n], self.down[:n]
+        if self.tables is None or len(self.tables[0]) < n:
+            self.tables = tuple(self._powers(base, max(n, 1)) for base in self.bases)
+        return self.tables[0][:n], self.tables[1][:n]
 
 
 BYTE_POWERS, WORD_POWERS = Powers(BYTE_BASE), Powers(WORD_BASE)
+CHECK_POWERS = Powers(CHECK_BYTE_BASE, PRIME)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -132,6 +142,19 @@ class Words:
             out[first:last] = mixed((prefix[s + n] - prefix[s]) * BYTE_POWERS.first(len(values))[1][s])
         return out
 
+    def checks(self) -> np.ndarray:
+        """The words' checks."""
+        out = np.zeros(len(self.starts), np.int64)
+        for first, last in self._parts():
+            at = self.starts[first]
+            s, n = self.starts[first:last] - at, self.lengths[first:last]
+            bytes_ = self.data[at:at + s[-1] + n[-1]]
+            up, down = CHECK_POWERS.first(len(bytes_))
+            # below 2**31 each, so a part's sum stays below 2**63
+            prefix = np.append(0, np.cumsum(CHECK_VALUES[bytes_] * up % PRIME))
+            out[first:last] = (prefix[s + n] - prefix[s]) % PRIME * down[s] % PRIME
+        return out
+
     def ids(self) -> np.ndarray:
         """One number for each distinct word, by its bytes: equal hashes are compared with their first occurrence."""
         _, first, ids = np.unique(self.hashes, return_index=True, return_inverse=True)
@@ -221,13 +244,14 @@ SIEVE_RANGES = 1 << 10
 
 
 def sieve(docs: DataFrame, least: int, bits: int, print_bits: int = 64) -> np.ndarray:
-    """Which places hold ``least`` bigrams or more, a bit each."""
+    """Which places hold ``least`` words and bigrams or more, a bit each."""
     inner = (1 << bits) // SIEVE_RANGES  # places of a range
 
     def count(batches):
         for lang, (data, offsets), _ in _batches(batches):
-            words = Words(data, offsets)
-            prints = words.prints(words.grams(2), 2, seed_of(lang), words.prefix(), print_bits)
+            words, seed = Words(data, offsets), seed_of(lang)
+            prefix = words.prefix()
+            prints = np.concatenate([words.prints(words.grams(n), n, seed, prefix, print_bits) for n in (1, 2)])
             bucket, n = np.unique(_bucket(prints, bits), return_counts=True)
             yield _by_range(bucket // inner, {"place": (bucket % inner).astype(np.uint32),
                                               "n": np.minimum(n, least).astype(np.uint32)})
@@ -253,84 +277,107 @@ def _in_sieve(bits_set: np.ndarray, bucket: np.ndarray, bits: int) -> np.ndarray
 
 
 def batch_counts(words: Words, lang: str, most: int, bits_set: np.ndarray, bits: int, print_bits: int = 64):
-    """(fingerprint, count, first word, words) of a batch's n-grams that pass the sieve, n from 1 to ``most``.
+    """(fingerprint, check, count, first word, words) of a batch's n-grams that pass the sieve, n from 1 to ``most``.
 
     An n-gram that shares its fingerprint with another one's first occurrence has a row of its own.
     """
-    seed, prefix, ids = seed_of(lang), words.prefix(), words.ids()
+    seed, prefix, ids, checks = seed_of(lang), words.prefix(), words.ids(), words.checks()
     passes = np.zeros(len(ids), bool)  # the bigram that starts at a word
     for n in range(1, most + 1):
         at = words.grams(n)
         if n > 2:
             at = at[np.logical_and.reduce([passes[at + i] for i in range(n - 1)])]
         prints = words.prints(at, n, seed, prefix, print_bits)
-        if n == 2:
+        if n <= 2:
             keep = _in_sieve(bits_set, _bucket(prints, bits), bits)
             at, prints = at[keep], prints[keep]
+        if n == 2:
             passes[at] = True
+        if not len(at):
+            continue
         values, first, group = np.unique(prints, return_index=True, return_inverse=True)
         pointer = at[first]
-        same = np.logical_and.reduce([ids[at + i] == ids[pointer[group] + i] for i in range(n)]) if len(at) else []
-        counts = np.bincount(group[same], minlength=len(values)) if len(at) else np.zeros(0, np.int64)
-        odd = np.flatnonzero(~same) if len(at) else np.zeros(0, np.int64)
-        yield (np.concatenate([values, prints[odd]]), np.concatenate([counts, np.ones(len(odd), np.int64)]),
-               np.concatenate([pointer, at[odd]]), n)
-
-
-COUNT = {"prints": np.uint64, "n": np.int32, "doc": np.int64, "place": np.int64}
+        same = np.logical_and.reduce([ids[at + i] == ids[pointer[group] + i] for i in range(n)])
+        odd = np.flatnonzero(~same)
+        counts = np.append(np.bincount(group[same], minlength=len(values)), np.ones(len(odd), np.int64))
+        pointer = np.append(pointer, at[odd])
+        check = np.full(len(pointer), (int(seed) + n) % PRIME)
+        for i in range(n):
+            check = (check * CHECK_WORD_BASE + checks[pointer + i]) % PRIME
+        yield np.append(values, prints[odd]), check, counts, pointer, n
+
+
+#: A count between tasks: a pointer is the document's key, and the phrase's place: its first byte in the text and its length.
+COUNT = {"prints": np.uint64, "check": np.int32, "n": np.int64, "doc": np.int64, "at": np.int32, "length": np.int32}
+
+
+def _added(counts: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Counts by fingerprint and check, in order of the fingerprint, with the smallest pointer of each."""
+    order = np.lexsort([counts[c] for c in ("at", "doc", "check", "prints")])
+    prints, check = counts["prints"][order], counts["check"][order]
+    first = np.flatnonzero(np.append(True, (prints[1:] != prints[:-1]) | (check[1:] != check[:-1])))
+    out = {name: counts[name][order[first]] for name in COUNT}
+    out["n"] = np.add.reduceat(counts["n"][order], first)
+    return out
 
 
 def occurrences(docs: DataFrame, most: int, bits_set: np.ndarray, bits: int, print_bits: int, ranges: int) -> DataFrame:
-    """Fingerprints' counts and pointers, a batch's packed by range of the fingerprint.
-
-    A pointer is the document's key, and the phrase's place: its first byte in the text and its length.
-    """
+    """Fingerprints' counts, checks and pointers, a task's packed by range of the fingerprint."""
     shared = docs.sparkSession.sparkContext.broadcast(bits_set)
     step = np.uint64(-(-2 ** 64 // ranges))
 
+    def batch(lang: str, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray):
+        words = Words(data, offsets)
+        if not len(words.starts):
+            return
+        # the empty phrase, which occurs once a word
+        seed = seed_of(lang)
+        none = (seed.reshape(1), np.array([int(seed) % PRIME]), np.array([len(words.starts)]), np.zeros(1, np.int64), 0)
+        for prints, check, n, first, size in [none, *batch_counts(words, lang, most, shared.value, bits, print_bits)]:
+            text, last = words.text[first], first + max(size, 1) - 1
+            start = words.starts[first]
+            length = words.starts[last] + words.lengths[last] - start if size else np.zeros(1, np.int64)
+            found = (prints, check, n, keys[text], start - offsets[text], length)
+            yield {name: x.astype(kind) for x, (name, kind) in zip(found, COUNT.items())}
+
+    def packed(counts: dict[str, np.ndarray]):
+        return _by_range(counts["prints"] // step, {name: counts[name] for name in COUNT})
+
     def count(batches):
+        kept, size = [], 0
+
+        def added():
+            return _added({name: np.concatenate([k[name] for k in kept]) for name in COUNT})
+
         for lang, (data, offsets), rows in _batches(batches):
-            words = Words(data, offsets)
-            if not len(words.starts):
-                continue
-            # the empty phrase, which occurs once a word
-            none = (seed_of(lang).reshape(1), np.array([len(words.starts)]), np.array([0]), np.array([0]))
-            found = [none]
-            for prints, n, first, size in batch_counts(words, lang, most, shared.value, bits, print_bits):
-                last = first + size - 1
-                found.append((prints, n, first, words.starts[last] + words.lengths[last] - words.starts[first]))
-            prints, n, first, length = (np.concatenate(x) for x in zip(*found))
-            order = np.argsort(prints)
-            prints, n, first, length = prints[order], n[order], first[order], length[order]
-            text = words.text[first]
-            keys = rows.column("doc").to_numpy()
-            yield _by_range(prints // step, {
-                "prints": prints, "n": n.astype(np.int32), "doc": keys[text],
-                "place": (words.starts[first] - offsets[text] << 32) + length})
-
-    return docs.select("lang", "text", "doc").mapInArrow(count, "range int, prints binary, n binary, doc binary, place binary")
+            for found in batch(lang, data, offsets, rows.column("doc").to_numpy()):
+                kept.append(found)
+                size += len(found["n"])
+            if size >= KEPT_COUNTS:
+                kept = [added()]
+                if 2 * len(kept[0]["n"]) >= KEPT_COUNTS:  # little is left to add up
+                    yield packed(kept[0])
+                    kept = []
+                size = sum(len(k["n"]) for k in kept)
+        if kept:
+            yield packed(added())
+
+    schema = ", ".join(["range int", *[f"{name} binary" for name in COUNT]])
+    return docs.select("lang", "text", "doc").mapInArrow(count, schema)
 
 
 def frequent(found: DataFrame, least: int) -> DataFrame:
-    """``doc, place, print, n``: the pointers of the fingerprints that occur ``least`` times or more."""
+    """``doc, at, length, print, n``: the pointers of what occurs ``least`` times or more."""
     def add(batches):
         for _, own in _ranges(batches, COUNT):
-            prints, group = np.unique(own["prints"], return_inverse=True)
-            keep = (np.bincount(group, own["n"], len(prints)) >= least)[group]
-            if not keep.any():
-                continue
-            # batches that point at copies of one text share a row
-            prints, docs, place, n = (own[c][keep] for c in ("prints", "doc", "place", "n"))
-            order = np.lexsort((place, docs, prints))
-            prints, docs, place, n = prints[order], docs[order], place[order], n[order]
-            new = (prints[1:] != prints[:-1]) | (docs[1:] != docs[:-1]) | (place[1:] != place[:-1])
-            first = np.flatnonzero(np.append(True, new))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(docs[first]), pa.array(place[first]), pa.array(prints[first].view(np.int64)),
-                 pa.array(np.add.reduceat(n.astype(np.int64), first))], names=["doc", "place", "print", "n"])
+            own = _added(own)
+            keep = own["n"] >= least
+            out = {name: own[name][keep] for name in ("doc", "at", "length", "prints", "n")}
+            out["prints"] = out["prints"].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out.values()], names=["doc", "at", "length", "print", "n"])
 
     return (found.repartition("range").sortWithinPartitions("range")
-            .mapInArrow(add, "doc long, place long, print long, n long"))
+            .mapInArrow(add, "doc long, at int, length int, print long, n long"))
 
 
 def _phrases(print_bits: int):
@@ -342,9 +389,8 @@ def _phrases(print_bits: int):
                 lists = part.column("pointers")
                 row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
                 flat = lists.flatten()
-                place, prints = (flat.field(c).to_numpy() for c in ("place", "print"))
-                low = offsets[row] + (place >> 32)
-                out = [_phrase(data[s:s + n]) for s, n in zip(low, place & 0xFFFFFFFF)]
+                at, length, prints = (flat.field(c).to_numpy() for c in ("at", "length", "print"))
+                out = [_phrase(data[s:s + n]) for s, n in zip(offsets[row] + at, length)]
                 phrases, langs = pa.array(out, pa.string()), part.column("lang").take(pa.array(row))
                 if not np.array_equal(_prints_of(phrases, langs, print_bits), prints.view(np.uint64)):
                     raise ValueError("two texts share a key")
@@ -379,11 +425,10 @@ def phrase_counts(documents: DataFrame, most: int = MOST_WORDS, least: int = LEA
     docs = docs.filter(F.col("text") != "").withColumn("doc", F.xxhash64("lang", "text"))
     ranges = max(LEAST_RANGES, 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = occurrences(docs, most, sieve(docs, least, bits, print_bits), bits, print_bits, ranges)
-    pointers = frequent(found, least).groupBy("doc").agg(F.collect_list(F.struct("place", "print", "n")).alias("pointers"))
+    pointers = frequent(found, least).groupBy("doc").agg(F.collect_list(F.struct("at", "length", "print", "n")).alias("pointers"))
     whole = docs.groupBy("doc").agg(F.first("lang").alias("lang"), F.first("text").alias("text"))  # equal texts once
     return (whole.join(pointers, "doc").select("lang", "text", "pointers")
-            .mapInArrow(_phrases(print_bits), "lang string, phrase string, n long")
-            .groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
+            .mapInArrow(_phrases(print_bits), "lang string, phrase string, n long"))
 
 
 def _exact(column: str) -> Column:
