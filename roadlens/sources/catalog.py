@@ -30,7 +30,7 @@ def save_flow_catalog(flow: DataFrame, table: str, buckets: int = BUCKETS, path:
     laid = flow.select(*kept).withColumn(STORED_SLICE, slice_number("action_time"))
     # dealt as the buckets are, so that each task writes its own buckets' files
     writer = (laid.repartition(buckets, "car", STORED_SLICE).write.mode("overwrite").format("parquet")
-              .partitionBy("date").bucketBy(buckets, "car", STORED_SLICE).sortBy("car", STORED_SLICE))
+              .option("partitionOverwriteMode", "static").partitionBy("date").bucketBy(buckets, "car", STORED_SLICE).sortBy("car", STORED_SLICE))
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(table)

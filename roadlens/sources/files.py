@@ -65,5 +65,5 @@ def read_flow_table(spark: SparkSession, table_path: str) -> DataFrame:
 def read_flow_catalog(spark: SparkSession, table: str = "monitor_flow_action") -> DataFrame:
     """Passes from a catalog table or view (e.g. ``traffic.monitor_flow_action``), with its layout if it has one."""
     passes = spark.table(table)
-    more = [c for c in (TIEBREAK_COLUMN, STORED_SLICE) if c in passes.columns]
-    return passes.select(*FLOW_COLUMNS, *more)
+    layout = [c for c in (TIEBREAK_COLUMN, STORED_SLICE) if c in passes.columns] if STORED_SLICE in passes.columns else []
+    return passes.select(*FLOW_COLUMNS, *layout)
