@@ -6,10 +6,10 @@ n-gram's fingerprint from prefix polynomials over the word hashes (differences
 of two prefixes, times an inverse power; arithmetic modulo 2**64), so every
 n-gram costs a few numpy operations whatever its length.
 
-1. Sieve: the fingerprints of all words and bigrams are counted by their first
-   ``SIEVE_BITS`` bits. An n-gram that has a word or bigram in a place with
-   fewer than ``least`` occurrences cannot be frequent. The sieve is a bit map
-   of that fixed size; more data fill it more and sieve less, and lose nothing.
+1. Sieve: all n-grams are counted by the first ``SIEVE_BITS`` bits of their
+   fingerprints. One in a place with fewer than ``least`` occurrences cannot be
+   frequent. The sieve is a bit map of that fixed size; more data fill it more
+   and sieve less, and lose nothing.
 2. Occurrences: what is left is counted by fingerprint within a batch, where
    each fingerprint keeps the first occurrence as a pointer (document, place,
    length); the others' words are compared with its bytes, and those that
@@ -42,9 +42,10 @@ from roadlens.llm.common import slices, text_bytes, texts
 from roadlens.session import materialize
 
 MOST_WORDS, LEAST, COVERED, TOP = 3, 10, 50, 2000
-SIEVE_BITS = 26
+SIEVE_BITS = 27
+SIEVE_RANGES = 1 << 11
 BATCH_BYTES, PART_BYTES = 4 << 20, 1 << 20
-KEPT_COUNTS = 1_500_000  # that a task holds before it sends them on
+KEPT_COUNTS = 1_000_000  # that a task holds before it sends them on
 LEAST_RANGES = 1024  # of fingerprints
 
 _RANDOM = np.random.default_rng(20_240_613)
@@ -216,11 +217,14 @@ def _bucket(prints: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _by_range(ranges: np.ndarray, columns: dict[str, np.ndarray]):
-    """A row per range of a batch's entries, which come in order of their ranges: numbers packed as bytes."""
+    """A row per range of entries that come in order of their ranges, their numbers packed as bytes."""
     names, first = np.unique(ranges, return_index=True)
     ends = np.append(first[1:], len(ranges))
-    packed = [pa.array([column[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()) for column in columns.values()]
-    return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), *packed], names=["range", *columns])
+    for low in range(0, len(names), 256):
+        own = slice(low, low + 256)
+        packed = [pa.array([column[a:b].tobytes() for a, b in zip(first[own], ends[own])], pa.binary())
+                  for column in columns.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(names[own].astype(np.int32)), *packed], names=["range", *columns])
 
 
 def _ranges(batches, types: dict[str, type]):
@@ -240,38 +244,44 @@ def _ranges(batches, types: dict[str, type]):
         yield at, {n: np.concatenate(x) for n, x in kept.items()}
 
 
-SIEVE_RANGES = 1 << 10
+def _sieve_shape(bits: int) -> tuple[int, int]:
+    """Ranges of the sieve, and places of each."""
+    ranges = min(SIEVE_RANGES, 1 << bits)
+    return ranges, (1 << bits) // ranges
 
 
-def sieve(docs: DataFrame, least: int, bits: int, print_bits: int = 64) -> np.ndarray:
-    """Which places hold ``least`` words and bigrams or more, a bit each."""
-    inner = (1 << bits) // SIEVE_RANGES  # places of a range
+def sieve(docs: DataFrame, most: int, least: int, bits: int, print_bits: int = 64) -> np.ndarray:
+    """Which places hold ``least`` n-grams or more, a bit each."""
+    ranges, inner = _sieve_shape(bits)
+    types = {"place": np.uint16 if inner <= 1 << 16 else np.uint32, "n": np.uint8 if least < 256 else np.uint32}
 
     def count(batches):
         for lang, (data, offsets), _ in _batches(batches):
             words, seed = Words(data, offsets), seed_of(lang)
             prefix = words.prefix()
-            prints = np.concatenate([words.prints(words.grams(n), n, seed, prefix, print_bits) for n in (1, 2)])
-            bucket, n = np.unique(_bucket(prints, bits), return_counts=True)
-            yield _by_range(bucket // inner, {"place": (bucket % inner).astype(np.uint32),
-                                              "n": np.minimum(n, least).astype(np.uint32)})
+            for n in range(1, most + 1):
+                bucket = np.sort(_bucket(words.prints(words.grams(n), n, seed, prefix, print_bits), bits))
+                first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[:len(bucket)])
+                times = np.minimum(np.diff(np.append(first, len(bucket))), least)
+                yield from _by_range(bucket[first] // inner, {"place": (bucket[first] % inner).astype(types["place"]),
+                                                              "n": times.astype(types["n"])})
 
     def add(batches):
-        for number, own in _ranges(batches, {"place": np.uint32, "n": np.uint32}):
+        for number, own in _ranges(batches, types):
             full = np.bincount(own["place"], own["n"], inner) >= least
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([np.packbits(
                 full, bitorder="little").tobytes()], pa.binary())], names=["range", "bits"])
 
     rows = (docs.select("lang", "text").mapInArrow(count, "range int, place binary, n binary")
             .repartition("range").sortWithinPartitions("range").mapInArrow(add, "range int, bits binary")).toArrow()
-    out = np.zeros((SIEVE_RANGES, max(inner // 8, 1)), np.uint8)  # 2 ** bits / 8 bytes, whatever the input
+    out = np.zeros((ranges, max(inner // 8, 1)), np.uint8)  # 2 ** bits / 8 bytes, whatever the input
     for number, cell in zip(rows.column("range").to_pylist(), rows.column("bits").to_pylist()):
         out[number] = np.frombuffer(cell, np.uint8)
     return out
 
 
 def _in_sieve(bits_set: np.ndarray, bucket: np.ndarray, bits: int) -> np.ndarray:
-    inner = (1 << bits) // SIEVE_RANGES
+    inner = _sieve_shape(bits)[1]
     place = bucket % inner
     return (bits_set[bucket // inner, place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
@@ -282,19 +292,18 @@ def batch_counts(words: Words, lang: str, most: int, bits_set: np.ndarray, bits:
     An n-gram that shares its fingerprint with another one's first occurrence has a row of its own.
     """
     seed, prefix, ids, checks = seed_of(lang), words.prefix(), words.ids(), words.checks()
-    passes = np.zeros(len(ids), bool)  # the bigram that starts at a word
+    passes = None  # whether the shorter n-gram that starts at a word did
     for n in range(1, most + 1):
         at = words.grams(n)
-        if n > 2:
-            at = at[np.logical_and.reduce([passes[at + i] for i in range(n - 1)])]
+        if n > 1:
+            at = at[passes[at] & passes[at + 1]]
         prints = words.prints(at, n, seed, prefix, print_bits)
-        if n <= 2:
-            keep = _in_sieve(bits_set, _bucket(prints, bits), bits)
-            at, prints = at[keep], prints[keep]
-        if n == 2:
-            passes[at] = True
+        keep = _in_sieve(bits_set, _bucket(prints, bits), bits)
+        at, prints = at[keep], prints[keep]
         if not len(at):
-            continue
+            return
+        passes = np.zeros(len(ids) + 1, bool)
+        passes[at] = True
         values, first, group = np.unique(prints, return_index=True, return_inverse=True)
         pointer = at[first]
         same = np.logical_and.reduce([ids[at + i] == ids[pointer[group] + i] for i in range(n)])
@@ -356,11 +365,11 @@ def occurrences(docs: DataFrame, most: int, bits_set: np.ndarray, bits: int, pri
             if size >= KEPT_COUNTS:
                 kept = [added()]
                 if 2 * len(kept[0]["n"]) >= KEPT_COUNTS:  # little is left to add up
-                    yield packed(kept[0])
+                    yield from packed(kept[0])
                     kept = []
                 size = sum(len(k["n"]) for k in kept)
         if kept:
-            yield packed(added())
+            yield from packed(added())
 
     schema = ", ".join(["range int", *[f"{name} binary" for name in COUNT]])
     return docs.select("lang", "text", "doc").mapInArrow(count, schema)
@@ -424,7 +433,7 @@ def phrase_counts(documents: DataFrame, most: int = MOST_WORDS, least: int = LEA
     docs = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.filter(F.col("text") != "").withColumn("doc", F.xxhash64("lang", "text"))
     ranges = max(LEAST_RANGES, 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    found = occurrences(docs, most, sieve(docs, least, bits, print_bits), bits, print_bits, ranges)
+    found = occurrences(docs, most, sieve(docs, most, least, bits, print_bits), bits, print_bits, ranges)
     pointers = frequent(found, least).groupBy("doc").agg(F.collect_list(F.struct("at", "length", "print", "n")).alias("pointers"))
     whole = docs.groupBy("doc").agg(F.first("lang").alias("lang"), F.first("text").alias("text"))  # equal texts once
     return (whole.join(pointers, "doc").select("lang", "text", "pointers")
