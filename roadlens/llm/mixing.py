@@ -3,192 +3,206 @@
 A source's documents, in a hashed order, form blocks of ``block`` documents.
 Its k-th block is released at ``floor(k / w)`` and due at ``ceil((k + 1) / w)``
 for its weight ``w``; in each slot the released block that is due first goes
-out (ties: the source named first). Weights are taken as they are written, as
-fractions with a common denominator, so the schedule repeats after a period of
-whole parts: one period is worked out once, by an ``aggregate`` over its slots,
-and a block's slot follows by arithmetic. At any slot, a source that still has
-blocks is less than one block away from its weight's share of the slots,
-however many periods have passed; slots of a source that has run out are
-skipped, which leaves the others in proportion to their weights. Every document
-has exactly one place; none is dropped or repeated.
-
-Weights whose period is longer than ``resolution`` slots are split in a Huffman
-tree: of n slots of a node its first child has ``n * share`` to the nearest
-whole, its second the others, so slots and counts follow by arithmetic alone,
-and a source is less than two blocks away from its share at any slot.
+out (ties: the source named first). Weights are exact fractions, as they are
+written, of any common denominator. At any slot, a source is less than one
+block away from its weight's share of the slots.
+
+Where a source runs out, a new phase begins: the others go on with the weights
+that are left, from a share of nothing. There are at most as many phases as
+sources, and a phase has no empty slot, so there are as many slots as blocks.
+
+A phase's schedule repeats after a period of ``sum of whole parts`` slots. It
+is worked out for one period or, if that is longer than the phase can be, for
+the slots of the phase: in windows of ``WINDOW`` slots, each an ``aggregate``
+that starts from the blocks gone so far, written to a table. The slot of any
+block, and the blocks before any slot, follow by arithmetic from that table.
+Every document has exactly one place; none is dropped or repeated.
 
 Sources without a weight (nulls too) form one more stream with ``rest``.
 The documents of a source are ranked in ``BUCKETS`` hash buckets, with a
-running count of the buckets' sizes, so no task ranks a whole source. The
-tables that are broadcast have at most ``resolution`` and
-``BUCKETS * (sources + 1)`` rows.
+running count of the buckets' sizes, so no task ranks a whole source. Tables
+that are broadcast: the buckets' (``BUCKETS * (sources + 1)`` rows), the
+phases', and the schedule while it has ``BROADCAST_CELLS`` numbers at most.
 
 Defined results: documents with a null id are placed like any other; repeated
-rows have a place each; an empty table gives an empty result; further columns
-pass through, but for those named like the results, which are replaced.
+rows have a place each, rows that repeat an id are ordered by their other
+columns; an empty table gives an empty result; further columns pass through,
+but for those named like the results, which are replaced. Weights that have no
+whole parts of ``1 / FINEST`` of their sum are refused, not rounded.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-BLOCK, RESOLUTION, BUCKETS, SEED = 16, 1000, 1024, 42
-FINEST = 10 ** 15  # parts of the whole that a float can tell apart
+from roadlens.session import scratch_path
 
-
-def whole_parts(weights: dict[str, float], rest: float, resolution: int) -> list[int]:
-    """The weights, ``rest`` last, as whole parts of ``resolution`` (at least 1 each), by largest remainders."""
-    shares = [*weights.values(), rest]
-    if any(w <= 0 for w in shares) or len(shares) > resolution:
-        raise ValueError("weights are positive, and no more than the resolution has parts")
-    exact = [w / sum(shares) * (resolution - len(shares)) for w in shares]
-    parts = [1 + int(x) for x in exact]
-    by_remainder = sorted(range(len(parts)), key=lambda i: (int(exact[i]) - exact[i], i))
-    for i in by_remainder[:resolution - sum(parts)]:
-        parts[i] += 1
-    return parts
+BLOCK, WINDOW, BUCKETS, SEED = 16, 8192, 1024, 42
+BROADCAST_CELLS = 2_000_000
+FINEST = 2 ** 61
 
 
 def exact_parts(weights: dict[str, float], rest: float) -> list[int]:
-    """The weights, ``rest`` last, in whole parts without rounding (to 1 / ``FINEST`` if the parts are smaller still)."""
+    """The weights, ``rest`` last, in whole parts without rounding."""
     shares = [Fraction(str(w)) for w in (*weights.values(), rest)]
     if any(w <= 0 for w in shares):
         raise ValueError("weights are positive")
     whole = math.lcm(*[w.denominator for w in shares])
     parts = [int(w * whole) for w in shares]
     parts = [p // math.gcd(*parts) for p in parts]
-    if sum(parts) > FINEST:
-        parts = [max(1, round(Fraction(p * FINEST, sum(parts)))) for p in parts]
+    if sum(parts) >= FINEST:
+        raise ValueError("weights have parts below 1 / 2 ** 61 of their sum")
     return parts
 
 
-class Splits:
-    """Slots dealt down a Huffman tree of whole parts, for any period."""
-
-    def __init__(self, parts: list[int]):
-        heap = [(p, i, i) for i, p in enumerate(parts)]  # parts, tie-break, stream or (child, child)
-        heapq.heapify(heap)
-        while len(heap) > 1:
-            one, other = heapq.heappop(heap), heapq.heappop(heap)
-            heapq.heappush(heap, (one[0] + other[0], len(parts) + max(one[1], other[1]), (one, other)))
-        self.root = heap[0]
-
-    @staticmethod
-    def _quotient(n: Column, times: int, plus: int, by: int) -> Column:
-        """``(n * times + plus) div by``, wide enough for parts of ``FINEST``."""
-        n, times = n.cast("decimal(20,0)"), F.lit(str(times)).cast("decimal(17,0)")
-        return F.call_function("div", n * times + F.lit(str(plus)).cast("decimal(17,0)"),
-                               F.lit(str(by)).cast("decimal(17,0)"))
-
-    def counts(self, slot: Column) -> dict[int, Column]:
-        """Blocks of each stream before ``slot``."""
-        out, todo = {}, [(self.root, slot)]
-        while todo:
-            (whole, _, below), n = todo.pop()
-            if isinstance(below, int):
-                out[below] = n
-            else:
-                first = self._quotient(n, 2 * below[0][0], whole, 2 * whole)
-                todo += [(below[0], first), (below[1], n - first)]
-        return out
-
-    def slots(self, nth: Column) -> dict[int, Column]:
-        """The slot of each stream's ``nth`` block."""
-        out, todo = {}, [(self.root, lambda n: n)]
-        while todo:
-            (whole, _, below), up = todo.pop()
-            if isinstance(below, int):
-                out[below] = up(nth)
-            else:
-                (one, *_), (other, *_) = below
-                # n slots give the first child more than k when n * 2 * one >= (2 k + 1) * whole, the second when >
-                todo += [(below[0], lambda k, w=whole, p=one, up=up: up(self._quotient(2 * k + 1, w, -1, 2 * p))),
-                         (below[1], lambda k, w=whole, p=other, up=up: up(self._quotient(2 * k + 1, w, 0, 2 * p)))]
-        return out
-
-
-def period(spark: SparkSession, parts: list[int]) -> DataFrame:
-    """One period: ``stream, nth`` (its nth block of the period), ``slot``, ``before`` (blocks by stream so far)."""
-    size, streams = sum(parts), len(parts)
-    whole = F.array(*[F.lit(p).cast("long") for p in parts])
-    indices = F.sequence(F.lit(0), F.lit(streams - 1))
-
-    def step(state: Column, slot: Column) -> Column:
+def _numbers(values: list[int]) -> Column:
+    return F.array(*[F.lit(v).cast("long") for v in values])
+
+
+def slot_window(parts: Column, size: Column, lag: Column, done: Column, slots: int) -> Column:
+    """``stream, nth, before`` of the next ``slots`` slots, by earliest deadline among released blocks.
+
+    ``lag`` is what each stream is owed, in parts of a block of ``size`` parts:
+    its block is released in this slot if ``lag + part > 0``, and due in
+    ``ceil((size - lag) / part)`` slots. ``done`` are the blocks gone so far; a
+    stream with no part takes no slot.
+    """
+    indices = F.sequence(F.lit(0), F.size(parts) - 1)
+
+    def step(state: Column, _: Column) -> Column:
         def due(i: Column) -> Column:
-            done, part = F.get(state["done"], i), F.get(whole, i)
-            released = done * size < (slot + 1) * part  # floor(done / w) <= slot
-            deadline = F.ceil((done + 1) * F.lit(size) / part)
-            return F.when(released, F.struct(deadline.alias("deadline"), i.alias("stream")))
+            owed, part = F.get(state["lag"], i), F.get(parts, i)
+            left = F.call_function("div", size - owed + part - F.lit(1), part)
+            return F.when((part > 0) & (owed + part > 0), F.struct(left.alias("left"), i.alias("stream")))
 
         chosen = F.array_min(F.transform(indices, due))["stream"]
-        done = F.transform(state["done"], lambda n, i: n + F.when(i == chosen, 1).otherwise(0).cast("long"))
-        return F.struct(done.alias("done"), F.concat(state["order"], F.array(
-            F.struct(chosen.alias("stream"), F.get(state["done"], chosen).alias("nth"),
-                     state["done"].alias("before")))).alias("order"))
+        lag = F.transform(state["lag"], lambda x, i: x + F.get(parts, i) - F.when(i == chosen, size).otherwise(0))
+        gone = F.transform(state["done"], lambda n, i: n + F.when(i == chosen, 1).otherwise(0).cast("long"))
+        row = F.struct(chosen.alias("stream"), F.get(state["done"], chosen).alias("nth"), state["done"].alias("before"))
+        return F.struct(lag.alias("lag"), gone.alias("done"), F.concat(state["order"], F.array(row)).alias("order"))
 
-    none = F.array_repeat(F.lit(0).cast("long"), streams)
     empty = F.array().cast("array<struct<stream:int,nth:bigint,before:array<bigint>>>")
-    run = F.aggregate(F.sequence(F.lit(0), F.lit(size - 1)), F.struct(none.alias("done"), empty.alias("order")), step,
-                      lambda state: state["order"])
-    return (spark.range(1).select(F.posexplode(run).alias("slot", "at"))
-            .select(F.col("at.stream").alias("__stream"), F.col("at.nth").alias("__nth"),
-                    F.col("slot").cast("long").alias("__slot"), F.col("at.before").alias("__before")))
+    start = F.struct(lag.alias("lag"), done.alias("done"), empty.alias("order"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(slots)), start, step, lambda state: state["order"])
+
+
+class Phase:
+    """Slots in which the same streams have blocks: its first slot, the blocks gone before it, and its schedule."""
+
+    def __init__(self, number: int, start: int, base: list[int], parts: list[int], left: list[int]):
+        self.number, self.start, self.base = number, start, base
+        common = math.gcd(*parts)
+        self.parts = [p // common for p in parts]
+        self.size = sum(self.parts)
+        self.slots = min(self.size, sum(left))  # a period, or more than the phase has
+        self.left = left
+
+    def work_out(self, spark: SparkSession, folder: str) -> tuple[int, list[int]]:
+        """Write the schedule; returns the slots of the phase and the blocks that they take of each stream."""
+        active = [i for i, p in enumerate(self.parts) if p]
+        last = [(self.left[i] - 1) % self.parts[i] for i in active]  # nth of a stream's last block, in its period
+        wanted = F.array(*[F.struct(F.lit(i).alias("stream"), F.lit(n).cast("long").alias("nth"))
+                           for i, n in zip(active, last)])
+        done, found = [0] * len(self.parts), {}
+        for start in range(0, self.slots, WINDOW):
+            slots = min(WINDOW, self.slots - start)
+            lag = [p * start - n * self.size for p, n in zip(self.parts, done)]
+            order = slot_window(_numbers(self.parts), F.lit(self.size).cast("long"), _numbers(lag), _numbers(done), slots)
+            path = f"{folder}/phase={self.number}/window={start}"
+            (spark.range(1).select(F.posexplode(order).alias("slot", "at"))
+             .select("at.stream", "at.nth", (F.col("slot") + start).cast("long").alias("slot"), "at.before")
+             .write.parquet(path))
+            # the last slot, and a slot for each stream
+            at = F.struct(F.col("stream").alias("stream"), F.col("nth").alias("nth"))
+            for r in (spark.read.parquet(path)
+                      .filter((F.col("slot") == start + slots - 1) | F.array_contains(wanted, at)).collect()):
+                found[r["stream"], r["nth"]] = r["slot"], r["before"]
+                if r["slot"] == start + slots - 1:
+                    done = [n + (i == r["stream"]) for i, n in enumerate(r["before"])]
+        ends = {}  # of the streams: the slot of the last block, if the schedule has it
+        for i, n in zip(active, last):
+            periods = (self.left[i] - 1) // self.parts[i]
+            if (i, n) in found and (periods == 0 or self.slots == self.size):
+                ends[periods * self.size + found[i, n][0]] = i, periods, found[i, n][1]
+        end = min(ends)
+        ended, periods, before = ends[end]
+        return end + 1, [periods * p + n + (i == ended) for i, (p, n) in enumerate(zip(self.parts, before))]
+
+
+def phases(spark: SparkSession, parts: list[int], blocks: list[int], folder: str) -> list[Phase]:
+    """The phases of streams with so many ``blocks``; their schedules are written below ``folder``."""
+    out, start, base = [], 0, [0] * len(parts)
+    while any(n < b for n, b in zip(base, blocks)):
+        left = [b - n for n, b in zip(base, blocks)]
+        phase = Phase(len(out), start, base, [p if n else 0 for p, n in zip(parts, left)], left)
+        slots, taken = phase.work_out(spark, folder)
+        out.append(phase)
+        start, base = start + slots, [n + t for n, t in zip(base, taken)]
+    return out
 
 
 def mixed(docs: DataFrame, weights: dict[str, float], rest: float = 0.05, block: int = BLOCK,
-          resolution: int = RESOLUTION, seed: int = SEED) -> DataFrame:
+          seed: int = SEED) -> DataFrame:
     """``docs`` with ``mix_slot`` (of its block) and ``mix_position`` (0, 1, ... over all documents)."""
     spark = docs.sparkSession
     parts = exact_parts(weights, rest)
-    size, last = sum(parts), len(parts) - 1
     columns = [c for c in docs.columns if c not in ("mix_slot", "mix_position")]
     inner = {c: f"__in_{i}" for i, c in enumerate(columns)}  # so that no column clashes with those below
     doc_id, source = F.col(inner["doc_id"]), F.col(inner["source"])
-    named = [F.when(source == s, F.lit(i)) for i, s in enumerate(weights)]
-    # rows without an id are spread by their other narrow columns
-    narrow = [inner[f.name] for f in docs.select(*columns).schema if f.name != "text" and f.dataType.typeName() in
-              ("string", "long", "integer", "double", "float", "boolean", "date", "timestamp")]
-    order = F.xxhash64(F.lit(seed), F.when(doc_id.isNull(), F.xxhash64(*narrow)).otherwise(doc_id))
+    stream = F.coalesce(*[F.when(source == s, F.lit(i)) for i, s in enumerate(weights)], F.lit(len(weights)))
+    plain = [inner[f.name] for f in docs.select(*columns).schema if f.dataType.typeName() in
+             ("string", "long", "integer", "double", "float", "boolean", "date", "timestamp")]
+    # rows without an id are spread by their other columns, which also order those that repeat one
+    whole = F.xxhash64(*plain)
+    order = F.xxhash64(F.lit(seed), F.when(doc_id.isNull(), whole).otherwise(doc_id))
     rows = (docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
-            .withColumn("__stream", F.coalesce(*named, F.lit(last)))
-            .withColumn("__order", order).withColumn("__bucket", F.pmod("__order", F.lit(BUCKETS))))
+            .withColumn("__stream", stream).withColumn("__order", order)
+            .withColumn("__bucket", F.pmod("__order", F.lit(BUCKETS))))
 
     key = ["__stream", "__bucket"]
     sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
     earlier = Window.partitionBy("__stream").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*key, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
-    stream_sizes = (sizes.groupBy("__stream").agg(F.sum("__n").alias("n"))
-                    .agg(F.map_from_entries(F.collect_list(F.struct("__stream", "n")))).scalar())
-
-    in_bucket = Window.partitionBy(*key).orderBy("__order", inner["doc_id"])
+    # one row a source
+    counted = {r["__stream"]: r["n"] for r in sizes.groupBy("__stream").agg(F.sum("__n").alias("n")).collect()}
+    totals = [counted.get(i, 0) for i in range(len(parts))]
+    folder = scratch_path(spark, "mix-schedule")
+    found = phases(spark, parts, [-(-n // block) for n in totals], folder)
+    if not found:
+        return docs.select(*columns, F.lit(0).cast("long").alias("mix_slot"), F.lit(0).cast("long").alias("mix_position"))
+
+    # of each phase: its first slot, period, and by stream the parts and the blocks before it
+    table = spark.createDataFrame([(p.number, p.start, p.size, p.parts, p.base) for p in found],
+                                  "__phase int, __start long, __size long, __parts array<long>, __base array<long>")
+    schedule = spark.read.parquet(folder).select(
+        F.col("phase").cast("int").alias("__phase"), F.col("stream").alias("__stream"),
+        F.col("nth").alias("__nth"), F.col("slot").alias("__slot"), F.col("before").alias("__before"))
+    if sum(p.slots for p in found) * len(parts) <= BROADCAST_CELLS:
+        schedule = F.broadcast(schedule)
+
+    in_bucket = Window.partitionBy(*key).orderBy("__order", inner["doc_id"], whole)
+    started = F.filter(F.array(*[F.struct(F.lit(p.number).alias("phase"), F.array(*[F.lit(n).cast("long") for n in p.base])
+                                          .alias("base")) for p in found]),
+                       lambda p: F.get(p["base"], F.col("__stream")) <= F.col("__k"))
     ranked = (rows.withColumn("__rank", F.row_number().over(in_bucket))
               .join(F.broadcast(offsets), key)
               .withColumn("__seq", F.col("__offset") + F.col("__rank") - 1)
-              .withColumn("__k", F.expr(f"__seq div {block}")))
-    # the slot of a block, and each stream's blocks in earlier slots
-    if size <= resolution:
-        part = F.get(F.array(*[F.lit(p).cast("long") for p in parts]), F.col("__stream"))
-        slotted = (ranked.withColumn("__part", part).withColumn("__period", F.expr("__k div __part"))
-                   .withColumn("__nth", F.pmod("__k", "__part"))
-                   .join(F.broadcast(period(spark, parts)), ["__stream", "__nth"])
-                   .withColumn("mix_slot", F.col("__period") * size + F.col("__slot")))
-        earlier_blocks = [F.col("__period") * p + F.get("__before", F.lit(i)) for i, p in enumerate(parts)]
-    else:
-        splits = Splits(parts)
-        slots = splits.slots(F.col("__k"))
-        slotted = ranked.withColumn("mix_slot", F.coalesce(*[F.when(F.col("__stream") == i, slots[i])
-                                                             for i in range(last + 1)]))
-        counts = splits.counts(F.col("mix_slot"))
-        earlier_blocks = [counts[i] for i in range(last + 1)]
+              .withColumn("__k", F.expr(f"__seq div {block}"))
+              .withColumn("__phase", F.element_at(started, -1)["phase"])
+              .join(F.broadcast(table), "__phase")
+              .withColumn("__in_phase", F.col("__k") - F.get("__base", F.col("__stream")))
+              .withColumn("__part", F.get("__parts", F.col("__stream")))
+              .withColumn("__period", F.expr("__in_phase div __part"))
+              .withColumn("__nth", F.pmod("__in_phase", "__part")))
+    slotted = (ranked.join(schedule, ["__phase", "__stream", "__nth"])
+               .withColumn("mix_slot", F.col("__start") + F.col("__period") * F.col("__size") + F.col("__slot")))
     # documents that go out in earlier slots: those blocks, as far as the stream has documents
-    gone = [F.least(n * block, F.coalesce(F.try_element_at("__sizes", F.lit(i)), F.lit(0)))
-            for i, n in enumerate(earlier_blocks)]
-    return (slotted.withColumn("__sizes", stream_sizes)
-            .withColumn("mix_position", sum(gone[1:], gone[0]) + F.col("__seq") - F.col("__k") * block)
+    gone = [F.least((F.get("__base", F.lit(i)) + F.col("__period") * F.get("__parts", F.lit(i))
+                     + F.get("__before", F.lit(i))) * block, F.lit(n).cast("long")) for i, n in enumerate(totals)]
+    return (slotted.withColumn("mix_position", sum(gone[1:], gone[0]) + F.col("__seq") - F.col("__k") * block)
             .select(*[F.col(n).alias(c) for c, n in inner.items()], "mix_slot", "mix_position"))
 
 

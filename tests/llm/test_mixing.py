@@ -1,81 +1,132 @@
 import math
+import random
 from collections import Counter
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from roadlens.llm import mixing
 from tests.llm.conftest import ODD_ROWS
 
 
-def brute_period(parts):
+def brute_slots(parts, slots):
+    """Earliest deadline first on fractions: (slot, stream, nth, blocks before) of the first slots."""
     size, done, order = sum(parts), [0] * len(parts), []
-    for slot in range(size):
+    for slot in range(slots):
         ready = [(math.ceil(Fraction((done[i] + 1) * size, w)), i) for i, w in enumerate(parts)
-                 if math.floor(Fraction(done[i] * size, w)) <= slot]
+                 if w and math.floor(Fraction(done[i] * size, w)) <= slot]
         deadline, i = min(ready)
         assert slot < deadline
         order.append((slot, i, done[i], tuple(done)))
         done[i] += 1
-    assert done == parts
+        assert all(abs(n - Fraction(w * (slot + 1), size)) < 1 for n, w in zip(done, parts))
     return order
 
 
+def spark_slots(spark, sets, slots):
+    """The first slots of many schedules at once, by the window expression of the operator."""
+    rows = [(i, p, sum(p), [0] * len(p)) for i, p in enumerate(sets)]
+    table = spark.createDataFrame(rows, "id int, parts array<long>, size long, none array<long>").repartition(4)
+    order = mixing.slot_window(F.col("parts"), F.col("size"), F.col("none"), F.col("none"), slots)
+    out = {}
+    for r in table.select("id", order.alias("order")).collect():
+        out[r["id"]] = [(slot, x["stream"], x["nth"], tuple(x["before"])) for slot, x in enumerate(r["order"])]
+    return out
+
+
 @pytest.mark.parametrize("parts", [[1], [5, 3, 2], [97, 1, 1, 1], [7, 7, 7, 7, 7, 7, 8], [333, 333, 334], [499, 1, 250, 250]])
-def test_period_is_earliest_deadline_first(spark, parts):
-    found = sorted((r["__slot"], r["__stream"], r["__nth"], tuple(r["__before"]))
-                   for r in mixing.period(spark, parts).collect())
-    assert found == brute_period(parts)
-    done, size = [0] * len(parts), sum(parts)
-    for slot, i, _, _ in found:
-        done[i] += 1
-        assert all(abs(n - Fraction(w * (slot + 1), size)) < 1 for n, w in zip(done, parts))
+def test_a_period_is_earliest_deadline_first(spark, parts):
+    found = spark_slots(spark, [parts], sum(parts))[0]
+    assert found == brute_slots(parts, sum(parts))
+    assert [n + (i == found[-1][1]) for i, n in enumerate(found[-1][3])] == parts
+
+
+def test_random_weights_of_any_period(spark):
+    rng = random.Random(5)
+    sets = [mixing.exact_parts({str(i): round(rng.random() + 0.06, rng.choice([1, 3, 9, 15])) for i in range(rng.randint(1, 12))},
+                               0.05) for _ in range(200)]
+    sets.append(mixing.exact_parts(dict(enumerate([1.001, 0.151, 0.005, 0.245, 0.055, 0.096, 0.503, 0.299])), 0.05))
+    assert sum(sum(p) > 10 ** 6 for p in sets) > 50
+    found = spark_slots(spark, sets, 300)
+    for i, parts in enumerate(sets):
+        assert found[i] == brute_slots(parts, 300)  # which is below one block at every slot
+
+
+def test_exact_parts():
+    assert mixing.exact_parts({"a": 0.333, "b": 0.667}, 0.05) == [333, 667, 50]
+    assert sum(mixing.exact_parts({"a": 0.1234567890123456, "b": 0.7}, 0.05)) > 10 ** 14
+    for bad in ({"a": 0.0}, {"a": -1.0}, {"a": 1e-300}):
+        with pytest.raises(ValueError):
+            mixing.exact_parts(bad, 1.0)
 
 
-def test_whole_parts():
-    assert mixing.whole_parts({"a": 1.0, "b": 2.0}, 1.0, 1000) == [250, 499, 251] or \
-        sum(mixing.whole_parts({"a": 1.0, "b": 2.0}, 1.0, 1000)) == 1000
-    assert min(mixing.whole_parts({"a": 1e-9, "b": 1.0}, 1.0, 100)) == 1
-    with pytest.raises(ValueError):
-        mixing.whole_parts({"a": 0.0}, 1.0, 100)
+def brute_mix(sizes, parts, block):
+    """(stream, block) of every slot: earliest deadline first, begun anew with the others where a stream runs out."""
+    left, done, out = [-(-n // block) for n in sizes], [0] * len(sizes), []
+    while any(left):
+        now = [p if n else 0 for p, n in zip(parts, left)]
+        common = math.gcd(*now)
+        now, gone, slot = [p // common for p in now], [0] * len(now), 0
+        size = sum(now)
+        while True:
+            i = min((-(-(gone[i] + 1) * size // w), i) for i, w in enumerate(now) if w and gone[i] * size // w <= slot)[1]
+            out.append((i, done[i]))
+            gone[i], done[i], left[i], slot = gone[i] + 1, done[i] + 1, left[i] - 1, slot + 1
+            if not left[i]:
+                break
+            if slot <= 20_000:
+                assert all(abs(n * size - w * slot) < size for n, w in zip(gone, now))
+    return out
 
 
-def test_places_are_whole_and_follow_the_weights(make_docs):
-    rows = [(i, "t", "en", "big") for i in range(600)] + [(1000 + i, "t", "en", "small") for i in range(150)] \
-        + [(2000 + i, "t", "en", None) for i in range(50)]
-    weights, rest, block = {"big": 2.0, "small": 1.0}, 1.0, 4
+def check_mix(make_docs, weights, rest, sizes, block, monkeypatch=None):
+    names = [*weights, None]
+    rows = [(i * 1_000_000 + n, "t", "en", s) for i, (s, size) in enumerate(zip(names, sizes)) for n in range(size)]
     docs = make_docs(rows, extra="__slot __rank")
-    placed = mixing.mixed(docs, weights, rest, block, resolution=40)
+    placed = mixing.mixed(docs, weights, rest, block)
     assert placed.columns == [*docs.columns, "mix_slot", "mix_position"]
-    found = sorted(placed.collect(), key=lambda r: r.mix_position)
-    assert [r.mix_position for r in found] == list(range(len(rows)))
-    assert Counter(r.doc_id for r in found) == Counter(r[0] for r in rows)
-    parts = mixing.whole_parts(weights, rest, 40)
-    share, index, totals = [p / 40 for p in parts], {"big": 0, "small": 1}, [600, 150, 50]
-    done = [0, 0, 0]
-    for at, r in enumerate(found):
-        done[index.get(r.source, 2)] += 1
-        if at + 1 == len(found) or found[at + 1].mix_slot != r.mix_slot:
-            for i in range(3):
-                if done[i] < totals[i]:
-                    assert abs(done[i] / block - share[i] * (r.mix_slot + 1)) < 1
-
-
-@pytest.mark.parametrize("weights,rest,most", [
-    ({f"src{i}": 1.0 + i % 4 for i in range(20)}, 1.0, 1),  # those of the query: a period of 51
-    ({"a": 0.123457, "b": 0.7, "c": 0.1000001, "d": 1e-9}, 0.05, 2)])  # no short period
-def test_weights_hold_over_thousands_of_slots(make_docs, weights, rest, most):
+    found = sorted(((r.mix_position, r.mix_slot, r.doc_id) for r in placed.collect()))
+    assert [p for p, _, _ in found] == list(range(len(rows)))
+    assert Counter(d for _, _, d in found) == Counter(r[0] for r in rows)
+    slots = {}
+    for _, slot, doc in found:
+        slots.setdefault(slot, []).append(doc // 1_000_000)
+    expected = brute_mix(sizes, mixing.exact_parts(weights, rest), block)
+    assert [slots[s][0] for s in range(len(slots))] == [i for i, _ in expected]
+    for s, (i, k) in enumerate(expected):
+        assert set(slots[s]) == {i} and len(slots[s]) == min(block, sizes[i] - k * block)
+
+
+def test_phases_follow_the_weights_that_are_left(make_docs):
+    check_mix(make_docs, {"big": 2.0, "small": 1.0}, 1.0, [600, 150, 50], 4)
+    check_mix(make_docs, {"a": 1.0, "none": 3.0, "b": 2.0}, 0.001, [40, 0, 95, 33], 3)
+    check_mix(make_docs, {"a": 1.0}, 1.0, [1, 0], 16)
+    check_mix(make_docs, {"a": 1.0, "b": 1e-12}, 1e-15, [300, 20, 9], 2)  # nothing of b is due while a lasts
+
+
+@pytest.mark.parametrize("weights,rest,scale", [
+    ({f"src{i}": 1.0 + i % 4 for i in range(20)}, 1.0, 2000),  # those of the query: a period of 51
+    ({"a": 0.333, "b": 0.667}, 0.05, 20000),
+    ({str(i): float(i) for i in range(1, 51)}, 1.0, 3000),
+    ({"a": 0.123457, "b": 0.7, "c": 0.1000001, "d": 1e-9}, 0.05, 20000)])  # a period of over 10**8
+def test_every_slot_over_many_windows(make_docs, monkeypatch, weights, rest, scale):
+    if scale < 20000:
+        monkeypatch.setattr(mixing, "WINDOW", 500)
     shares = [Fraction(str(w)) for w in (*weights.values(), rest)]
-    shares = [w / sum(shares) for w in shares]
-    rows = [(i * 10_000 + n, "t", "en", s) for i, (s, w) in enumerate(zip([*weights, None], shares))
-            for n in range(int(w * 8000) + 1)]
-    found = sorted(mixing.mixed(make_docs(rows), weights, rest, block=1).collect(), key=lambda r: r.mix_position)
-    assert [r.mix_position for r in found] == list(range(len(rows)))
-    assert len({r.mix_slot for r in found}) == len(rows)
-    index, done = {s: i for i, s in enumerate(weights)}, [0] * len(shares)
-    for r in found[:7900]:  # before a source runs out
-        done[index.get(r.source, len(weights))] += 1
-        assert all(abs(n - w * (r.mix_slot + 1)) < most for n, w in zip(done, shares))
+    check_mix(make_docs, weights, rest, [int(w / sum(shares) * scale) + 1 for w in shares], 1)
+
+
+def test_a_long_schedule_is_joined_without_a_broadcast(make_docs, monkeypatch):
+    monkeypatch.setattr(mixing, "BROADCAST_CELLS", 0)
+    check_mix(make_docs, {"a": 0.333, "b": 0.667}, 0.05, [50, 120, 9], 2)
+
+
+def test_rows_that_repeat_an_id_keep_their_order(make_docs):
+    rows = [(7, f"text {i}", "en", "a") for i in range(30)]
+    runs = [{r.text: r.mix_position for r in mixing.mixed(make_docs(x), {"a": 1.0}, block=4).collect()}
+            for x in (rows, rows[::-1])]
+    assert runs[0] == runs[1] and sorted(runs[0].values()) == list(range(30))
 
 
 def test_odd_rows_and_file_order(spark, make_docs, tmp_path):

@@ -43,7 +43,7 @@ def test_stages_over_documents(spark, tmp_path):
 
 
 def test_registered():
-    assert sorted(q.split("_")[0] for q in QUERIES) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(q.split("_")[0] for q in QUERIES) == sorted(f"op{n}" for n in range(1, 14))
     assert entry.queries()["pipeline"] is corpus_pipeline.run and set(ORACLE_SQL) <= set(QUERIES)
     assert [f.__module__ for f in (quality.accepted, exact_dedup.without_copies, simhash.one_of_each)] == [
         "roadlens.llm.quality", "roadlens.llm.exact_dedup", "roadlens.llm.simhash"]
