@@ -41,11 +41,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from roadlens.llm.common import slices, text_bytes, texts
 from roadlens.session import materialize
 
-MOST_WORDS, LEAST, COVERED, TOP = 3, 10, 50, 2000
-SIEVE_BITS = 27
-SIEVE_RANGES = 1 << 11
+MOST_WORDS, LEAST, COVERED, TOP, TOP_PARTS = 3, 10, 50, 2000, 16
+SIEVE_BITS = 28
+SIEVE_RANGES, SIEVED_AT_ONCE = 1 << 12, 4_000_000
 BATCH_BYTES, PART_BYTES = 4 << 20, 1 << 20
-KEPT_COUNTS = 1_000_000  # that a task holds before it sends them on
+KEPT_COUNTS = 800_000  # that a task holds before it sends them on
 LEAST_RANGES = 1024  # of fingerprints
 
 _RANDOM = np.random.default_rng(20_240_613)
@@ -216,30 +216,46 @@ def _bucket(prints: np.ndarray, bits: int) -> np.ndarray:
     return (prints >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _by_range(ranges: np.ndarray, columns: dict[str, np.ndarray]):
-    """A row per range of entries that come in order of their ranges, their numbers packed as bytes."""
+def _packed(numbers: np.ndarray, rising: bool) -> bytes:
+    """Numbers byte by byte of their width, so that leading zeros lie together; rising ones as differences."""
+    if rising:
+        numbers = np.diff(numbers, prepend=numbers.dtype.type(0))
+    return numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+
+
+def _unpacked(cell: pa.Scalar, kind: type, rising: bool) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    numbers = np.frombuffer(cell.as_buffer(), np.uint8).reshape(width, -1).T.copy().view(kind).ravel()
+    return np.cumsum(numbers, dtype=kind) if rising else numbers
+
+
+def _by_range(ranges: np.ndarray, columns: dict[str, np.ndarray], group: int = 0):
+    """A row per range of entries that come in order of their ranges and, within, of the first column."""
     names, first = np.unique(ranges, return_index=True)
     ends = np.append(first[1:], len(ranges))
     for low in range(0, len(names), 256):
         own = slice(low, low + 256)
-        packed = [pa.array([column[a:b].tobytes() for a, b in zip(first[own], ends[own])], pa.binary())
-                  for column in columns.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(names[own].astype(np.int32)), *packed], names=["range", *columns])
+        cells = [pa.array([_packed(column[a:b], i == 0) for a, b in zip(first[own], ends[own])], pa.binary())
+                 for i, column in enumerate(columns.values())]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names[own].astype(np.int32)), pa.array(np.full(len(names[own]), group)), *cells],
+            names=["range", "task", *columns])
 
 
 def _ranges(batches, types: dict[str, type]):
-    """The unpacked columns of one range after the other; rows come in order of their ranges."""
+    """The unpacked columns of one range after the other, and the task of each entry; rows come in order of their ranges."""
     at, kept = None, None
     for batch in batches:
-        numbers = batch.column("range").to_numpy()
+        numbers, tasks = batch.column("range").to_numpy(), batch.column("task").to_numpy()
         cells = {name: batch.column(name) for name in types}
         for i, number in enumerate(numbers):
             if number != at:
                 if kept:
                     yield at, {n: np.concatenate(x) for n, x in kept.items()}
-                at, kept = number, {name: [] for name in types}
-            for name, kind in types.items():
-                kept[name].append(np.frombuffer(cells[name][i].as_buffer(), kind))
+                at, kept = number, {name: [] for name in (*types, "task")}
+            for j, (name, kind) in enumerate(types.items()):
+                kept[name].append(_unpacked(cells[name][i], kind, j == 0))
+            kept["task"].append(np.full(len(kept[name][-1]), tasks[i]))
     if kept:
         yield at, {n: np.concatenate(x) for n, x in kept.items()}
 
@@ -255,16 +271,27 @@ def sieve(docs: DataFrame, most: int, least: int, bits: int, print_bits: int = 6
     ranges, inner = _sieve_shape(bits)
     types = {"place": np.uint16 if inner <= 1 << 16 else np.uint32, "n": np.uint8 if least < 256 else np.uint32}
 
+    def packed(kept: list[np.ndarray]):
+        bucket = np.sort(np.concatenate(kept))
+        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[:len(bucket)])
+        times = np.minimum(np.diff(np.append(first, len(bucket))), least)
+        bucket = bucket[first]
+        yield from _by_range(bucket // inner, {"place": (bucket % inner).astype(types["place"]),
+                                               "n": times.astype(types["n"])})
+
     def count(batches):
+        kept, size = [], 0
         for lang, (data, offsets), _ in _batches(batches):
             words, seed = Words(data, offsets), seed_of(lang)
             prefix = words.prefix()
             for n in range(1, most + 1):
-                bucket = np.sort(_bucket(words.prints(words.grams(n), n, seed, prefix, print_bits), bits))
-                first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[:len(bucket)])
-                times = np.minimum(np.diff(np.append(first, len(bucket))), least)
-                yield from _by_range(bucket[first] // inner, {"place": (bucket[first] % inner).astype(types["place"]),
-                                                              "n": times.astype(types["n"])})
+                kept.append(_bucket(words.prints(words.grams(n), n, seed, prefix, print_bits), bits))
+                size += len(kept[-1])
+            if size >= SIEVED_AT_ONCE:
+                yield from packed(kept)
+                kept, size = [], 0
+        if kept:
+            yield from packed(kept)
 
     def add(batches):
         for number, own in _ranges(batches, types):
@@ -272,7 +299,7 @@ def sieve(docs: DataFrame, most: int, least: int, bits: int, print_bits: int = 6
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([np.packbits(
                 full, bitorder="little").tobytes()], pa.binary())], names=["range", "bits"])
 
-    rows = (docs.select("lang", "text").mapInArrow(count, "range int, place binary, n binary")
+    rows = (docs.select("lang", "text").mapInArrow(count, "range int, task long, place binary, n binary")
             .repartition("range").sortWithinPartitions("range").mapInArrow(add, "range int, bits binary")).toArrow()
     out = np.zeros((ranges, max(inner // 8, 1)), np.uint8)  # 2 ** bits / 8 bytes, whatever the input
     for number, cell in zip(rows.column("range").to_pylist(), rows.column("bits").to_pylist()):
@@ -316,26 +343,30 @@ def batch_counts(words: Words, lang: str, most: int, bits_set: np.ndarray, bits:
         yield np.append(values, prints[odd]), check, counts, pointer, n
 
 
-#: A count between tasks: a pointer is the document's key, and the phrase's place: its first byte in the text and its length.
-COUNT = {"prints": np.uint64, "check": np.int32, "n": np.int64, "doc": np.int64, "at": np.int32, "length": np.int32}
+#: A count between tasks. A pointer is a row of its task's documents, and the phrase's first byte there and length.
+COUNT = {"prints": np.uint64, "check": np.int32, "n": np.int64, "row": np.int32, "at": np.int32, "length": np.int32}
 
 
 def _added(counts: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """Counts by fingerprint and check, in order of the fingerprint, with the smallest pointer of each."""
-    order = np.lexsort([counts[c] for c in ("at", "doc", "check", "prints")])
+    """Counts by fingerprint and check, in order of the fingerprint, with the first pointer of each."""
+    keys = [counts[c] for c in ("at", "row", "task", "check", "prints") if c in counts]
+    order = np.lexsort(keys)
     prints, check = counts["prints"][order], counts["check"][order]
     first = np.flatnonzero(np.append(True, (prints[1:] != prints[:-1]) | (check[1:] != check[:-1])))
-    out = {name: counts[name][order[first]] for name in COUNT}
+    out = {name: values[order[first]] for name, values in counts.items()}
     out["n"] = np.add.reduceat(counts["n"][order], first)
     return out
 
 
 def occurrences(docs: DataFrame, most: int, bits_set: np.ndarray, bits: int, print_bits: int, ranges: int) -> DataFrame:
-    """Fingerprints' counts, checks and pointers, a task's packed by range of the fingerprint."""
+    """Fingerprints' counts, checks and pointers, a task's packed by range of the fingerprint.
+
+    What a task sends on at once has a number, made of its documents' keys, and a row with these keys.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(bits_set)
     step = np.uint64(-(-2 ** 64 // ranges))
 
-    def batch(lang: str, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray):
+    def batch(lang: str, data: np.ndarray, offsets: np.ndarray, before: int):
         words = Words(data, offsets)
         if not len(words.starts):
             return
@@ -346,47 +377,78 @@ def occurrences(docs: DataFrame, most: int, bits_set: np.ndarray, bits: int, pri
             text, last = words.text[first], first + max(size, 1) - 1
             start = words.starts[first]
             length = words.starts[last] + words.lengths[last] - start if size else np.zeros(1, np.int64)
-            found = (prints, check, n, keys[text], start - offsets[text], length)
+            found = (prints, check, n, text + before, start - offsets[text], length)
             yield {name: x.astype(kind) for x, (name, kind) in zip(found, COUNT.items())}
 
-    def packed(counts: dict[str, np.ndarray]):
-        return _by_range(counts["prints"] // step, {name: counts[name] for name in COUNT})
+    def sent(counts: dict[str, np.ndarray], keys: list[np.ndarray]):
+        keys = np.concatenate(keys)
+        task = int(mixed(_polynomial(keys.view(np.uint64), WORD_POWERS)[-1:]).view(np.int64)[0])
+        nothing = [pa.array([b""], pa.binary())] * len(COUNT)
+        yield pa.RecordBatch.from_arrays([pa.array([task % ranges], pa.int32()), pa.array([task]), *nothing,
+                                          pa.array([keys.tobytes()], pa.binary())], names=["range", "task", *COUNT, "docs"])
+        for rows in _by_range(counts["prints"] // step, {name: counts[name] for name in COUNT}, task):
+            yield rows.append_column("docs", pa.nulls(rows.num_rows, pa.binary()))
 
     def count(batches):
-        kept, size = [], 0
+        kept, keys, size, docs_kept = [], [], 0, 0
 
         def added():
             return _added({name: np.concatenate([k[name] for k in kept]) for name in COUNT})
 
         for lang, (data, offsets), rows in _batches(batches):
-            for found in batch(lang, data, offsets, rows.column("doc").to_numpy()):
+            for found in batch(lang, data, offsets, docs_kept):
                 kept.append(found)
                 size += len(found["n"])
+            keys.append(rows.column("doc").to_numpy())
+            docs_kept += len(keys[-1])
             if size >= KEPT_COUNTS:
                 kept = [added()]
-                if 2 * len(kept[0]["n"]) >= KEPT_COUNTS:  # little is left to add up
-                    yield from packed(kept[0])
-                    kept = []
-                size = sum(len(k["n"]) for k in kept)
+                size = len(kept[0]["n"])
+                if 2 * size >= KEPT_COUNTS:  # little is left to add up
+                    yield from sent(kept[0], keys)
+                    kept, keys, size, docs_kept = [], [], 0, 0
         if kept:
-            yield from packed(added())
+            yield from sent(added(), keys)
 
-    schema = ", ".join(["range int", *[f"{name} binary" for name in COUNT]])
+    schema = ", ".join(["range int, task long", *[f"{name} binary" for name in COUNT], "docs binary"])
     return docs.select("lang", "text", "doc").mapInArrow(count, schema)
 
 
 def frequent(found: DataFrame, least: int) -> DataFrame:
-    """``doc, at, length, print, n``: the pointers of what occurs ``least`` times or more."""
+    """``doc, pointers``: the documents' pointers to what occurs ``least`` times or more, one for each such phrase."""
+    names = ["task", "row", "at", "length", "print", "n", "doc"]
+
     def add(batches):
-        for _, own in _ranges(batches, COUNT):
+        def counts():
+            for rows in batches:
+                for i in np.flatnonzero(rows.column("docs").is_valid().to_numpy(zero_copy_only=False)):
+                    keys = np.frombuffer(rows.column("docs")[int(i)].as_buffer(), np.int64)
+                    lists.append((rows.column("task")[int(i)].as_py(), keys))
+                yield rows.filter(rows.column("docs").is_null())
+
+        lists: list[tuple[int, np.ndarray]] = []
+        for _, own in _ranges(counts(), COUNT):
             own = _added(own)
             keep = own["n"] >= least
-            out = {name: own[name][keep] for name in ("doc", "at", "length", "prints", "n")}
-            out["prints"] = out["prints"].view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out.values()], names=["doc", "at", "length", "print", "n"])
-
+            own["print"] = own["prints"].view(np.int64)
+            yield pa.RecordBatch.from_arrays([*[pa.array(own[name][keep]) for name in names[:-1]],
+                                              pa.nulls(int(keep.sum()), pa.int64())], names=names)
+            while lists:
+                yield listed(*lists.pop())
+        while lists:
+            yield listed(*lists.pop())
+
+    def listed(task: int, keys: np.ndarray) -> pa.RecordBatch:
+        rows = np.arange(len(keys), dtype=np.int32)
+        nothing = [pa.nulls(len(keys), kind) for kind in (pa.int32(), pa.int32(), pa.int64(), pa.int64())]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), task)), pa.array(rows), *nothing, pa.array(keys)],
+                                          names=names)
+
+    pointer = F.when(F.col("doc").isNull(), F.struct("at", "length", "print", "n"))
     return (found.repartition("range").sortWithinPartitions("range")
-            .mapInArrow(add, "doc long, at int, length int, print long, n long"))
+            .mapInArrow(add, "task long, row int, at int, length int, print long, n long, doc long")
+            .groupBy("task", "row").agg(F.max("doc").alias("doc"), F.collect_list(pointer).alias("pointers"))
+            .filter(F.size("pointers") > 0).select("doc", "pointers"))
 
 
 def _phrases(print_bits: int):
@@ -434,9 +496,8 @@ def phrase_counts(documents: DataFrame, most: int = MOST_WORDS, least: int = LEA
     docs = docs.filter(F.col("text") != "").withColumn("doc", F.xxhash64("lang", "text"))
     ranges = max(LEAST_RANGES, 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = occurrences(docs, most, sieve(docs, most, least, bits, print_bits), bits, print_bits, ranges)
-    pointers = frequent(found, least).groupBy("doc").agg(F.collect_list(F.struct("at", "length", "print", "n")).alias("pointers"))
     whole = docs.groupBy("doc").agg(F.first("lang").alias("lang"), F.first("text").alias("text"))  # equal texts once
-    return (whole.join(pointers, "doc").select("lang", "text", "pointers")
+    return (whole.join(frequent(found, least), "doc").select("lang", "text", "pointers")
             .mapInArrow(_phrases(print_bits), "lang string, phrase string, n long"))
 
 
@@ -474,9 +535,13 @@ def collocations(documents: DataFrame, most: int = MOST_WORDS, least: int = LEAS
     open_ = (candidates.join(longer, ["lang", "phrase"], "left")
              .filter(100 * F.coalesce("in_longer", F.lit(0)) < covered * F.col("a")))
     totals = counts.filter(~words).select("lang", F.col("n").alias("n"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return (_scored(open_, counts).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
-            .join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
+    # first within each language's parts, so that the last sort holds no more than the parts' best
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    scored = _scored(open_, counts).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(TOP_PARTS)))
+    for keys in (["lang", "part"], ["lang"]):
+        best = Window.partitionBy(*keys).orderBy(*order)
+        scored = scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    return (scored.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
 
 
 COLLOCATIONS_SQL = r"""
