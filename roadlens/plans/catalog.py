@@ -13,10 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadlens.functions import (
-    after, before, date_hour, format_date_key, format_time_minute, is_empty, kv_field, kv_map, kv_set_field,
+    after, before, date_hour, format_date_key, format_double_binary, format_time_minute, is_empty, kv_field, kv_map, kv_set_field,
     lenient_seconds, minus_seconds, pad2, parse_time, range_label, seconds_text, trim_comma,
 )
 from roadlens.operators.area import area_road_topn
+from roadlens.operators.companions import companions
+from roadlens.operators.cube import flow_groupings
 from roadlens.operators.flow import flow_by_date
 from roadlens.operators.follow import follow_car
 from roadlens.operators.monitor import (
@@ -27,6 +29,7 @@ from roadlens.operators.sample import (
     hourly_car_count, hourly_quota, sample_cars, sample_detail, sample_track,
 )
 from roadlens.operators.paths import many_path_conversion, many_path_counts
+from roadlens.operators.sketches import ERROR_BOUND, cars_in_ranges, daily_sketches
 from roadlens.operators.track import car_track, car_track_blocks, path_conversion, path_step_counts
 from roadlens.plans import params as P
 from roadlens.plans.tasks import run_task
@@ -34,11 +37,13 @@ from roadlens.schema import DETAIL_COLUMNS, FLOW_COLUMNS
 from roadlens.session import scratch_path
 from roadlens.sources.catalog import save_flow_catalog
 from roadlens.sources.commit import read_committed
-from roadlens.sources.events import area_from_region, read_passes
+from roadlens.sources.events import area_from_region, passes_from_events, read_passes
 from roadlens.sources.files import load_tsv, write_tsv
+from roadlens.sources.lookup import find_cars, save_lookup_table
 from roadlens.sources.sink import read_result, write_result
 from roadlens.sources.tasks import parse_task_params
-from roadlens.streaming.live_flow import run_events_flow
+from roadlens.streaming.live_flow import events_stream, run_events_flow, start_to_files
+from roadlens.streaming.live_topn import LiveCounts, start_live_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -252,6 +257,59 @@ def q_catalog_car_track(spark: SparkSession, sf_dir: str) -> DataFrame:
     return car_track(_catalog_flow(spark, sf_dir))
 
 
+def q_live_topn_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "live-counts")
+    stream = passes_from_events(events_stream(spark, f"{sf_dir}/events.parquet"))
+    start_live_counts(stream, out, scratch_path(spark, "live-counts-checkpoint")).awaitTermination()
+    return LiveCounts(spark, out).top(P.TOP_N)
+
+
+def q_live_path_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadlens.streaming.live_paths import live_path_counts  # needs pandas
+
+    out = scratch_path(spark, "live-paths")
+    stream = passes_from_events(events_stream(spark, f"{sf_dir}/events.parquet"))
+    start_to_files(live_path_counts(stream, P.MANY_PATHS, P.WATERMARK), out,
+                   scratch_path(spark, "live-paths-checkpoint")).awaitTermination()
+    return spark.read.parquet(out).groupBy("path_id", "step").agg(F.sum("cnt").alias("cnt"))
+
+
+def q_companions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return companions(read_passes(spark, sf_dir), P.TARGET_CARS, P.COMPANION_SECONDS)
+
+
+def q_find_cars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "lookup-table")
+    save_lookup_table(read_passes(spark, sf_dir), path)
+    return find_cars(spark, path, P.LOOKUP_CARS, P.RANGE_START, P.RANGE_END)
+
+
+def q_sketch_cars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct cars of date ranges, exact and from stored sketches, and whether these are within their bound."""
+    flow, path = _flow(spark, sf_dir), scratch_path(spark, "daily-sketches")
+    daily_sketches(flow).write.parquet(path)
+    ranges = spark.createDataFrame(P.SKETCH_RANGES, "start_date string, end_date string")
+    keys = ["start_date", "end_date"]
+    exact = (flow.join(F.broadcast(ranges), F.col("date").between(*map(F.col, keys)))
+             .groupBy(*keys).agg(F.count_distinct("car").alias("exact")))
+    found = exact.join(cars_in_ranges(spark.read.parquet(path), ranges), keys, "left")
+    return found.select(*keys, F.col("exact").alias("cars"),
+                        (F.abs(F.col("cars") - F.col("exact")) <= F.col("exact") * ERROR_BOUND).alias("within_bound"))
+
+
+def q_flow_groupings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flow_groupings(_flow(spark, sf_dir))
+
+
+def q_binary_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    sign = F.when(F.col("l_linenumber") % 2 == 0, -1.0).otherwise(1.0)
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    return lines.select("l_orderkey", "l_linenumber", "l_partkey", *[
+        format_double_binary(sign * price * factor, 2).alias(name)
+        for name, factor in (("unit", 1.0), ("half_cents", 0.5), ("tax", 1 + F.col("l_tax")))])
+
+
 def _task_table(task_id: int, table: str) -> Query:
     """A result table of a stored task, as its commit shows it."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,6 +358,13 @@ QUERIES: dict[str, Query] = {
     "many_path_conversion": q_many_path_conversion,
     "catalog_path_counts": q_catalog_path_counts,
     "catalog_car_track": q_catalog_car_track,
+    "live_topn_monitor": q_live_topn_monitor,
+    "live_path_counts": q_live_path_counts,
+    "companions": q_companions,
+    "find_cars": q_find_cars,
+    "sketch_cars": q_sketch_cars,
+    "flow_groupings": q_flow_groupings,
+    "binary_rounding": q_binary_rounding,
     **{f"task_{table}": _task_table(task_id, table) for task_id, table in (
         (1, "monitor_state"), (1, "topn_monitor_car_count"), (1, "topn_monitor_detail_info"), (1, "top10_speed_detail"),
         (2, "random_extract_car"), (2, "random_extract_car_detail_info"), (2, "car_track"),

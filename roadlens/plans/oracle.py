@@ -261,6 +261,42 @@ ORACLE_SQL: dict[str, str] = {
         "FROM steps WHERE step >= 2 AND cnt > 0"),
     "catalog_path_counts": _with(_path_counts_cte(P.PATH)) + "SELECT step, path, cnt, prev_cnt FROM steps",
     "catalog_car_track": _with() + _track_select("flow"),
+    "live_topn_monitor": _with(
+        "counts AS (SELECT date, monitor_id, count(*) AS car_count FROM passes GROUP BY date, monitor_id)",
+        "ranked AS (SELECT date, CAST(row_number() OVER (PARTITION BY date ORDER BY car_count DESC, monitor_id) AS INTEGER) AS rank, "
+        "monitor_id, car_count FROM counts)") + f"SELECT date, rank, monitor_id, car_count FROM ranked WHERE rank <= {P.TOP_N}",
+    "live_path_counts": _with(
+        "mark AS (SELECT strftime(max(strptime(action_time, '%Y-%m-%d %H:%M:%S')) - INTERVAL 10 MINUTE, '%Y-%m-%d %H:%M:%S') AS t "
+        "FROM passes)",
+        _many_paths(P.MANY_PATHS).replace("FROM flow WINDOW", "FROM flow WHERE action_time < (SELECT t FROM mark) WINDOW")) + (
+        "SELECT path_id, step, cnt FROM steps WHERE cnt > 0"),
+    "companions": _with(
+        "moments AS (SELECT DISTINCT car, monitor_id, epoch(strptime(action_time, '%Y-%m-%d %H:%M:%S')) AS t FROM flow)",
+        f"targets AS (SELECT * FROM moments WHERE car IN {_in(P.TARGET_CARS)})",
+        "met AS (SELECT x.car AS target, y.car, x.monitor_id, x.t, min(abs(x.t - y.t)) AS gap FROM targets x JOIN moments y "
+        "ON x.monitor_id = y.monitor_id AND x.car <> y.car "
+        f"AND y.t BETWEEN x.t - {P.COMPANION_SECONDS} AND x.t + {P.COMPANION_SECONDS} GROUP BY x.car, y.car, x.monitor_id, x.t)",
+    ) + ("SELECT target, car, count(*) AS meetings, CAST(min(gap) AS BIGINT) AS closest_seconds FROM met GROUP BY target, car"),
+    "find_cars": _with() + (f"SELECT {_FLOW_COLS} FROM flow WHERE car IN {_in(P.LOOKUP_CARS)} "
+                            f"AND date BETWEEN {_lit(P.RANGE_START)} AND {_lit(P.RANGE_END)}"),
+    "sketch_cars": _with("ranges AS (SELECT unnest([" + ", ".join(_lit(a) for a, _ in P.SKETCH_RANGES) + "]) AS start_date, unnest(["
+                         + ", ".join(_lit(b) for _, b in P.SKETCH_RANGES) + "]) AS end_date)") + (
+        "SELECT start_date, end_date, count(DISTINCT car) AS cars, TRUE AS within_bound FROM ranges JOIN flow "
+        "ON date BETWEEN start_date AND end_date GROUP BY start_date, end_date"),
+    "flow_groupings": _with(f"hours AS (SELECT *, {_DATE_HOUR} AS date_hour, TRY_CAST(speed AS INTEGER) AS s FROM flow)") + (
+        "SELECT area_id, road_id, monitor_id, date_hour, CAST(GROUPING(area_id, road_id, monitor_id, date_hour) AS INTEGER) AS grouping, "
+        "count(*) AS passes, count(*) FILTER (WHERE s >= 120) AS high_count, count(*) FILTER (WHERE s >= 90 AND s < 120) AS medium_count, "
+        "count(*) FILTER (WHERE s >= 60 AND s < 90) AS normal_count, count(*) FILTER (WHERE s < 60) AS low_count, max(s) AS max_speed "
+        "FROM hours GROUP BY GROUPING SETS ((monitor_id), (area_id, road_id), (date_hour), (monitor_id, date_hour), (area_id), ())"),
+    # the fraction in units of 2 ** -60 is a whole number
+    "binary_rounding": (
+        "WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber % 2 = 0 THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END AS sign, "
+        "l_extendedprice / l_quantity AS price, l_tax FROM lineitem), "
+        "v AS (SELECT *, sign * price * 1.0::DOUBLE AS a, sign * price * 0.5::DOUBLE AS b, sign * price * (1.0::DOUBLE + l_tax) AS c FROM x) "
+        "SELECT l_orderkey, l_linenumber, l_partkey, " + ", ".join(
+            f"sign * CAST(CAST(floor(abs({v})) AS HUGEINT) * 100 + (CAST((abs({v}) - floor(abs({v}))) * 1152921504606846976::DOUBLE AS HUGEINT) "
+            f"* 200 + 1152921504606846976) // 2305843009213693952 AS DOUBLE) / 100 AS {name}"
+            for v, name in (("a", "unit"), ("b", "half_cents"), ("c", "tax"))) + " FROM v"),
     "task_monitor_state": _with_range(
         "reg AS (SELECT DISTINCT monitor_id, camera_id FROM passes WHERE monitor_id IS NOT NULL AND camera_id IS NOT NULL)",
         "seen AS (SELECT DISTINCT monitor_id, camera_id FROM flow)",

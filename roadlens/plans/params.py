@@ -29,3 +29,6 @@ TASKS = {
     3: '{' + _SPAN + f',"cars":["{",".join(TARGET_CARS)}"]' + '}',
 }
 CATALOG_BUCKETS = 8
+COMPANION_SECONDS = 900
+LOOKUP_CARS = [f"U{i:05d}" for i in range(3, 60, 7)]
+SKETCH_RANGES = [("2024-01-01", "2024-01-01"), ("2024-01-01", "2024-01-07"), ("2024-01-08", "2024-01-21"), ("2024-01-01", "2024-01-31")]
