@@ -101,3 +101,27 @@ def test_format_double(spark):
     assert one(spark, format_double(F.lit(0.285), 2)) == 0.29
     assert one(spark, format_double(F.lit(0.125), 2)) == 0.13
     assert one(spark, format_double(F.lit(2.0 / 3.0), 2)) == 0.67
+
+
+def test_binary_rounding_equals_exact_decimals(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from roadlens.functions import format_double_binary
+
+    rng = random.Random(1)
+    values = [0.285, 0.29, 0.5, 1.005, 2.675, 0.125, 0.375, -0.125, -0.285, 0.0, 1e-320, 0.995, 0.999999999, 4503599627370495.5,
+              4503599627370496.0, 1e300, 9007199254740993.0, 90071992547409.125, 45035996273704.955, 1 / 3]
+    values += [n / d for n, d in ((rng.randint(0, 500), rng.randint(1, 500)) for _ in range(50_000))]
+    values += [rng.randint(0, 10 ** 6) / 1000 for _ in range(25_000)]  # decimal ties
+    values += [rng.uniform(-1, 1) * 10 ** rng.randint(-8, 15) for _ in range(25_000)]
+    for scale in (0, 2, 6):
+        rows = (spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+                .select("i", format_double_binary("v", scale).alias("r")).collect())
+        unit = Decimal(1).scaleb(-scale)
+        for r in rows:
+            v = values[r.i]
+            want = v if abs(v) >= 2 ** 52 else float(Decimal(v).quantize(unit, ROUND_HALF_UP))
+            assert r.r == want, (v, r.r, want)
+    odd = spark.createDataFrame([(None,), (float("nan"),), (float("inf"),), (float("-inf"),)], "v double")
+    assert [str(r[0]) for r in odd.select(format_double_binary("v")).collect()] == ["None", "nan", "inf", "-inf"]
