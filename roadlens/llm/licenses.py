@@ -11,10 +11,15 @@ scan for those terms sets aside the lines that cannot match, and nothing else.
 A notice may be wrapped over lines or stand inside a longer one, and a licence
 may be given by its title, header or whole text. So the sentences of a text
 (line ends within a paragraph are no end of one) are compared with the notices
-too, and its sentences and runs of at most ``WINDOW`` paragraphs with
-``TEXTS``, as vectors with an idf of their own. A paragraph ends where a line
-has no letter or digit; a run of paragraphs of more than twice the
-longest template's characters is no candidate. The most similar of all matches counts.
+too, and its sentences and runs of paragraphs with ``TEXTS``, as vectors with
+an idf of their own. A paragraph ends where a line has no letter or digit. A
+run has any number of paragraphs, the first and the last with an anchor term of
+``TEXTS``, and at most twice the longest template's characters; of the runs
+from one paragraph that have more than ``SHORT`` of them, each has a quarter
+more characters than the one before. Texts are cut for this into overlapping
+stretches of ``STRETCH`` characters, and a run is put together only when its
+length is known, so no row holds more than a stretch. The most similar of all
+matches counts.
 
 A licence file is one named like LICENSE or COPYING, or one whose matching
 lines (or without any its longest other match, or its longest match with one
@@ -26,8 +31,8 @@ the directories' ancestors, and files join their directory.
 
 Defined results: a null or empty text has no licence of its own and may
 inherit one; a file with a null path is in no tree and is not scanned (licence
-null, origin ``none``); files that share a path are scanned as one; ties go to
-the licence named first in the alphabet; an empty table gives an empty result;
+null, origin ``none``); different texts under one path are scanned apart, and
+the best match of any is that of the path; ties go to the licence named first in the alphabet; an empty table gives an empty result;
 further columns pass through, but for those named like the results, which are
 replaced. Only the templates are broadcast.
 """
@@ -46,7 +51,7 @@ from roadlens.session import materialize
 THRESHOLD = 0.75
 FILE_SHARE = 0.3
 TERM = "[a-z0-9]+"
-WINDOW = 8
+SHORT, STRETCH = 8, 32_768
 PARAGRAPH_END = r"\n(?:[^A-Za-z0-9\n]*(?:\n|$))+"
 SENTENCE_END = r"(?<=[.!?:])(?:[^A-Za-z0-9\n]{0,8}\n|\s+(?=[^A-Za-z0-9]{0,4}[A-Z]))"  # bounded, so linear in any script
 FILE_NAME = r"(?i)^(un)?licen[sc]e|^copying|^notice"
@@ -126,51 +131,90 @@ def _terms(text: Column) -> Column:
 
 
 def _matches(units: DataFrame, notices: Notices, threshold: float, name: str) -> DataFrame:
-    """``path, best, chars, size`` of the ``units`` (``path, size, line, words``) that reach the threshold."""
+    """``path, text_key, best, chars, size`` of the ``units`` (``path, text_key, size, line, words``) that reach the threshold."""
     idf, terms = notices.tables(units.sparkSession)
+    key = ["path", "text_key", "line"]
     lines = (units.filter(F.lower("words").rlike(notices.anchor_pattern()))
-             .select("path", "size", "line", F.char_length("words").alias("chars"), _terms(F.col("words")).alias("terms"))
+             .select(*key, "size", F.char_length("words").alias("chars"), _terms(F.col("words")).alias("terms"))
              .filter(notices.may_match("terms", threshold)))
-    lines = materialize(lines, name)  # few, and read more than once
-    counted = (lines.select("path", "line", "chars", "size", F.explode("terms").alias("term"))
-               .groupBy("path", "line", "term")
+    # few, and read more than once; a text that stands there twice counts once
+    lines = materialize(lines.distinct(), name)
+    counted = (lines.select(*key, "chars", "size", F.explode("terms").alias("term"))
+               .groupBy(*key, "term")
                .agg(F.count(F.lit(1)).alias("n"), F.max("chars").alias("chars"), F.max("size").alias("size")))
     weighed = (counted.join(F.broadcast(idf), "term", "left")
                .withColumn("weight", F.col("n") * F.coalesce("idf", F.lit(notices.unknown))))
-    norms = weighed.groupBy("path", "line").agg(
+    norms = weighed.groupBy(*key).agg(
         F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"), F.max("chars").alias("chars"),
         F.max("size").alias("size"))
-    dots = (weighed.select("path", "line", "term", F.col("weight").alias("w"))
-            .join(F.broadcast(terms), "term").groupBy("path", "line", "template", "licence")
+    dots = (weighed.select(*key, "term", F.col("weight").alias("w"))
+            .join(F.broadcast(terms), "term").groupBy(*key, "template", "licence")
             .agg(F.sum(F.col("w") * F.col("weight")).alias("dot")))
-    matched = (dots.join(norms, ["path", "line"])
+    matched = (dots.join(norms, key)
                .withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6))
                .filter(F.col("similarity") >= threshold))
     best = F.struct((-F.col("similarity")).alias("s"), F.col("licence").alias("l"))
-    return matched.groupBy("path", "line").agg(F.min(best).alias("best"), F.max("chars").alias("chars"),
-                                               F.max("size").alias("size"))
+    return matched.groupBy(*key).agg(F.min(best).alias("best"), F.max("chars").alias("chars"),
+                                     F.max("size").alias("size")).drop("line")
 
 
-def _units(files: DataFrame, notices: Notices, split: Column) -> DataFrame:
-    """``path, size, line, words`` of the parts of the texts that have an anchor."""
+def _texts(files: DataFrame, notices: Notices) -> DataFrame:
+    """``path, text_key, size, text`` of the files that have an anchor."""
     return (files.filter(F.col("path").isNotNull() & F.lower("text").rlike(notices.anchor_pattern()))
-            .select("path", F.char_length("text").alias("size"), F.posexplode(split).alias("line", "words")))
+            .select("path", F.xxhash64("text").alias("text_key"), F.char_length("text").alias("size"), "text"))
+
+
+def _units(files: DataFrame, notices: Notices, split: Column) -> DataFrame:
+    """``path, text_key, size, line, words`` of the parts of the texts that have an anchor."""
+    return _texts(files, notices).select("path", "text_key", "size", F.posexplode(split).alias("line", "words"))
 
 
 def sentences(text: str) -> Column:
     return F.flatten(F.transform(F.split(text, PARAGRAPH_END), lambda p: F.split(p, SENTENCE_END)))
 
 
-def runs(text: str, most: int) -> Column:
-    """Sentences, and runs of up to ``WINDOW`` paragraphs of at most ``most`` characters."""
-    def windows(parts: Column) -> Column:
-        return F.flatten(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(WINDOW), F.size(parts) - i + 1)),
-            lambda n: F.array_join(F.slice(parts, i, n), "\n"))))
-
-    # of an array of one, so that a text is split once and not for every run
-    found = F.flatten(F.transform(F.array(F.split(text, PARAGRAPH_END)), windows))
-    return F.array_distinct(F.concat(sentences(text), F.filter(found, lambda w: F.char_length(w) <= most)))
+def _stretches(texts: DataFrame, length: int, overlap: int) -> DataFrame:
+    """``texts`` in pieces of ``length`` characters and ``overlap`` more: ``text``, and whether it begins and ends there."""
+    n = F.col("length")
+    pieces = texts.withColumn("length", F.char_length("text")).select(
+        "*", F.explode(F.sequence(F.lit(0), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(length))).alias("from"))
+    return pieces.select(
+        *[c for c in texts.columns if c not in ("text", "begins", "ends")],
+        F.when((F.col("from") == 0) & (n <= length), F.col("text"))
+        .otherwise(F.substring("text", F.col("from") + 1, F.lit(length + overlap))).alias("text"),
+        (F.col("begins") & (F.col("from") == 0)).alias("begins"),
+        (F.col("ends") & (F.col("from") + length + overlap >= n)).alias("ends"))
+
+
+def paragraph_runs(texts: DataFrame, anchors: str, most: int, stretch: int = STRETCH) -> DataFrame:
+    """``path, text_key, size, words`` of the runs of paragraphs with anchors at both ends and ``most`` characters at most."""
+    whole = texts.withColumns({"begins": F.lit(True), "ends": F.lit(True)})
+    # twice, as a place far inside a long text is slow to find
+    near = _stretches(_stretches(whole, 64 * stretch, 2 * most), stretch, 2 * most)
+    parts = (near.filter(F.lower("text").rlike(anchors)).withColumn("parts", F.split("text", PARAGRAPH_END))
+             # a paragraph that a stretch cuts is whole in another stretch, or too long
+             .withColumn("low", F.when(F.col("begins"), 0).otherwise(1))
+             .withColumn("high", F.size("parts") - F.when(F.col("ends"), 0).otherwise(1)))
+    starts = (parts.filter(F.col("low") < F.col("high"))
+              .select("path", "text_key", "size", "parts", "high",
+                      F.explode(F.sequence(F.col("low"), F.col("high") - 1)).alias("at"))
+              .filter(F.lower(F.get("parts", F.col("at"))).rlike(anchors)
+                      & (F.char_length(F.get("parts", F.col("at"))) <= most))
+              # no more paragraphs than that many characters hold
+              .select("path", "text_key", "size", F.slice("parts", F.col("at") + 1, F.least(
+                  F.col("high") - F.col("at"), F.lit(most // 2 + 1))).alias("parts")))
+    start = F.struct(F.lit(0).alias("chars"), F.lit(0).alias("n"), F.lit(0).alias("kept"),
+                     F.array().cast("array<int>").alias("lasts"))
+
+    def longer(state: Column, part: Column) -> Column:
+        chars, n = state["chars"] + F.char_length(part) + 1, state["n"] + 1
+        taken = ((chars - 1 <= most) & ((n <= SHORT) | (4 * chars >= 5 * state["kept"])) & F.lower(part).rlike(anchors))
+        return F.struct(chars.alias("chars"), n.alias("n"), F.when(taken, chars).otherwise(state["kept"]).alias("kept"),
+                        F.when(taken, F.concat(state["lasts"], F.array(n))).otherwise(state["lasts"]).alias("lasts"))
+
+    lasts = F.aggregate("parts", start, longer, lambda state: state["lasts"])
+    return (starts.select("path", "text_key", "size", "parts", F.explode(lasts).alias("n"))
+            .select("path", "text_key", "size", F.array_join(F.slice("parts", F.lit(1), F.col("n")), "\n").alias("words")))
 
 
 def own_licences(files: DataFrame, notices: Notices, threshold: float = THRESHOLD,
@@ -181,8 +225,10 @@ def own_licences(files: DataFrame, notices: Notices, threshold: float = THRESHOL
              _matches(_units(files, notices, sentences("text")), notices, threshold, "licence-sentences")
              .withColumn("kind", F.lit(1))]
     if texts:
-        found.append(_matches(_units(files, texts, runs("text", texts.most_chars)), texts, threshold, "licence-texts")
-                     .withColumn("kind", F.lit(2)))
+        inside = _units(files, texts, sentences("text")).select("path", "text_key", "size", "words")
+        runs = paragraph_runs(_texts(files, texts), texts.anchor_pattern(), texts.most_chars)
+        units = inside.unionByName(runs).withColumn("line", F.xxhash64("words"))  # equal words are one unit
+        found.append(_matches(units, texts, threshold, "licence-texts").withColumn("kind", F.lit(2)))
     matched = found[0]
     for more in found[1:]:
         matched = matched.unionByName(more)
@@ -190,10 +236,10 @@ def own_licences(files: DataFrame, notices: Notices, threshold: float = THRESHOL
     def chars(kind: int, total=F.max) -> Column:
         return total(F.when(F.col("kind") == kind, F.col("chars")))
 
-    return (matched.groupBy("path").agg(F.min("best").alias("best"), F.max("size").alias("size"), F.greatest(
-        F.coalesce(chars(0, F.sum), chars(1)), chars(2)).alias("chars"))
-            .select("path", F.col("best.l").alias("licence"), (-F.col("best.s")).alias("similarity"),
-                    (F.col("chars") / F.col("size")).alias("share")))
+    by_text = matched.groupBy("path", "text_key").agg(
+        F.min("best").alias("best"), (F.greatest(F.coalesce(chars(0, F.sum), chars(1)), chars(2)) / F.max("size")).alias("share"))
+    return (by_text.groupBy("path").agg(F.min("best").alias("best"), F.max("share").alias("share"))
+            .select("path", F.col("best.l").alias("licence"), (-F.col("best.s")).alias("similarity"), "share"))
 
 
 def directory(path: Column) -> Column:

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -123,6 +124,53 @@ def test_licence_files_headers_and_wrapped_notices(spark):
                      "none/x.py": (None, "none")}
 
 
+def test_different_texts_under_one_path(spark):
+    # a notice on line 2 of one text, other words on line 2 of the other
+    files = [("p/x", "code\nReleased under the MIT License.\ncode"), ("p/x", "code\nsome other line that shares nothing here\n" * 9),
+             ("p/y", "plain")]
+    found = {(r.path, r.licence, r.similarity, r.origin) for r in licenses.licence_scan(table(spark, files)).collect()}
+    assert found == {("p/x", "MIT", 1.0, "own"), ("p/y", "MIT", 1.0, "inherited")}
+
+
+def brute_runs(text, anchors, most):
+    parts = re.split(licenses.PARAGRAPH_END, text)
+    anchored = [bool(re.search(anchors, p.lower())) for p in parts]
+    out = set()
+    for i in range(len(parts)):
+        kept = 0
+        for j in range(i, len(parts)):
+            run = "\n".join(parts[i:j + 1])
+            if anchored[i] and anchored[j] and len(run) <= most and (j - i < 8 or len(run) + 1 >= 1.25 * kept):
+                out.add(run)
+                kept = len(run) + 1
+    return out
+
+
+def test_runs_of_paragraphs_by_stretches(spark):
+    rng = random.Random(8)
+    words = ["software", "permission", "x", "yy", "zzz", "é€"]
+    texts = [rng.choice(["\n\n", "\n  \n", "\n--\n\n"]).join(
+        " ".join(rng.choice(words) for _ in range(rng.choice([1, 1, 2, 5, 40]))) for _ in range(rng.randint(1, 120)))
+        for _ in range(12)] + ["software", "software\n\n", "\n\nsoftware"]
+    notices = licenses.Notices([("a", "permission software")], 0.75)
+    anchors = notices.anchor_pattern()
+    rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "path string, text string")
+    for stretch, most in ((37, 60), (200, 30), (100_000, 60)):
+        runs = licenses.paragraph_runs(licenses._texts(rows, notices), anchors, most, stretch).collect()
+        for i, t in enumerate(texts):
+            assert {r.words for r in runs if r.path == str(i)} == brute_runs(t, anchors, most), (stretch, i)
+
+
+def test_a_licence_of_many_paragraphs_and_a_long_text(spark):
+    clauses = [text for name, text in licenses.TEXTS if name == "BSD-3-Clause"][0]
+    spread = re.sub(r"\b((?i:and|or|of)) ", r"\1\n\n", clauses)
+    assert len(re.split(licenses.PARAGRAPH_END, spread)) > 20
+    long = ("some ordinary text about this and that, without end.\n\n" * 4_000) + spread
+    files = [("many/LICENSE", spread), ("long/notes.txt", long), ("long/x.py", "x")]
+    found = {r.path: (r.licence, r.origin) for r in licenses.licence_scan(table(spark, files)).collect()}
+    assert found == {"many/LICENSE": ("BSD-3-Clause", "own"), "long/notes.txt": ("BSD-3-Clause", "own"), "long/x.py": (None, "none")}
+
+
 def test_lines_without_an_anchor_cannot_match():
     for threshold in (0.5, 0.75, 0.9):
         notices = licenses.Notices(licenses.TEMPLATES, threshold)
