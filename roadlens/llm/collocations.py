@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from roadlens.llm.common import slices, text_bytes, texts
@@ -43,9 +44,9 @@ from roadlens.session import materialize
 
 MOST_WORDS, LEAST, COVERED, TOP, TOP_PARTS = 3, 10, 50, 2000, 16
 SIEVE_BITS = 28
-SIEVE_RANGES, SIEVED_AT_ONCE = 1 << 12, 4_000_000
+SIEVE_RANGES, SIEVED_AT_ONCE = 1 << 12, 8_000_000
 BATCH_BYTES, PART_BYTES = 4 << 20, 1 << 20
-KEPT_COUNTS = 800_000  # that a task holds before it sends them on
+KEPT_COUNTS = 1_100_000  # that a task holds before it sends them on
 LEAST_RANGES = 1024  # of fingerprints
 
 _RANDOM = np.random.default_rng(20_240_613)
@@ -213,19 +214,19 @@ def _batches(batches):
 
 
 def _bucket(prints: np.ndarray, bits: int) -> np.ndarray:
-    return (prints >> np.uint64(64 - bits)).astype(np.int64)
+    return (prints >> np.uint64(64 - bits)).astype(np.uint32)
 
 
 def _packed(numbers: np.ndarray, rising: bool) -> bytes:
     """Numbers byte by byte of their width, so that leading zeros lie together; rising ones as differences."""
     if rising:
         numbers = np.diff(numbers, prepend=numbers.dtype.type(0))
-    return numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+    return zstandard.compress(numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes(), 1)
 
 
 def _unpacked(cell: pa.Scalar, kind: type, rising: bool) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    numbers = np.frombuffer(cell.as_buffer(), np.uint8).reshape(width, -1).T.copy().view(kind).ravel()
+    raw = zstandard.decompress(cell.as_buffer())
+    numbers = np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
     return np.cumsum(numbers, dtype=kind) if rising else numbers
 
 
@@ -276,7 +277,7 @@ def sieve(docs: DataFrame, most: int, least: int, bits: int, print_bits: int = 6
         first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[:len(bucket)])
         times = np.minimum(np.diff(np.append(first, len(bucket))), least)
         bucket = bucket[first]
-        yield from _by_range(bucket // inner, {"place": (bucket % inner).astype(types["place"]),
+        yield from _by_range(bucket // np.uint32(inner), {"place": (bucket % np.uint32(inner)).astype(types["place"]),
                                                "n": times.astype(types["n"])})
 
     def count(batches):
@@ -308,7 +309,7 @@ def sieve(docs: DataFrame, most: int, least: int, bits: int, print_bits: int = 6
 
 
 def _in_sieve(bits_set: np.ndarray, bucket: np.ndarray, bits: int) -> np.ndarray:
-    inner = _sieve_shape(bits)[1]
+    inner = np.uint32(_sieve_shape(bits)[1])
     place = bucket % inner
     return (bits_set[bucket // inner, place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
