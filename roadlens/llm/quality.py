@@ -83,7 +83,9 @@ class Discriminant:
     log_priors: list[float]
 
     def log_density(self, x: np.ndarray, k: int) -> np.ndarray:
-        z = np.linalg.solve(self.factors[k], (x - self.means[k]).T)
+        z, factor = (x - self.means[k]).T.copy(), self.factors[k]
+        for i in range(len(factor)):  # forward substitution in the cached lower triangle
+            z[i] = (z[i] - factor[i, :i] @ z[:i]) / factor[i, i]
         return self.log_priors[k] - 0.5 * (np.einsum("ij,ij->j", z, z) + self.log_dets[k])
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -177,9 +179,12 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose score is at least ``ACCEPT``, all columns.
 
     The fit reads narrow statistics; the rows themselves are scored where
-    they are read, so no text is shuffled.
+    they are read, so no text is shuffled. Where the labels are too few to
+    learn from (two rows of each class at least), nothing is rejected.
     """
     model = fit(document_features(docs), labels, not_held_out())
+    if not model.means:
+        return docs
 
     def run(batches):
         for batch in batches:

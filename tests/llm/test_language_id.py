@@ -40,3 +40,47 @@ def test_held_out_languages_do_not_change_a_prediction(make_docs):
     other = [(i, t, "fr" if zlib.crc32(str(i).encode()) % 5 == 0 else lang) for i, t, lang in rows]
     a, b = (sorted(map(tuple, language_id.languages(make_docs(x)).collect())) for x in (rows, other))
     assert a == b
+
+
+def brute(rows, raw):
+    """Sizes by a compressor made for each text, one language after the other."""
+    import zstandard as z
+    out = []
+    for r in rows:
+        text = r[1]
+        if text is None or not any(c.isalpha() for c in text):
+            out.append((r[0], "und", 0.0))
+            continue
+        data, sizes = text.lower().encode(), {}
+        for lang, words in raw.items():
+            own = z.ZstdCompressionDict(words, dict_type=z.DICT_TYPE_RAWCONTENT)
+            make = lambda: z.ZstdCompressor(level=language_id.LEVEL, dict_data=own, write_checksum=False, write_dict_id=False,
+                                            write_content_size=False)
+            sizes[lang] = sum(len(make().compress(data[i:i + 4096])) for i in range(0, len(data), 4096)) / len(data)
+        best = min(sizes, key=lambda lang: (sizes[lang], list(raw).index(lang)))
+        score = 1 / sum(np.exp(max(-language_id.SHARPNESS * (s - sizes[best]), -700)) for s in sizes.values())
+        out.append((r[0], best, round(float(score), 9)))
+    return sorted(out, key=str)
+
+
+def test_equals_brute_force_and_samples_do_not_change(make_docs):
+    # long texts of several pieces, ids that repeat with other texts, odd rows
+    said = {"en": "the cat and the dog went home", "de": "der hund und die katze gehen nach haus", "fr": "le chat et le chien"}
+    rows = [(i, f"{said[lang]} {i * 7919 % 1000} " * (1 + i % 90), lang) for i in range(90) for lang in [list(said)[i % 3]]]
+    rows += [(i, f"another {said['en']} {i}", "en") for i in range(0, 90, 3)] + ODD_ROWS[:8]
+    a, b = (language_id.dictionaries(make_docs(x)) for x in (rows, rows[::-1]))
+    assert list(a.items()) == list(b.items()) and len(a) == 3
+    found = sorted(((r.doc_id, r.lang_pred, round(r.score, 9)) for r in language_id.languages(make_docs(rows)).collect()), key=str)
+    assert found == brute(rows, a)
+
+
+def test_more_languages_than_a_task_holds(make_docs):
+    import random
+    rng = random.Random(3)
+    words = {f"l{i:03d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(30)] for i in range(250)}
+    text = lambda lang: " ".join(rng.choice(words[lang]) for _ in range(40))
+    rows = [(i, text(f"l{i % 250:03d}"), f"l{i % 250:03d}") for i in range(1000)]
+    found = language_id.languages(make_docs(rows)).collect()
+    truth = {r[0]: r[2] for r in rows}
+    assert len({r.lang_pred for r in found}) > 240  # some have no text to learn from
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in found if r.held_out]) > 0.95

@@ -64,3 +64,11 @@ def test_labels_that_disagree_are_not_learned_from(spark, make_docs):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)] + [(i, 1 - i % 2, 0) for i in range(40)],
                                    "doc_id long, quality int, toxic int")
     assert quality.quality_scores(docs, labels).select(F.max("score")).first()[0] == 0.5
+
+
+def test_without_labels_to_learn_from_nothing_is_rejected(spark, make_docs):
+    docs = make_docs(ODD_ROWS, extra="score")
+    for labels in ([], [(1, 1, 0), (2, 0, 0)], [(1, None, None)]):
+        table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        kept = quality.accepted(docs, table)
+        assert kept.columns == docs.columns and sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
