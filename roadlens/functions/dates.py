@@ -40,19 +40,21 @@ def _fields(s: Column) -> Column:
     return F.split(s, "[ :]")
 
 
-def range_label(time_text: str | Column) -> Column:
-    """Five-minute range label ``d HH:mm~d HH:mm``.
+def date_and_hour(time_text: str | Column) -> tuple[Column, Column]:
+    """The date and the hour, as written, of a time that parses (:func:`lenient_seconds`)."""
+    p = _fields(as_col(time_text))
+    return F.get(p, 0), F.get(p, 1)
 
-    The start minute is floored to a multiple of five; the end is five
-    minutes later, and minutes 55-59 end at the next hour's ``:00`` without
-    a day rollover (``23:57`` gives ``~d 24:00``). The start keeps the hour
-    text as written. Null when the minute (or, for minutes 55-59, the hour)
-    is not a number.
-    """
+
+def range_cell(time_text: str | Column) -> tuple[Column, Column, Column]:
+    """(date, hour, minute floored to five) of a time text, which identify its five-minute range."""
     p = _fields(as_col(time_text))
-    day, hour = F.get(p, 0), F.get(p, 1)
     minute = F.get(p, 2).try_cast(T.IntegerType())
-    start_min = minute - minute % 5
+    return F.get(p, 0), F.get(p, 1), minute - minute % 5
+
+
+def cell_label(day: Column, hour: Column, start_min: Column) -> Column:
+    """The label of a five-minute range (see :func:`range_label`)."""
     next_hour = F.try_add(hour.try_cast(T.IntegerType()), F.lit(1))
     end_min = F.try_add(start_min, F.lit(5))
     return (F.when(start_min == 55, F.when(
@@ -62,6 +64,18 @@ def range_label(time_text: str | Column) -> Column:
                   F.format_string("%s %s:%02d~%s %s:%02d", day, hour, start_min, day, hour, end_min)))
 
 
+def range_label(time_text: str | Column) -> Column:
+    """Five-minute range label ``d HH:mm~d HH:mm``.
+
+    The start minute is floored to a multiple of five; the end is five
+    minutes later, and minutes 55-59 end at the next hour's ``:00`` without
+    a day rollover (``23:57`` gives ``~d 24:00``). The start keeps the hour
+    text as written. Null when the minute (or, for minutes 55-59, the hour)
+    is not a number.
+    """
+    return cell_label(*range_cell(time_text))
+
+
 def lenient_seconds(time_text: str | Column) -> Column:
     """Seconds since 1970-01-01 of the wall-clock text, parsed leniently.
 

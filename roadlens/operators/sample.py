@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from roadlens.functions.dates import date_hour, date_of, lenient_seconds
+from roadlens.functions.dates import date_and_hour, lenient_seconds
 from roadlens.functions.numbers import int_div
 from roadlens.operators.common import legal_cars
 from roadlens.operators.track import car_track
@@ -35,9 +35,9 @@ def hour_cars(flow: DataFrame) -> DataFrame:
     label may be 24 or more). Passes whose time does not parse belong to no
     hour and no day.
     """
+    day, hour = date_and_hour("action_time")  # of a time that parses; one split gives both
     return (legal_cars(flow).filter(lenient_seconds("action_time").isNotNull())
-            .select(date_of("action_time").alias("date"), date_hour("action_time").alias("date_hour"), "car")
-            .distinct())
+            .select(day.alias("date"), F.concat_ws("_", day, hour).alias("date_hour"), "car").distinct())
 
 
 def hourly_car_count(flow: DataFrame) -> DataFrame:
