@@ -1,26 +1,34 @@
 """Operator 5: exact top-k inner products by dual-tree search over cover trees.
 
-A bounded set of data points (``PIVOTS``, by smallest id hash) forms the top
-level: every vector belongs to its nearest pivot, whose covering radius is the
-largest distance to a member. A pivot's members are dealt into blocks of about
-``BLOCK`` vectors (a crowded pivot gives many). A query's k-th best score
-against the pivots, which are candidates themselves, is a first lower bound;
-the query goes only to the blocks whose bound ``q.p + |q| r`` reaches it.
-
-Inside a block both sides are cover trees: a node's children cover its points
-within half its radius and lie further apart than that. The two trees are
-descended together, and a pair of nodes is dropped when
-
-    a.b + ra |b| + rb |a| + ra rb  <  the query group's worst k-th score,
+A set of data points (by smallest id hash; more of them the more vectors there
+are, from ``PIVOTS`` to ``MOST_PIVOTS``) forms the top level: every vector
+belongs to its nearest pivot, whose covering radius is the largest distance to
+a member. A pivot's members are dealt into blocks of about ``BLOCK`` vectors (a
+crowded pivot gives many). A query's k-th best score against the pivots, which
+are candidates themselves, is a first lower bound; the query goes only to the
+blocks whose bound ``q.p + |q| r`` reaches it.
+
+Inside a block both sides are cover trees: a node's children lie further apart
+than half its radius and cover its points within that (or, if that takes more
+than ``fan_of`` its size, within their own covering radius). The two trees are
+descended together, the node of the larger radius first, and a pair of nodes
+is dropped when
+
+    a.b + ra |b| + rb |a| + ra rb  <  the worst k-th score of the query node,
 
 a and b being the centres and ra and rb the covering radii (the bound of
-Curtin and Ram's dual-tree max-kernel search). What is left meets in matrix
-products of integers, so scores are exact. Each block returns at most k rows a
-query, and a window merges them.
+Curtin and Ram's dual-tree max-kernel search). Pairs of leaves meet in matrix
+products of integers, so scores are exact, and raise the k-th scores that
+later pairs are held against. Each block returns at most k rows a query, and a
+window merges them. Trees hold indices only; no matrix of all gaps is made.
+
+How much is dropped depends on the vectors: points in clusters let most pairs
+go, directions without clusters in many dimensions hardly any (see README).
 
 Defined results: vectors that are null, empty, or hold a null or non-finite
 component take no part, nor do rows with a null id; only vectors of one length
-are compared; a row is known by its id, so repeated rows count once (of
+are compared (the ``LENGTHS`` most frequent lengths have pivots, others are
+dealt by id alone); a row is known by its id, so repeated rows count once (of
 different vectors under one id the best score counts); ties go to the smaller
 id; an empty table gives an empty result. Scores are exact while inner
 products stay below 2**53.
@@ -36,146 +44,135 @@ from pyspark.sql import DataFrame, Window, functions as F
 from roadlens.session import materialize
 
 K, QUERY_STEP, SCALE = 5, 50, 256
-PIVOTS, BLOCK, QUERY_BLOCK = 32, 2048, 8192
-GROUP = 64  # queries whose bounds are shared
+PIVOTS, MOST_PIVOTS, PER_PIVOT = 32, 4096, 8192
+LENGTHS = 8
+BLOCK, QUERY_BLOCK = 2048, 8192
+LEAF, FAN = 32, 64
+FOUND_AT_ONCE = 1_000_000  # scores kept before only each query's best are
 SLACK = 1e-6  # of rounding in the bounds, which are real numbers
 
 
+def fan_of(size: int) -> int:
+    """Children at most of a node of ``size`` points, so that points which all lie apart end in leaves of some size."""
+    return min(FAN, max(2, size // LEAF)) if size > LEAF else size
+
+
 class CoverTree:
-    """Nodes as arrays: ``centre`` (a point), ``radius`` and the children's range in ``kids``."""
+    """Nodes as arrays: ``centre`` (a point), ``radius``, ``kids``, and the points ``order[low:high]`` below."""
 
     def __init__(self, points: np.ndarray):
-        self.points = points
-        squares = (points * points).sum(axis=1)
-        self.norms = np.sqrt(squares)
-        # whole numbers, so that copies are at distance 0; and a point always is from itself
-        self.gaps = np.sqrt(np.maximum(np.rint(squares[:, None] + squares[None, :] - 2 * (points @ points.T)), 0.0))
-        np.fill_diagonal(self.gaps, 0.0)
-        self.centre, self.radius, self.kids, self.size = [], [], [], []
-        todo = [(self._node(0, len(points)), np.arange(len(points)))]
+        self.points, self.squares = points, (points * points).sum(axis=1)
+        self.norms = np.sqrt(self.squares)
+        self.order = np.zeros(len(points), np.int64)
+        self.centre, self.radius, self.kids, self.low, self.high = [], [], [], [], []
+        todo = [(self._node(0, 0, len(points)), np.arange(len(points)))]
         while todo:
             node, members = todo.pop()
             todo += self._split(node, members)
         self.centre, self.radius = np.array(self.centre), np.array(self.radius)
-        del self.gaps
+        self.low, self.high = np.array(self.low), np.array(self.high)
 
-    def _node(self, point: int, size: int) -> int:
-        self.centre.append(point)
-        self.radius.append(0.0)
-        self.kids.append([])
-        self.size.append(size)
+    def _node(self, point: int, low: int, high: int) -> int:
+        for values, value in ((self.centre, point), (self.radius, 0.0), (self.kids, []), (self.low, low), (self.high, high)):
+            values.append(value)
         return len(self.centre) - 1
 
+    def _gaps(self, members: np.ndarray, point: int) -> np.ndarray:
+        # whole numbers, so that copies are at distance 0
+        square = self.squares[members] + self.squares[point] - 2 * (self.points[members] @ self.points[point])
+        return np.sqrt(np.maximum(np.rint(square), 0.0))
+
     def _split(self, node: int, members: np.ndarray):
         """Give ``node`` its children: a net of half its radius, found farthest point first."""
-        if len(members) == 1:
-            return []
-        near = self.gaps[self.centre[node], members].copy()
+        low = self.low[node]
+        self.order[low:low + len(members)] = members
+        near = self._gaps(members, self.centre[node])
         self.radius[node] = float(near.max())
-        owner, nets = np.zeros(len(members), np.int64), [self.centre[node]]
-        if self.radius[node] <= SLACK:  # copies of one point
-            others = members[members != self.centre[node]]
-            self.kids[node] = [self._node(int(m), 1) for m in others]
+        if self.radius[node] <= SLACK:
             return []
-        while near.max() > self.radius[node] / 2:
+        owner, nets, fan = np.zeros(len(members), np.int64), [self.centre[node]], fan_of(len(members))
+        while near.max() > self.radius[node] / 2 and len(nets) < fan:
             point = int(members[near.argmax()])
-            gap = self.gaps[point, members]
+            gap = self._gaps(members, point)
             closer = gap < near
             owner[closer], near[closer] = len(nets), gap[closer]
             nets.append(point)
-        out = []
-        order = np.argsort(owner, kind="stable")
-        for point, own in zip(nets, np.split(members[order], np.searchsorted(owner[order], np.arange(1, len(nets))))):
-            child = self._node(point, len(own))
+        if len(members) <= LEAF and 2 * len(nets) > len(members):  # few points that lie apart are met together
+            return []
+        out, by_owner = [], np.argsort(owner, kind="stable")
+        for point, own in zip(nets, np.split(members[by_owner], np.searchsorted(owner[by_owner], np.arange(1, len(nets))))):
+            child = self._node(point, low, low + len(own))
             self.kids[node].append(child)
-            if len(own) > 1:
-                out.append((child, own))
+            out.append((child, own))
+            low += len(own)
         return out
 
-    def members(self, node: int) -> list[int]:
+    def members(self, node: int) -> np.ndarray:
         """The points below a node."""
-        out, todo = [], [node]
-        while todo:
-            at = todo.pop()
-            if self.kids[at]:
-                todo += self.kids[at]
-                if self.radius[at] <= SLACK:
-                    out.append(int(self.centre[at]))
-            else:
-                out.append(int(self.centre[at]))
-        return out
+        return self.order[self.low[node]:self.high[node]]
 
-    def groups(self, most: int):
-        """Query groups: (centre, radius, points), whole nodes or runs of siblings that share a ball."""
-        todo = [0]
-        while todo:
-            node = todo.pop()
-            if self.size[node] <= most or not self.kids[node] or self.radius[node] <= SLACK:
-                run = [[node]]
-            else:
-                run = [[]]
-                for kid in self.kids[node]:
-                    if self.size[kid] > most:
-                        todo.append(kid)
-                    elif run[-1] and sum(self.size[k] for k in run[-1]) + self.size[kid] > most:
-                        run.append([kid])
-                    else:
-                        run[-1].append(kid)
-            for nodes in run:
-                if nodes:
-                    own = [p for k in nodes for p in self.members(k)]
-                    for at in range(0, len(own), most):  # copies of one point may be many
-                        part = np.array(own[at:at + most])
-                        centre = self.points[part].mean(axis=0)
-                        radius = float(np.sqrt(((self.points[part] - centre) ** 2).sum(axis=1)).max())
-                        yield centre, radius, part
+
+def _best(r: np.ndarray, c: np.ndarray, v: np.ndarray, ids: np.ndarray, queries: int, k: int):
+    """Of (query, point, score) each query's ``k`` best, ties to the smaller id."""
+    order = np.lexsort((ids[c], -v, r))
+    r, c, v = r[order], c[order], v[order]
+    keep = np.arange(len(r)) - np.searchsorted(r, np.arange(queries))[r] < k
+    return r[keep], c[keep], v[keep]
 
 
 def dual_tree_top_k(query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, ids: np.ndarray,
-                    points: np.ndarray, k: int):
-    """Per query its k best of ``points`` that reach its floor: (query, point, score) index arrays."""
+                    points: np.ndarray, k: int, met: list[int] | None = None):
+    """Per query its k best of ``points`` that reach its floor: (query, point, score) index arrays.
+
+    ``met``, if given, gets the number of scores that were worked out.
+    """
     asked, base = CoverTree(queries), CoverTree(points)
-    found = []
-    for centre, radius, own in asked.groups(GROUP):
-        norm = float(np.sqrt(centre @ centre))
-        q, floor = queries[own], floors[own].astype(float)
-        rows, cols, values = [], [], []
-        best = np.full((len(own), k), -np.inf)
-
-        def meet(new: np.ndarray) -> None:
-            """Score the points ``new`` exactly and raise the k-th scores."""
-            nonlocal best, floor
-            scores = np.rint(q @ points[new].T)
-            scores[query_ids[own][:, None] == ids[new][None, :]] = -np.inf
-            r, c = np.nonzero((scores >= floor[:, None]) & (scores > -np.inf))
-            rows.append(r), cols.append(new[c]), values.append(scores[r, c])
-            best = -np.sort(-np.concatenate([best, scores], axis=1), axis=1)[:, :k]
-            floor = np.maximum(floor, best[:, k - 1])
-
-        frontier = np.array([0])
-        meet(base.centre[frontier])
-        while len(frontier):
-            c = base.centre[frontier]
-            bound = (points[c] @ centre + radius * base.norms[c] + base.radius[frontier] * (norm + radius))
-            open_ = frontier[bound + SLACK * (1 + np.abs(bound)) >= floor.min()]
-            kids = [(child, base.centre[child] != base.centre[node]) for node in open_ for child in base.kids[node]]
-            if not kids:
-                break
-            child = np.array([x[0] for x in kids])
-            new = child[np.array([x[1] for x in kids])]
-            if len(new):
-                meet(base.centre[new])
-            # by their kids, not their radius: a node of copies has radius 0
-            frontier = child[np.array([bool(base.kids[c]) for c in child])]
-        r, c, v = np.concatenate(rows), np.concatenate(cols), np.concatenate(values)
-        keep = v >= floor[r]
-        r, c, v = r[keep], c[keep], v[keep]
-        order = np.lexsort((ids[c], -v, r))
-        r, c, v = r[order], c[order], v[order]
-        start = np.searchsorted(r, np.arange(len(own)))
-        keep = np.arange(len(r)) - start[r] < k
-        found.append((own[r[keep]], c[keep], v[keep].astype(np.int64)))
-    return [np.concatenate(x) for x in zip(*found)]
+    q, q_ids, floor = queries[asked.order], query_ids[asked.order], floors[asked.order].astype(float)
+    x, x_ids = points[base.order], ids[base.order]
+    best = np.full((len(q), k), -np.inf)
+    found, size, scored = [], 0, 0
+
+    def bounds(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        centre_a, centre_b = asked.centre[a], base.centre[b]
+        dot = queries[centre_a] @ points[centre_b].T if len(a) == 1 else points[centre_b] @ queries[centre_a].T
+        bound = (dot.ravel() + asked.radius[a] * base.norms[centre_b] + base.radius[b] * asked.norms[centre_a]
+                 + asked.radius[a] * base.radius[b])
+        return bound + SLACK * (1 + np.abs(bound))
+
+    todo = [(0, 0, float("inf"))]
+    while todo:
+        a, b, bound = todo.pop()
+        low, high = asked.low[a], asked.high[a]
+        if bound < floor[low:high].min():
+            continue
+        if asked.kids[a] and (not base.kids[b] or asked.radius[a] >= base.radius[b]):
+            pairs = [(kid, b) for kid in asked.kids[a]]
+        elif base.kids[b]:
+            pairs = [(a, kid) for kid in base.kids[b]]
+        else:
+            first, last = base.low[b], base.high[b]
+            scores = np.rint(q[low:high] @ x[first:last].T)
+            scores[q_ids[low:high, None] == x_ids[None, first:last]] = -np.inf
+            scored += scores.size
+            r, c = np.nonzero((scores >= floor[low:high, None]) & (scores > -np.inf))
+            found.append((r + low, c + first, scores[r, c]))
+            size += len(r)
+            both = np.concatenate([best[low:high], scores], axis=1)
+            best[low:high] = -np.partition(-both, k - 1, axis=1)[:, :k]
+            floor[low:high] = np.maximum(floor[low:high], best[low:high].min(axis=1))
+            if size > FOUND_AT_ONCE:
+                found = [_best(*[np.concatenate(f) for f in zip(*found)], x_ids, len(q), k)]
+                size = len(found[0][0])
+            continue
+        kids_a, kids_b = np.unique([p[0] for p in pairs]), np.unique([p[1] for p in pairs])
+        each = bounds(kids_a, kids_b)
+        order = np.argsort(each, kind="stable")  # the most promising pair is met next
+        todo += [(int(kids_a[i % len(kids_a)]), int(kids_b[i % len(kids_b)]), float(each[i])) for i in order]
+    if met is not None:
+        met.append(scored)
+    r, c, v = _best(*[np.concatenate(f) for f in zip(*found)], x_ids, len(q), k)
+    keep = v >= floor[r]
+    return asked.order[r[keep]], base.order[c[keep]], v[keep].astype(np.int64)
 
 
 def quantised(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -196,9 +193,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def top_k(embeddings: DataFrame, k: int = K, step: int = QUERY_STEP, scale: int = SCALE) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k best of every vector whose id is divisible by ``step``."""
     vectors = materialize(quantised(embeddings, scale), "quantised-vectors")
-    # the top level: PIVOTS points of each vector length
+    lengths = [(r["d"], r["n"]) for r in vectors.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+               .orderBy(F.desc("n"), "d").limit(LENGTHS + 1).collect()]
+    others = -(-lengths[LENGTHS][1] // BLOCK) if len(lengths) > LENGTHS else 1  # blocks of each further length
+    # the top level: points of the frequent lengths, at most MOST_PIVOTS each
+    wanted = {d: min(MOST_PIVOTS, max(PIVOTS, n // PER_PIVOT)) for d, n in lengths[:LENGTHS]}
     first = Window.partitionBy(F.size("v")).orderBy(F.xxhash64("vec_id"), "vec_id")
-    top = (vectors.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= PIVOTS)
+    most = F.coalesce(*[F.when(F.size("v") == d, F.lit(n)) for d, n in wanted.items()], F.lit(0))
+    top = (vectors.withColumn("at", F.row_number().over(first)).filter((F.col("at") <= MOST_PIVOTS) & (F.col("at") <= most))
            .select("vec_id", "v").dropDuplicates(["vec_id"]).collect())
     pivots: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for d in {len(r["v"]) for r in top}:
@@ -210,10 +212,12 @@ def top_k(embeddings: DataFrame, k: int = K, step: int = QUERY_STEP, scale: int
             sizes = np.array(pa.compute.list_value_length(batch.column("v")))
             for d in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == d))
-                x, p = _matrix(part.column("v")), pivots[int(d)][1]
-                gap = (x * x).sum(axis=1)[:, None] + (p * p).sum(axis=1)[None, :] - 2 * (x @ p.T)
-                own = gap.argmin(axis=1)
-                near = np.sqrt(np.maximum(gap[np.arange(len(own)), own], 0.0))
+                own, near = np.full(part.num_rows, -1), np.zeros(part.num_rows)
+                if int(d) in pivots:
+                    x, p = _matrix(part.column("v")), pivots[int(d)][1]
+                    gap = (x * x).sum(axis=1)[:, None] + (p * p).sum(axis=1)[None, :] - 2 * (x @ p.T)
+                    own = gap.argmin(axis=1)
+                    near = np.sqrt(np.maximum(gap[np.arange(len(own)), own], 0.0))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("vec_id"), part.column("v"), pa.array(np.full(len(own), d), pa.int32()),
                      pa.array(own, pa.int32()), pa.array(near)], names=["vec_id", "v", "dim", "pivot", "gap"])
@@ -221,39 +225,52 @@ def top_k(embeddings: DataFrame, k: int = K, step: int = QUERY_STEP, scale: int
     placed = materialize(vectors.mapInArrow(
         assign, "vec_id long, v array<double>, dim int, pivot int, gap double"), "placed-vectors")
     asks = F.col("vec_id") % step == 0
-    crowd = placed.groupBy("dim", "pivot").agg(
-        F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius"), F.sum(asks.cast("long")).alias("asked")).collect()
-    shape = {(r["dim"], r["pivot"]): (-(-r["n"] // BLOCK), r["radius"]) for r in crowd}
-    chunks = max(1, -(-sum(r["asked"] for r in crowd) // QUERY_BLOCK))
+    queries_n = placed.filter(asks).count()
+    chunks = max(1, -(-queries_n // QUERY_BLOCK))
+    # of the pivots: how many blocks, and the covering radius
+    crowd = placed.filter(F.col("pivot") >= 0).groupBy("dim", "pivot").agg(
+        F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).collect()
+    salts_of = {d: np.ones(len(p[0]), np.int64) for d, p in pivots.items()}
+    radius_of = {d: np.zeros(len(p[0])) for d, p in pivots.items()}
+    for r in crowd:
+        salts_of[r["dim"]][r["pivot"]], radius_of[r["dim"]][r["pivot"]] = -(-r["n"] // BLOCK), r["radius"]
 
     def deal(batches):
         """Each query to every block that its bound admits."""
         for batch in batches:
-            for i in range(batch.num_rows):
-                one, d = batch.slice(i, 1), batch.column("dim")[i].as_py()
-                q, (ids, p) = _matrix(one.column("v"))[0], pivots[d]
-                dots, me = p @ q, one.column("vec_id")[0].as_py()
-                rivals = np.sort(dots[ids != me])[::-1]
-                floor = float(rivals[k - 1]) if len(rivals) >= k else float("-inf")
-                norm, blocks = float(np.sqrt(q @ q)), []
-                for (dim, pivot), (salts, radius) in shape.items():
-                    bound = dots[pivot] + norm * radius if dim == d else float("-inf")
-                    if dim == d and bound + SLACK * (1 + abs(bound)) >= floor:
-                        blocks += [(pivot, s) for s in range(salts)]
-                n = len(blocks)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([d] * n, pa.int32()), pa.array([b[0] for b in blocks], pa.int32()),
-                     pa.array([b[1] for b in blocks], pa.int64()), pa.array([me] * n, pa.int64()),
-                     pa.array([floor] * n, pa.float64()), pa.concat_arrays([one.column("v")] * n)],
-                    names=["dim", "pivot", "salt", "query_id", "floor", "q"])
+            sizes = np.array(batch.column("dim"))
+            for d in np.unique(sizes):
+                part = batch.filter(pa.array(sizes == d))
+                for low in range(0, part.num_rows, 64):
+                    rows = part.slice(low, 64)
+                    me, n = rows.column("vec_id").to_numpy(), rows.num_rows
+                    if int(d) in pivots:
+                        q, (ids, p) = _matrix(rows.column("v")), pivots[int(d)]
+                        dots = q @ p.T
+                        rivals = np.where(ids[None, :] == me[:, None], -np.inf, dots)
+                        floor = -np.partition(-rivals, k - 1, axis=1)[:, k - 1] if len(ids) >= k else np.full(n, -np.inf)
+                        bound = dots + np.sqrt((q * q).sum(axis=1))[:, None] * radius_of[int(d)][None, :]
+                        which, pivot = np.nonzero(bound + SLACK * (1 + np.abs(bound)) >= floor[:, None])
+                        times = salts_of[int(d)][pivot]
+                    else:
+                        floor, which, pivot = np.full(n, -np.inf), np.arange(n), np.full(n, -1)
+                        times = np.full(n, others)
+                    which, pivot = np.repeat(which, times), np.repeat(pivot, times)
+                    salt = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(which), d), pa.int32()), pa.array(pivot, pa.int32()), pa.array(salt, pa.int64()),
+                         pa.array(me[which], pa.int64()), pa.array(floor[which]), rows.column("v").take(pa.array(which))],
+                        names=["dim", "pivot", "salt", "query_id", "floor", "q"])
 
     hashed = F.xxhash64("vec_id")
     queries = (placed.filter(asks).select("vec_id", "v", "dim")
                .mapInArrow(deal, "dim int, pivot int, salt long, query_id long, floor double, q array<double>")
                .withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks))))
-    salts = F.coalesce(*[F.when((F.col("dim") == d) & (F.col("pivot") == p), F.lit(n))
-                         for (d, p), (n, _) in shape.items()], F.lit(1))
-    blocks = (placed.withColumn("salt", F.pmod(hashed, salts.cast("long")))
+    # a row a pivot
+    split = placed.sparkSession.createDataFrame(
+        [(d, i, int(n)) for d, all_ in salts_of.items() for i, n in enumerate(all_)], "dim int, pivot int, salts long")
+    salts = F.coalesce("salts", F.lit(others)).cast("long")
+    blocks = (placed.join(F.broadcast(split), ["dim", "pivot"], "left").withColumn("salt", F.pmod(hashed, salts))
               .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
               .select("dim", "pivot", "salt", "chunk", "vec_id", "v"))
     schema = "query_id long, vec_id long, score long"

@@ -85,16 +85,53 @@ def test_few_rows(spark):
 
 
 def test_cover_tree_covers_and_separates():
-    points = np.rint(np.array([v for _, v in clustered(300, 5, 4)] + [[1.0] * 5] * 9) * 256)
+    points = np.rint(np.array([v for _, v in clustered(300, 5, 4)] + [[1.0] * 5] * 90) * 256)
     tree = topk_search.CoverTree(points)
     assert sorted(tree.members(0)) == list(range(len(points)))
     for node, kids in enumerate(tree.kids):
         own = points[tree.members(node)]
         centre = points[tree.centre[node]]
         assert np.sqrt(((own - centre) ** 2).sum(1)).max() <= tree.radius[node] + 1e-3
-        if tree.radius[node] > 1e-6:
+        if kids:
+            assert sorted(p for kid in kids for p in tree.members(kid)) == sorted(tree.members(node))
             kid_points = points[tree.centre[kids]]
             gaps = np.sqrt(((kid_points[:, None] - kid_points[None]) ** 2).sum(2)) + 1e9 * np.eye(len(kids))
             assert gaps.min() > tree.radius[node] / 2 - 1e-3
-    groups = [p for _, _, own in tree.groups(16) for p in own]
-    assert sorted(groups) == list(range(len(points)))
+            assert len(kids) == topk_search.fan_of(len(own)) or tree.radius[kids].max() <= tree.radius[node] / 2 + 1e-3
+        else:
+            assert len(own) <= topk_search.LEAF or len(own) == 1 or tree.radius[node] <= topk_search.SLACK
+
+
+def test_clustered_points_are_pruned():
+    rng, k = np.random.default_rng(5), 5
+    centres = rng.normal(size=(40, 16)) * 300
+    points = np.rint(centres[rng.integers(0, 40, 4000)] + 5 * rng.normal(size=(4000, 16)))
+    asked, met = np.arange(0, 4000, 20), []
+    r, c, v = topk_search.dual_tree_top_k(asked, points[asked], np.full(len(asked), -np.inf), np.arange(4000), points, k, met)
+    assert met[0] < 0.25 * len(asked) * len(points)
+    scores = points[asked] @ points.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    for i in range(len(asked)):
+        want = sorted(zip(-scores[i], range(4000)))[:k]
+        assert sorted(zip(-v[r == i].astype(float), c[r == i])) == want
+
+
+def test_memory_of_a_full_block():
+    import tracemalloc
+    rng = np.random.default_rng(2)
+    points = np.rint(rng.normal(size=(700, 64)) * 100)
+    queries = np.rint(rng.normal(size=(8192, 64)) * 100)
+    queries[:3000] = queries[0]  # copies
+    tracemalloc.start()
+    topk_search.dual_tree_top_k(np.arange(8192) + 10_000, queries, np.full(8192, -np.inf), np.arange(2048), points, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20
+
+
+def test_more_lengths_than_have_pivots(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "LENGTHS", 2)
+    monkeypatch.setattr(topk_search, "BLOCK", 20)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=2 + i % 5).tolist()) for i in range(600)]
+    assert sorted(map(tuple, topk_search.top_k(table(spark, rows), step=7).collect())) == brute(rows, step=7)
