@@ -104,8 +104,9 @@ class Notices:
                 self.anchors.add(t)
                 rest -= w * w
 
-    def anchor_pattern(self) -> str:
-        return "(?<![a-z0-9])(?:" + "|".join(sorted(self.anchors)) + ")(?![a-z0-9])"
+    def anchor_pattern(self, *others: Notices) -> str:
+        anchors = self.anchors.union(*[o.anchors for o in others])
+        return "(?<![a-z0-9])(?:" + "|".join(sorted(anchors)) + ")(?![a-z0-9])"
 
     def may_match(self, terms: str, threshold: float) -> Column:
         """False only for lines that cannot reach the threshold.
@@ -158,15 +159,16 @@ def _matches(units: DataFrame, notices: Notices, threshold: float, name: str) ->
                                      F.max("size").alias("size")).drop("line")
 
 
-def _texts(files: DataFrame, notices: Notices) -> DataFrame:
+def _texts(files: DataFrame, *notices: Notices) -> DataFrame:
     """``path, text_key, size, text`` of the files that have an anchor."""
-    return (files.filter(F.col("path").isNotNull() & F.lower("text").rlike(notices.anchor_pattern()))
+    return (files.filter(F.col("path").isNotNull() & F.lower("text").rlike(notices[0].anchor_pattern(*notices[1:])))
             .select("path", F.xxhash64("text").alias("text_key"), F.char_length("text").alias("size"), "text"))
 
 
-def _units(files: DataFrame, notices: Notices, split: Column) -> DataFrame:
+def _units(files: DataFrame, split: Column, *notices: Notices) -> DataFrame:
     """``path, text_key, size, line, words`` of the parts of the texts that have an anchor."""
-    return _texts(files, notices).select("path", "text_key", "size", F.posexplode(split).alias("line", "words"))
+    return (_texts(files, *notices).select("path", "text_key", "size", F.posexplode(split).alias("line", "words"))
+            .filter(F.lower("words").rlike(notices[0].anchor_pattern(*notices[1:]))))
 
 
 def sentences(text: str) -> Column:
@@ -220,14 +222,14 @@ def paragraph_runs(texts: DataFrame, anchors: str, most: int, stretch: int = STR
 def own_licences(files: DataFrame, notices: Notices, threshold: float = THRESHOLD,
                  texts: Notices | None = None) -> DataFrame:
     """``path, licence, similarity, share`` (of the file's characters that match) of files with a notice."""
-    found = [_matches(_units(files, notices, F.split("text", "\n")), notices, threshold, "licence-lines")
+    both = [notices, texts] if texts else [notices]
+    inside = materialize(_units(files, sentences("text"), *both), "sentences")  # few, and read for each
+    found = [_matches(_units(files, F.split("text", "\n"), notices), notices, threshold, "licence-lines")
              .withColumn("kind", F.lit(0)),
-             _matches(_units(files, notices, sentences("text")), notices, threshold, "licence-sentences")
-             .withColumn("kind", F.lit(1))]
+             _matches(inside, notices, threshold, "licence-sentences").withColumn("kind", F.lit(1))]
     if texts:
-        inside = _units(files, texts, sentences("text")).select("path", "text_key", "size", "words")
         runs = paragraph_runs(_texts(files, texts), texts.anchor_pattern(), texts.most_chars)
-        units = inside.unionByName(runs).withColumn("line", F.xxhash64("words"))  # equal words are one unit
+        units = inside.drop("line").unionByName(runs).withColumn("line", F.xxhash64("words"))  # equal words are one unit
         found.append(_matches(units, texts, threshold, "licence-texts").withColumn("kind", F.lit(2)))
     matched = found[0]
     for more in found[1:]:
