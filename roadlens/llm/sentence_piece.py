@@ -1,7 +1,10 @@
 """Operator 2: SentencePiece encoding and decoding by a batched numpy Viterbi.
 
 A text is split before every run of spaces (no piece reaches across such a
-place; a vocabulary where one does is not split). Words not seen before in the
+place; a vocabulary where one does is not split), and words of more than
+``LONG`` characters, as in scripts without spaces, also between any two
+characters that no piece has next to each other (so no merge can join them;
+only in models that spell unknown characters byte by byte). Words not seen before in the
 task are grouped by length, and all words of one length advance together, one
 character a step: rolling hashes of the substrings that end there are probed
 in the sorted piece keys, and a vectorised maximum over the piece lengths
@@ -38,6 +41,7 @@ from roadlens.llm.common import slices, texts
 
 SPACE = "▁"
 SLICE_BYTES = 4 << 20
+LONG = 32
 KEPT_WORDS = 600_000  # distinct words a worker keeps between batches
 ROWS = 1 << 15  # words that advance together at most
 MEMO_BITS = 19  # of the table of pairs already compared
@@ -79,7 +83,11 @@ class Pieces:
     pair_keys: np.ndarray = field(default=None, repr=False)
     pair_rank: np.ndarray = field(default=None, repr=False)
 
+    neighbours: np.ndarray = field(default=None, repr=False)  # sorted pairs of characters that a piece has side by side
+
     def __post_init__(self):
+        self.neighbours = np.array(sorted({ord(a) << 32 | ord(b) for i in np.flatnonzero(self.usable)
+                                           for a, b in zip(self.pieces[i], self.pieces[i][1:])}), np.uint64)
         if self.bpe:
             self._merges()
         by_length: dict[int, list[int]] = {}
@@ -138,6 +146,16 @@ class Pieces:
             else:
                 self.usable[i] = False  # the merges never arrive at this piece
 
+    def parts(self, word: str) -> list[str]:
+        """A long word, cut where no piece reaches across."""
+        if len(word) <= LONG or not self.byte_ids or not len(self.neighbours):
+            return [word]
+        codes = _codes([word], len(word))[0]
+        pairs = codes[:-1] << np.uint64(32) | codes[1:]
+        at = np.minimum(np.searchsorted(self.neighbours, pairs), len(self.neighbours) - 1)
+        cuts = (np.flatnonzero(self.neighbours[at] != pairs) + 1).tolist()
+        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
+
     def piece_at(self, hashes: np.ndarray) -> np.ndarray:
         """The piece of each substring hash, -1 for none."""
         if not len(self.keys):
@@ -266,6 +284,8 @@ class Encoder:
     def encode(self, batch: list[str]) -> list[np.ndarray]:
         p = self.pieces
         words = [p.split.findall((SPACE if p.prefix else "") + t.replace(" ", SPACE)) if t else [] for t in batch]
+        if any(len(w) > LONG for own in words for w in own):
+            words = [[part for w in own for part in (p.parts(w) if len(w) > LONG else (w,))] for own in words]
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
         new = {w for own in words for w in own}

@@ -31,6 +31,25 @@ def test_bpe_ids_and_decoding_equal_the_library(model):
         assert encoder.decode(ids.tolist()) == library.decode(ids.tolist()) == text.replace("▁", " ")
 
 
+def test_long_words_without_spaces(model):
+    import time
+
+    import sentencepiece
+    rng = random.Random(9)
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    encoder = sentence_piece.Encoder(sentence_piece.load(model))
+    han = [chr(c) for c in range(0x4E00, 0x4E00 + 3000)]
+    kana, latin = [chr(c) for c in range(0x3041, 0x30FF)], [chr(c) for c in range(97, 123)]
+    mixed = ["".join(rng.choice(pool) for _ in range(n)) for n in (31, 32, 33, 200, 3000)
+             for pool in (han, kana, latin, han[:50] + kana + latin, han + ["ab", "ing", "你好", "😀", "\x00", "é", "́"])]
+    assert [x.tolist() for x in encoder.encode(mixed)] == library.encode(mixed)
+    text = "".join(rng.choice(han[:2000]) for _ in range(100_000))
+    start = time.perf_counter()
+    ids = encoder.encode([text])[0]
+    assert time.perf_counter() - start < 2
+    assert ids.tolist() == library.encode(text) and encoder.decode(ids.tolist()) == text
+
+
 def test_unigram_paths_score_as_high_as_the_library(model):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as pb
