@@ -45,6 +45,7 @@ LONG = 32
 KEPT_WORDS = 600_000  # distinct words a worker keeps between batches
 ROWS = 1 << 15  # words that advance together at most
 MEMO_BITS = 19  # of the table of pairs already compared
+_UNSPACED = re.compile(f"[^{SPACE}]{{{LONG},}}")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _NEVER = np.iinfo(np.int64).max
 
@@ -283,9 +284,13 @@ class Encoder:
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
         p = self.pieces
-        words = [p.split.findall((SPACE if p.prefix else "") + t.replace(" ", SPACE)) if t else [] for t in batch]
-        if any(len(w) > LONG for own in words for w in own):
-            words = [[part for w in own for part in (p.parts(w) if len(w) > LONG else (w,))] for own in words]
+        words = []
+        for t in batch:
+            t = (SPACE if p.prefix else "") + t.replace(" ", SPACE) if t else ""
+            own = p.split.findall(t)
+            if _UNSPACED.search(t):
+                own = [part for w in own for part in (p.parts(w) if len(w) > LONG else (w,))]
+            words.append(own)
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
         new = {w for own in words for w in own}
