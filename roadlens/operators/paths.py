@@ -6,12 +6,11 @@ ends at a pass is that state or a suffix of it, so the visits of the states are
 all that has to be counted, whatever the number of paths.
 
 The state depends on the last L monitors only (L: the longest path), so a
-track can be cut anywhere. A slice of a track (see ``slices``) counts the
-visits as if it began the track; where it does not, only its first L - 1
-passes can be in another state. These are counted again after the L - 1
-monitors before the slice, which come from the ends of the car's earlier
-slices, and the difference is added. So a slice is worked out where it is, and
-what meets per car are L - 1 monitors from each end of a slice.
+track can be cut anywhere. In a slice of a track (see ``slices``) all passes but
+the first L - 1 are counted where the slice is. Those few go with the slice's
+last L - 1 monitors to the car's other slices, and are counted behind the
+monitors before them. So each pass is counted once, and what meets per car are
+L - 1 monitors from each end of a slice.
 
 The automaton is built on the driver; its size is that of the paths.
 """
@@ -86,7 +85,8 @@ def _visits(automaton: PathAutomaton, steps: Column, first: Column, last: Column
                         F.get(steps, i)["n"].alias("n"))
 
     at = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-    return F.filter(F.transform(at, visit), lambda v: v["state"] != ROOT)
+    on_paths = F.filter(at, lambda i: F.get(steps, i)["symbol"] != 0)  # any other monitor leads to the root
+    return F.filter(F.transform(on_paths, visit), lambda v: v["state"] != ROOT)
 
 
 def state_visits(flow: DataFrame, automaton: PathAutomaton) -> DataFrame:
@@ -101,22 +101,18 @@ def state_visits(flow: DataFrame, automaton: PathAutomaton) -> DataFrame:
 
     slices = track_slices(flow, automaton.symbol(F.col("monitor_id")))
     slices = slices.withColumn("steps", F.flatten(F.transform("runs", repeat)))
-    inner = slices.select(F.inline(_visits(automaton, F.col("steps"), F.lit(0), F.size("steps") - 1)))
+    inner = slices.select(F.inline(_visits(automaton, F.col("steps"), F.lit(longest - 1), F.size("steps") - 1)))
     if longest == 1:
         return inner.groupBy("state").agg(F.sum("n").alias("n"))
     ends = slices.select("car", *SLICE_ORDER, F.slice("steps", 1, longest - 1).alias("head"),
                          F.slice("steps", F.greatest(F.size("steps") - longest + 2, F.lit(1)), longest - 1).alias("tail"))
     before = Window.partitionBy("car").orderBy(*SLICE_ORDER).rowsBetween(-(longest - 1), -1)
     earlier = F.flatten(F.collect_list("tail").over(before))
-    earlier = F.slice(earlier, F.greatest(F.size(earlier) - longest + 2, F.lit(1)), longest - 1)
-    joined = (ends.select("head", earlier.alias("earlier")).filter(F.size("earlier") > 0)
-              .withColumn("whole", F.concat("earlier", "head")))
-    size, whole = F.size("earlier"), F.col("whole")
-    wrong = F.transform(_visits(automaton, F.col("head"), F.lit(0), F.size("head") - 1),
-                        lambda v: F.struct(v["state"].alias("state"), (-v["n"]).alias("n")))
-    right = _visits(automaton, whole, size, size + F.size("head") - 1)
-    seams = joined.select(F.inline(F.concat(right, wrong)))
-    return inner.unionByName(seams).groupBy("state").agg(F.sum("n").alias("n"))
+    seams = (ends.select("head", earlier.alias("earlier"))
+             .withColumn("earlier", F.slice("earlier", F.greatest(F.size("earlier") - longest + 2, F.lit(1)), longest - 1))
+             .select(F.concat("earlier", "head").alias("steps"), F.size("earlier").alias("first")))
+    outer = seams.select(F.inline(_visits(automaton, F.col("steps"), F.col("first"), F.size("steps") - 1)))
+    return inner.unionByName(outer).groupBy("state").agg(F.sum("n").alias("n"))
 
 
 def many_path_counts(flow: DataFrame, paths: dict[str, list[str]]) -> DataFrame:
