@@ -9,6 +9,7 @@ their end; rows later than the watermark are dropped. State is bounded by
 from __future__ import annotations
 
 import os
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -52,7 +53,8 @@ def events_stream(spark: SparkSession, path: str, max_files_per_trigger: int | N
     """
     reader_opts = {}
     directory = path
-    if os.path.isfile(path):
+    files = spark.read.parquet(path).inputFiles()  # in whatever store: Spark lists it
+    if len(files) == 1 and os.path.basename(unquote(files[0])) == os.path.basename(path):
         directory, reader_opts["pathGlobFilter"] = os.path.split(path)
     batch = spark.read
     for key, value in reader_opts.items():
