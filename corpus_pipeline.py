@@ -36,9 +36,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its text; the order of the mix stays."""
+    """Token ids of every document, and whether they decode to its text; in the order of the mix, with the place in it."""
     with open(vocabulary_path("piece_bpe_32k.model"), "rb") as file:
-        return sentence_piece.encode_column(docs, file.read(), ["doc_id", "lang", "source"])
+        return sentence_piece.encode_column(mixing.in_written_order(docs), file.read(),
+                                            ["doc_id", "lang", "source", "mix_position"])
 
 
 STAGES = [

@@ -214,3 +214,26 @@ def in_mixed_order(docs: DataFrame, weights: dict[str, float], **options) -> Dat
     return (rows.repartitionByRange(tasks, "mix_position").sortWithinPartitions("mix_position")
             .drop("mix_slot", "mix_position")
             .withColumnsRenamed({n: c for c, n in kept.items()}).select(*docs.columns))
+
+
+def in_written_order(docs: DataFrame) -> DataFrame:
+    """Rows read from the files of :func:`in_mixed_order`: in that order again, with their ``mix_position``.
+
+    Spark deals files to tasks by size, so rows that are read come in no order. A
+    row's place is that of its file, by the number of the task that wrote it
+    and of the file in that task, and then its number in the file.
+    """
+    columns = [c for c in docs.columns if c != "mix_position"]
+    inner = {c: f"__in_{i}" for i, c in enumerate(columns)}
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()],
+                       F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    # one row a file
+    sizes = rows.groupBy("__file").agg((F.max("__row") + 1).alias("__n"))
+    task, part = (F.regexp_extract("__file", r, 1).cast("long") for r in (r"/part-(\d+)-[^/]*$", r"-c(\d+)\.[^/]*$"))
+    earlier = Window.orderBy(task, part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__file", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.join(F.broadcast(offsets), "__file")
+            .select(*[F.col(n).alias(c) for c, n in inner.items()],
+                    (F.col("__offset") + F.col("__row")).alias("mix_position"))
+            .repartitionByRange(tasks, "mix_position").sortWithinPartitions("mix_position"))

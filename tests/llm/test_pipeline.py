@@ -3,8 +3,8 @@ from collections import Counter
 
 import corpus_pipeline
 import __spark_entry__ as entry
-from roadlens.llm import exact_dedup, quality, simhash
-from roadlens.llm.queries import ORACLE_SQL, QUERIES
+from roadlens.llm import exact_dedup, mixing, quality, simhash
+from roadlens.llm.queries import ORACLE_SQL, QUERIES, REST_WEIGHT, SOURCE_WEIGHTS
 from tests.conftest import SF01
 from tests.llm.test_simhash import brute_components, brute_fingerprint
 
@@ -42,6 +42,22 @@ def test_stages_over_documents(spark, tmp_path):
     assert set(rows[4]) == set(rows[3]) and all(r.round_trip and r.n_tokens == len(r.token_ids) for r in rows[4].values())
 
 
+def test_tokens_follow_the_mix(spark, make_docs, tmp_path):
+    # files of very different sizes, which Spark does not read by name; ids that repeat or are null
+    rows = [(i if i % 50 else None, f"text {i} " + "long " * (i % 7 * (i % 31)), "en", f"src{i % 3}") for i in range(200)]
+    docs = make_docs(rows + rows[-3:], extra="mix_position")
+    corpus_pipeline.mixing_stage(spark, docs, SF01).write.option("maxRecordsPerFile", 7).parquet(str(tmp_path / "mix"))
+    mix = spark.read.parquet(str(tmp_path / "mix"))
+    corpus_pipeline.token_stage(spark, mix, SF01).write.parquet(str(tmp_path / "tokens"))
+    placed = mixing.mixed(docs.withColumnRenamed("mix_position", "o"), SOURCE_WEIGHTS, REST_WEIGHT).collect()
+    written = [r for f in sorted((tmp_path / "tokens").glob("part-*")) for r in spark.read.parquet(str(f)).collect()]
+    assert [(r.doc_id, r.source) for r in written] == [(r.doc_id, r.source) for r in
+                                                       sorted(placed, key=lambda r: r.mix_position)]
+    assert [r.mix_position for r in written] == list(range(len(rows) + 3))
+    corpus_pipeline.mixing_stage(spark, docs.limit(0), SF01).write.parquet(str(tmp_path / "none"))
+    assert corpus_pipeline.token_stage(spark, spark.read.parquet(str(tmp_path / "none")), SF01).count() == 0
+
+
 def test_registered():
     assert sorted(q.split("_")[0] for q in QUERIES) == sorted(f"op{n}" for n in range(1, 14))
     assert entry.queries()["pipeline"] is corpus_pipeline.run and set(ORACLE_SQL) <= set(QUERIES)
