@@ -135,3 +135,59 @@ def test_more_lengths_than_have_pivots(spark, monkeypatch):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=2 + i % 5).tolist()) for i in range(600)]
     assert sorted(map(tuple, topk_search.top_k(table(spark, rows), step=7).collect())) == brute(rows, step=7)
+
+
+def expected(ids, points, asked, k):
+    """Brute force as sorted (query, -score, id)."""
+    out = []
+    for q in asked:
+        scores = points @ points[q]
+        order = np.lexsort((ids, -scores))
+        out += [(int(ids[q]), -int(scores[j]), int(ids[j])) for j in order[order != q][:k]]
+    return sorted(out)
+
+
+def test_seconds_without_clusters():
+    import time
+    rng, k = np.random.default_rng(11), 5
+    points = rng.normal(size=(30_000, 64))
+    points = np.floor(points / np.linalg.norm(points, axis=1, keepdims=True) * 256)
+    ids, asked = rng.permutation(len(points)), np.arange(0, len(points), 50)
+    began = time.thread_time()
+    r, c, v = topk_search.dual_tree_top_k(ids[asked], points[asked], np.full(len(asked), -np.inf), ids, points, k)
+    took = time.thread_time() - began
+    assert sorted((int(ids[asked[a]]), -int(s), int(ids[b])) for a, b, s in zip(r, c, v)) == expected(ids, points, asked, k)
+    assert took < 150e-9 * len(asked) * len(points)  # a product of matrices takes 2 nanoseconds a pair
+
+
+@pytest.mark.parametrize("size", [1.0, 300.0, 1e6])
+def test_lanes_are_upper_bounds(size):
+    rng, k = np.random.default_rng(13), 4
+    points = np.rint(size * rng.normal(size=(2500, 24)) * np.linspace(2, 0.05, 24) * rng.uniform(0.01, 1, size=(2500, 1)))
+    points[7], points[8:40] = 0, points[41]
+    ids, asked = np.arange(len(points)), np.arange(0, len(points), 3)
+    scores = points[asked] @ points.T
+    floors = -np.sort(-np.where(asked[:, None] == ids[None], -np.inf, scores), axis=1)[:, 60]  # weak, as at the start
+    lanes = topk_search.Lanes(points, points[asked], floors)
+    base = topk_search.CoverTree(points, topk_search.WIDE_LEAF).settle(0)
+    matrix, units, errors, lengths = lanes.queries(points[asked])
+    columns, unit, error, length = lanes.points(base)
+    found = (matrix @ columns).view(np.int16).reshape(len(asked), -1, 4)[:, :, :3]
+    found = np.concatenate([found[:, :, lane] for lane in range(3)], axis=1)[:, :len(points)].astype(float)
+    slack = (lengths * error + errors * length)[:, None] + 2 * (units * unit)[:, None]
+    assert (found * (units * unit)[:, None] + slack >= scores[:, base.order] - 1e-6).all()
+    r, c, v = topk_search.dual_tree_top_k(ids[asked], points[asked], floors, ids, points, k)
+    assert sorted((int(asked[a]), -int(s), int(b)) for a, b, s in zip(r, c, v)) == expected(ids, points, asked, k)
+
+
+def test_crowded_pivots_and_repeats(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "PIVOTS", 4)
+    monkeypatch.setattr(topk_search, "BLOCK", 30)
+    monkeypatch.setattr(topk_search, "TREE", 64)
+    monkeypatch.setattr(topk_search, "BATCH", 16)
+    rng = np.random.default_rng(17)
+    near = rng.normal(size=8)
+    rows = [(i, (near + 0.01 * rng.normal(size=8)).tolist()) for i in range(900)] + clustered(100, 8, 5, step=11)
+    rows += rows[:40] + [(i, [300.0 * x for x in v]) for i, v in rows[40:60]]  # repeated rows, ids with two vectors, long ones
+    found = topk_search.top_k(table(spark, rows), step=20).collect()
+    assert sorted(map(tuple, found)) == brute(rows, step=20)
