@@ -6,10 +6,10 @@ belongs to its nearest pivot, whose covering radius is the largest distance to
 a member. Runs of neighbouring pivots make up a part, a crowded pivot several;
 the number of parts follows the cores and a worker's memory, so queries are
 copied some dozens of times at most, and vectors once for each ``QUERY_BLOCK``
-queries. A query's k-th best score against the pivots and in its own block of
-about ``BLOCK`` vectors, which are candidates themselves, is a first lower
-bound; the query goes only to the parts that have a pivot whose bound
-``q.p + |q| r`` reaches it.
+queries. A query's k-th best score against the pivots, which are candidates
+themselves, is a first lower bound, and the query goes only to the parts that
+have a pivot whose bound ``q.p + |q| r`` reaches it: first to its nearest ones
+(one in ``NEAR``), then, with the k-th best score found there, to the others.
 
 Inside a part both sides are cover trees: a node's children lie further apart
 than half its radius and cover its points within that (or, if that takes more
@@ -57,6 +57,7 @@ PIVOTS, MOST_PIVOTS, PER_PIVOT = 32, 4096, 8192
 LENGTHS = 8
 BLOCK, QUERY_BLOCK = 2048, 1 << 19
 PART_NUMBERS, QUERY_NUMBERS, PARTS_A_CORE, MOST_PARTS = 1 << 24, 1 << 25, 5, 48
+NEAR = 16  # a query meets its nearest parts first, one in so many
 TREE, BATCH = 8192, 32768  # points of a data tree and of a query tree
 LEAF, FAN = 32, 64
 WIDE_LEAF = 64  # of the search's trees
@@ -149,7 +150,7 @@ class CoverTree:
         self.centre_norms = np.sqrt((self.centres * self.centres).sum(axis=1))
         self.open = np.array([bool(k) for k in self.kids])
         self.points = self.points[self.order]
-        self.squares = self.lanes = None
+        self.squares, self.lanes, self.middle = None, None, self.points.mean(axis=0, dtype=float)
         return self
 
     def below(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,33 +170,35 @@ def _best(r: np.ndarray, c: np.ndarray, v: np.ndarray, ids: np.ndarray, queries:
 class Lanes:
     """Upper bounds of inner products, three points to a matrix element.
 
-    Vectors are turned to their principal directions. The first ``kept`` components are rounded to small whole
-    numbers, the lengths of the others are one more component (Cauchy and Schwarz's bound of what those add to a
-    product). A column holds three points, 2**16 apart in one double: a product of whole numbers with it is three
-    products, each in 16 bits of the mantissa, which are read as such. What rounding may have taken goes into the
-    score that a query has to reach.
+    What a point has beyond the mean of its tree and the queries are turned to the points' principal directions.
+    The first ``kept`` components are rounded to small whole numbers, the lengths of the others are one more
+    component (Cauchy and Schwarz's bound of what those add to a product). A column holds three points, 2**16 apart
+    in one double: a product of whole numbers with it is three products, each in 16 bits of the mantissa, which are
+    read as such. What rounding may have taken and the mean's product go into the score that a query has to reach.
     """
 
-    def __init__(self, points: np.ndarray, queries: np.ndarray, floors: np.ndarray):
-        some = [x[np.linspace(0, len(x) - 1, min(len(x), most)).astype(int)].astype(float) for x, most in
-                ((points, 4096), (queries, 256))]
-        x, q = some
-        d = x.shape[1]
+    def __init__(self, bases: list[CoverTree], queries: np.ndarray, floors: np.ndarray):
+        bases = [bases[i] for i in np.unique(np.linspace(0, len(bases) - 1, min(len(bases), 16)).astype(int))]
+        some = [b.points[np.linspace(0, len(b.points) - 1, min(len(b.points), 512)).astype(int)] - b.middle for b in bases]
+        x = np.concatenate(some).astype(float)
+        d = self.kept = x.shape[1]
         self.turn = np.linalg.eigh(x.T @ x / max(1.0, float((x * x).sum())))[1][:, ::-1]
-        self.kept = d
-        floor = floors[np.linspace(0, len(queries) - 1, len(q)).astype(int)]
-        x, q, floor = x @ self.turn, q[floor > -np.inf] @ self.turn, floor[floor > -np.inf, None]
-        if len(q):
-            lengths = np.sqrt((q * q).sum(axis=1))[:, None] * np.sqrt((x * x).sum(axis=1))
-            best = np.inf
-            for kept in sorted({-(-d * i // 16) for i in range(1, 17)}):
-                rest = np.sqrt((q[:, kept:] ** 2).sum(axis=1))[:, None] * np.sqrt((x[:, kept:] ** 2).sum(axis=1))
-                bound = q[:, :kept] @ x[:, :kept].T + rest + 0.6 * kept ** 0.5 / self.scale(kept) * lengths
-                hits = np.count_nonzero(bound >= floor) / bound.size
-                cost = (DIRECTION_NS * (kept + 2) + VERIFY_NS * hits
-                        + ROW_NS * -np.expm1(-hits * LANES * TILE_COLUMNS))
-                if cost < best:
-                    best, self.kept = cost, kept
+        at = np.flatnonzero(floors > -np.inf)
+        at = at[np.linspace(0, len(at) - 1, min(len(at), 128)).astype(int)]
+        if not len(at):
+            return
+        q = queries[at].astype(float)
+        floor = np.concatenate([np.tile(floors[at, None] - (q @ b.middle)[:, None], len(y)) for b, y in zip(bases, some)], axis=1)
+        q, x = q @ self.turn, x @ self.turn
+        lengths = np.sqrt((q * q).sum(axis=1))[:, None] * np.sqrt((x * x).sum(axis=1))
+        best = np.inf
+        for kept in sorted({-(-d * i // 16) for i in range(1, 17)}):
+            rest = np.sqrt((q[:, kept:] ** 2).sum(axis=1))[:, None] * np.sqrt((x[:, kept:] ** 2).sum(axis=1))
+            bound = q[:, :kept] @ x[:, :kept].T + rest + 0.6 * kept ** 0.5 / self.scale(kept) * lengths
+            hits = np.count_nonzero(bound >= floor) / bound.size
+            cost = DIRECTION_NS * (kept + 2) + VERIFY_NS * hits + ROW_NS * -np.expm1(-hits * LANES * TILE_COLUMNS)
+            if cost < best:
+                best, self.kept = cost, kept
 
     @staticmethod
     def scale(kept: int) -> float:
@@ -221,7 +224,7 @@ class Lanes:
     def points(self, base: CoverTree):
         """(matrix, unit, largest error, largest length) of a tree's points."""
         if base.lanes is None:
-            rows = base.points
+            rows = base.points - base.middle
             whole, unit, error, length = self.rounded(rows, _longest(rows) ** 0.5)
             columns = -(-len(rows) // LANES)
             matrix = np.zeros((whole.shape[1] + 1, columns))
@@ -279,7 +282,8 @@ class _Search:
             at = rows[start:start + TILE_ROWS]
             q = matrix[at[0]:at[-1] + 1] if at[-1] - at[0] + 1 == len(at) else matrix[at]
             # a lane is one less if those below are negative
-            least = np.floor((self.floor[at] - lengths[at] * error - errors[at] * length) / (units[at] * unit)) - 2
+            beyond = self.floor[at] - self.asked.points[at].astype(float) @ base.middle
+            least = np.floor((beyond - lengths[at] * error - errors[at] * length) / (units[at] * unit)) - 2
             least = np.clip(least, -LANE / 2, LANE / 2 - 1).astype(np.int16)
             for low in range(0, width, TILE_COLUMNS):
                 high = min(low + TILE_COLUMNS, width)
@@ -429,12 +433,12 @@ def dual_tree_top_k(query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarr
     # whole numbers: a sum of products is exact in single precision below 2**24
     kind = np.float32 if max(_longest(queries), _longest(points)) <= EXACT_SINGLE else np.float64
     ids, bases, out, scored = ids[:len(points)], list(_trees(points, TREE, kind)), [], 0
-    spare, lanes = int(np.unique(ids, return_counts=True)[1].max()), Lanes(points, queries, floors)
+    spare, lanes = int(np.unique(ids, return_counts=True)[1].max()), Lanes(bases, queries, floors)
     for asked in _trees(queries, BATCH, kind):
         at = asked.first + asked.order
         search = _Search(asked, query_ids[at], floors[at], ids, k, spare, lanes)
         search.seed(bases)
-        for base in bases:
+        for base in sorted(bases, key=lambda b: -float(b.middle @ asked.middle)):  # the most promising first
             search.against(base)
         out.append(search.result())
         scored += search.scored
@@ -475,17 +479,23 @@ def quantised(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
 
     def pack(batches):
         for batch in batches:
-            there = pa.compute.and_(pa.compute.is_valid(batch.column(0)), pa.compute.is_valid(batch.column(1)))
-            batch = batch.filter(there)
+            if batch.column(0).null_count or batch.column(1).null_count:
+                batch = batch.filter(pa.compute.and_(pa.compute.is_valid(batch.column(0)), pa.compute.is_valid(batch.column(1))))
             ids, values = batch.column(0).to_numpy(), batch.column(1)
             dims = np.array(pa.compute.list_value_length(values), np.int64)
-            flat = np.asarray(values.flatten().to_numpy(zero_copy_only=False), float)  # null: not a number
+            flat = np.multiply(values.flatten().to_numpy(zero_copy_only=False), scale, dtype=float)  # null: not a number
+            np.floor(flat, out=flat)
+            if len(flat) and dims.min() == dims.max() and -SHORT <= flat.min() and flat.max() <= SHORT:  # as a rule
+                d = int(dims[0])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()),
+                                                  _binary(flat.reshape(-1, d).astype(np.int16))], names=["vec_id", "dim", "v"])
+                continue
             ends = np.append(0, np.cumsum(dims))
-            odd = np.append(0, np.cumsum(~np.isfinite(flat)))
+            odd = np.append(0, np.cumsum(~np.isfinite(values.flatten().to_numpy(zero_copy_only=False))))
             sound = odd[ends[1:]] == odd[ends[:-1]]
             for d in np.unique(dims[sound & (dims > 0)]):
                 rows = np.flatnonzero(sound & (dims == d))
-                whole = np.clip(np.floor(flat[ends[rows, None] + np.arange(d)] * scale), -2.0**63, 2.0**63)
+                whole = np.clip(flat[ends[rows, None] + np.arange(d)], -2.0**63, 2.0**63)
                 short = np.abs(whole).max(axis=1) <= SHORT
                 for own, number in ((short, np.int16), (~short, np.float64)):
                     if own.any():
@@ -581,53 +591,33 @@ def top_k(embeddings: DataFrame, k: int = K, step: int = QUERY_STEP, scale: int
             for part in parts[-own:]:
                 part.append(i)
             room -= n if own == 1 else 0
-            rows.append((d, i, max(1, -(-n // BLOCK)), len(parts) - own, own))
+            rows.append((d, i, len(parts) - own, own))
         parts_of[d] = parts
-    rest = [(d, n) for d, n in lengths if d not in pivots]
-    others = max([1, *(-(-n // most_of(d, n)) for d, n in rest)])  # parts of each length without pivots
-    split = F.broadcast(spark.createDataFrame(rows, "dim int, pivot int, blocks long, first long, own long"))
-    hashed = F.xxhash64("vec_id")
+    bare = [(d, n) for d, n in lengths if d not in pivots]
+    others = max([1, *(-(-n // most_of(d, n)) for d, n in bare)])  # parts of each length without pivots
+    split = F.broadcast(spark.createDataFrame(rows, "dim int, pivot int, first long, own long"))
+    hashed, asks = F.xxhash64("vec_id"), F.col("vec_id") % step == 0
     dealt = (placed.join(split, ["dim", "pivot"], "left")
-             .withColumn("block", F.pmod(hashed, F.coalesce("blocks", F.lit(others).cast("long"))))
              .withColumn("part", F.coalesce("first", F.lit(0).cast("long"))
                          + F.pmod(hashed, F.coalesce("own", F.lit(others).cast("long"))))
-             .select("dim", "pivot", "block", "part", "vec_id", "v"))
+             .select("dim", "pivot", "part", "vec_id", "v"))
 
-    def own_block(table: pa.Table) -> pa.Table:
-        """The queries of a block, each with the k-th best score there: a first floor."""
-        table = table.combine_chunks()
-        ids, d = table.column("vec_id").to_numpy(), table.column("dim")[0].as_py() if table.num_rows else 0
-        asks = np.flatnonzero(ids % step == 0)
-        floors = np.full(len(asks), -np.inf)
-        if len(asks):
-            x = _matrix(table.column("v").combine_chunks(), d)
-            pos = _distinct(ids, x)
-            r, c, v = _search_rows(ids[asks], x[asks], floors, ids[pos], x[pos], k)
-            at = np.lexsort((-v, ids[pos][c], r))  # a row's best of each id
-            r, c, v = r[at], c[at], v[at]
-            new = np.append(True, (r[1:] != r[:-1]) | (ids[pos][c[1:]] != ids[pos][c[:-1]]))[:len(r)]
-            r, c, v = _best(r[new], c[new], v[new], ids[pos], len(asks), k)
-            full = np.bincount(r, minlength=len(asks)) >= k
-            floors[full] = v[full[r]][k - 1::k]
-        return table.take(pa.array(asks)).select(["dim", "pivot", "vec_id", "v"]).append_column("floor", pa.array(floors))
-
-    asked = materialize(dealt.groupBy("dim", "pivot", "block").applyInArrow(
-        own_block, "dim int, pivot int, vec_id long, v binary, floor double"), "asked-vectors")
+    queries_n = placed.filter(asks).count()
     widest = max((d for d, _ in lengths), default=1)
-    chunks = max(1, -(-asked.count() // max(1, min(QUERY_BLOCK, QUERY_NUMBERS // widest))))
+    chunks = max(1, -(-queries_n // max(1, min(QUERY_BLOCK, QUERY_NUMBERS // widest))))
 
-    def deal(batches):
-        """Each query to every part that its bounds admit."""
+    def deal(batches, near: bool):
+        """Each query to the parts that its bounds admit: the nearest of all ones, or what is left."""
         for batch in batches:
             sizes = np.array(batch.column("dim"))
             for d in np.unique(sizes):
                 whole = batch.filter(pa.array(sizes == d))
                 for low in range(0, whole.num_rows, TILE_ROWS):
                     part = whole.slice(low, TILE_ROWS)
-                    n = part.num_rows
+                    n, floor = part.num_rows, part.column("floor").to_numpy()
                     if int(d) in pivots:
                         q, (ids, p) = _matrix(part.column("v"), int(d)).astype(float), pivots[int(d)]
-                        dots, floor = q @ p.T, part.column("floor").to_numpy()
+                        dots = q @ p.T
                         if len(ids) > k:
                             rivals = np.where(ids[None, :] == part.column("vec_id").to_numpy()[:, None], -np.inf, dots)
                             floor = np.maximum(floor, -np.partition(-rivals, k - 1, axis=1)[:, k - 1])
@@ -635,18 +625,19 @@ def top_k(embeddings: DataFrame, k: int = K, step: int = QUERY_STEP, scale: int
                         slack = SLACK * (1 + norms * (np.sqrt((p * p).sum(axis=1)) + radius))
                         admitted = (dots + norms * radius + slack >= floor[:, None]) & (size_of[int(d)] > 0)
                         inside = parts_of[int(d)]
-                        starts = np.cumsum([0] + [len(x) for x in inside[:-1]])
-                        which, at = np.nonzero(np.logical_or.reduceat(admitted[:, np.concatenate(inside)], starts, axis=1))
+                        order, starts = np.concatenate(inside), np.cumsum([0] + [len(x) for x in inside[:-1]])
+                        best = np.maximum.reduceat(dots[:, order], starts, axis=1)
+                        nearest = np.zeros(best.shape, bool)
+                        np.put_along_axis(nearest, np.argsort(-best, axis=1, kind="stable")[:, :-(-len(inside) // NEAR)], True, axis=1)
+                        which, at = np.nonzero(np.logical_or.reduceat(admitted[:, order], starts, axis=1) & (nearest == near))
                     else:
-                        floor, which, at = part.column("floor").to_numpy(), np.repeat(np.arange(n), others), np.tile(np.arange(others), n)
+                        which, at = np.nonzero(np.full((n, others), near))
                     some = part.select(["dim", "pivot", "vec_id", "v"]).take(pa.array(which))
                     yield pa.RecordBatch.from_arrays([*some.columns, pa.array(at, pa.int64()), pa.array(floor[which])],
                                                      names=["dim", "pivot", "vec_id", "v", "part", "floor"])
 
     keys = ["dim", "part", "chunk"]
-    tasks = 4 * chunks * max(1, sum(map(len, parts_of.values())) + others * len(rest))
-    queries = (asked.mapInArrow(deal, "dim int, pivot int, vec_id long, v binary, part long, floor double")
-               .withColumn("chunk", F.pmod(hashed, F.lit(chunks))).repartition(tasks, *keys))
+    tasks = 4 * chunks * max(1, sum(map(len, parts_of.values())) + others * len(bare))
     points = (dealt.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
               .select("dim", "pivot", "part", "chunk", "vec_id", "v").repartition(tasks, *keys))
 
@@ -667,9 +658,24 @@ def top_k(embeddings: DataFrame, k: int = K, step: int = QUERY_STEP, scale: int
             out = [query_ids[r], ids[c], v]
         return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, out))))
 
-    partial = queries.groupBy(*keys).cogroup(points.groupBy(*keys)).applyInArrow(
-        search, "query_id long, vec_id long, score long")
+    def met(asked: DataFrame, near: bool) -> DataFrame:
+        queries = (asked.select("dim", "pivot", "vec_id", "v", "floor")
+                   .mapInArrow(lambda batches: deal(batches, near),
+                               "dim int, pivot int, vec_id long, v binary, part long, floor double")
+                   .withColumn("chunk", F.pmod(hashed, F.lit(chunks))).repartition(tasks, *keys))
+        return queries.groupBy(*keys).cogroup(points.groupBy(*keys)).applyInArrow(
+            search, "query_id long, vec_id long, score long")
+
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (partial.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-            .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+    def ranked(found: DataFrame) -> DataFrame:
+        return (found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+                .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k))
+
+    # the nearest parts first: what they give is a floor for the others
+    asked = placed.filter(asks)
+    near = materialize(ranked(met(asked.withColumn("floor", F.lit(float("-inf"))), True)), "near-scores")
+    floors = near.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("floor"))
+    rest = met(asked.join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf")))), False)
+    return (ranked(near.select("query_id", "vec_id", "score").unionByName(rest))
             .select("query_id", "rank", "vec_id", "score"))

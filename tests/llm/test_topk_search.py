@@ -168,13 +168,13 @@ def test_lanes_are_upper_bounds(size):
     ids, asked = np.arange(len(points)), np.arange(0, len(points), 3)
     scores = points[asked] @ points.T
     floors = -np.sort(-np.where(asked[:, None] == ids[None], -np.inf, scores), axis=1)[:, 60]  # weak, as at the start
-    lanes = topk_search.Lanes(points, points[asked], floors)
     base = topk_search.CoverTree(points, topk_search.WIDE_LEAF).settle(0)
+    lanes = topk_search.Lanes([base], points[asked], floors)
     matrix, units, errors, lengths = lanes.queries(points[asked])
     columns, unit, error, length = lanes.points(base)
     found = (matrix @ columns).view(np.int16).reshape(len(asked), -1, 4)[:, :, :3]
     found = np.concatenate([found[:, :, lane] for lane in range(3)], axis=1)[:, :len(points)].astype(float)
-    slack = (lengths * error + errors * length)[:, None] + 2 * (units * unit)[:, None]
+    slack = (points[asked] @ base.middle + lengths * error + errors * length + 2 * units * unit)[:, None]
     assert (found * (units * unit)[:, None] + slack >= scores[:, base.order] - 1e-6).all()
     r, c, v = topk_search.dual_tree_top_k(ids[asked], points[asked], floors, ids, points, k)
     assert sorted((int(asked[a]), -int(s), int(b)) for a, b, s in zip(r, c, v)) == expected(ids, points, asked, k)
