@@ -56,7 +56,8 @@ K, QUERY_STEP, SCALE = 5, 50, 256
 PIVOTS, MOST_PIVOTS, PER_PIVOT = 32, 4096, 8192
 LENGTHS = 8
 BLOCK, QUERY_BLOCK = 2048, 1 << 19
-PART_NUMBERS, QUERY_NUMBERS, PARTS_A_CORE, MOST_PARTS = 1 << 24, 1 << 25, 5, 48
+PART_NUMBERS, QUERY_NUMBERS = 1 << 23, 1 << 24  # of a part and of its queries at once: what two workers of an executor hold
+PARTS_A_CORE, MOST_PARTS = 5, 48
 NEAR = 16  # a query meets its nearest parts first, one in so many
 TREE, BATCH = 8192, 32768  # points of a data tree and of a query tree
 LEAF, FAN = 32, 64
@@ -66,6 +67,7 @@ DENSE, EVERY = 0.5, 32  # a run of queries meets all of a tree if every 32nd of
 TILE_ROWS, TILE_POINTS = 256, 2048
 LANES, LANE, LANE_TOP, MANTISSA = 3, 2.0**16, 181, 1.5 * 2.0**52  # 181 * 181 < 2**15
 TILE_COLUMNS = 512  # of LANES points each
+VERIFIED_NUMBERS, MOST_TURNED = 1 << 21, 2048  # components looked at together; longer vectors are not turned
 # nanoseconds of a pair: for each direction, to verify it, to look through a row with hits
 DIRECTION_NS, VERIFY_NS, ROW_NS = 0.016, 100.0, 0.4
 SHORT, EXACT_SINGLE = 32767, 1 << 22  # two-byte components; squared length up to which single precision is exact
@@ -182,14 +184,14 @@ class Lanes:
         some = [b.points[np.linspace(0, len(b.points) - 1, min(len(b.points), 512)).astype(int)] - b.middle for b in bases]
         x = np.concatenate(some).astype(float)
         d = self.kept = x.shape[1]
-        self.turn = np.linalg.eigh(x.T @ x / max(1.0, float((x * x).sum())))[1][:, ::-1]
+        self.turn = np.linalg.eigh(x.T @ x / max(1.0, float((x * x).sum())))[1][:, ::-1] if d <= MOST_TURNED else None
         at = np.flatnonzero(floors > -np.inf)
         at = at[np.linspace(0, len(at) - 1, min(len(at), 128)).astype(int)]
         if not len(at):
             return
         q = queries[at].astype(float)
         floor = np.concatenate([np.tile(floors[at, None] - (q @ b.middle)[:, None], len(y)) for b, y in zip(bases, some)], axis=1)
-        q, x = q @ self.turn, x @ self.turn
+        q, x = self.turned(q), self.turned(x)
         lengths = np.sqrt((q * q).sum(axis=1))[:, None] * np.sqrt((x * x).sum(axis=1))
         best = np.inf
         for kept in sorted({-(-d * i // 16) for i in range(1, 17)}):
@@ -200,6 +202,9 @@ class Lanes:
             if cost < best:
                 best, self.kept = cost, kept
 
+    def turned(self, rows: np.ndarray) -> np.ndarray:
+        return rows if self.turn is None else rows @ self.turn
+
     @staticmethod
     def scale(kept: int) -> float:
         """Length of a vector in whole numbers, such that a product of two stays in its lane when rounded."""
@@ -207,7 +212,7 @@ class Lanes:
 
     def rounded(self, rows: np.ndarray, longest: np.ndarray | float):
         """(whole numbers of the kept components and of the others' length, what a unit is, error, length kept)."""
-        turned = rows.astype(float) @ self.turn
+        turned = self.turned(rows.astype(float))
         kept, unit = turned[:, :self.kept], longest / self.scale(self.kept)
         unit = np.where(unit > 0, unit, 1.0) if np.ndim(unit) else unit or 1.0
         whole = np.rint(kept / unit)
@@ -305,7 +310,9 @@ class _Search:
                             self.meet(at, base, first, last)
                     self.scored -= len(at) * sum(max(0, min(x * width + high, n) - x * width - low) for x in range(LANES))
                     continue
-                v = np.einsum("ij,ij->i", self.asked.points[at[r]], base.points[c])
+                few = max(1, VERIFIED_NUMBERS // self.asked.points.shape[1])
+                v = np.concatenate([np.einsum("ij,ij->i", self.asked.points[at[r[i:i + few]]], base.points[c[i:i + few]])
+                                    for i in range(0, len(r), few)]) if len(r) else np.zeros(0)
                 good = v >= self.floor[at[r]]
                 if good.any():
                     self._keep(at[r[good]], base.first + base.order[c[good]], v[good])
